@@ -13,8 +13,6 @@ nation and month, alerts <- events.
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,5 +175,20 @@ class Tables:
             F.when(v >= 100, "severe").when(v >= 50, "moderate").otherwise("mild").alias("severity"))
 
 
+    @property
+    def declarations(self) -> DataFrame:
+        """Disaster declarations derived from events, dated 25 years earlier to fall in the loan period."""
+        e = self.raw("events").select("event_id", "ts", "user_id", "event_type", "value")
+        et = F.col("event_type")
+        itype = (F.when(et == "error", "Hurricane").when(et == "click", "Flood")
+                 .when(et == "view", "Severe Storm(s)").when(et == "purchase", "Fire").otherwise("Tornado"))
+        state = F.concat(F.lit("NATION_"), (F.col("user_id") % 25).cast("string"))
+        return e.select(F.col("event_id").alias("disaster_number"), state.alias("state"),
+                        F.add_months(F.to_date("ts"), -300).alias("declaration_date"),
+                        itype.alias("incident_type"),
+                        F.when(F.col("value") >= 50, "DR").otherwise("EM").alias("declaration_type"),
+                        F.concat(itype, F.lit(" - "), state).alias("declaration_title"))
+
+
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir)

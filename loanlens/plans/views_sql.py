@@ -70,6 +70,15 @@ GROUP BY 1, 2, 3, 4, 5""",
 SELECT e.event_id, e.ts, concat('NATION_', CAST(e.user_id % 25 AS VARCHAR)) AS state,
   CASE e.event_type WHEN 'error' THEN 'hurricane' WHEN 'click' THEN 'flood' WHEN 'view' THEN 'flood' ELSE 'earthquake' END AS scenario_type,
   CASE WHEN e.value >= 100 THEN 'severe' WHEN e.value >= 50 THEN 'moderate' ELSE 'mild' END AS severity
+FROM events e""",
+    "declarations": """
+SELECT e.event_id AS disaster_number, concat('NATION_', CAST(e.user_id % 25 AS VARCHAR)) AS state,
+  CAST(CAST(e.ts AS DATE) - INTERVAL 300 MONTH AS DATE) AS declaration_date,
+  CASE e.event_type WHEN 'error' THEN 'Hurricane' WHEN 'click' THEN 'Flood' WHEN 'view' THEN 'Severe Storm(s)'
+    WHEN 'purchase' THEN 'Fire' ELSE 'Tornado' END AS incident_type,
+  CASE WHEN e.value >= 50 THEN 'DR' ELSE 'EM' END AS declaration_type,
+  concat(CASE e.event_type WHEN 'error' THEN 'Hurricane' WHEN 'click' THEN 'Flood' WHEN 'view' THEN 'Severe Storm(s)'
+    WHEN 'purchase' THEN 'Fire' ELSE 'Tornado' END, ' - ', concat('NATION_', CAST(e.user_id % 25 AS VARCHAR))) AS declaration_title
 FROM events e""",
 }
 
