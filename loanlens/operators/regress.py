@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 
 from loanlens.functions import rules
 from loanlens.operators import filters, panel
+from loanlens.session import cut
 
 # ---------------------------------------------------------------------------------
 # Panels
@@ -219,8 +220,8 @@ def wls_tiered(train: DataFrame, *, y: str = "dlq_chg", x: str = "ur_lag", weigh
     v = (per.join(s.select(by, "sw", "swx", "_d"), by)
          .groupBy(by).agg(F.sum(F.pow((F.col("b") * F.col("sw") - F.col("a") * F.col("swx")) / F.col("_d"), 2))
                           .alias("_v")))
-    return (s.join(v, by, "left")
-            .select(by, "intercept", "beta", F.sqrt(F.col("_v") * corr).alias("se"), "n"))
+    return cut(s.join(v, by, "left")
+               .select(by, "intercept", "beta", F.sqrt(F.col("_v") * corr).alias("se"), "n"))
 
 
 def wls_intercept_only(train: DataFrame, *, y: str = "dlq_chg", weight: str = "loan_count", by: str = "tier") -> DataFrame:
@@ -353,8 +354,8 @@ def stress_total(stressed: DataFrame, *, upb: str = "unpaid_principal_balance")
 
 def state_scorecard(stressed: DataFrame, *, upb: str = "unpaid_principal_balance") -> DataFrame:
     """state -> UPB share, projected change, stressed $B, stress share, concentration ratio."""
-    g = stressed.groupBy("state_code").agg(F.sum(F.col(upb).cast("double")).alias("_u"),
-                                           F.sum("stressed_upb").alias("_s"))
+    g = cut(stressed.groupBy("state_code").agg(F.sum(F.col(upb).cast("double")).alias("_u"),
+                                               F.sum("stressed_upb").alias("_s")))
     tu = g.agg(F.sum("_u")).scalar()
     ts = g.agg(F.sum("_s")).scalar()
     return (g.withColumn("proj_dlq_chg", F.col("_s") / F.col("_u") * 100)
@@ -369,10 +370,10 @@ def issuer_scorecard(stressed: DataFrame, *, upb: str = "unpaid_principal_balanc
     """issuer -> UPB $B, mix beta, projected change, unknown %, shares, concentration ratio, mix vs peer,
     geography factor (concentration ÷ mix)."""
     u = F.col(upb).cast("double")
-    g = stressed.groupBy("issuer_id", "issuer_name").agg(
+    g = cut(stressed.groupBy("issuer_id", "issuer_name").agg(
         F.sum(u).alias("_u"), F.sum("stressed_upb").alias("_s"),
         F.sum(F.col("beta") * u).alias("_bu"),
-        F.sum(F.when(~F.col("beta_known"), u).otherwise(0.0)).alias("_unk"))
+        F.sum(F.when(~F.col("beta_known"), u).otherwise(0.0)).alias("_unk")))
     tu, ts = g.agg(F.sum("_u")).scalar(), g.agg(F.sum("_s")).scalar()
     peer = g.agg(F.sum("_bu") / F.sum("_u")).scalar()
     return (g.withColumn("upb_bn", F.col("_u") / 1e9)

@@ -15,25 +15,72 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 MONEY = "decimal(14,2)"
 
 
+STORED = ("loan_static", "loan_monthly", "pool_loans", "econ", "issuer_info", "risk")
+
+
 class Tables:
-    """Lazily built loan views for one data folder.
+    """Loan views for one data folder.
 
-    Each property returns a new lazy DataFrame; nothing is collected.  Columns
-    are pruned at the scan by Catalyst because the views select only what the
-    mortgage tables need.
+    The loan tables play the part of the reference's loaded database tables: by
+    default each is derived once from the driver tables and stored as Parquet in
+    the session's shared checkpoint folder (``spark.checkpoint.dir``), keyed by a
+    fingerprint of the input files (path, size, modification time).  Later
+    queries read the stored tables, the way reports read loaded tables.  With
+    ``store=False`` (or ``spark.conf loanlens.views.store=false``) every view is
+    recomputed lazily from the raw tables.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, store: bool | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        if store is None:
+            store = spark.conf.get("loanlens.views.store", "true").lower() == "true"
+        self.store = store
+        self._fp: str | None = None
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    # -- stored views -----------------------------------------------------------------
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(conf)
+
+    def _fingerprint(self) -> str:
+        if self._fp is None:
+            self._fp = self._compute_fingerprint()
+        return self._fp
+
+    def _compute_fingerprint(self) -> str:
+        import hashlib
+
+        h = hashlib.sha1(self.sf_dir.encode())
+        for name in ("orders", "customer", "nation", "supplier", "lineitem", "events"):
+            p, fs = self._fs(f"{self.sf_dir}/{name}.parquet")
+            if fs.exists(p):
+                for st in fs.listStatus(p) if fs.getFileStatus(p).isDirectory() else [fs.getFileStatus(p)]:
+                    h.update(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
+        return h.hexdigest()[:16]
+
+    def _stored(self, name: str, build) -> DataFrame:
+        from loanlens.session import ensure_checkpoint_dir
+
+        if not self.store:
+            return build()
+        base = ensure_checkpoint_dir(self.spark).rstrip("/")
+        path = f"{base}/loan-views/{self._fingerprint()}/{name}"
+        p, fs = self._fs(f"{path}/_SUCCESS")
+        if not fs.exists(p):
+            build().write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     # -- dimensions -----------------------------------------------------------------
     @property
     def nation(self) -> DataFrame:
@@ -41,6 +88,9 @@ class Tables:
 
     @property
     def issuer_info(self) -> DataFrame:
+        return self._stored("issuer_info", lambda: self._build_issuer_info())
+
+    def _build_issuer_info(self) -> DataFrame:
         s = self.raw("supplier").select("s_suppkey", "s_name", "s_nationkey")
         n = self.nation.select("n_nationkey", "n_name")
         k = F.col("s_suppkey")
@@ -67,6 +117,9 @@ class Tables:
     # -- loans ------------------------------------------------------------------------
     @property
     def loan_static(self) -> DataFrame:
+        return self._stored("loan_static", lambda: self._build_loan_static())
+
+    def _build_loan_static(self) -> DataFrame:
         o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                       "o_orderdate", "o_orderpriority")
         c = self.raw("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -90,28 +143,38 @@ class Tables:
 
     @property
     def loan_monthly(self) -> DataFrame:
+        return self._stored("loan_monthly", lambda: self._build_loan_monthly())
+
+    def _build_loan_monthly(self) -> DataFrame:
         """One row per loan and month: the first lineitem of the (order, ship month).
 
-        The per-group choice is a ``min`` over a struct of the ordering columns,
-        which aggregates without sorting each group and is partial-aggregated
-        before the shuffle.
+        One window partitioned by the order only, ordered by month then the tie
+        columns: a row is the month's first when the previous row is of another
+        month.  One shuffle and one sort, and the output stays hash-partitioned
+        by the loan id for the joins that follow.  A partition holds one loan's
+        lines, bounded by the loan's life.
         """
         li = self.raw("lineitem").select("l_orderkey", "l_shipdate", "l_linenumber", "l_partkey",
                                          "l_suppkey", "l_extendedprice", "l_returnflag")
         month = F.trunc(F.col("l_shipdate").cast("date"), "month")
-        first = (li.groupBy(F.col("l_orderkey").alias("loan_id"), month.alias("report_date"))
-                 .agg(F.min(F.struct("l_shipdate", "l_linenumber", "l_partkey", "l_suppkey",
-                                     "l_extendedprice", "l_returnflag")).alias("r")))
-        ln, rf = F.col("r.l_linenumber"), F.col("r.l_returnflag")
+        w = Window.partitionBy("l_orderkey").orderBy("_m", "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey",
+                                                     "l_extendedprice", "l_returnflag")
+        first = (li.withColumn("_m", month).withColumn("_pm", F.lag("_m").over(w))
+                 .filter(F.col("_pm").isNull() | (F.col("_pm") != F.col("_m"))))
+        ln, rf = F.col("l_linenumber"), F.col("l_returnflag")
         return first.select(
-            "loan_id", "report_date", F.col("r.l_suppkey").alias("issuer_id"),
-            F.col("r.l_extendedprice").cast(MONEY).alias("unpaid_principal_balance"),
+            F.col("l_orderkey").alias("loan_id"), F.col("_m").alias("report_date"),
+            F.col("l_suppkey").alias("issuer_id"),
+            F.col("l_extendedprice").cast(MONEY).alias("unpaid_principal_balance"),
             F.greatest(ln - 4, F.lit(0)).alias("months_delinquent"),
             F.when(rf == "R", "Y").otherwise("N").alias("current_month_liquidation"),
             F.when(rf == "R", 1 + ln % 6).alias("removal_reason"))
 
     @property
     def econ(self) -> DataFrame:
+        return self._stored("econ", lambda: self._build_econ())
+
+    def _build_econ(self) -> DataFrame:
         o = self.raw("orders").select("o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
         c = self.raw("customer").select("c_custkey", "c_nationkey")
         n = self.nation.select("n_nationkey", "n_name")
@@ -125,6 +188,9 @@ class Tables:
 
     @property
     def pool_loans(self) -> DataFrame:
+        return self._stored("pool_loans", lambda: self._build_pool_loans())
+
+    def _build_pool_loans(self) -> DataFrame:
         m, t = self.loan_monthly, self.loan_static
         lid = F.col("m.loan_id")
         return (m.alias("m").join(t.alias("t"), F.col("t.loan_id") == lid)
@@ -149,6 +215,9 @@ class Tables:
 
     @property
     def risk(self) -> DataFrame:
+        return self._stored("risk", lambda: self._build_risk())
+
+    def _build_risk(self) -> DataFrame:
         from loanlens.functions.rules import fico_bucket, ltv_bucket
 
         m, t = self.loan_monthly, self.loan_static

@@ -60,3 +60,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut(df):
+    """Cut the lineage of a small result by a reliable checkpoint into the shared checkpoint folder.
+
+    Used for fit and scorecard frames that later scalar subqueries read several
+    times; never a machine-local checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
