@@ -203,6 +203,9 @@ def wls_tiered(train: DataFrame, *, y: str = "dlq_chg", x: str = "ur_lag", weigh
     Closed form per tier; the clustered variance uses the joint fit's
     correction G/(G-1)·(N-1)/(N-2T) with N, T and G over the whole training set.
     """
+    # The training panel is small (series x months) and is read by several
+    # aggregates below: cut its lineage once so the panel is not rebuilt each time.
+    train = cut(train.select(by, cluster, y, x, weight))
     w, xc, yc = F.col(weight), F.col(x), F.col(y)
     s = (train.groupBy(by).agg(F.sum(w).alias("sw"), F.sum(w * xc).alias("swx"), F.sum(w * yc).alias("swy"),
                                F.sum(w * xc * xc).alias("swxx"), F.sum(w * xc * yc).alias("swxy"),
