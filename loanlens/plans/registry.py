@@ -1,6 +1,6 @@
 """All registered queries: importing the catalog modules fills ``QUERIES``."""
 
-from loanlens.plans import catalog, catalog_credit, catalog_functions, catalog_models  # noqa: F401
+from loanlens.plans import catalog, catalog_credit, catalog_functions, catalog_maintain, catalog_models  # noqa: F401
 from loanlens.plans.catalog import QUERIES
 
 __all__ = ["QUERIES"]
