@@ -69,6 +69,12 @@ class Tables:
                     h.update(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
         return h.hexdigest()[:16]
 
+    def landed(self, name: str) -> str:
+        """Path for files landed from this data (in the shared checkpoint folder, per input fingerprint)."""
+        from loanlens.session import ensure_checkpoint_dir
+
+        return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/landed/{self._fingerprint()}/{name}"
+
     def _stored(self, name: str, build) -> DataFrame:
         from loanlens.session import ensure_checkpoint_dir
 
