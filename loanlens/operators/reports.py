@@ -510,3 +510,45 @@ def risk_book(static: DataFrame, monthly: DataFrame, *, as_of=None, by_issuer: b
         ii = issuer_info.select("issuer_number", "issuer_name", "issuer_group")
         out = out.join(ii, out.issuer_id == ii.issuer_number, "left").drop("issuer_number")
     return out
+
+
+def state_month_dq(perf: DataFrame, *, exclude=(2005, 2006, 2007), legacy=(2005, 2006, 2007),
+                   min_age: int = 24) -> DataFrame:
+    """month x state over active, known-status, seasoned loans: loans, 30+, 90+, legacy loans and rates.
+
+    Vintages in ``exclude`` are left out of the counts; legacy loans are counted
+    before that exclusion (with the reference's identical lists legacy was always 0).
+    """
+    yr, st = F.col("orig_year"), F.col("dq_status")
+    p = perf.filter((F.col("upb") > 0) & st.isNotNull() & (F.col("loan_age") >= min_age))
+    keep = ~yr.between(min(exclude), max(exclude)) if exclude else F.lit(True)
+    g = (p.groupBy("reporting_date", "property_state")
+         .agg(cnt_if(keep).alias("loan_count"), cnt_if(keep & (st >= 1)).alias("dlq30"),
+              cnt_if(keep & (st >= 3)).alias("dlq90"), cnt_if(yr.isin(list(legacy))).alias("legacy_loans"))
+         .filter(F.col("loan_count") > 0))
+    return (g.withColumn("dlq30_rate", ratio(F.col("dlq30"), F.col("loan_count")) * 100)
+            .withColumn("dlq90_rate", ratio(F.col("dlq90"), F.col("loan_count")) * 100))
+
+
+def national_dq(smd: DataFrame) -> DataFrame:
+    """month -> summed counts and 30+ / 90+ rates."""
+    g = smd.groupBy("reporting_date").agg(*[F.sum(c).cast("bigint").alias(c) for c in ("loan_count", "dlq30", "dlq90")])
+    return (g.withColumn("dlq30_rate", ratio(F.col("dlq30"), F.col("loan_count")) * 100)
+            .withColumn("dlq90_rate", ratio(F.col("dlq90"), F.col("loan_count")) * 100))
+
+
+def weighted_unemployment(smd: DataFrame, econ: DataFrame, *, drop_missing: bool = False) -> DataFrame:
+    """month -> Σ(UR x loans) / Σ loans over states.
+
+    ``drop_missing=False`` (first version) keeps states without a UR value in the
+    denominator; ``True`` (second version) drops them first.
+    """
+    e = econ.select(F.col("state").alias("property_state"), F.col("report_date").alias("reporting_date"),
+                    "unemployment_rate")
+    m = smd.join(e, ["property_state", "reporting_date"], "left")
+    if drop_missing:
+        m = m.filter(F.col("unemployment_rate").isNotNull() & ~F.isnan("unemployment_rate"))
+    g = m.groupBy("reporting_date").agg(
+        F.coalesce(F.sum(F.col("unemployment_rate") * F.col("loan_count")), F.lit(0.0)).alias("ur_x_loans"),
+        F.sum("loan_count").cast("bigint").alias("loan_count"))
+    return g.withColumn("unemployment_rate", F.col("ur_x_loans") / F.col("loan_count"))

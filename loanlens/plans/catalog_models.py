@@ -444,3 +444,101 @@ SELECT state_code, _u / (SELECT SUM(_u) FROM g) * 100 AS upb_share, _s / _u * 10
   SUM(stressed_upb) AS _s FROM stressed GROUP BY state_code"""}))
 def _state_scorecard(t: Tables):
     return regress.state_scorecard(_stressed(t))
+
+
+# ---------------------------------------------------------------------------------
+# State-month delinquency, national series, weighted unemployment, issuer stress
+# ---------------------------------------------------------------------------------
+
+_SMD_SQL = f"""SELECT reporting_date, property_state,
+  CAST(SUM(CASE WHEN orig_year NOT BETWEEN {min(EXCLUDE)} AND {max(EXCLUDE)} THEN 1 ELSE 0 END) AS BIGINT) AS loan_count,
+  CAST(SUM(CASE WHEN orig_year NOT BETWEEN {min(EXCLUDE)} AND {max(EXCLUDE)} AND dq_status >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS dlq30,
+  CAST(SUM(CASE WHEN orig_year NOT BETWEEN {min(EXCLUDE)} AND {max(EXCLUDE)} AND dq_status >= 3 THEN 1 ELSE 0 END) AS BIGINT) AS dlq90,
+  CAST(SUM(CASE WHEN orig_year IN ({_LEG}) THEN 1 ELSE 0 END) AS BIGINT) AS legacy_loans
+FROM perf WHERE upb > 0 AND dq_status IS NOT NULL AND loan_age >= 24 GROUP BY 1, 2"""
+_SMD = {"perf": __import__("loanlens.plans.catalog", fromlist=["_PERF_SQL"])._PERF_SQL, "smd0": _SMD_SQL,
+        "smd": """SELECT *, CAST(dlq30 AS DOUBLE) / CAST(loan_count AS DOUBLE) * 100 AS dlq30_rate,
+  CAST(dlq90 AS DOUBLE) / CAST(loan_count AS DOUBLE) * 100 AS dlq90_rate FROM smd0 WHERE loan_count > 0"""}
+
+
+def _smd(t: Tables):
+    from loanlens.plans.catalog import perf
+
+    return reports.state_month_dq(perf(t), exclude=EXCLUDE, legacy=LEGACY)
+
+
+@register("state_month_dq", Q("SELECT * FROM smd", _SMD))
+def _state_month_dq(t: Tables):
+    return _smd(t)
+
+
+@register("national_dq", Q("""
+SELECT reporting_date, CAST(SUM(loan_count) AS BIGINT) AS loan_count, CAST(SUM(dlq30) AS BIGINT) AS dlq30,
+  CAST(SUM(dlq90) AS BIGINT) AS dlq90, CAST(SUM(dlq30) AS DOUBLE) / CAST(SUM(loan_count) AS DOUBLE) * 100 AS dlq30_rate,
+  CAST(SUM(dlq90) AS DOUBLE) / CAST(SUM(loan_count) AS DOUBLE) * 100 AS dlq90_rate FROM smd GROUP BY reporting_date""", _SMD))
+def _national_dq(t: Tables):
+    return reports.national_dq(_smd(t))
+
+
+def _wu_sql(drop: bool) -> str:
+    where = "WHERE e.unemployment_rate IS NOT NULL" if drop else ""
+    return Q(f"""SELECT reporting_date, ur_x_loans, loan_count, ur_x_loans / loan_count AS unemployment_rate FROM (
+  SELECT s.reporting_date, COALESCE(SUM(e.unemployment_rate * s.loan_count), 0.0) AS ur_x_loans,
+    CAST(SUM(s.loan_count) AS BIGINT) AS loan_count
+  FROM smd s LEFT JOIN econ e ON e.state = s.property_state AND e.report_date = s.reporting_date {where}
+  GROUP BY s.reporting_date) g""", _SMD)
+
+
+@register("weighted_unemployment", _wu_sql(False))
+def _weighted_unemployment(t: Tables):
+    return reports.weighted_unemployment(_smd(t), t.econ)
+
+
+@register("weighted_unemployment_dropna", _wu_sql(True))
+def _weighted_unemployment_dropna(t: Tables):
+    return reports.weighted_unemployment(_smd(t), t.econ, drop_missing=True)
+
+
+@register("join_scenario", _tier(f"""SELECT b.state_code, b.tier, b.loans, b.{UPB}, s.ur_shock FROM book b
+JOIN shock s ON s.state = b.state_code""", {"book": _RISK_BOOK_SQL, "shock": _SHOCK_SQL}))
+def _join_scenario(t: Tables):
+    book = reports.risk_book(t.loan_static, t.loan_monthly)
+    shock = regress.shock_historical(t.econ, pre=SHOCK_PRE, window=SHOCK_WINDOW)
+    return joins.join_scenario(book, shock)
+
+
+_RISK_BOOK_ISSUER_SQL = f"""SELECT b.*, i.issuer_name, i.issuer_group FROM (
+SELECT upper(trim(t.state_code)) AS state_code, {__import__("loanlens.plans.catalog", fromlist=["_BOOK_TIER"])._BOOK_TIER} AS tier,
+  t2.issuer_id, COUNT(*) AS loans, {money('t2.' + UPB)} AS {UPB}
+FROM loan_monthly t2 JOIN loan_static t ON t.loan_id = t2.loan_id
+WHERE t2.report_date = (SELECT MAX(report_date) FROM loan_monthly) GROUP BY 1, 2, 3) b
+LEFT JOIN issuer_info i ON i.issuer_number = b.issuer_id"""
+_ISSUER_STRESS = {
+    "ibook": _RISK_BOOK_ISSUER_SQL,
+    "ibookj": "SELECT b.*, f.beta AS fbeta FROM ibook b LEFT JOIN tfit f ON f.tier = trim(b.tier)",
+    "ibookb": f"""SELECT state_code, trim(tier) AS tier, issuer_id, issuer_name, loans, {UPB}, fbeta IS NOT NULL AS beta_known,
+  COALESCE(fbeta, (SELECT SUM(fbeta * CAST({UPB} AS DOUBLE)) / SUM(CAST({UPB} AS DOUBLE)) FROM ibookj
+    WHERE fbeta IS NOT NULL)) AS beta FROM ibookj""",
+    "shock": _SHOCK_SQL,
+    "istress": f"""SELECT b.*, b.beta * s.ur_shock / 100 * CAST(b.{UPB} AS DOUBLE) AS stressed_upb
+  FROM ibookb b JOIN shock s ON s.state = b.state_code""",
+    "ig": f"""SELECT issuer_id, issuer_name, SUM(CAST({UPB} AS DOUBLE)) AS _u, SUM(stressed_upb) AS _s,
+  SUM(beta * CAST({UPB} AS DOUBLE)) AS _bu,
+  SUM(CASE WHEN NOT beta_known THEN CAST({UPB} AS DOUBLE) ELSE 0.0 END) AS _unk FROM istress GROUP BY 1, 2""",
+}
+
+
+@register("issuer_scorecard", _tier("""
+SELECT issuer_id, issuer_name, _u / 1e9 AS upb_bn, _bu / _u AS mix_beta, _s / _u * 100 AS proj_dlq_chg,
+  _unk / _u * 100 AS unknown_pct, _u / (SELECT SUM(_u) FROM ig) * 100 AS upb_share,
+  _s / (SELECT SUM(_s) FROM ig) * 100 AS stress_share,
+  (_s / (SELECT SUM(_s) FROM ig) * 100) / (_u / (SELECT SUM(_u) FROM ig) * 100) AS conc_ratio,
+  (_bu / _u) / (SELECT SUM(_bu) / SUM(_u) FROM ig) AS mix_vs_peer,
+  ((_s / (SELECT SUM(_s) FROM ig) * 100) / (_u / (SELECT SUM(_u) FROM ig) * 100)) / ((_bu / _u) / (SELECT SUM(_bu) / SUM(_u) FROM ig)) AS geo_factor
+FROM ig""", _ISSUER_STRESS))
+def _issuer_scorecard(t: Tables):
+    book = reports.risk_book(t.loan_static, t.loan_monthly, by_issuer=True, issuer_info=t.issuer_info)
+    betas = tier_fit(t).select("tier", F.col("beta").alias("beta_tier"))
+    bb = regress.book_beta(book.drop("issuer_group"), betas)
+    stressed = regress.stress_book(bb, regress.shock_historical(t.econ, pre=SHOCK_PRE, window=SHOCK_WINDOW))
+    return regress.issuer_scorecard(stressed)
