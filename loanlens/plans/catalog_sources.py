@@ -156,6 +156,29 @@ def _src_fnma_perf(t: Tables):
     return feeds.read_fnma_perf(t.spark, path).select(*_FNMA_USED)
 
 
+def _landed_ll_zip(t: Tables) -> str:
+    """The landed LL record files, each part packed into a zip archive with a small readme member."""
+    path = t.landed("ll_zip")
+    spark = t.spark
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        sinks.sink_zip_archives(_landed_ll(t), path, member_note="loan-level disclosure records, pipe delimited")
+        fs.create(p, True).close()
+    return path
+
+
+@register("src_zip_member", Q("""
+SELECT disclosure_sequence_number, as_of_date, unpaid_principal_balance, credit_score, msa, report_date, 'loans' AS file_type
+FROM ll""", {"ll": LL_SQL}))
+def _src_zip_member(t: Tables):
+    lines = records.read_zip_members(t.spark, _landed_ll_zip(t))
+    r = records.parse_records(lines, "LL", LL_FIELDS)
+    return r.select("disclosure_sequence_number", "as_of_date", "unpaid_principal_balance", "credit_score", "msa",
+                    records.report_month(F.col("source")).alias("report_date"),
+                    records.file_type(F.col("source")).alias("file_type"))
+
+
 _MONTHS_SQL = """SELECT DISTINCT 'loans' AS file_type, report_date FROM loan_monthly
 UNION SELECT DISTINCT 'liquidations', report_date FROM loan_monthly WHERE current_month_liquidation = 'Y'"""
 
