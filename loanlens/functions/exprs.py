@@ -61,3 +61,19 @@ def clean_double(c) -> Column:
     """Cast to double with bad text and NaN mapped to null (pandas treats both as missing)."""
     v = F.expr(f"try_cast({c} AS double)") if isinstance(c, str) else c.try_cast("double")
     return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
+
+
+def with_rounded(df, name: str, value: Column, digits: int = 2):
+    """``df`` plus ``name = rnd(value, digits)``, with ``value`` in a projection of its own.
+
+    ``rnd`` reads its input twice (sign and magnitude).  When the input holds a
+    scalar subquery (a grand total), computing it in its own column first keeps
+    the subquery to one evaluation: one scan of the total instead of two.
+    """
+    raw = f"_{name}_raw"
+    return df.withColumn(raw, value.cast("double")).withColumn(name, rnd(raw, digits)).drop(raw)
+
+
+def with_pct(df, name: str, num, den, digits: int = 2):
+    """``df`` plus ``name = ROUND(num / den * 100, digits)``; see :func:`with_rounded`."""
+    return with_rounded(df, name, ratio(num, den) * 100, digits)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loanlens.functions import rules
-from loanlens.functions.exprs import MONEY_SUM, avg_d, cnt_if, money, pct, ratio, rnd
+from loanlens.functions.exprs import MONEY_SUM, avg_d, cnt_if, money, pct, ratio, rnd, with_pct, with_rounded
 from loanlens.operators.reports import loan_age_months
 
 UPB = "unpaid_principal_balance"
@@ -136,13 +136,14 @@ def calibrated_templates(snapshots: DataFrame, breakdown: DataFrame, *, min_mont
     grid = spark.createDataFrame(
         [(s, v, float(rules.CALIBRATION_DQ_MULTIPLIERS[v])) for s in rules.SCENARIO_TEMPLATES for v in rules.SEVERITIES],
         "scenario_type string, severity string, mult double")
-    cure_by = (F.when(F.col("severity") == "mild", F.least(cure_c + 0.10, F.lit(0.80)))
-               .when(F.col("severity") == "moderate", cure_c)
-               .otherwise(F.greatest(cure_c - 0.20, F.lit(0.10))))
-    return (grid.withColumn("dq_increase", rnd(avg_rate / 100 * F.col("mult"), 4))
-            .withColumn("cure_rate", rnd(cure_by, 2))
-            .withColumn("loss_severity", rnd(sev, 2))
-            .withColumn("months_of_data", n_months)
+    # each scalar subquery goes in a column of its own first, so it is evaluated once
+    cure = F.col("_cure")
+    cure_by = (F.when(F.col("severity") == "mild", F.least(cure + 0.10, F.lit(0.80)))
+               .when(F.col("severity") == "moderate", cure)
+               .otherwise(F.greatest(cure - 0.20, F.lit(0.10))))
+    g = with_rounded(grid, "dq_increase", avg_rate / 100 * F.col("mult"), 4).withColumn("_cure", cure_c)
+    g = with_rounded(with_rounded(g, "cure_rate", cure_by, 2), "loss_severity", sev, 2).drop("_cure")
+    return (g.withColumn("months_of_data", n_months)
             .filter(F.col("months_of_data") >= min_months)
             .drop("mult"))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loanlens.functions import rules
-from loanlens.functions.exprs import MONEY_SUM, avg_d, cnt_if, money, pct, ratio, rnd
+from loanlens.functions.exprs import MONEY_SUM, avg_d, cnt_if, money, pct, ratio, rnd, with_pct, with_rounded
 
 UPB = "unpaid_principal_balance"
 
@@ -43,7 +43,7 @@ def issuer_concentration(pool_loans: DataFrame, issuers: DataFrame, *, top: int
     named = (per.join(issuers.select("issuer_number", "issuer_name"), "issuer_number")
              .groupBy("issuer_name")
              .agg(F.sum("n").cast("bigint").alias("pool_count"), F.sum("upb").cast(MONEY_SUM).alias("total_upb")))
-    out = named.withColumn("pct_of_total_upb", pct(F.col("total_upb"), total))
+    out = with_pct(named, "pct_of_total_upb", F.col("total_upb"), total)
     return _top(out, [F.desc("total_upb"), F.asc("issuer_name")], top)
 
 
@@ -52,8 +52,8 @@ def geo_concentration(pool_loans: DataFrame, *, top: int | None = 15) -> DataFra
     total = pool_loans.agg(F.sum(UPB)).scalar()
     out = (pool_loans.groupBy("property_state")
            .agg(F.count(F.lit(1)).alias("loan_count"), money(UPB).alias("total_upb"),
-                cnt_if(_dq()).alias("delinquent_loans"))
-           .withColumn("pct_of_total_upb", pct(F.col("total_upb"), total))
+                cnt_if(_dq()).alias("delinquent_loans")))
+    out = (with_pct(out, "pct_of_total_upb", F.col("total_upb"), total)
            .withColumn("delinquency_rate", pct(F.col("delinquent_loans"), F.col("loan_count"))))
     out = out.select("property_state", "loan_count", "total_upb", "pct_of_total_upb", "delinquent_loans",
                      "delinquency_rate")
@@ -63,10 +63,10 @@ def geo_concentration(pool_loans: DataFrame, *, top: int | None = 15) -> DataFra
 def dq_buckets(pool_loans: DataFrame) -> DataFrame:
     """delinquency bucket -> loans, UPB, % of UPB, ordered by the smallest months in the bucket."""
     total = pool_loans.agg(F.sum(UPB)).scalar()
-    return (pool_loans.groupBy(rules.dq_bucket(F.col("months_delinquent")).alias("delinquency_bucket"))
-            .agg(F.count(F.lit(1)).alias("loan_count"), money(UPB).alias("total_upb"),
-                 F.min("months_delinquent").alias("_min"))
-            .withColumn("pct_of_upb", pct(F.col("total_upb"), total))
+    g = (pool_loans.groupBy(rules.dq_bucket(F.col("months_delinquent")).alias("delinquency_bucket"))
+         .agg(F.count(F.lit(1)).alias("loan_count"), money(UPB).alias("total_upb"),
+              F.min("months_delinquent").alias("_min")))
+    return (with_pct(g, "pct_of_upb", F.col("total_upb"), total)
             .orderBy(F.asc_nulls_last("_min"), "delinquency_bucket")
             .drop("_min"))
 
@@ -127,11 +127,13 @@ def state_exposure_what_if(pool_loans: DataFrame, *, state: str, label: str | No
     upb = F.sum(UPB).cast(MONEY_SUM)
     cols = [F.lit(label or f"{state} Exposure").alias("scenario"),
             F.count(F.lit(1)).alias("total_loans"), upb.alias("total_upb"),
-            pct(upb, total).alias("pct_of_portfolio"), cnt_if(_dq()).alias("currently_delinquent")]
+            cnt_if(_dq()).alias("currently_delinquent")]
+    losses = []
     for sev in severities:
-        cols.append(F.round(upb * F.lit(sev).cast("decimal(4,2)"), 2).cast(MONEY_SUM)
-                    .alias(f"projected_loss_{int(round(sev * 100))}pct_severity"))
-    return s.agg(*cols)
+        losses.append(f"projected_loss_{int(round(sev * 100))}pct_severity")
+        cols.append(F.round(upb * F.lit(sev).cast("decimal(4,2)"), 2).cast(MONEY_SUM).alias(losses[-1]))
+    out = with_pct(s.agg(*cols), "pct_of_portfolio", F.col("total_upb"), total)
+    return out.select("scenario", "total_loans", "total_upb", "pct_of_portfolio", "currently_delinquent", *losses)
 
 
 def portfolio_exposure(pool_loans: DataFrame, *, state: str | None = None, by_state: bool = False) -> DataFrame:
