@@ -256,3 +256,33 @@ def test_resolve_state(spark):
     df = spark.createDataFrame([(" Florida ",), ("tx",), ("Atlantis",), ("new york",)], "s string")
     got = [r.state_code for r in scenario.resolve_state(df, "s", rules.state_map_table(spark)).orderBy("s").collect()]
     assert sorted(x or "" for x in got) == sorted(["FL", "TX", "", "NY"])
+
+
+def test_hot_state_geo_concentration_matches_brute_force(spark):
+    """One state holds over a third of all loans: results stay whole and the aggregation is partial before the shuffle."""
+    import decimal
+
+    import pandas as pd
+
+    from loanlens.operators import reports
+
+    rng = np.random.default_rng(7)
+    n = 3000
+    states = np.where(rng.random(n) < 0.4, "CA", rng.choice(["TX", "FL", "NV", "MI", "NY"], n))
+    upb = [decimal.Decimal(int(v)) / 100 for v in rng.integers(1_000_00, 900_000_00, n)]
+    dq = rng.integers(0, 5, n)
+    rows = [(s, int(d), u) for s, d, u in zip(states, dq, upb)]
+    df = spark.createDataFrame(rows, "property_state string, months_delinquent int, "
+                                     "unpaid_principal_balance decimal(14,2)").repartition(8)
+    out = reports.geo_concentration(df, top=None)
+    got = {r.property_state: r for r in out.collect()}
+    pdf = pd.DataFrame(rows, columns=["s", "d", "u"])
+    total = sum(pdf["u"])
+    for s, g in pdf.groupby("s"):
+        r = got[s]
+        assert r.loan_count == len(g) and r.total_upb == sum(g["u"])
+        assert r.delinquent_loans == int((g["d"] > 0).sum())
+        assert abs(r.pct_of_total_upb - float(sum(g["u"]) / total * 100)) <= 0.005 + 1e-9
+    assert sum(r.loan_count for r in got.values()) == n
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert "partial_sum" in plan and "partial_count" in plan
