@@ -74,10 +74,22 @@ def gap_count(df: DataFrame, *, by, order_by: str = "report_date", days: int = 3
 
 
 def drop_gap_series(df: DataFrame, *, by, order_by: str = "report_date", days: int = 31) -> DataFrame:
-    """Drop every series that has a gap (the reference's tier panel rule)."""
+    """Drop every series that has a gap (the reference's tier panel rule).
+
+    Two windows on the series key (a step flag, then its maximum over the
+    series) instead of an anti-join against the gapped keys: the panel is
+    evaluated once, and the one hash partitioning on the key also serves the
+    lag windows that follow.  Rows with a null key are kept, as an anti-join
+    on the key would keep them.
+    """
     by = [by] if isinstance(by, str) else list(by)
-    bad = gap_count(df, by=by, order_by=order_by, days=days).filter(F.col("gaps") > 0).select(*by)
-    return df.join(bad, by, "left_anti")
+    step = F.datediff(F.col(order_by), F.lag(order_by, 1).over(_w(by, order_by)))
+    keep = F.col("_series_gap") == 0
+    for b in by:
+        keep = keep | F.col(b).isNull()
+    return (df.withColumn("_step_gap", F.when(step > days, 1).otherwise(0))
+            .withColumn("_series_gap", F.max("_step_gap").over(Window.partitionBy(*by)))
+            .filter(keep).drop("_step_gap", "_series_gap"))
 
 
 def ffill(df: DataFrame, *, by, order_by: str, col: str) -> DataFrame:
