@@ -90,7 +90,10 @@ def sink_zip_archives(text_root: str, zip_root: str, *, member_note: str | None
                     z.writestr(stem.rsplit("/", 1)[-1] + ".txt", content)
                     if member_note:
                         z.writestr("readme.txt", member_note)
-                fsys, p = pafs.FileSystem.from_uri(target if ":" in target else f"file://{target}")
+                uri = target if ":" in target else f"file://{target}"
+                # Hadoop's s3a/s3n names are plain s3 to Arrow
+                uri = uri.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
+                fsys, p = pafs.FileSystem.from_uri(uri)
                 fsys.create_dir(p.rsplit("/", 1)[0], recursive=True)
                 with fsys.open_output_stream(p) as out:
                     out.write(buf.getvalue())
