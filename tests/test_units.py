@@ -92,7 +92,7 @@ def test_zip_archive_sink_round_trip(spark):
     zips = scratch_path(spark, "zipped")
     n = sinks.sink_zip_archives(text, zips, member_note="note")
     assert n >= 2
-    back = records.read_zip_members(spark, zips)
+    back = records.read_zip_members(spark, zips, batch_lines=7)
     got = sorted((r.value, records_month(r.source)) for r in back.collect())
     assert got == sorted((v, f[-6:]) for v, f in rows)
 
