@@ -103,7 +103,7 @@ def _stream_dedupe(t: Tables):
     d = streams.stream_dedupe(a, ["event_id"], watermark="31 days")
     path = scratch_path(t.spark, "stream-dedupe")
     streams.run_to_table(d, path, f"{path}_checkpoint", mode="append")
-    return t.spark.read.parquet(path).drop("_batch").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return t.spark.read.parquet(path).drop("batch_id").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 _ = UPB

@@ -31,7 +31,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def apply_loan_batch(batch: DataFrame, batch_id: int, *, monthly_path: str, static_path: str, log_path: str,
-                     now: str | None = None) -> None:
+                     now: str | None = None, stream_id: str = "batch") -> None:
     """One micro-batch of LL lines: project, replace the months' rows, merge static loans, log the files."""
     spark = batch.sparkSession
     recs = parse_records(batch, "LL", LL_FIELDS).withColumn("report_date", report_month(F.col("source")))
@@ -66,24 +66,34 @@ def apply_loan_batch(batch: DataFrame, batch_id: int, *, monthly_path: str, stat
     merged = cut(merged)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket")
      .parquet(static_path))
-    # Load log: one row per file, written last.
+    # Load log: one row per file, written last.  Overwriting the batch's own partition
+    # keeps it exactly-once when a failed batch is replayed under the same id.
     log = (recs.groupBy(F.regexp_extract("source", r"([^/]+/[^/]+)$", 1).alias("file_name"))
            .agg(F.first(file_type(F.col("source"))).alias("file_type"), F.max("report_date").alias("report_date"),
                 F.count(F.lit(1)).alias("rows_loaded"))
-           .withColumn("batch_id", F.lit(batch_id)))
-    log.write.mode("append").parquet(log_path)
+           .withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id)))
+    (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stream_id", "batch_id")
+     .parquet(log_path))
 
 
 def stream_ingest(spark: SparkSession, inbox: str, *, monthly_path: str, static_path: str, log_path: str,
                   checkpoint: str, max_files: int = 20, available_now: bool = True,
                   now: str | None = None) -> StreamingQuery:
-    """New disclosure files picked up once, parsed and merged (file-source stream + foreachBatch)."""
+    """New disclosure files picked up once, parsed and merged (file-source stream + foreachBatch).
+
+    The load log is keyed by (stream, batch): the stream id is derived from the
+    checkpoint location, so a restart of the same stream replays into the same
+    log partitions while a new stream adds its own.
+    """
+    import hashlib
+
+    sid = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
     lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
              .option("recursiveFileLookup", "true").load(inbox)
              .select(F.col("value"), F.col("_metadata.file_path").alias("source")))
     w = lines.writeStream.foreachBatch(
         lambda df, bid: apply_loan_batch(df, bid, monthly_path=monthly_path, static_path=static_path,
-                                         log_path=log_path, now=now)).option("checkpointLocation", checkpoint)
+                                         log_path=log_path, now=now, stream_id=sid)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
@@ -120,9 +130,15 @@ def stream_dedupe(df: DataFrame, keys, *, watermark: str = "1 day", ts: str = "t
 
 def run_to_table(df: DataFrame, path: str, checkpoint: str, *, mode: str = "append",
                  max_batches_key: str | None = None) -> None:
-    """Run a stream to completion (available-now) into a Parquet table, tagging each row with its batch id."""
+    """Run a stream to completion (available-now) into a Parquet table, tagging each row with its batch id.
+
+    Each micro-batch overwrites its own ``batch_id`` partition, so a batch that is
+    replayed after a failure (``foreachBatch`` is at-least-once) replaces its
+    earlier output instead of adding to it.
+    """
     def write(b: DataFrame, bid: int) -> None:
-        b.withColumn("_batch", F.lit(bid)).write.mode("append").parquet(path)
+        (b.withColumn("batch_id", F.lit(bid)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(path))
 
     q = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()
@@ -133,4 +149,4 @@ def latest_per_key(table: DataFrame, keys) -> DataFrame:
     """Final value per key of an update-mode result table (the row of the latest batch)."""
     from loanlens.operators.joins import dedupe_first
 
-    return dedupe_first(table, list(keys), [F.desc("_batch")]).drop("_batch")
+    return dedupe_first(table, list(keys), [F.desc("batch_id")]).drop("batch_id")
