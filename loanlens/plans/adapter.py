@@ -24,6 +24,8 @@ STORED = ("loan_static", "loan_monthly", "pool_loans", "econ", "issuer_info", "r
 # Month partitioning of the stored loan-month tables (partition pruning on month filters).
 PARTITION_COLUMNS = {"loan_monthly": ("report_date", "loan_id"), "pool_loans": ("as_of_date", "cusip")}
 PARTITION_TYPES = {"report_date": "date", "as_of_date": "string"}
+# Bytes of input per task when a stored view is range-partitioned (override: loanlens.views.taskBytes).
+TASK_BYTES = 256 * 1024 * 1024
 
 
 class Tables:
@@ -45,6 +47,7 @@ class Tables:
             store = spark.conf.get("loanlens.views.store", "true").lower() == "true"
         self.store = store
         self._fp: str | None = None
+        self._input_bytes = 0
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -70,8 +73,20 @@ class Tables:
             if fs.exists(p):
                 for st in fs.listStatus(p) if fs.getFileStatus(p).isDirectory() else [fs.getFileStatus(p)]:
                     h.update(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
+                self._input_bytes += fs.getContentSummary(p).getLength()
         return h.hexdigest()[:16]
 
+    def _write_tasks(self) -> int:
+        """Tasks for writing a stored view: one per ``TASK_BYTES`` of input, at least the shuffle partitions.
+
+        The input size is an upper bound for every derived view, so a task never
+        holds much more than ``TASK_BYTES`` however large the data grows.
+        """
+        self._fingerprint()
+        per = int(self.spark.conf.get("loanlens.views.taskBytes", str(TASK_BYTES)))
+        floor = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return max(floor, -(-self._input_bytes // per))
+
     def landed(self, name: str) -> str:
         """Path for files landed from this data (in the shared checkpoint folder, per input fingerprint)."""
         from loanlens.session import ensure_checkpoint_dir
@@ -93,7 +108,7 @@ class Tables:
                 # Range partitioning by (month, key): every task writes a contiguous,
                 # sampled slice (no month collapses into one task) and files come
                 # out sorted for min/max pruning on the key.
-                n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+                n = self._write_tasks()
                 (df.repartitionByRange(n, *part).sortWithinPartitions(*part)
                  .write.mode("overwrite").partitionBy(part[0]).parquet(path))
             else:
