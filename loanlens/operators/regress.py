@@ -306,10 +306,12 @@ def book_beta(book: DataFrame, betas: DataFrame, *, tier_col: str = "tier", beta
     """Attach the tier beta; unknown tiers get the UPB-weighted mean beta of the known ones.
 
     ``betas`` is one row per tier (fixed small size, broadcast).  The fill value is
-    a scalar subquery over the joined book.
+    a scalar subquery over the joined book.  The joined book (states x tiers rows)
+    is checkpointed once, so the subquery and the result read it instead of both
+    re-scanning the loan tables.
     """
     b = betas.select(F.trim(F.col(tier_col)).alias(tier_col), F.col(beta_col).alias("_beta"))
-    j = book.withColumn(tier_col, F.trim(F.col(tier_col))).join(F.broadcast(b), tier_col, "left")
+    j = cut(book.withColumn(tier_col, F.trim(F.col(tier_col))).join(F.broadcast(b), tier_col, "left"))
     u = F.col(upb).cast("double")
     known = j.filter(F.col("_beta").isNotNull())
     fill = known.agg(F.sum(F.col("_beta") * u) / F.sum(u)).scalar()
