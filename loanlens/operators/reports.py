@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 from loanlens.functions import rules
 from loanlens.functions.exprs import MONEY_SUM, avg_d, cnt_if, money, pct, ratio, rnd, with_pct, with_rounded
+from loanlens.session import cut
 
 UPB = "unpaid_principal_balance"
 
@@ -310,7 +311,9 @@ def agency_dq_rate(share: DataFrame, *, agency: str = "F", n: int = 10) -> DataF
     """Agency DQ / agency loans per state; the ``n`` largest with the mean of the top set and of all states."""
     p = _AGENCY_PREFIX[agency]
     rate = f"{p}_delinquency_rate"
-    d = share.withColumn(rate, ratio(F.col(f"total_{p}_delinquencies"), F.col(f"{p}_loans")) * 100)
+    # one row per state, read three times (rows, two means): checkpoint it once
+    # rather than re-deriving the share from the loan tables for each read
+    d = cut(share.withColumn(rate, ratio(F.col(f"total_{p}_delinquencies"), F.col(f"{p}_loans")) * 100))
     all_mean = d.agg(F.avg(rate)).scalar()
     top = d.orderBy(F.desc_nulls_last(rate), F.asc("state")).limit(n)
     top_mean = top.agg(F.avg(rate)).scalar()

@@ -18,6 +18,7 @@ from loanlens.operators import filters, joins, reports, topk
 from loanlens.plans.adapter import Tables
 from loanlens.plans.sqlfrag import avg_d, cnt_if, money, pct, ratio, rnd
 from loanlens.plans.views_sql import with_views
+from loanlens.session import cut
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -683,7 +684,8 @@ def _mean_line(t: Tables):
     s = reports.agency_share(t.loan_static, t.loan_monthly, agency="F")
     d = s.select("state", (F.try_divide(F.col("total_fha_delinquencies").cast("double"),
                                         F.col("fha_loans").cast("double")) * 100).alias("fha_delinquency_rate"))
-    return topk.mean_line(d, "fha_delinquency_rate", 10, "state")
+    # per-state rows read by both means: checkpoint once instead of re-deriving the share twice
+    return topk.mean_line(cut(d), "fha_delinquency_rate", 10, "state")
 
 
 @register("union_all", Q("""
