@@ -85,13 +85,18 @@ def cure_rates(snapshots: DataFrame, *, state: str | None = None, by_state: bool
     return g
 
 
-def disaster_impact(snapshots: DataFrame, events: DataFrame, *, min_months: int = 2) -> DataFrame:
+def disaster_impact(snapshots: DataFrame, events: DataFrame, *, min_months: int = 2, bounded: bool = False,
+                    months_before: int = 3, months_after: int = 6) -> DataFrame:
     """Per (state, event) and month: DQ metrics labelled pre (month <= event month) or post.
 
     ``events`` is (state, event_id, event_date).  Every event is evaluated at once:
     the per-state monthly metrics are computed once (small: states x months) and
     joined to the events by state.  States with fewer than ``min_months`` months
     are dropped (the reference returns an error for them).
+
+    The reference computes a window of ``months_before`` / ``months_after`` 30-day
+    steps around the event but never applies it; ``bounded=True`` applies it (pre
+    months from the window start, post months up to the window end).
     """
     by_month = (snapshots.groupBy("property_state", "as_of_date")
                 .agg(F.count(F.lit(1)).alias("total_loans"), cnt_if(F.col("months_delinquent") > 0).alias("dq_loans"),
@@ -101,10 +106,16 @@ def disaster_impact(snapshots: DataFrame, events: DataFrame, *, min_months: int
                 .withColumn("dq_rate", pct(F.col("dq_loans"), F.col("total_loans"), 4))
                 .withColumn("n_months", F.count(F.lit(1)).over(Window.partitionBy("property_state")))
                 .filter(F.col("n_months") >= min_months).drop("n_months"))
-    ev = events.select(F.col("state").alias("property_state"), "event_id",
-                       F.date_format(F.col("event_date").cast("date"), "yyyyMM").alias("event_month"))
+    d = F.col("event_date").cast("date")
+    ev = events.select(F.col("state").alias("property_state"), "event_id", F.date_format(d, "yyyyMM").alias("event_month"),
+                       F.date_format(F.date_sub(d, 30 * months_before), "yyyyMM").alias("_pre_start"),
+                       F.date_format(F.date_add(d, 30 * months_after), "yyyyMM").alias("_post_end"))
     j = by_month.join(ev, "property_state")
-    return j.withColumn("period", F.when(F.col("as_of_date") <= F.col("event_month"), "pre").otherwise("post"))
+    j = j.withColumn("period", F.when(F.col("as_of_date") <= F.col("event_month"), "pre").otherwise("post"))
+    if bounded:
+        j = j.filter(F.when(F.col("period") == "pre", F.col("as_of_date") >= F.col("_pre_start"))
+                     .otherwise(F.col("as_of_date") <= F.col("_post_end")))
+    return j.drop("_pre_start", "_post_end")
 
 
 def loss_severity(breakdown: DataFrame, *, reason: str = "Foreclosure", default: float = rules.SEVERITY_DEFAULT) -> DataFrame:

@@ -312,3 +312,20 @@ def test_loan_batch_replay_is_idempotent(spark):
     assert spark.read.parquet(f"{base}/static").count() == 20
     log = spark.read.parquet(f"{base}/log").collect()
     assert len(log) == 1 and log[0].rows_loaded == 20
+
+
+def test_disaster_impact_bounded_window(spark):
+    """Unbounded (reference): every month pre/post; bounded: 3 x 30 days before to 6 x 30 days after."""
+    import decimal
+
+    months = [f"2025{m:02d}" for m in range(1, 13)]
+    snaps = spark.createDataFrame([("CA", m, 0 if i % 2 else 1, decimal.Decimal("100.00"))
+                                   for m in months for i in range(4)],
+                                  "property_state string, as_of_date string, months_delinquent int, "
+                                  "unpaid_principal_balance decimal(14,2)")
+    ev = spark.createDataFrame([("CA", 1, "2025-06-15")], "state string, event_id int, event_date string")
+    full = credit.disaster_impact(snaps, ev)
+    assert full.count() == 12
+    got = {(r.as_of_date, r.period) for r in credit.disaster_impact(snaps, ev, bounded=True).collect()}
+    # 2025-06-15 - 90 days = 2025-03-17 -> 202503; + 180 days = 2025-12-12 -> 202512
+    assert got == {(m, "pre") for m in months[2:6]} | {(m, "post") for m in months[6:12]}
