@@ -38,6 +38,9 @@ def state_panel(t: Tables):
     st = st.withColumn("dlq_rate", panel.rate(F.col("dlq90"), F.col("loan_count")))
     kw = dict(by="property_state", order_by="report_date")
     st = panel.diff_n(st, col="dlq_rate", name="dlq_chg", **kw)
+    # the 30+ rate and its yearly change (used by the HPI analysis; never assigned in the reference)
+    st = st.withColumn("dlq30_rate", panel.rate(F.col("dlq30"), F.col("loan_count")))
+    st = panel.diff_n(st, col="dlq30_rate", name="dlq30_chg", **kw)
     st = panel.diff_n(st, col="unemployment_rate", name="ur_chg", **kw)
     st = panel.pct_change_n(st, col="hpi_index", name="hpi_chg", **kw)
     st = panel.legacy_share(st)
@@ -68,6 +71,7 @@ STATE_PANEL = {
   CAST(SUM(dlq30) AS BIGINT) AS dlq30, CAST(SUM(dlq90) AS BIGINT) AS dlq90 FROM risk GROUP BY 1, 2, 3""",
     "sp0": f"""SELECT g.*, e.unemployment_rate, e.hpi_index,
   CAST(g.dlq90 AS DOUBLE) / CAST(g.loan_count AS DOUBLE) * 100 AS dlq_rate,
+  CAST(g.dlq30 AS DOUBLE) / CAST(g.loan_count AS DOUBLE) * 100 AS dlq30_rate,
   g.legacy_loans / g.loan_count * 100 AS legacy_share
 FROM (SELECT property_state, reporting_date AS report_date,
   CAST(SUM(CASE WHEN orig_year NOT IN ({_EX}) OR orig_year IS NULL THEN loan_count END) AS BIGINT) AS loan_count,
@@ -77,6 +81,7 @@ FROM (SELECT property_state, reporting_date AS report_date,
   FROM sm GROUP BY 1, 2) g
 JOIN econ e ON e.state = g.property_state AND e.report_date = g.report_date WHERE g.loan_count IS NOT NULL""",
     "sp1": f"""SELECT *, dlq_rate - LAG(dlq_rate, 12) OVER {_W} AS dlq_chg,
+  dlq30_rate - LAG(dlq30_rate, 12) OVER {_W} AS dlq30_chg,
   unemployment_rate - LAG(unemployment_rate, 12) OVER {_W} AS ur_chg,
   (CAST(hpi_index AS DOUBLE) / NULLIF(CAST(LAG(hpi_index, 12) OVER {_W} AS DOUBLE), 0) - 1) * 100 AS hpi_chg,
   legacy_share - LAG(legacy_share, 12) OVER {_W} AS legacy_chg FROM sp0""",
@@ -137,7 +142,7 @@ def _tier(body: str, extra: dict | None = None) -> str:
 
 SP_COLS = ["property_state", "report_date", "loan_count", "dlq30", "dlq90", "legacy_loans", "unemployment_rate",
            "hpi_index", "dlq_rate", "legacy_share", "dlq_chg", "ur_chg", "hpi_chg", "legacy_chg", "ur_lag", "hpi_lag",
-           "hpi_x_legacy"]
+           "hpi_x_legacy", "dlq30_rate", "dlq30_chg"]
 
 
 @register("build_panel", _state(f"SELECT {', '.join(SP_COLS)} FROM sp"))
@@ -198,10 +203,10 @@ def _lag_correlation(t: Tables):
     return panel.lag_correlation(p, y="dlq_chg", x="ur_chg", max_lag=12, lag_by=["property_state"])
 
 
-@register("lag_correlation_hpi", _lagcorr_sql("dlq_chg", "hpi_chg", 18, f"report_date <= DATE '{TRAIN_END}'"))
+@register("lag_correlation_hpi", _lagcorr_sql("dlq30_chg", "hpi_chg", 18, f"report_date <= DATE '{TRAIN_END}'"))
 def _lag_correlation_hpi(t: Tables):
     p = filters.period_slice(state_panel(t), None, TRAIN_END)
-    return panel.lag_correlation(p, y="dlq_chg", x="hpi_chg", max_lag=18, lag_by=["property_state"])
+    return panel.lag_correlation(p, y="dlq30_chg", x="hpi_chg", max_lag=18, lag_by=["property_state"])
 
 
 _FC = ["ur_lag", "hpi_lag", "legacy_chg"]
