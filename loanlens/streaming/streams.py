@@ -100,7 +100,12 @@ def stream_ingest(spark: SparkSession, inbox: str, *, monthly_path: str, static_
 
 def stream_state_counts(events: DataFrame, *, watermark: str = "1 day", window: str = "1 day",
                         key: str = "state") -> DataFrame:
-    """Tumbling-window event and severe counts per key; state is dropped once the watermark passes a window."""
+    """Tumbling-window event and severe counts per key; state is dropped once the watermark passes a window.
+
+    Rows older than the watermark are dropped from the micro-batch after the one
+    that advanced it (Spark judges late rows against the previous batch's
+    watermark); rows within the watermark delay are never dropped.
+    """
     return (events.withWatermark("ts", watermark)
             .groupBy(F.window("ts", window).alias("w"), key)
             .agg(F.count(F.lit(1)).alias("events"), F.sum(F.when(F.col("severity") == "severe", 1).otherwise(0))
