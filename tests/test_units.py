@@ -354,3 +354,25 @@ def test_stream_counts_drop_rows_beyond_watermark(spark):
     streams.run_to_table(agg, f"{base}/out", f"{base}/ckpt", mode="update")
     rows = streams.latest_per_key(spark.read.parquet(f"{base}/out"), ["window_start", "state"]).collect()
     assert {(r.window_start.day, r.events, r.severe) for r in rows} == {(10, 3, 1)}
+
+
+def test_state_scorecard_identities(spark):
+    """Shares sum to 100; concentration = stress share / UPB share; projected change = stressed / UPB."""
+    import decimal
+
+    rng = np.random.default_rng(3)
+    rows = [(s, float(rng.uniform(0.1, 1.5)), float(rng.uniform(0.5, 6.0)), decimal.Decimal(int(rng.integers(10**5, 10**8))))
+            for s in ["CA", "TX", "FL", "NV", "MI"] for _ in range(7)]
+    book = spark.createDataFrame(rows, "state_code string, beta double, ur_shock double, "
+                                       "unpaid_principal_balance decimal(14,2)")
+    stressed = book.withColumn("stressed_upb", F.col("beta") * F.col("ur_shock") / 100
+                               * F.col("unpaid_principal_balance").cast("double"))
+    sc = regress.state_scorecard(stressed).collect()
+    assert abs(sum(r.upb_share for r in sc) - 100) < 1e-9
+    assert abs(sum(r.stress_share for r in sc) - 100) < 1e-9
+    for r in sc:
+        assert abs(r.conc_ratio - r.stress_share / r.upb_share) < 1e-12
+        g = [x for x in rows if x[0] == r.state_code]
+        s = sum(b * u / 100 * float(p) for _, b, u, p in g)
+        assert abs(r.stressed_upb_bn - s / 1e9) < 1e-9
+        assert abs(r.proj_dlq_chg - s / sum(float(p) for *_, p in g) * 100) < 1e-9
