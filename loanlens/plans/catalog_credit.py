@@ -9,6 +9,7 @@ from loanlens.operators import credit, joins, reports, scenario
 from loanlens.plans.adapter import Tables
 from loanlens.plans.catalog import _REASONS_SQL, STATE, STATES, UPB, Q, register
 from loanlens.plans.sqlfrag import avg_d, cnt_if, money, pct
+from loanlens.session import cut
 
 SEVERITY = "moderate"
 COMPARE_SCENARIO = "flood"
@@ -129,7 +130,9 @@ SELECT (SELECT COUNT(DISTINCT as_of_date) FROM pool_loans) AS months,
   (SELECT COUNT(*) FROM declarations) AS declarations""", _CALIB))
 def _calibration_report(t: Tables):
     rep = credit.calibration_report(t.pool_loans, rules.removal_reason_table(t.spark), t.declarations)
-    snap, cure = rep["snapshot"], rep["cure"]
+    # one-row sections read by two subqueries each: checkpoint them so the snapshot
+    # scan and the per-loan cure window run once
+    snap, cure = cut(rep["snapshot"]), cut(rep["cure"])
     sev = credit.loss_severity(rep["removals"])
     return rep["readiness"].select(
         "months", "ready", snap.select("total").scalar().alias("total"),
