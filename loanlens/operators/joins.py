@@ -83,7 +83,12 @@ def transition_self_join(snapshots: DataFrame, *, key: str = "cusip", order: str
 
 
 def dedupe_first(df: DataFrame, keys, order_by) -> DataFrame:
-    """One row per key (null keys dropped), the first by an explicit total order."""
+    """One row per key (null keys dropped), the first by an explicit total order.
+
+    ``row_number() = 1`` lets Spark plan a map-side ``WindowGroupLimit`` before the
+    shuffle: every task sends at most one row per key, so a hot key (a third of
+    the rows) costs one row per task, not one task holding the whole key.
+    """
     keys = list(keys)
     cond = None
     for k in keys:

@@ -376,3 +376,16 @@ def test_state_scorecard_identities(spark):
         s = sum(b * u / 100 * float(p) for _, b, u, p in g)
         assert abs(r.stressed_upb_bn - s / 1e9) < 1e-9
         assert abs(r.proj_dlq_chg - s / sum(float(p) for *_, p in g) * 100) < 1e-9
+
+
+def test_dedupe_first_limits_hot_key_before_shuffle(spark):
+    """A hot key keeps one row per map task before the exchange; the result is the global first row."""
+    from loanlens.operators.joins import dedupe_first
+
+    rows = [("HOT", i, f"r{i}") for i in range(3000)] + [("COLD", i, f"c{i}") for i in range(10)]
+    df = spark.createDataFrame(rows, "k string, o int, v string").repartition(8)
+    out = dedupe_first(df, ["k"], [F.desc("o"), F.asc("v")])
+    assert sorted(map(tuple, out.collect())) == [("COLD", 9, "c9"), ("HOT", 2999, "r2999")]
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    below_exchange = plan.split("Exchange", 1)[1]
+    assert "WindowGroupLimit" in below_exchange
