@@ -41,19 +41,21 @@ def local_session(cores: int | str = "*", partitions: int = 8, driver_memory: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder of the session.
+    """Return the shared checkpoint folder of the session, its URI as configured.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local tests) a fresh scratch folder is created.
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder and is used as
+    is.  Only a local master may leave it unset; a fresh scratch folder is then made.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="loanlens-ckpt-", dir=os.environ.get("LOANLENS_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
-    return current.removeprefix("file:")
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
