@@ -28,7 +28,8 @@ def part_bases(df: DataFrame, part: str, total: str) -> DataFrame:
 
     Second pass of a two-pass prefix sum: the rows of each part are summed where they
     lie, and only one row per part (a task that wrote the table) meets in one window.
+    The result is written, so that Spark knows its size when it chooses how to join it.
     """
     totals = df.groupBy(part).agg(F.sum(total).alias("__total"))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(part, F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("base"))
+    return written(totals.select(part, F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("base")), "bases")

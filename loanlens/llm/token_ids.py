@@ -21,15 +21,19 @@ from loanlens.llm.text import bytes_of, filled, lower_ascii
 
 _WHITE = r"\x00-\x20\x7f-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{2064}\x{3000}\x{feff}"
 _UNSAFE = f"(^|[{_WHITE}]) | ([{_WHITE}]|$)"
+_LETTERS = re.compile("[ ]?[a-zß-öø-ÿA-Z]+")  # one unit for the library's split; NFC leaves it as it is
 _PLAIN = re.compile("[ ]?[!-~À-ɏ]+")  # pieces that can be encoded many in one call
-CACHE_PIECES = 600_000  # pieces remembered by a Python worker between slices
+CACHE_PIECES = 250_000  # pieces remembered by a Python worker between slices; beyond it, those seen once go
 _JOINED = 1000  # pieces in one call
-_LETTER = np.zeros(256, bool)
-_LETTER[65:91] = _LETTER[97:123] = True
-_MARK = np.zeros(256, bool)
-_MARK[[44, 46]] = True
-_SEEN = np.zeros(256, bool)
-_SEEN[0x21:0x7F] = True
+# classes of bytes, as bits: ASCII letter, full stop or comma, space, newline, visible ASCII
+_A, _STOP, _BLANK, _LINE, _SEEN = 1, 2, 4, 8, 16
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[0x21:0x7F] |= _SEEN
+_CLASS[65:91] |= _A
+_CLASS[97:123] |= _A
+_CLASS[[44, 46]] |= _STOP
+_CLASS[32] |= _BLANK
+_CLASS[10] |= _LINE
 
 
 class WordEncoder:
@@ -39,15 +43,66 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
         self.keeps_space = "ByteLevel" in str(self.tokenizer.pre_tokenizer) and "Split" not in str(self.tokenizer.pre_tokenizer)
+        self._set_letters()
         self.separator = "\n" if self.keeps_space else " \x00 "
         alone = self.tokenizer.encode(self.separator.strip(" "), add_special_tokens=False).ids
         self.separator_id = alone[0] if len(alone) == 1 else None
         self._reset()
 
+    def _set_letters(self) -> None:
+        """The model alone, without the library's normalisation and split, for words of letters only.
+
+        Such a word is one unit there, so it is handed over as the model sees it: bytes as the
+        printable characters of byte-level vocabularies, its space in front or its end mark behind.
+        """
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
+
+        size = self.tokenizer.get_vocab_size()
+        vocab = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        if self.keeps_space:
+            self.mark = np.array([v.startswith("Ġ") for v in vocab])
+        else:
+            self.mark = np.array([v.endswith("</w>") for v in vocab])
+        self.letters = Tokenizer(self.tokenizer.model) if self.mark.any() else None
+        if self.letters is not None:
+            self.letters.pre_tokenizer = CharDelimiterSplit(" ")
+            split = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+            self.printable = {ord(c): split(c)[0][0] for c in "".join(map(chr, range(0xDF, 0x100)))}
+
+    def _letter_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_ids`` for words of letters (with their space where the vocabulary keeps it)."""
+        front = "Ġ" if self.keeps_space else ""
+        words = [front + p.lstrip(" ").translate(self.printable) for p in pieces]
+        calls = [" ".join(words[i:i + _JOINED]) for i in range(0, len(words), _JOINED)]
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.letters.encode_batch_fast(calls, add_special_tokens=False)])
+        marks = np.flatnonzero(self.mark[ids])
+        assert len(marks) == len(pieces)
+        return ids, np.diff(np.append(marks, len(ids))) if self.keeps_space else np.diff(marks, prepend=-1)
+
     def _reset(self) -> None:
         self.known: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 20, np.uint32)
         self.at = np.zeros(CACHE_PIECES + 2, np.int64)
+        self.uses = np.zeros(CACHE_PIECES + 2, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the pieces used most: over once, or as many times as leaves half of the room free."""
+        uses = self.uses[:len(self.known)]
+        least = 1
+        while (uses > least).sum() > CACHE_PIECES // 2:
+            least *= 2
+        kept = [(p, i) for p, i in self.known.items() if uses[i] > least]
+        old_ids, old_at = self.ids, self.at
+        self._reset()
+        spots = np.array([i for _, i in kept], np.int64)
+        size = old_at[spots + 1] - old_at[spots]
+        end = np.cumsum(size)
+        self.ids = np.zeros(max(1 << 20, 2 * int(size.sum())), np.uint32)
+        self.ids[:size.sum()] = old_ids[np.repeat(old_at[spots] - end + size, size) + np.arange(size.sum())]
+        self.at[1:len(kept) + 1] = end
+        self.uses[:len(kept)] = uses[spots] // 2
+        self.known = {p: j for j, (p, _) in enumerate(kept)}
 
     def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces one after the other, and how many each has."""
@@ -64,15 +119,22 @@ class WordEncoder:
 
     def _learn(self, pieces: list[bytes]) -> None:
         texts = [p.decode() for p in pieces]
-        plain = [self.separator_id is not None and _PLAIN.fullmatch(t) is not None for t in texts]
-        for wanted, how in ((True, self._joined_ids), (False, self._ids)):
-            some = [i for i, x in enumerate(plain) if x is wanted]
+
+        def how(t: str):
+            if self.letters is not None and _LETTERS.fullmatch(t) and (t[0] == " " or not self.keeps_space):
+                return self._letter_ids
+            return self._joined_ids if self.separator_id is not None and _PLAIN.fullmatch(t) else self._ids
+
+        kinds = [how(t) for t in texts]
+        for encode in (self._letter_ids, self._joined_ids, self._ids):
+            some = [i for i, x in enumerate(kinds) if x == encode]
             if not some:
                 continue
-            ids, sizes = how([texts[i] for i in some])
+            ids, sizes = encode([texts[i] for i in some])
             n = len(self.known)
             while n + len(some) >= len(self.at):
                 self.at = np.concatenate((self.at, np.zeros_like(self.at)))
+                self.uses = np.concatenate((self.uses, np.zeros_like(self.uses)))
             begin = int(self.at[n])
             while len(self.ids) < begin + len(ids):
                 self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
@@ -90,21 +152,18 @@ class WordEncoder:
         whole = np.zeros(n, bool)
         if self.keeps_space:
             whole = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False).astype(bool)
-        text_start = np.zeros(len(raw) + 1, bool)
-        text_start[off] = True
-        cut = raw == 32
-        seen = _SEEN[raw]
-        newline = np.zeros(len(raw), bool)
-        newline[1:] = (raw[1:] == 10) & seen[:-1]
-        cut[1:] |= _LETTER[raw[:-1]] & _MARK[raw[1:]]
-        cut |= newline
-        cut[1:] |= newline[:-1] & seen[1:]
+        kind = _CLASS[raw]
+        before, here = kind[:-1], kind[1:]
+        newline = (here & _LINE != 0) & (before & _SEEN != 0)
+        cut = kind & _BLANK != 0
+        cut[1:] |= ((here & _STOP != 0) & (before & _A != 0)) | newline
+        cut[2:] |= newline[:-1] & (here[1:] & _SEEN != 0)
         if whole.any():
             cut &= ~np.repeat(whole, np.diff(off))
-        begin = cut | text_start[:-1]
-        at = np.flatnonzero(begin)
+        cut[off[:-1][np.diff(off) > 0]] = True
+        at = np.flatnonzero(cut)
         if len(self.known) > CACHE_PIECES:
-            self._reset()
+            self._forget()
         flat = pa.Array.from_buffers(pa.large_binary(), len(at), [
             None, pa.py_buffer(np.append(at, len(raw)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw))])
         coded = flat.dictionary_encode()
@@ -113,7 +172,9 @@ class WordEncoder:
         if missing:
             self._learn(missing)
         code = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        which = code[coded.indices.to_numpy(zero_copy_only=False)] if len(at) else np.zeros(0, np.int64)
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        self.uses[code] += np.bincount(index, minlength=len(pieces))
+        which = code[index]
         count = self.at[which + 1] - self.at[which]
         before = np.concatenate(([0], np.cumsum(count)))
         ids = self.ids[np.repeat(self.at[which] - before[:-1], count) + np.arange(before[-1])]
