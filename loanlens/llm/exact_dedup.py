@@ -124,12 +124,13 @@ class CuckooIndex:
         return b"".join(k for k in self.keys if k is not None)
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, chars (code points of the text), digest (SHA-256 of the text without white space)."""
+def digests(docs: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, chars (code points of the text), digest (SHA-256 of the text without white space), and columns ``also``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole = pa.RecordBatch.from_arrays([batch.column("doc_id"), filled(batch.column("text"))], ["doc_id", "text"])
+            whole = pa.RecordBatch.from_arrays([batch.column("doc_id"), filled(batch.column("text")), *(batch.column(c) for c in also)],
+                                               ["doc_id", "text", *also])
             for part in slices(whole, "text"):
                 raw, off = bytes_of(part.column("text"))
                 lead = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
@@ -138,11 +139,12 @@ def digests(docs: DataFrame) -> DataFrame:
                 data = memoryview(raw[solid].tobytes())
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array(np.diff(lead[off]), pa.int64()),
-                    pa.array([hashlib.sha256(data[a:b]).digest() for a, b in zip(at[:-1], at[1:])], pa.binary())],
-                    ["doc_id", "chars", "digest"])
+                    pa.array([hashlib.sha256(data[a:b]).digest() for a, b in zip(at[:-1], at[1:])], pa.binary()),
+                    *(part.column(c) for c in also)], ["doc_id", "chars", "digest", *also])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, chars long, digest binary")
+    types = {c: docs.schema[c].dataType.simpleString() for c in ("doc_id", *also)}
+    return docs.select("doc_id", "text", *also).mapInArrow(
+        run, f"doc_id {types['doc_id']}, chars long, digest binary" + "".join(f", {c} {types[c]}" for c in also))
 
 
 def _better(a: tuple, b: tuple) -> tuple:
@@ -220,9 +222,32 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns; rows that repeat the doc_id of a kept row are folded into one of them."""
-    stay = dedup(docs).where("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi").dropDuplicates(["doc_id"])
+    """The rows of ``docs`` that stay, all columns: one of each group.
+
+    A row is known by doc_id and a hash of its text.  Of rows of a group that share the doc_id
+    and the length of the row that stays, the smallest hash wins; rows equal in both are one.
+    Only the rows that go are joined with the texts, not those that stay.
+    """
+    tagged = docs.select("doc_id", "text", F.xxhash64("text").alias("tag"))
+    rows = written(digests(tagged, ("tag",)), "digests")
+    many = groups(rows).where("n > 1").select(F.col("digest").alias("k"), F.col("doc_id").alias("keep"), F.col("chars").alias("most"))
+    j = rows.join(many, F.col("digest") == F.col("k"))
+    best = F.col("doc_id").eqNullSafe(F.col("keep")) & (F.col("chars") == F.col("most"))
+    winner = j.where(best).groupBy(F.col("digest").alias("d")).agg(F.min("tag").alias("least"), F.count(F.lit(1)).alias("times"))
+    j = j.join(winner, F.col("digest") == F.col("d"))
+    gone = written(j.where(~(best & (F.col("tag") == F.col("least"))))
+                   .select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag")).distinct(), "gone")
+    again = written(j.where(best & (F.col("tag") == F.col("least")) & (F.col("times") > 1)).groupBy("doc_id", "tag").agg(F.count(F.lit(1)).alias("n"))
+                    .where("n > 1").select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag")), "again")
+
+    def match(t: DataFrame):
+        return F.xxhash64(docs["text"]).eqNullSafe(t["__tag"]) & docs["doc_id"].eqNullSafe(t["__id"])
+
+    stay = docs.join(gone, match(gone), "left_anti")
+    if again.isEmpty():
+        return stay
+    once = stay.join(again, match(again), "left_semi").dropDuplicates(["doc_id", "text"])
+    return stay.join(again, match(again), "left_anti").unionByName(once)
 
 
 def update_index(index: DataFrame | None, added: DataFrame, removed: DataFrame | None, shards: int) -> DataFrame:
