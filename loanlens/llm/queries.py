@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm import exact_dedup, language_id, licences, packing, pii, sentencepiece_bpe, token_file
+from loanlens.llm import (exact_dedup, jaccard_join, language_id, licences, packing, pii, sentencepiece_bpe, simhash,
+                          substring_dedup, token_file)
 from loanlens.llm.store import documents
 
 PII_KEY = b"a key for tests; production passes its own"
@@ -25,6 +26,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.round_trip_digests(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited_likeness(documents(spark, sf_dir))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.pseudonymise(documents(spark, sf_dir).select("doc_id", "text"), PII_KEY)
     return out.select("doc_id", "text", F.size("pii").cast("long").alias("n_found"))
@@ -37,6 +42,15 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar(documents(spark, sf_dir), k=3, percent=90)
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.deduplicate(documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = licences.scan(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"),
@@ -63,8 +77,11 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(k) AS text_
 
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
+    "op2_simhash": (op2_simhash, None),
     "op3_pii": (op3_pii, None),
     "op4_language_id": (op4_language_id, None),
+    "op5_jaccard_join": (op5_jaccard_join, None),
+    "op6_substring_dedup": (op6_substring_dedup, None),
     "op7_licences": (op7_licences, licences.scan_sql()),
     "op8_token_file": (op8_token_file, None),
     "op9_packing": (op9_packing, None),
