@@ -1,0 +1,498 @@
+"""Operators against the libraries, brute force, round trips and SQL, on small tables."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from conftest import SMALL
+from loanlens.llm import (components, exact_dedup, jaccard_join, language_id, licences, packing, pii, queries, sentencepiece_bpe,
+                          simhash, store, substring_dedup, token_file, token_ids)
+from loanlens.llm.queries import vocabulary
+from loanlens.llm.ranges import range_bucket
+
+WORDS = re.compile("[^\x20\x09-\x0d]+")
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    """The small documents table with planted copies, near copies and passages, and awkward texts."""
+    rng = random.Random(11)
+    out = [(r.doc_id, r.text) for r in store.documents(spark, SMALL).select("doc_id", "text").collect()]
+    base = [t for _, t in out if t and len(t) < 4000]
+    at = 10_000
+    for _ in range(25):
+        words = rng.choice(base).split(" ")[:250]
+        for _ in range(rng.randint(1, 8)):
+            copy = list(words)
+            for _ in range(rng.randint(0, max(1, len(copy) // 30))):
+                copy[rng.randrange(len(copy))] = f"zz{rng.randint(0, 9)}"
+            out.append((at, rng.choice([" ", "\n"]).join(copy)))
+            at += rng.randint(1, 5)
+    passage = " ".join(f"p{i}" for i in range(60))
+    out += [(at + 10 * i, " ".join([rng.choice(base)[:200], passage, rng.choice(base)[:200]])) for i in range(6)]
+    out += [(50_000, None), (50_001, ""), (50_002, "a " * 70), (50_003, "A  b"), (50_004, "a b"), (50_005, "ab")]
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+
+
+# -- 1: SentencePiece
+
+
+def awkward(n=400):
+    rng = random.Random(4)
+    fixed = ["", " ", "  a", "▁", "a▁b", "\n", "<s></s><0x0A>", "日本語 テキスト😀", "x" * 300 + " " * 40, "é́\t\x00"]
+    return fixed + ["".join(rng.choice("ab  ▁é日😀\nthe⁇<>.,'1") for _ in range(rng.randint(0, 60))) for _ in range(n)]
+
+
+def test_sentencepiece_equals_the_library(rows):
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    texts = awkward() + [t or "" for _, t in rows]
+    own = sentencepiece_bpe.PieceBpe(vocabulary("piece_bpe_32k.model"))
+    ids, off = own.encode(pa.array(texts))
+    want = lib.encode(texts, add_bos=True, add_eos=True)
+    assert [list(ids[a:b]) for a, b in zip(off[:-1], off[1:])] == want
+    assert [t.decode() for t in own.decode(ids, off)] == lib.decode(want)
+
+
+def test_sentencepiece_decodes_any_ids():
+    import sentencepiece
+
+    rng = random.Random(5)
+    lib = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    own = sentencepiece_bpe.PieceBpe(vocabulary("piece_bpe_32k.model"))
+    some = [[rng.choice([0, 1, 2, rng.randint(3, 258), rng.randint(259, 31999)]) for _ in range(rng.randint(0, 12))] for _ in range(1500)]
+    off = np.concatenate(([0], np.cumsum([len(x) for x in some])))
+    assert [t.decode() for t in own.decode(np.array([i for x in some for i in x]), off)] == lib.decode(some)
+
+
+def test_sentencepiece_query(spark, docs, rows):
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    got = {r.doc_id: r for r in sentencepiece_bpe.round_trip_digests(docs, vocabulary("piece_bpe_32k.model")).collect()}
+    for doc_id, text in rows:
+        ids = lib.encode(text or "", add_bos=True, add_eos=True)
+        r = got[doc_id]
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(lib.decode(ids).encode()).hexdigest()
+
+
+# -- 2: SimHash
+
+
+def test_simhash_edited_texts(docs, rows):
+    got = {r.doc_id: r for r in simhash.edited_likeness(docs).collect()}
+    order = sorted(rows)
+    for i, (doc_id, text) in enumerate(order):
+        text, follow = text or "", order[(i + 1) % len(order)][1] or ""
+        cut = len(text) // 4
+        edited = text[:len(text) - cut] + follow[:cut]
+        r, after = got[doc_id], got[order[(i + 1) % len(order)][0]]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        differ = bin(int(r.fingerprint, 16) ^ int(after.fingerprint, 16)).count("1")
+        assert r.near_next == 1 - differ / 64
+    long = [r for r in got.values() if r.n_chars > 300 and r.doc_id < 10_000]  # the planted copies follow each other
+    assert sum(r.near_edited > r.near_next for r in long) > 0.97 * len(long)
+
+
+def test_equal_texts_have_equal_fingerprints_by_votes(spark):
+    docs = spark.createDataFrame([(1, "One two  three"), (2, "one two\nthree"), (3, "other text here")], "doc_id long, text string")
+    got = {r.doc_id: r.f for r in simhash.with_fingerprint(docs, ["doc_id"], "text", "f").collect()}
+    assert got[1] == got[2] != got[3]
+    terms = docs.where("doc_id = 1").select(F.explode(simhash.terms(simhash.words(F.col("text")))).alias("t")).select("t", F.xxhash64("t").alias("h")).collect()
+    want = 0
+    for bit in range(64):
+        votes = sum(((t.t & 7) + 1) * (1 if (t.h >> bit) & 1 else -1) for t in terms)
+        want |= (votes > 0) << bit
+    assert got[1] & (2**64 - 1) == want
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3, 7])
+def test_block_tables_find_all_within_the_radius(spark, radius):
+    rng = random.Random(radius)
+    some = [rng.getrandbits(64) for _ in range(60)]
+    some += [x ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, radius + 2))) for x in some for _ in range(4)]
+    signed = sorted({x - 2**64 if x >= 2**63 else x for x in some})
+    prints = spark.createDataFrame([(x,) for x in signed] * 2, "fingerprint long")
+    asked = spark.createDataFrame([(x,) for x in signed[::5]], "fingerprint long")
+    got = [(r.query, r.fingerprint, r.distance) for r in simhash.near(asked, prints, radius).collect()]
+    want = {(a, b, d) for a in signed[::5] for b in signed if (d := bin((a ^ b) & (2**64 - 1)).count("1")) <= radius}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+# -- 3: pseudonyms
+
+
+def test_feistel_is_a_permutation():
+    for left, right in ((1, 10), (7, 13), (10, 10), (26, 260)):
+        assert sorted(pii.feistel(b"k", "t", v, left, right) for v in range(left * right)) == list(range(left * right))
+
+
+def test_pseudonyms_keep_formats_and_links():
+    text = ("mail jo.doe@mail8.example.com or JO.DOE@mail8.example.com, tel +1 (386) 555-3733 or 386-555-3733, host 42.144.35.254, card "
+            "4429526289707589, iban DE89 3704 0044 0532 0130 00, ssn 123-45-6789, born 2024-02-29, 31/12/1999 and 03.12.2001")
+    new, spans = pii.replace(text, b"key")
+    old = [text[a:b] for _, a, b in spans]
+    assert [k for k, _, _ in spans] == ["email", "email", "phone", "phone", "ip", "card", "iban", "ssn", "date", "date", "date"]
+    assert not any(o in new for o in old) and new == pii.replace(text, b"key")[0] != pii.replace(text, b"other")[0]
+    again, spans2 = pii.replace(new, b"key")
+    assert [k for k, _, _ in spans2] == [k for k, _, _ in spans]  # pseudonyms are valid values of their format
+    got = [new[a:b] for _, a, b in spans2]
+    assert got[0].lower() == got[1].lower() and re.sub(r"\D", "", got[2])[1:] == re.sub(r"\D", "", got[3])
+
+
+def test_pseudonyms_leave_other_texts_alone():
+    for text in ("", "no data here", "version 1.2.3.4.5 of 4.0", "card 4429526289707580", "on 2023-02-30 we", "ip 300.1.1.1", "a@b"):
+        assert pii.replace(text, b"key") == (text, [])
+
+
+def test_pseudonyms_differ_for_different_values():
+    numbers = [f"+1 (386) 555-{i:04d}" for i in range(3000)]
+    assert len({pii.replace(n, b"key")[0] for n in numbers}) == len(numbers)
+
+
+def test_no_personal_data_of_the_table_is_left(spark):
+    docs = store.documents(spark, SMALL)
+    found = [(r.doc_id, r.text[s.start:s.end]) for r in pii.pseudonymise(docs, b"k").select("doc_id", "pii").join(docs, "doc_id").collect() for s in r.pii]
+    out = {r.doc_id: r.text for r in queries.op3_pii(spark, SMALL).collect()}
+    assert found and not [x for d, x in found if x in out[d]]
+
+
+# -- 4: language
+
+
+def test_language_held_out_accuracy(spark):
+    docs = store.documents(spark, "/root/testdata/sf0.01").select("doc_id", "lang")
+    got = queries.op4_language_id(spark, "/root/testdata/sf0.01").join(docs, "doc_id").where("held_out and lang is not null").collect()
+    assert len(got) > 100 and sum(r.lang == r.lang_pred for r in got) > 0.95 * len(got)
+    assert all(0 <= r.score <= 1 for r in got)
+    assert all((zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+
+
+def test_language_prediction_sees_the_text_only(spark):
+    model = [("en", b"the cat and the dog of the house"), ("fr", b"le chat et le chien de la maison")]
+    docs = spark.createDataFrame([(1, "the dog and the cat of the house", "fr"), (2, "le chien et le chat de la maison", "en"), (3, "12 34", "en")],
+                                 "doc_id long, text string, lang string")
+    assert [r.lang_pred for r in language_id.predict(docs, model).orderBy("doc_id").collect()] == ["en", "fr", "und"]
+
+
+def test_narrow_margins_are_rejected(spark):
+    model = [("a", b"some words here"), ("b", b"some words here")]
+    docs = spark.createDataFrame([(1, "entirely other content " * 30), (2, "short")], "doc_id long, text string")
+    assert [r.accepted for r in language_id.predict(docs, model).orderBy("doc_id").collect()] == [False, True]
+
+
+# -- 5: Jaccard join
+
+
+def jaccard_brute(rows, k, percent):
+    sets = {}
+    for doc_id, text in rows:
+        words = WORDS.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+        sets[doc_id] = {tuple(words[i:i + k]) for i in range(len(words) - k + 1)} if len(words) >= k else {tuple(words)} - {()}
+    up = {d: d for d in sets}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = top(a), top(b)
+                up[max(x, y)] = min(x, y)
+    return {d: (len(sets[d]), top(d)) for d in ids}
+
+
+@pytest.mark.parametrize("k, percent, block", [(3, 90, 2048), (5, 80, 2048), (5, 80, 4)])
+def test_jaccard_components(docs, rows, k, percent, block, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", block)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar(docs, k, percent).collect()}
+    assert got == jaccard_brute(rows, k, percent)
+
+
+def test_chains_and_bridges_of_similar_documents(spark):
+    """Documents that differ a little from the next one only: every link is needed for the component."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i + 1, " ".join(words[i * 6:i * 6 + 200])) for i in range(30)]
+    random.Random(1).shuffle(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()}
+    assert got == jaccard_brute(rows, 3, 90)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 100])
+def test_part_keys_are_shared_by_all_partners(percent):
+    rng = np.random.RandomState(percent)
+    for _ in range(300):
+        n = rng.randint(1, 120)
+        a = np.unique(rng.randint(0, 2**62, n).astype(np.uint64))
+        b = a[rng.rand(len(a)) < rng.choice([0.5, 0.8, 0.95, 1])]
+        b = np.unique(np.concatenate((b, rng.randint(0, 2**62, rng.randint(0, 1 + n // 5)).astype(np.uint64))))
+        if not len(b):
+            continue
+        both = len(np.intersect1d(a, b))
+        if 100 * both < percent * (len(a) + len(b) - both):
+            continue
+        keys, of = jaccard_join.part_keys(np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]), percent)
+        assert set(keys[of == 0]) & set(keys[of == 1])
+
+
+def test_tree_walk_prunes_no_similar_pair():
+    rng = np.random.RandomState(3)
+    sets = []
+    for _ in range(40):
+        base = rng.randint(0, 2**62, rng.randint(5, 150)).astype(np.uint64)
+        sets += [np.unique(np.concatenate((base[rng.rand(len(base)) < 0.97], rng.randint(0, 2**62, 2).astype(np.uint64)))) for _ in range(5)]
+    size = np.array([len(s) for s in sets])
+    tree = jaccard_join.SignatureTree(np.stack([jaccard_join.bitmap(s, 512) for s in sets]), size, np.arange(len(sets)))
+    i, j, _ = jaccard_join.tree_pairs(tree, tree, 80, same=True)
+    got = set(zip(i.tolist(), j.tolist()))
+    want = {(a, b) for b in range(len(sets)) for a in range(b)
+            if 100 * (o := len(np.intersect1d(sets[a], sets[b]))) >= 80 * (size[a] + size[b] - o)}
+    assert want <= got and len(got) < len(sets) * (len(sets) - 1) // 4
+
+
+def test_components_of_random_graphs(spark):
+    rng = random.Random(2)
+    edges = [(rng.randint(1, 300), rng.randint(1, 300)) for _ in range(140)] + [(i, i + 1) for i in range(1000, 1060)] + [(5, 5)]
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    up = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = top(a), top(b)
+            up[max(x, y)] = min(x, y)
+    assert got == {x: top(x) for x in up}
+
+
+# -- 6: passages
+
+
+def passages_brute(rows, size):
+    seen, out = set(), {}
+    for doc_id, text in sorted(rows, key=lambda r: r[0]):
+        words = WORDS.findall(text or "")
+        gone = [False] * len(words)
+        for i in range(len(words) - size + 1):
+            window = tuple(words[i:i + size])
+            if window in seen:
+                gone[i:i + size] = [True] * size
+            seen.add(window)
+        out[doc_id] = (len(words), sum(gone), " ".join(w for w, g in zip(words, gone) if not g))
+    return out
+
+
+@pytest.mark.parametrize("chunk_bytes, window, period, cover", [(8 << 20, 20, 13, (0, 1, 3, 9)), (20_000, 20, 13, (0, 1, 3, 9)), (50_000, 8, 7, (0, 1, 3))])
+def test_passages_are_removed(docs, rows, chunk_bytes, window, period, cover):
+    got = {r.doc_id: r for r in substring_dedup.deduplicate(docs, window, period, cover, chunk_bytes).collect()}
+    assert {d: (r.n_words, r.n_removed, r.kept) for d, r in got.items()} == passages_brute(rows, window)
+    assert all(sum(s.length for s in r.removed) == r.n_removed for r in got.values())
+
+
+def test_difference_cover():
+    assert substring_dedup.is_cover(13, (0, 1, 3, 9)) and not substring_dedup.is_cover(13, (0, 1, 3))
+    with pytest.raises(ValueError):
+        substring_dedup.deduplicate(None, 20, 13, (0, 1, 3))
+
+
+def test_range_buckets_ascend(spark):
+    df = spark.createDataFrame([(i * i,) for i in range(500)] + [(None,), (7,), (7,)], "doc_id long")
+    got = df.select("doc_id", range_bucket(df, "doc_id", 20).alias("b")).collect()
+    order = sorted(got, key=lambda r: (r.doc_id is not None, r.doc_id))
+    assert [r.b for r in order] == sorted(r.b for r in got) and len({r.b for r in got}) > 10
+
+
+# -- 7: licences
+
+
+def test_licences_equal_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SMALL}/documents.parquet')")
+    got = sorted(map(tuple, queries.op7_licences(spark, SMALL).collect()))
+    want = sorted(con.execute(licences.scan_sql()).fetchall())
+    assert got == want and any(r[3] for r in got)
+
+
+def test_ordered_rules(spark):
+    s = licences.SENTENCES
+    mit = [s[x] for x in ("mit-grant", "mit-notice", "mit-warranty", "mit-liability")]
+    bsd = [s[x] for x in ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")]
+    texts = ["MIT License\n\n" + "\n".join(mit).replace(", to deal", ",\nto deal"), " ".join(bsd[:3]), " ".join(bsd), bsd[1],
+             " ".join([*bsd[:3], *mit]), "a | b\nReleased under the MIT License.\nmore", " ".join(reversed(bsd)), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [r.licences for r in licences.scan(docs).orderBy("doc_id").collect()]
+    assert got == [["MIT"], ["BSD-2-Clause"], ["BSD-3-Clause"], [], ["BSD-2-Clause", "MIT"], ["MIT"], [], []]
+
+
+# -- 8 and 9: tokens
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_word_encoder_equals_the_library(rows, name, monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_ids, "CACHE_PIECES", 300)
+    lib = Tokenizer.from_file(vocabulary(name))
+    lib.encode_special_tokens = True
+    texts = awkward() + [t or "" for _, t in rows] + ["it's I'll", "a \n b\n\n c", "x.,y . z", "É É ΑΣ ΣΑΣ", "<|endoftext|> a", "a  b\x1c c", "ÀÉ, é.é.\n\nB"]
+    want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    own = token_ids.WordEncoder(vocabulary(name))
+    for part in (slice(0, 200), slice(200, None), slice(0, None, 3)):
+        ids, off = own.encode(pa.array(texts[part]))
+        assert [list(ids[a:b]) for a, b in zip(off[:-1], off[1:])] == want[part]
+
+
+def all_ids(rows, name, end):
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(vocabulary(name))
+    lib.encode_special_tokens = True
+    got = lib.encode_batch([t or "" for _, t in rows], add_special_tokens=False)
+    return {d: [*e.ids, end] for (d, _), e in zip(rows, got)}
+
+
+def test_codes_round_trip_and_access():
+    rng = np.random.RandomState(1)
+    for n in (0, 1, 511, 512, 513, 5000):
+        ids = (rng.randint(0, 2**31, n) >> rng.randint(0, 31, n)).astype(np.uint32)
+        chunks, bitmaps, ranks = token_file.dac_encode(ids)
+        assert (token_file.dac_decode(chunks, bitmaps) == ids).all()
+        at = rng.randint(0, n, 300) if n else np.zeros(0, int)
+        assert (token_file.dac_access(chunks, bitmaps, ranks, at) == ids[at]).all()
+
+
+def test_token_file(spark, docs, rows):
+    want = all_ids(rows, "byte_bpe_50k.json", 0)
+    table = token_file.write(docs, vocabulary("byte_bpe_50k.json"), 0)
+    start = 0
+    for r in token_file.read(table).orderBy("doc_id").collect():
+        ids = want[r.doc_id]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    some = [(d, i) for d in list(want)[::9] for i in (-1, 0, 2, len(want[d]) - 1, len(want[d]))]
+    got = token_file.access(table, spark.createDataFrame(some, "doc_id long, at long")).collect()
+    assert {(r.doc_id, r.at): r.id for r in got} == {(d, i): want[d][i] for d, i in some if 0 <= i < len(want[d])}
+
+
+@pytest.mark.parametrize("length", [64, 2048])
+def test_packing(docs, rows, length):
+    want = all_ids(rows, "word_bpe_49k.json", 1)
+    got = sorted(packing.pieces(docs, vocabulary("word_bpe_49k.json"), 1, length).collect(), key=lambda r: (r.sequence_id, r.offset))
+    place, seen = 0, {}
+    for r in got:
+        assert r.sequence_id * length + r.offset == place  # gapless, so only the last sequence can be short
+        assert r.offset + r.length <= length and r.doc_tokens == len(want[r.doc_id])
+        own = want[r.doc_id][r.start:r.start + r.length]
+        assert len(own) == r.length and zlib.crc32(np.array(own, "<u4").tobytes()) == r.ids_crc32
+        seen[r.doc_id] = seen.get(r.doc_id, 0) + r.length
+        place += r.length
+    assert seen == {d: len(x) for d, x in want.items()}
+
+
+def test_sequences_hold_their_pieces(docs, rows):
+    want = all_ids(rows, "word_bpe_49k.json", 1)
+    for r in packing.sequences(docs, vocabulary("word_bpe_49k.json"), 1, 256).collect():
+        assert len(r.ids) == 4 * r.n_tokens <= 1024
+        ids = np.frombuffer(bytes(r.ids), "<u4").tolist()
+        assert ids == [i for b in r.boundaries for i in want[b.doc_id][b.start:b.start + b.length]]
+
+
+# -- 10: exact duplicates
+
+
+def test_exact_dedup_equals_sql(spark, docs):
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    got = {tuple(r) for r in exact_dedup.dedup(docs).collect()}
+    assert got == set(con.execute(queries.OP10_SQL).fetchall())
+
+
+def test_one_row_of_each_group_stays(spark):
+    rows = [(1, "a b", "q"), (1, "ab", "q"), (1, "a b", "q"), (2, "ab ", "r"), (3, None, "s"), (4, "", "t"), (None, "zz", "u"), (None, "zz", "u"), (5, "a  b", "w")]
+    got = exact_dedup.kept(spark.createDataFrame(rows, "doc_id long, text string, digest string")).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == [("3", None), ("5", "a  b"), ("None", "zz")]
+
+
+def test_cuckoo_index_under_load():
+    rng = random.Random(7)
+    index, live = exact_dedup.CuckooIndex(8), set()
+    for _ in range(6000):
+        key = hashlib.sha256(str(rng.randint(0, 3000)).encode()).digest()
+        if rng.random() < 0.6:
+            if index.find(key) < 0:
+                index.insert(key)
+            live.add(key)
+        else:
+            assert index.delete(key) == (key in live)
+            live.discard(key)
+    every = [hashlib.sha256(str(i).encode()).digest() for i in range(3001)]
+    assert {k for k in every if index.find(k) >= 0} == live and index.n == len(live)
+
+
+def test_index_table_takes_insertions_and_deletions(spark, docs):
+    rows = exact_dedup.digests(docs).cache()
+    index = exact_dedup.update_index(None, rows, None, 4)
+    removed = rows.where("doc_id % 2 = 0")
+    index = exact_dedup.update_index(index, rows.limit(0), removed, 4)
+    left = {bytes(r.digest) for r in rows.where("doc_id % 2 = 1").collect()}
+    got = exact_dedup.live(index, rows, 4).collect()
+    assert {bytes(r.digest) for r in got if r.is_live} == left and len(got) == rows.select("digest").distinct().count()
+
+
+# -- the pipeline
+
+
+def test_pipeline_against_brute_force(spark):
+    table = [(r.doc_id, r.text) for r in store.documents(spark, SMALL).collect()]
+    model = tuple(language_id.fit(store.documents(spark, SMALL)))
+    kept = []
+    for doc_id, text in table:
+        lang, score, letters = language_id.classify(text, model)
+        if lang != "und" and (score >= language_id.MIN_MARGIN or letters < language_id.MIN_LETTERS):
+            kept.append((doc_id, text))
+    groups = {}
+    for doc_id, text in kept:
+        groups.setdefault(re.sub("[\x20\x09-\x0d]", "", text), []).append((-len(text), doc_id, text))
+    kept = [min(g)[1:] for g in groups.values()]
+    near = jaccard_brute(kept, 5, 80)
+    kept = [(d, pii.replace(t, queries.PII_KEY)[0]) for d, t in kept if near[d][1] == d]
+    want = all_ids(kept, "word_bpe_49k.json", 1)
+    got = {}
+    for r in corpus_pipeline.run(spark, SMALL).collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.length
+        assert zlib.crc32(np.array(want[r.doc_id][r.start:r.start + r.length], "<u4").tobytes()) == r.ids_crc32
+    assert got == {d: len(x) for d, x in want.items()}
+
+
+def test_native_operators_plan_no_python(spark):
+    docs = store.documents(spark, SMALL)
+    for df in (queries.op2_simhash(spark, SMALL), queries.op7_licences(spark, SMALL), simhash.near(
+            simhash.with_fingerprint(docs, ["doc_id"], "text"), simhash.with_fingerprint(docs, ["doc_id"], "text"))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_registered_queries():
+    assert [f"op{n}_" for n in range(1, 11)] == sorted({re.match(r"op\d+_", q)[0] for q in queries.QUERIES}, key=lambda x: int(x[2:-1]))
