@@ -24,10 +24,6 @@ def cnt_if(cond: Column) -> Column:
     return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
 
 
-def sum_if(cond: Column, value) -> Column:
-    return F.sum(F.when(cond, col(value)).otherwise(0))
-
-
 def money(c) -> Column:
     """Sum of a money column as decimal(38,2) (exact)."""
     return F.sum(col(c)).cast(MONEY_SUM)
@@ -74,6 +70,17 @@ def with_rounded(df, name: str, value: Column, digits: int = 2):
     return df.withColumn(raw, value.cast("double")).withColumn(name, rnd(raw, digits)).drop(raw)
 
 
+def with_total(df, name: str, value):
+    """``df`` (grouped rows, a few per group value) plus ``name``: the sum of ``value`` over all its rows.
+
+    For results whose row count is bounded by a dimension (states, months, buckets):
+    the total comes from the grouped rows, so the fact is scanned once.
+    """
+    from pyspark.sql.window import Window
+
+    return df.withColumn(name, F.sum(col(value)).over(Window.partitionBy()))
+
+
 def with_pct(df, name: str, num, den, digits: int = 2):
     """``df`` plus ``name = ROUND(num / den * 100, digits)``; see :func:`with_rounded`."""
     return with_rounded(df, name, ratio(num, den) * 100, digits)

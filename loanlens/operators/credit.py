@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from loanlens.functions import rules
 from loanlens.functions.exprs import MONEY_SUM, avg_d, cnt_if, money, pct, ratio, rnd, with_pct, with_rounded
 from loanlens.operators.reports import loan_age_months
+from loanlens.session import cut
 
 UPB = "unpaid_principal_balance"
 
@@ -28,20 +29,29 @@ def state_trend(static: DataFrame, monthly: DataFrame, issuer_info: DataFrame, *
     liq = liq.filter(F.col("report_date") == m2).select(F.col("loan_id").alias("liq_id"))
     ii = issuer_info.select("issuer_number", "issuer_group")
     j = (static.alias("t").join(mon.alias("t2"), F.col("t.loan_id") == F.col("t2.loan_id"))
-         .join(ii, F.col("t.issuer_id") == ii.issuer_number)
          .join(liq, F.col("t.loan_id") == F.col("liq_id"), "left"))
     age = age if age is not None else loan_age_months(F.col("t2.report_date"), F.col("t.loan_origination_date"))
     dq = F.col("t2.months_delinquent") != 0
-    monthly_g = (j.groupBy(F.col("t.state_code").alias("state_code"), F.col("t2.report_date").alias("reporting_date"))
-                 .agg(rnd(avg_d(age), 0).alias("average_loan_seasoning"),
-                      rnd(avg_d(F.col(f"t2.{UPB}")), 2).alias("average_upb"),
-                      money(F.col(f"t2.{UPB}")).alias("total_upb"),
-                      rnd(avg_d(F.col("t.loan_interest_rate")), 2).alias("average_interest_rate"),
-                      rnd(avg_d(F.col("t.credit_score")), 0).alias("average_credit_score"),
-                      cnt_if(~dq).alias("current_loans"), cnt_if(dq).alias("delinquent_loans"),
-                      pct(cnt_if(dq), F.count(F.lit(1))).alias("delinquency_pct"),
-                      F.count("liq_id").alias("total_liquidations"),
-                      rnd(ratio(cnt_if(dq & (F.col("issuer_group") == "Mega")), cnt_if(dq)), 4).alias("mega_dq_pct")))
+    # sums per issuer first: the issuer dimension then joins a few rows, not every loan of a hot issuer
+    means = {"age": age, "upb": F.col(f"t2.{UPB}"), "rate": F.col("t.loan_interest_rate"), "score": F.col("t.credit_score")}
+    per = (j.groupBy(F.col("t.state_code").alias("state_code"), F.col("t2.report_date").alias("reporting_date"),
+                     F.col("t.issuer_id").alias("issuer_id"))
+           .agg(F.count(F.lit(1)).alias("n"), cnt_if(dq).alias("dq"), cnt_if(~dq).alias("ok"), F.count("liq_id").alias("liq"),
+                *[x for k, c in means.items() for x in (F.sum(c).alias(f"s_{k}"), F.count(c).alias(f"c_{k}"))]))
+    per = per.join(ii, per.issuer_id == ii.issuer_number)
+
+    def mean(k: str, digits: int) -> Column:
+        return rnd(ratio(F.sum(f"s_{k}"), F.sum(f"c_{k}")), digits)
+
+    mega = F.sum(F.when(F.col("issuer_group") == "Mega", F.col("dq")).otherwise(0))
+    monthly_g = (per.groupBy("state_code", "reporting_date")
+                 .agg(mean("age", 0).alias("average_loan_seasoning"), mean("upb", 2).alias("average_upb"),
+                      F.sum("s_upb").cast(MONEY_SUM).alias("total_upb"), mean("rate", 2).alias("average_interest_rate"),
+                      mean("score", 0).alias("average_credit_score"),
+                      F.sum("ok").cast("bigint").alias("current_loans"), F.sum("dq").cast("bigint").alias("delinquent_loans"),
+                      pct(F.sum("dq"), F.sum("n")).alias("delinquency_pct"),
+                      F.sum("liq").cast("bigint").alias("total_liquidations"),
+                      rnd(ratio(mega, F.sum("dq")), 4).alias("mega_dq_pct")))
     w = Window.partitionBy("state_code").orderBy("reporting_date")
     tr = monthly_g.withColumn("prior_delinquency_pct", F.lag("delinquency_pct").over(w))
     cur, prev = F.col("delinquency_pct"), F.col("prior_delinquency_pct")
@@ -73,12 +83,14 @@ def cure_rates(snapshots: DataFrame, *, state: str | None = None, by_state: bool
     s = s.filter((F.col("m") > 0) & (F.col("n_later") > 0))
     if state is not None:
         s = s.filter(F.col("property_state") == state)
-    k = F.col(key)
-    aggs = [F.count_distinct(k).alias("total_dq_loans"),
-            F.count_distinct(F.when(F.col("min_later") == 0, k)).alias("cured_loans"),
-            F.count_distinct(F.when(F.col("max_later") > F.col("m"), k)).alias("worsened_loans"),
-            F.count_distinct(F.when(F.col("liq_later") == 1, k)).alias("liquidated_loans")]
-    g = s.groupBy("property_state").agg(*aggs) if by_state else s.agg(*aggs)
+    # one row per loan first, where its rows already lie, then plain sums
+    flags = {"cured_loans": F.col("min_later") == 0, "worsened_loans": F.col("max_later") > F.col("m"),
+             "liquidated_loans": F.col("liq_later") == 1}
+    loans = (s.filter(F.col(key).isNotNull()).groupBy(key, *(["property_state"] if by_state else []))
+             .agg(*[F.max(F.when(c, 1).otherwise(0)).alias(n) for n, c in flags.items()]))
+    aggs = [F.count(F.lit(1)).alias("total_dq_loans"),
+            *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in flags]]
+    g = loans.groupBy("property_state").agg(*aggs) if by_state else loans.agg(*aggs)
     for c, n in [("cure_rate", "cured_loans"), ("worsen_rate", "worsened_loans"),
                  ("liquidation_rate", "liquidated_loans")]:
         g = g.withColumn(c, pct(F.col(n), F.col("total_dq_loans")))
@@ -125,20 +137,29 @@ def loss_severity(breakdown: DataFrame, *, reason: str = "Foreclosure", default:
     return v.select(F.coalesce(F.col(v.columns[0]), F.lit(default)).alias("loss_severity"))
 
 
-def calibrated_templates(snapshots: DataFrame, breakdown: DataFrame, *, min_months: int = 12,
+def calibrated_templates(snapshots: DataFrame, reasons: DataFrame, *, min_months: int = 12,
                          min_count: int = 10) -> DataFrame:
     """Data-driven templates: one row per (scenario, severity) from history.
 
     avg state DQ rate -> DQ increase = avg/100 x 3 / 8 / 16 (4 dp); overall cure
     rate (2 dp percent / 100, default .50) -> mild min(cure+.10,.80), moderate
     cure, severe max(cure-.20,.10) (2 dp); severity from ``loss_severity`` (2 dp).
-    Empty when fewer than ``min_months`` months are loaded.
+    Empty when fewer than ``min_months`` months are loaded.  One pass over the
+    snapshots sums them by state, month and removal reason (kept as a small
+    table), a second one follows each loan for the cure rate.
     """
-    from loanlens.operators.reports import state_dq_baseline
-
-    n_months = snapshots.agg(F.count_distinct("as_of_date")).scalar()
-    base = state_dq_baseline(snapshots, min_count=min_count)
+    late = F.col("months_delinquent") > 0
+    sums = cut(snapshots.groupBy("property_state", "as_of_date", "removal_reason")
+               .agg(F.count(F.lit(1)).alias("n"), cnt_if(late).alias("dq"),
+                    F.sum("original_principal_balance").alias("opb"), F.sum(UPB).alias("upb")))
+    n_months = sums.agg(F.count_distinct("as_of_date")).scalar()
+    base = (sums.groupBy("property_state").agg(F.sum("n").alias("n"), F.sum("dq").alias("dq"))
+            .filter(F.col("n") >= min_count).select(pct(F.col("dq"), F.col("n"), 4).alias("dq_rate")))
     avg_rate = base.agg(F.coalesce(F.avg("dq_rate"), F.lit(0.5))).scalar()
+    removed = (sums.filter(F.col("removal_reason") > 0).groupBy("removal_reason")
+               .agg(F.sum("opb").alias("total_original_balance"), F.sum("upb").alias("total_upb_at_removal")))
+    breakdown = removed.join(reasons, removed.removal_reason == reasons.removal_code).select(
+        F.col("removal_label").alias("removal_reason"), "total_original_balance", "total_upb_at_removal")
     cure = cure_rates(snapshots)
     cure_v = cure.select(F.when(F.col("total_dq_loans") > 0, F.col("cure_rate") / 100)).scalar()
     cure_c = F.coalesce(cure_v, F.lit(rules.CURE_DEFAULT))

@@ -67,7 +67,3 @@ def period_slice(df: DataFrame, start=None, end=None, date_col: str = "report_da
     if end is not None:
         df = df.filter(c <= F.lit(end).cast("date"))
     return df
-
-
-def as_date(x) -> _dt.date:
-    return x if isinstance(x, _dt.date) else _dt.date.fromisoformat(str(x))

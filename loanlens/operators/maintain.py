@@ -20,10 +20,15 @@ from loanlens.operators.joins import dedupe_first
 MONEY = "decimal(14,2)"
 
 
-def insert_if_absent(target: DataFrame, source: DataFrame, keys, *, order_by=None) -> DataFrame:
-    """First write wins: source rows (one per key) whose key is not in the target are appended."""
+def ties(df: DataFrame) -> Column:
+    """Last term of an order: the whole row as text, so rows that still tie are equal in every column."""
+    return F.to_json(F.struct(*df.columns)).asc()
+
+
+def insert_if_absent(target: DataFrame, source: DataFrame, keys, *, order_by) -> DataFrame:
+    """First write wins: source rows (one per key, the first by ``order_by``) whose key is not in the target are appended."""
     keys = list(keys)
-    src = dedupe_first(source, keys, order_by or [F.col(k) for k in keys])
+    src = dedupe_first(source, keys, [*order_by, ties(source)])
     return target.unionByName(src.join(target.select(*keys), keys, "left_anti"))
 
 
@@ -50,7 +55,7 @@ def merge_scd1(target: DataFrame, source: DataFrame, keys, *, order_by, now, cre
                updated: str = "last_updated", preserve=("created_at",)) -> DataFrame:
     """Upsert one row per key.
 
-    Matched keys take every attribute from the source (a null in the source
+    Of several source rows of a key the first by ``order_by`` counts.  Matched keys take every attribute from the source (a null in the source
     overwrites), ``last_updated = now``; ``created_at`` is kept from the target
     when listed in ``preserve`` (else overwritten with ``now``).  Source-only keys
     are inserted with both timestamps ``now``.  Target-only keys stay as they are.
@@ -59,7 +64,7 @@ def merge_scd1(target: DataFrame, source: DataFrame, keys, *, order_by, now, cre
     """
     keys = list(keys)
     now_c = F.lit(now).cast("timestamp") if not isinstance(now, Column) else now
-    src = dedupe_first(source, keys, order_by).withColumn("_in_src", F.lit(True))
+    src = dedupe_first(source, keys, [*order_by, ties(source)]).withColumn("_in_src", F.lit(True))
     tgt = target.withColumn("_in_tgt", F.lit(True))
     attrs = [c for c in source.columns if c not in keys and c not in (created, updated)]
     s, t = src.alias("s"), tgt.alias("t")
@@ -97,6 +102,10 @@ def replace_period(target: DataFrame, source: DataFrame, keys, *, period_col: st
     return target.join(gone, [period_col, *keys], "left_anti").unionByName(src.select(*target.columns))
 
 
+def _balance() -> Column:
+    return F.col("unpaid_principal_balance").try_cast(MONEY)
+
+
 def monthly_projection(staging: DataFrame, *, report_date=None, keys=("disclosure_sequence_number",)) -> DataFrame:
     """LL staging strings -> loan-month rows: typed columns, 0 for missing balance, age and months late.
 
@@ -104,7 +113,7 @@ def monthly_projection(staging: DataFrame, *, report_date=None, keys=("disclosur
     when the staging holds several monthly files at once.
     """
     s = dedupe_first(staging, list(keys),
-                     [F.col("as_of_date").asc_nulls_last(), F.col("unpaid_principal_balance").asc_nulls_last()])
+                     [F.col("as_of_date").asc_nulls_last(), _balance().asc_nulls_last(), ties(staging)])
     md = F.col("months_delinquent").try_cast("int")
     rd = (F.lit(report_date).cast("date") if report_date is not None
           else F.try_to_timestamp(F.concat(F.col("as_of_date"), F.lit("01")), F.lit("yyyyMMdd")).cast("date"))
@@ -120,7 +129,7 @@ def monthly_projection(staging: DataFrame, *, report_date=None, keys=("disclosur
 def static_projection(staging: DataFrame) -> DataFrame:
     """LL staging strings -> static loan attributes (typed)."""
     s = dedupe_first(staging, ["disclosure_sequence_number"],
-                     [F.col("as_of_date").desc_nulls_last(), F.col("unpaid_principal_balance").asc_nulls_last()])
+                     [F.col("as_of_date").desc_nulls_last(), _balance().asc_nulls_last(), ties(staging)])
     return s.select("disclosure_sequence_number", F.col("issuer_id").try_cast("int").alias("issuer_id"),
                     "state_code", "msa",
                     F.col("original_principal_balance").try_cast(MONEY).alias("original_principal_balance"),
@@ -132,9 +141,11 @@ def static_projection(staging: DataFrame) -> DataFrame:
 
 
 def liquidation_projection(staging: DataFrame, *, report_date=None, period_col: str = "report_period") -> DataFrame:
-    """LR staging strings -> liquidation rows (10 of 15 fields kept, typed)."""
+    """LR staging strings -> liquidation rows (10 of 15 fields kept, typed), one per loan and period."""
     rd = (F.lit(report_date).cast("date") if report_date is not None
           else F.try_to_timestamp(F.concat(F.col(period_col), F.lit("01")), F.lit("yyyyMMdd")).cast("date"))
+    keys = ["disclosure_sequence_number"] if report_date is not None else ["disclosure_sequence_number", period_col]
+    staging = dedupe_first(staging, keys, [F.col("liquidation_balance").try_cast(MONEY).asc_nulls_last(), ties(staging)])
     return staging.select("disclosure_sequence_number", rd.alias("report_date"),
                           F.col("issuer_id").try_cast("int").alias("issuer_id"), "cusip_number", "pool_id",
                           "agency_type", "loan_purpose",
@@ -149,7 +160,7 @@ def fnma_static_insert(target: DataFrame, perf: DataFrame, *, key: str = "loan_i
     """Earliest record per loan by reporting period, for loans not yet in the target (DISTINCT ON ... ORDER BY)."""
     cols = list(columns) if columns else target.columns
     per = mmyyyy_date(F.col("monthly_reporting_period"))
-    first = dedupe_first(perf.withColumn("_per", per), [key], [F.col("_per").asc_nulls_last(), F.col("current_actual_upb")])
+    first = dedupe_first(perf.withColumn("_per", per), [key], [F.col("_per").asc_nulls_last(), F.col("current_actual_upb").try_cast(MONEY).asc_nulls_last(), ties(perf)])
     return target.unionByName(first.join(target.select(key), key, "left_anti").select(*cols))
 
 
@@ -213,11 +224,18 @@ def load_log_update(log: DataFrame, loaded: DataFrame) -> DataFrame:
     return log.join(checked.select("file_name"), "file_name", "left_anti").unionByName(checked.select(*log.columns))
 
 
-def issuer_group_update(issuer_info: DataFrame, monthly: DataFrame, *, report_date=None,
+def issuer_group_update(issuer_info: DataFrame, monthly: DataFrame, *, report_date=None, latest: bool = False,
                         edges=rules.ISSUER_GROUP_EDGES, top: str = rules.ISSUER_GROUP_TOP) -> DataFrame:
-    """Issuer size band by loan count in a month; issuers with no loans keep their band."""
+    """Issuer size band by loan count in a month; issuers with no loans keep their band.
+
+    ``latest`` takes each issuer's latest month in ``monthly``: what updates month after month end with.
+    """
     m = monthly if report_date is None else monthly.filter(F.col("report_date") == F.lit(report_date).cast("date"))
-    counts = m.groupBy("issuer_id").agg(F.count(F.lit(1)).alias("_n"))
+    if latest:
+        counts = dedupe_first(m.groupBy("issuer_id", "report_date").agg(F.count(F.lit(1)).alias("_n")), ["issuer_id"],
+                              [F.desc("report_date")]).select("issuer_id", "_n")
+    else:
+        counts = m.groupBy("issuer_id").agg(F.count(F.lit(1)).alias("_n"))
     new = counts.select(F.col("issuer_id").alias("_iid"), rules.issuer_group(F.col("_n"), edges, top).alias("_grp"))
     j = issuer_info.join(new, issuer_info.issuer_number == new._iid, "left")
     return j.withColumn("issuer_group", F.coalesce("_grp", "issuer_group")).drop("_iid", "_grp")

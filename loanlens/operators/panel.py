@@ -2,9 +2,12 @@
 
 All windows partition by the series key (state, or state x tier) and order by
 month, so a window partition holds one series: its length is the number of
-months, bounded by time and never by the number of loans.  Lags are positional
-(``lag(c, 12)`` is 12 rows back), which is what the reference's ``diff(12)``
-does; ``drop_gap_series`` removes series where rows are not consecutive months.
+months, bounded by time and never by the number of loans.  Without a series key
+(``by=()``) the frame must be one aggregated series, a national one say: it is
+one window partition.  Lags are positional (``lag(c, 12)`` is 12 rows back),
+which is what the reference's ``diff(12)`` does; with ``calendar`` they are the
+value exactly so many months earlier, null where that month is missing.
+``drop_gap_series`` removes series where rows are not consecutive months.
 """
 
 from __future__ import annotations
@@ -19,22 +22,32 @@ def _w(by, order_by):
     return Window.partitionBy(*by).orderBy(order_by) if by else Window.orderBy(order_by)
 
 
-def diff_n(df: DataFrame, *, by, order_by: str, col: str, n: int = 12, name: str | None = None) -> DataFrame:
+def earlier(col: str, n: int, by, order_by: str, calendar: bool = False) -> Column:
+    """The value ``n`` rows earlier in the series, or ``n`` months earlier by the calendar."""
+    if not calendar:
+        return F.lag(col, n).over(_w(by, order_by))
+    month = F.year(order_by) * 12 + F.month(order_by)
+    return F.first(col).over(_w(by, month).rangeBetween(-n, -n))
+
+
+def diff_n(df: DataFrame, *, by, order_by: str, col: str, n: int = 12, name: str | None = None,
+           calendar: bool = False) -> DataFrame:
     """``c - lag(c, n)`` within each series (pandas ``groupby().diff(n)``)."""
-    return df.withColumn(name or f"{col}_chg", F.col(col) - F.lag(col, n).over(_w(by, order_by)))
+    return df.withColumn(name or f"{col}_chg", F.col(col) - earlier(col, n, by, order_by, calendar))
 
 
 def pct_change_n(df: DataFrame, *, by, order_by: str, col: str, n: int = 12, name: str | None = None,
-                 scale: float = 100.0) -> DataFrame:
+                 scale: float = 100.0, calendar: bool = False) -> DataFrame:
     """``(c / lag(c, n) - 1) * scale``, no filling; null when the earlier value is 0 or missing."""
-    prev = F.lag(col, n).over(_w(by, order_by))
+    prev = earlier(col, n, by, order_by, calendar)
     return df.withColumn(name or f"{col}_pct_chg",
                          (F.try_divide(F.col(col).cast("double"), prev.cast("double")) - 1) * scale)
 
 
-def shift_lag(df: DataFrame, *, by, order_by: str, col: str, k: int, name: str | None = None) -> DataFrame:
-    """Value ``k`` rows earlier in the series."""
-    return df.withColumn(name or f"{col}_lag{k}", F.lag(col, k).over(_w(by, order_by)))
+def shift_lag(df: DataFrame, *, by, order_by: str, col: str, k: int, name: str | None = None,
+              calendar: bool = False) -> DataFrame:
+    """Value ``k`` rows (with ``calendar``: months) earlier in the series."""
+    return df.withColumn(name or f"{col}_lag{k}", earlier(col, k, by, order_by, calendar))
 
 
 def lag_correlation(df: DataFrame, *, y: str, x: str, max_lag: int = 12, by=(), order_by: str = "report_date",
@@ -98,10 +111,11 @@ def ffill(df: DataFrame, *, by, order_by: str, col: str) -> DataFrame:
     return df.withColumn(col, F.last(col, ignorenulls=True).over(w))
 
 
-def legacy_share(df: DataFrame, *, by="property_state", order_by: str = "report_date", n: int = 12) -> DataFrame:
+def legacy_share(df: DataFrame, *, by="property_state", order_by: str = "report_date", n: int = 12,
+                 calendar: bool = False) -> DataFrame:
     """legacy / loans * 100 and its change over ``n`` rows."""
-    d = df.withColumn("legacy_share", F.col("legacy_loans") / F.col("loan_count") * 100)
-    return diff_n(d, by=by, order_by=order_by, col="legacy_share", n=n, name="legacy_chg")
+    d = df.withColumn("legacy_share", rate(F.col("legacy_loans"), F.col("loan_count")))
+    return diff_n(d, by=by, order_by=order_by, col="legacy_share", n=n, name="legacy_chg", calendar=calendar)
 
 
 def interaction(df: DataFrame, a: str, b: str, name: str, scale: float = 100.0) -> DataFrame:
@@ -110,4 +124,4 @@ def interaction(df: DataFrame, a: str, b: str, name: str, scale: float = 100.0)
 
 
 def rate(num: Column, den: Column) -> Column:
-    return num.cast("double") / den.cast("double") * 100
+    return F.try_divide(num.cast("double"), den.cast("double")) * 100

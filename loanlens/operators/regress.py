@@ -1,11 +1,11 @@
 """Panels, weighted least squares with clustered errors, scoring and stress.
 
 Fits are sufficient-statistics fits: one aggregation produces the sums
-``Σw·xᵢxⱼ, Σw·xᵢy, Σw·y²`` per fit group (partial aggregation, no data moves to
-the driver), the driver solves the k×k system (k ≤ ~6 regressors), and a second
-pass over the data computes residual scores per cluster for the sandwich
-covariance.  What reaches the driver is a few numbers per fit group and per
-cluster, never rows of the panel.
+``Σw·xᵢxⱼ, Σw·xᵢy`` per fit group, a Gauss-Jordan elimination in column
+expressions solves the k×k system of each group (k ≤ ~6 regressors), and a
+second pass over the data computes residual scores per cluster for the sandwich
+covariance.  Nothing reaches the driver, however many groups there are.
+Divisions by zero give null: a group that cannot be fitted has null results.
 
 The tiered model (own intercept and slope per tier) is block-diagonal, so its
 coefficients and clustered errors are closed-form column expressions per tier and
@@ -14,7 +14,6 @@ never leave Spark.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,20 +34,33 @@ def state_month(risk: DataFrame) -> DataFrame:
 
 
 def build_state_panel(sm: DataFrame, econ: DataFrame, *, outcome: str = "dlq90", lag_ur: int = 5, lag_hpi: int = 7,
-                      exclude=(2005, 2006, 2007)) -> DataFrame:
-    """State x month panel: vintages dropped, summed, joined to economy (inner), rates, yearly changes, lags."""
-    clean = filters.exclude_vintages(sm, exclude)
-    st = (clean.groupBy("property_state", F.col("reporting_date").alias("report_date"))
-          .agg(*[F.sum(c).cast("bigint").alias(c) for c in ("loan_count", "dlq30", "dlq90")]))
+                      exclude=(2005, 2006, 2007), legacy=(), calendar: bool = False) -> DataFrame:
+    """State x month panel: vintages dropped, summed, joined to economy (inner), rates, yearly changes, lags.
+
+    Loans of the ``legacy`` vintages are counted before the ``exclude`` vintages are dropped.
+    ``dlq30_rate`` and its change are always there, ``dlq_rate`` is that of ``outcome``.
+    ``calendar`` takes lags by month instead of by row, for series with gaps.
+    """
+    yr = F.col("orig_year")
+    keep = ~yr.isin(list(exclude)) | yr.isNull() if exclude else F.lit(True)
+    old = F.sum(F.when(yr.isin(list(legacy)), F.col("loan_count")).otherwise(0)) if legacy else F.sum(F.lit(0))
+    st = (sm.groupBy("property_state", F.col("reporting_date").alias("report_date"))
+          .agg(*[F.sum(F.when(keep, F.col(c))).cast("bigint").alias(c) for c in ("loan_count", "dlq30", "dlq90")],
+               old.cast("bigint").alias("legacy_loans"))
+          .filter(F.col("loan_count").isNotNull()))
     e = econ.select(F.col("state").alias("property_state"), "report_date", "unemployment_rate", "hpi_index")
     st = st.join(e, ["property_state", "report_date"])
     st = st.withColumn("dlq_rate", panel.rate(F.col(outcome), F.col("loan_count")))
-    kw = dict(by="property_state", order_by="report_date")
+    st = st.withColumn("dlq30_rate", panel.rate(F.col("dlq30"), F.col("loan_count")))
+    kw = dict(by="property_state", order_by="report_date", calendar=calendar)
     st = panel.diff_n(st, col="dlq_rate", name="dlq_chg", **kw)
+    st = panel.diff_n(st, col="dlq30_rate", name="dlq30_chg", **kw)
     st = panel.diff_n(st, col="unemployment_rate", name="ur_chg", **kw)
     st = panel.pct_change_n(st, col="hpi_index", name="hpi_chg", **kw)
+    st = panel.legacy_share(st, calendar=calendar)
     st = panel.shift_lag(st, col="ur_chg", k=lag_ur, name="ur_lag", **kw)
-    return panel.shift_lag(st, col="hpi_chg", k=lag_hpi, name="hpi_lag", **kw)
+    st = panel.shift_lag(st, col="hpi_chg", k=lag_hpi, name="hpi_lag", **kw)
+    return panel.interaction(st, "hpi_lag", "legacy_share", "hpi_x_legacy")
 
 
 def build_tier_panel(risk: DataFrame, econ: DataFrame, *, outcome: str = "dlq90", lag_ur: int = 5,
@@ -81,33 +93,29 @@ def train_test_split(df: DataFrame, *, train_end: str, cols, date_col: str = "re
 # ---------------------------------------------------------------------------------
 
 
-def _sums(df: DataFrame, y: str, xs: list[str], w: str, by: list[str]) -> list:
-    terms = ["_one", *xs]
-    d = df.withColumn("_one", F.lit(1.0))
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col(w) * F.col(y)).alias("wy"),
-            F.sum(F.col(w) * F.col(y) * F.col(y)).alias("wyy")]
-    for i, a in enumerate(terms):
-        aggs.append(F.sum(F.col(w) * F.col(a) * F.col(y)).alias(f"xy{i}"))
-        for j in range(i, len(terms)):
-            aggs.append(F.sum(F.col(w) * F.col(a) * F.col(terms[j])).alias(f"xx{i}_{j}"))
-    g = d.groupBy(*by) if by else d.groupBy()
-    return g.agg(*aggs).collect()
-
-
-def _solve(row, k: int):
-    xtx = np.zeros((k, k))
-    xty = np.zeros(k)
-    for i in range(k):
-        xty[i] = row[f"xy{i}"]
-        for j in range(i, k):
-            xtx[i, j] = xtx[j, i] = row[f"xx{i}_{j}"]
-    bread = np.linalg.pinv(xtx)
-    beta = bread @ xty
-    ssr = row["wyy"] - 2 * beta @ xty + beta @ xtx @ beta
-    sw = xtx[0, 0]
-    tss = row["wyy"] - row["wy"] ** 2 / sw if sw else float("nan")
-    r2 = 1 - ssr / tss if tss else float("nan")
-    return beta, bread, ssr, r2
+SINGULAR = 1e-12  # a pivot this small beside its diagonal element counts as zero
+
+
+def _solved(sums: DataFrame, k: int, keep: list[str]) -> DataFrame:
+    """``sums`` (xx{i}_{j} for i <= j, xy{i}) with the inverse b{i}_{j} and the coefficients beta{i}.
+
+    Gauss-Jordan elimination, one projection per step; a singular system has nulls.
+    """
+    at = range(k)
+    df = sums.select(*keep, *[F.col(f"xy{i}") for i in at], *[F.col(f"xx{i}_{i}").alias(f"d{i}") for i in at],
+                     *[F.col(f"xx{min(i, j)}_{max(i, j)}").alias(f"a{i}_{j}") for i in at for j in at],
+                     *[F.lit(1.0 if i == j else 0.0).alias(f"b{i}_{j}") for i in at for j in at])
+    cells = [f"{m}{i}_{j}" for m in "ab" for i in at for j in at]
+    rest = [c for c in df.columns if c not in cells]
+    for p in at:
+        pivot = F.when(F.abs(F.col(f"a{p}_{p}")) > SINGULAR * F.col(f"d{p}"), F.col(f"a{p}_{p}"))
+        row = {f"{m}{p}_{j}": F.try_divide(F.col(f"{m}{p}_{j}"), pivot) for m in "ab" for j in at}
+        df = df.select(*rest, *[row.get(c, F.col(c)).alias(c) for c in cells])
+        df = df.select(*rest, *[(F.col(c) if c[1:].startswith(f"{p}_") else
+                                 F.col(c) - F.col(f"a{c[1:].split('_')[0]}_{p}") * F.col(f"{c[0]}{p}_{c.split('_')[1]}")).alias(c)
+                                for c in cells])
+    betas = [sum((F.col(f"b{i}_{j}") * F.col(f"xy{j}") for j in at[1:]), F.col(f"b{i}_0") * F.col("xy0")).alias(f"beta{i}") for i in at]
+    return df.select(*rest, *[f"b{i}_{j}" for i in at for j in at], *betas)
 
 
 def wls_fit(df: DataFrame, *, y: str, x, weight: str, cluster: str | None = None, by=()) -> DataFrame:
@@ -115,75 +123,41 @@ def wls_fit(df: DataFrame, *, y: str, x, weight: str, cluster: str | None = None
 
     With ``cluster`` the standard errors are cluster-robust with the small-sample
     correction G/(G-1)·(N-1)/(N-k); without it they are the classical WLS errors.
+    Rows are complete cases; the frame is cut once and read by the passes below.
     """
     xs = [x] if isinstance(x, str) else list(x)
-    by = list(by)
-    terms = ["const", *xs]
-    k = len(terms)
-    d = df.select(*by, y, *xs, weight, *([cluster] if cluster else []))
-    fits = {}
-    for row in _sums(d, y, xs, weight, by):
-        key = tuple(row[b] for b in by)
-        fits[key] = (row["n"], *_solve(row, k), row["wy"] / row["xx0_0"] if row["xx0_0"] else 0.0)
-    if not fits:
-        return df.sparkSession.createDataFrame([], _fit_schema(df, by))
-    # Second pass: residuals with the fitted coefficients (literals for a single fit,
-    # a broadcast join of one row per group otherwise), weighted SSR and TSS, and
-    # per-cluster scores for the sandwich.
-    spark = df.sparkSession
-    if by:
-        brows = [(*key, *[float(v) for v in f[1]], float(f[5])) for key, f in fits.items()]
-        bdf = spark.createDataFrame(brows, [*by, *[f"_b{i}" for i in range(k)], "_ybar"])
-        r = d.join(F.broadcast(bdf), by)
-        bcols = [F.col(f"_b{i}") for i in range(k)]
-        ybar = F.col("_ybar")
-    else:
-        (_n, beta0, _br, _ssr, _r2, yb) = next(iter(fits.values()))
-        r, bcols, ybar = d, [F.lit(float(v)) for v in beta0], F.lit(float(yb))
-    e = F.col(y) - bcols[0] - sum((bcols[i + 1] * F.col(xs[i]) for i in range(len(xs))), F.lit(0.0))
-    r = r.withColumn("_e", e)
-    g = r.groupBy(*by) if by else r.groupBy()
-    for row in g.agg(F.sum(F.col(weight) * F.col("_e") * F.col("_e")).alias("ssr"),
-                     F.sum(F.col(weight) * F.pow(F.col(y) - ybar, 2)).alias("tss")).collect():
-        key = tuple(row[b] for b in by)
-        n, beta, bread, _ssr, _r2, yb = fits[key]
-        r2 = 1 - row["ssr"] / row["tss"] if row["tss"] else float("nan")
-        fits[key] = (n, beta, bread, row["ssr"], r2, yb)
-    ses = {}
+    groups = list(by)
+    k, at = len(xs) + 1, range(len(xs) + 1)
+    data = df.select(*groups, F.col(y).cast("double").alias("_y"), *[F.col(c).cast("double").alias(f"_x{i + 1}") for i, c in enumerate(xs)],
+                     F.col(weight).cast("double").alias("_w"), *([F.col(cluster).alias("_g")] if cluster else []))
+    data = cut(data.withColumn("_x0", F.lit(1.0)).withColumn("_fit", F.lit(0)))
+    keys = ["_fit", *groups]
+    w, yc = F.col("_w"), F.col("_y")
+    sums = data.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(w * yc).alias("wy"), *[F.sum(w * F.col(f"_x{i}") * yc).alias(f"xy{i}") for i in at],
+        *[F.sum(w * F.col(f"_x{i}") * F.col(f"_x{j}")).alias(f"xx{i}_{j}") for i in at for j in at if i <= j])
+    fit = _solved(sums, k, [*keys, "n", "wy"])
+    small = fit.select(*keys, *[f"beta{i}" for i in at], F.try_divide(F.col("wy"), F.col("d0")).alias("_mean"))
+    e = yc - sum((F.col(f"beta{i}") * F.col(f"_x{i}") for i in at[1:]), F.col("beta0"))
+    r = data.join(small, keys).withColumn("_e", e)
+    spread = r.groupBy(*keys).agg(F.sum(w * F.col("_e") * F.col("_e")).alias("ssr"), F.sum(w * F.pow(yc - F.col("_mean"), 2)).alias("tss"))
+    out = fit.join(spread, keys)
+    n, b = F.col("n"), lambda i, j: F.col(f"b{i}_{j}")
+    free = F.when(n > k, n - k)
     if cluster:
-        r = r.withColumn("_s0", F.col(weight) * F.col("_e"))
-        for i, xc in enumerate(xs):
-            r = r.withColumn(f"_s{i + 1}", F.col(weight) * F.col("_e") * F.col(xc))
-        per = r.groupBy(*by, cluster).agg(*[F.sum(f"_s{i}").alias(f"u{i}") for i in range(k)])
-        g = per.groupBy(*by) if by else per.groupBy()
-        meat = g.agg(F.count(F.lit(1)).alias("G"),
-                     *[F.sum(F.col(f"u{i}") * F.col(f"u{j}")).alias(f"m{i}_{j}") for i in range(k) for j in range(k)])
-        for row in meat.collect():
-            key = tuple(row[b] for b in by)
-            n, beta, bread, ssr, r2, _yb = fits[key]
-            m = np.array([[row[f"m{i}_{j}"] for j in range(k)] for i in range(k)])
-            G = row["G"]
-            c = (G / (G - 1)) * ((n - 1) / (n - k)) if G > 1 and n > k else float("nan")
-            cov = bread @ m @ bread * c
-            ses[key] = np.sqrt(np.clip(np.diag(cov), 0, None)) if np.isfinite(c) else [None] * k
-    out = []
-    for key, (n, beta, bread, ssr, r2, _yb) in fits.items():
-        if cluster:
-            se = ses.get(key, [None] * k)
-        else:
-            s2 = ssr / (n - k) if n > k else float("nan")
-            se = np.sqrt(np.clip(np.diag(bread) * s2, 0, None))
-        for i, t in enumerate(terms):
-            sv = se[i]
-            out.append((*key, t, float(beta[i]), None if sv is None or not np.isfinite(sv) else float(sv), int(n),
-                        float(r2)))
-    return df.sparkSession.createDataFrame(out, _fit_schema(df, by))
-
-
-def _fit_schema(df: DataFrame, by: list[str]) -> str:
-    types = dict(df.dtypes)
-    cols = [f"`{b}` {types[b]}" for b in by]
-    return ", ".join([*cols, "term string", "beta double", "se double", "n bigint", "r2 double"])
+        per = r.groupBy(*keys, "_g").agg(*[F.sum(w * F.col("_e") * F.col(f"_x{i}")).alias(f"u{i}") for i in at])
+        meat = per.groupBy(*keys).agg(F.count(F.lit(1)).alias("G"), *[F.sum(F.col(f"u{i}") * F.col(f"u{j}")).alias(f"m{i}_{j}")
+                                                                      for i in at for j in at])
+        out = out.join(meat, keys)
+        scale = F.try_divide(F.col("G"), F.col("G") - 1) * F.try_divide(n - 1, free)
+        variance = [scale * sum((b(i, p) * F.col(f"m{p}_{q}") * b(q, i) for p in at for q in at), F.lit(0.0)) for i in at]
+    else:
+        variance = [F.try_divide(F.col("ssr"), free) * b(i, i) for i in at]
+    r2 = 1 - F.try_divide(F.col("ssr"), F.col("tss"))
+    rows = F.array(*[F.struct(F.lit(t).alias("term"), F.col(f"beta{i}").alias("beta"), F.sqrt(F.greatest(variance[i], F.lit(0.0))).alias("se"))
+                     for i, t in enumerate(["const", *xs])])
+    return (out.select(*groups, F.explode(rows).alias("t"), n.cast("bigint").alias("n"), r2.alias("r2"))
+            .select(*groups, "t.term", "t.beta", "t.se", "n", "r2"))
 
 
 def fit_metrics(fit: DataFrame, terms=None) -> DataFrame:
@@ -200,6 +174,8 @@ def wls_tiered(train: DataFrame, *, y: str = "dlq_chg", x: str = "ur_lag", weigh
                by: str = "tier", cluster: str = "property_state") -> DataFrame:
     """``y ~ C(tier) + x:C(tier)`` weighted: intercept and slope per tier, clustered SE of the slope.
 
+    A tier whose x does not vary (one row, say) has null results; ``book_beta`` fills them.
+
     Closed form per tier; the clustered variance uses the joint fit's
     correction G/(G-1)·(N-1)/(N-2T) with N, T and G over the whole training set.
     """
@@ -211,17 +187,18 @@ def wls_tiered(train: DataFrame, *, y: str = "dlq_chg", x: str = "ur_lag", weigh
                                F.sum(w * xc * xc).alias("swxx"), F.sum(w * xc * yc).alias("swxy"),
                                F.count(F.lit(1)).alias("n"))
          .withColumn("_d", F.col("sw") * F.col("swxx") - F.col("swx") * F.col("swx"))
-         .withColumn("beta", (F.col("sw") * F.col("swxy") - F.col("swx") * F.col("swy")) / F.col("_d"))
-         .withColumn("intercept", (F.col("swy") - F.col("beta") * F.col("swx")) / F.col("sw")))
+         .withColumn("_d", F.when(F.col("_d") > SINGULAR * F.col("sw") * F.col("swxx"), F.col("_d")))
+         .withColumn("beta", F.try_divide(F.col("sw") * F.col("swxy") - F.col("swx") * F.col("swy"), F.col("_d")))
+         .withColumn("intercept", F.try_divide(F.col("swy") - F.col("beta") * F.col("swx"), F.col("sw"))))
     tot = train.agg(F.count(F.lit(1)).alias("N"), F.count_distinct(cluster).alias("G"))
     T = s.agg(F.count(F.lit(1))).scalar()
     N, G = tot.select("N").scalar(), tot.select("G").scalar()
-    corr = (G / (G - 1)) * ((N - 1) / (N - 2 * T))
+    corr = F.try_divide(G, G - 1) * F.try_divide(N - 1, F.when(N - 2 * T > 0, N - 2 * T))
     r = train.join(s.select(by, "beta", "intercept"), by).withColumn(
         "_e", yc - F.col("intercept") - F.col("beta") * xc)
     per = r.groupBy(by, cluster).agg(F.sum(w * F.col("_e")).alias("a"), F.sum(w * F.col("_e") * xc).alias("b"))
     v = (per.join(s.select(by, "sw", "swx", "_d"), by)
-         .groupBy(by).agg(F.sum(F.pow((F.col("b") * F.col("sw") - F.col("a") * F.col("swx")) / F.col("_d"), 2))
+         .groupBy(by).agg(F.sum(F.pow(F.try_divide(F.col("b") * F.col("sw") - F.col("a") * F.col("swx"), F.col("_d")), 2))
                           .alias("_v")))
     return cut(s.join(v, by, "left")
                .select(by, "intercept", "beta", F.sqrt(F.col("_v") * corr).alias("se"), "n"))
@@ -229,14 +206,14 @@ def wls_tiered(train: DataFrame, *, y: str = "dlq_chg", x: str = "ur_lag", weigh
 
 def wls_intercept_only(train: DataFrame, *, y: str = "dlq_chg", weight: str = "loan_count", by: str = "tier") -> DataFrame:
     """``y ~ C(tier)`` weighted: the weighted mean of y per tier."""
-    return train.groupBy(by).agg((F.sum(F.col(weight) * F.col(y)) / F.sum(weight)).alias("base"))
+    return train.groupBy(by).agg(F.try_divide(F.sum(F.col(weight) * F.col(y)), F.sum(weight).cast("double")).alias("base"))
 
 
 def wls_predict(test: DataFrame, betas: DataFrame, *, x: str = "ur_lag", by: str = "tier",
                 name: str = "pred") -> DataFrame:
     """Apply a tiered fit (by, intercept, beta) to rows; tiers missing from the fit predict null."""
     b = betas.select(by, "intercept", "beta")
-    j = test.join(F.broadcast(b), by, "left")
+    j = test.join(b, by, "left")
     return j.withColumn(name, F.col("intercept") + F.col("beta") * F.col(x)).drop("intercept", "beta")
 
 
@@ -257,8 +234,8 @@ def weighted_actual_vs_predicted(df: DataFrame, *, y: str = "dlq_chg", pred: str
     aggs = [F.sum(w).alias("_w"), F.sum(F.col(y) * w).alias("_a"), F.sum(F.col(pred) * w).alias("_p")]
     aggs += [F.sum(F.col(c) * w).alias(f"_x_{c}") for c in extra]
     g = df.groupBy(date_col).agg(*aggs)
-    return g.select(date_col, (F.col("_a") / F.col("_w")).alias("actual"), (F.col("_p") / F.col("_w")).alias("predicted"),
-                    *[(F.col(f"_x_{c}") / F.col("_w")).alias(c) for c in extra])
+    mean = lambda c: F.try_divide(F.col(c), F.col("_w").cast("double"))
+    return g.select(date_col, mean("_a").alias("actual"), mean("_p").alias("predicted"), *[mean(f"_x_{c}").alias(c) for c in extra])
 
 
 def rmse_by_period(cmp: DataFrame, periods: DataFrame, *, date_col: str = "report_date", extra=()) -> DataFrame:
@@ -305,16 +282,15 @@ def book_beta(book: DataFrame, betas: DataFrame, *, tier_col: str = "tier", beta
               upb: str = "unpaid_principal_balance") -> DataFrame:
     """Attach the tier beta; unknown tiers get the UPB-weighted mean beta of the known ones.
 
-    ``betas`` is one row per tier (fixed small size, broadcast).  The fill value is
-    a scalar subquery over the joined book.  The joined book (states x tiers rows)
+    The fill value is a scalar subquery over the joined book.  The joined book (states x tiers rows)
     is checkpointed once, so the subquery and the result read it instead of both
     re-scanning the loan tables.
     """
     b = betas.select(F.trim(F.col(tier_col)).alias(tier_col), F.col(beta_col).alias("_beta"))
-    j = cut(book.withColumn(tier_col, F.trim(F.col(tier_col))).join(F.broadcast(b), tier_col, "left"))
+    j = cut(book.withColumn(tier_col, F.trim(F.col(tier_col))).join(b, tier_col, "left"))
     u = F.col(upb).cast("double")
     known = j.filter(F.col("_beta").isNotNull())
-    fill = known.agg(F.sum(F.col("_beta") * u) / F.sum(u)).scalar()
+    fill = known.agg(F.try_divide(F.sum(F.col("_beta") * u), F.sum(u))).scalar()
     return (j.withColumn("beta_known", F.col("_beta").isNotNull())
             .withColumn("beta", F.coalesce(F.col("_beta"), fill)).drop("_beta"))
 
@@ -322,7 +298,7 @@ def book_beta(book: DataFrame, betas: DataFrame, *, tier_col: str = "tier", beta
 def unknown_share(book_b: DataFrame, upb: str = "unpaid_principal_balance") -> DataFrame:
     """Share of UPB whose tier had no beta."""
     u = F.col(upb).cast("double")
-    return book_b.agg((F.sum(F.when(~F.col("beta_known"), u).otherwise(0.0)) / F.sum(u)).alias("unknown_share"))
+    return book_b.agg(F.try_divide(F.sum(F.when(~F.col("beta_known"), u).otherwise(0.0)), F.sum(u)).alias("unknown_share"))
 
 
 def shock_uniform(states: DataFrame, *, shock: float = 4.5, state_col: str = "state") -> DataFrame:
@@ -352,42 +328,47 @@ def stress_book(book_b: DataFrame, shock: DataFrame, *, upb: str = "unpaid_princ
 def stress_total(stressed: DataFrame, *, upb: str = "unpaid_principal_balance") -> DataFrame:
     """Book-wide change in points and stressed UPB in billions."""
     return stressed.agg(
-        (F.sum("stressed_upb") / F.sum(F.col(upb).cast("double")) * 100).alias("book_dlq_chg_pts"),
+        (F.try_divide(F.sum("stressed_upb"), F.sum(F.col(upb).cast("double"))) * 100).alias("book_dlq_chg_pts"),
         (F.sum("stressed_upb") / 1e9).alias("stressed_upb_bn"),
         (F.sum(F.col(upb).cast("double")) / 1e9).alias("book_upb_bn"))
 
 
+def _share(num, den) -> Column:
+    return F.try_divide(F.col(num) if isinstance(num, str) else num, F.col(den) if isinstance(den, str) else den)
+
+
 def state_scorecard(stressed: DataFrame, *, upb: str = "unpaid_principal_balance") -> DataFrame:
     """state -> UPB share, projected change, stressed $B, stress share, concentration ratio."""
     g = cut(stressed.groupBy("state_code").agg(F.sum(F.col(upb).cast("double")).alias("_u"),
                                                F.sum("stressed_upb").alias("_s")))
     tu = g.agg(F.sum("_u")).scalar()
     ts = g.agg(F.sum("_s")).scalar()
-    return (g.withColumn("proj_dlq_chg", F.col("_s") / F.col("_u") * 100)
-            .withColumn("upb_share", F.col("_u") / tu * 100)
-            .withColumn("stress_share", F.col("_s") / ts * 100)
-            .withColumn("conc_ratio", F.col("stress_share") / F.col("upb_share"))
+    return (g.withColumn("proj_dlq_chg", _share("_s", "_u") * 100)
+            .withColumn("upb_share", _share("_u", tu) * 100)
+            .withColumn("stress_share", _share("_s", ts) * 100)
+            .withColumn("conc_ratio", _share("stress_share", "upb_share"))
             .withColumn("stressed_upb_bn", F.col("_s") / 1e9)
             .select("state_code", "upb_share", "proj_dlq_chg", "stressed_upb_bn", "stress_share", "conc_ratio"))
 
 
 def issuer_scorecard(stressed: DataFrame, *, upb: str = "unpaid_principal_balance") -> DataFrame:
-    """issuer -> UPB $B, mix beta, projected change, unknown %, shares, concentration ratio, mix vs peer,
-    geography factor (concentration ÷ mix)."""
+    """issuer -> UPB $B, mix beta, projected change, stressed $B, unknown %, shares, concentration ratio,
+    mix vs peer, geography factor (concentration ÷ mix)."""
     u = F.col(upb).cast("double")
     g = cut(stressed.groupBy("issuer_id", "issuer_name").agg(
         F.sum(u).alias("_u"), F.sum("stressed_upb").alias("_s"),
         F.sum(F.col("beta") * u).alias("_bu"),
         F.sum(F.when(~F.col("beta_known"), u).otherwise(0.0)).alias("_unk")))
     tu, ts = g.agg(F.sum("_u")).scalar(), g.agg(F.sum("_s")).scalar()
-    peer = g.agg(F.sum("_bu") / F.sum("_u")).scalar()
+    peer = g.agg(F.try_divide(F.sum("_bu"), F.sum("_u"))).scalar()
     return (g.withColumn("upb_bn", F.col("_u") / 1e9)
-            .withColumn("mix_beta", F.col("_bu") / F.col("_u"))
-            .withColumn("proj_dlq_chg", F.col("_s") / F.col("_u") * 100)
-            .withColumn("unknown_pct", F.col("_unk") / F.col("_u") * 100)
-            .withColumn("upb_share", F.col("_u") / tu * 100)
-            .withColumn("stress_share", F.col("_s") / ts * 100)
-            .withColumn("conc_ratio", F.col("stress_share") / F.col("upb_share"))
-            .withColumn("mix_vs_peer", F.col("mix_beta") / peer)
-            .withColumn("geo_factor", F.col("conc_ratio") / F.col("mix_vs_peer"))
+            .withColumn("mix_beta", _share("_bu", "_u"))
+            .withColumn("proj_dlq_chg", _share("_s", "_u") * 100)
+            .withColumn("stressed_upb_bn", F.col("_s") / 1e9)
+            .withColumn("unknown_pct", _share("_unk", "_u") * 100)
+            .withColumn("upb_share", _share("_u", tu) * 100)
+            .withColumn("stress_share", _share("_s", ts) * 100)
+            .withColumn("conc_ratio", _share("stress_share", "upb_share"))
+            .withColumn("mix_vs_peer", _share("mix_beta", peer))
+            .withColumn("geo_factor", _share("conc_ratio", "mix_vs_peer"))
             .drop("_u", "_s", "_bu", "_unk"))

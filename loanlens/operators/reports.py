@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loanlens.functions import rules
-from loanlens.functions.exprs import MONEY_SUM, avg_d, cnt_if, money, pct, ratio, rnd, with_pct, with_rounded
+from loanlens.functions.exprs import MONEY_SUM, avg_d, cnt_if, money, pct, ratio, rnd, with_pct, with_rounded, with_total
 from loanlens.session import cut
 
 UPB = "unpaid_principal_balance"
@@ -50,11 +50,10 @@ def issuer_concentration(pool_loans: DataFrame, issuers: DataFrame, *, top: int
 
 def geo_concentration(pool_loans: DataFrame, *, top: int | None = 15) -> DataFrame:
     """state -> loans, UPB, % of UPB, delinquent loans, DQ rate; largest ``top`` by UPB."""
-    total = pool_loans.agg(F.sum(UPB)).scalar()
     out = (pool_loans.groupBy("property_state")
            .agg(F.count(F.lit(1)).alias("loan_count"), money(UPB).alias("total_upb"),
                 cnt_if(_dq()).alias("delinquent_loans")))
-    out = (with_pct(out, "pct_of_total_upb", F.col("total_upb"), total)
+    out = (with_pct(with_total(out, "_total", "total_upb"), "pct_of_total_upb", F.col("total_upb"), F.col("_total"))
            .withColumn("delinquency_rate", pct(F.col("delinquent_loans"), F.col("loan_count"))))
     out = out.select("property_state", "loan_count", "total_upb", "pct_of_total_upb", "delinquent_loans",
                      "delinquency_rate")
@@ -63,13 +62,12 @@ def geo_concentration(pool_loans: DataFrame, *, top: int | None = 15) -> DataFra
 
 def dq_buckets(pool_loans: DataFrame) -> DataFrame:
     """delinquency bucket -> loans, UPB, % of UPB, ordered by the smallest months in the bucket."""
-    total = pool_loans.agg(F.sum(UPB)).scalar()
     g = (pool_loans.groupBy(rules.dq_bucket(F.col("months_delinquent")).alias("delinquency_bucket"))
          .agg(F.count(F.lit(1)).alias("loan_count"), money(UPB).alias("total_upb"),
               F.min("months_delinquent").alias("_min")))
-    return (with_pct(g, "pct_of_upb", F.col("total_upb"), total)
+    return (with_pct(with_total(g, "_total", "total_upb"), "pct_of_upb", F.col("total_upb"), F.col("_total"))
             .orderBy(F.asc_nulls_last("_min"), "delinquency_bucket")
-            .drop("_min"))
+            .drop("_min", "_total"))
 
 
 def issuer_dq(pool_loans: DataFrame, issuers: DataFrame, *, min_count: int = 10, top: int | None = 15) -> DataFrame:
@@ -123,17 +121,19 @@ def pool_type_mix(pool_loans: DataFrame) -> DataFrame:
 def state_exposure_what_if(pool_loans: DataFrame, *, state: str, label: str | None = None,
                            severities=(0.15, 0.25)) -> DataFrame:
     """One state: loans, UPB, % of portfolio, delinquents, projected loss at two severities."""
-    total = pool_loans.agg(F.sum(UPB)).scalar()
-    s = pool_loans.filter(F.col("property_state") == state)
-    upb = F.sum(UPB).cast(MONEY_SUM)
+    g = (pool_loans.groupBy("property_state")
+         .agg(F.count(F.lit(1)).alias("_n"), F.sum(UPB).alias("_u"), cnt_if(_dq()).alias("_d")))
+    here = F.col("property_state") == state
+    upb = F.sum(F.when(here, F.col("_u"))).cast(MONEY_SUM)
     cols = [F.lit(label or f"{state} Exposure").alias("scenario"),
-            F.count(F.lit(1)).alias("total_loans"), upb.alias("total_upb"),
-            cnt_if(_dq()).alias("currently_delinquent")]
+            F.coalesce(F.sum(F.when(here, F.col("_n"))), F.lit(0)).cast("bigint").alias("total_loans"),
+            upb.alias("total_upb"), F.sum(F.when(here, F.col("_d"))).cast("bigint").alias("currently_delinquent"),
+            F.sum("_u").alias("_total")]
     losses = []
     for sev in severities:
         losses.append(f"projected_loss_{int(round(sev * 100))}pct_severity")
         cols.append(F.round(upb * F.lit(sev).cast("decimal(4,2)"), 2).cast(MONEY_SUM).alias(losses[-1]))
-    out = with_pct(s.agg(*cols), "pct_of_portfolio", F.col("total_upb"), total)
+    out = with_pct(g.agg(*cols), "pct_of_portfolio", F.col("total_upb"), F.col("_total"))
     return out.select("scenario", "total_loans", "total_upb", "pct_of_portfolio", "currently_delinquent", *losses)
 
 
@@ -237,7 +237,7 @@ def available_months(pool_loans: DataFrame, *, state: str | None = None) -> Data
     """Distinct snapshot months in order, each row carrying the number of months."""
     p = pool_loans if state is None else pool_loans.filter(F.col("property_state") == state)
     months = p.select("as_of_date").distinct()
-    n = p.agg(F.count_distinct("as_of_date")).scalar()
+    n = F.count("as_of_date").over(Window.partitionBy())  # over the few distinct months
     return months.withColumn("month_count", n).orderBy("as_of_date")
 
 
@@ -412,23 +412,35 @@ def mega_issuer_profile(static: DataFrame, monthly: DataFrame, issuer_info: Data
                  rnd(ratio(F.sum("dp"), F.sum("n")), 2).alias("percent_dpa")))
 
 
-def _issuance_aggs() -> list[Column]:
-    a = F.col("agency")
-    return [F.count(F.lit(1)).alias("total_new_issuances"),
-            rnd(avg_d("original_principal_balance"), 2).alias("average_opb"),
-            money("original_principal_balance").alias("total_opb"),
-            rnd(avg_d("loan_interest_rate"), 2).alias("average_interest_rate"),
-            rnd(avg_d("credit_score"), 0).alias("average_credit_score"),
-            cnt_if(a == "F").alias("new_fha_issuances"), cnt_if(a == "V").alias("new_va_issuances"),
-            cnt_if(a == "R").alias("new_rd_issuances"), cnt_if(a == "N").alias("new_pih_issuances")]
+_ISSUANCE_MEANS = [("original_principal_balance", "average_opb", 2), ("loan_interest_rate", "average_interest_rate", 2),
+                   ("credit_score", "average_credit_score", 0)]
+_ISSUANCE_AGENCIES = [("F", "new_fha_issuances"), ("V", "new_va_issuances"), ("R", "new_rd_issuances"), ("N", "new_pih_issuances")]
+
+
+def _issuance_sums() -> list[Column]:
+    """Sums and counts that add up over issuers."""
+    out = [F.count(F.lit(1)).alias("_n")]
+    for c, _, _ in _ISSUANCE_MEANS:
+        out += [F.sum(c).alias(f"_s_{c}"), F.count(c).alias(f"_c_{c}")]
+    return out + [cnt_if(F.col("agency") == code).alias(name) for code, name in _ISSUANCE_AGENCIES]
+
+
+def _issuance_totals() -> list[Column]:
+    """The issuance measures from ``_issuance_sums`` rows."""
+    means = [rnd(ratio(F.sum(f"_s_{c}"), F.sum(f"_c_{c}")), d).alias(name) for c, name, d in _ISSUANCE_MEANS]
+    return [F.sum("_n").cast("bigint").alias("total_new_issuances"), means[0],
+            F.sum("_s_original_principal_balance").cast(MONEY_SUM).alias("total_opb"), *means[1:],
+            *[F.sum(name).cast("bigint").alias(name) for _, name in _ISSUANCE_AGENCIES]]
 
 
 def new_issuance_by_issuer(new_issuance: DataFrame, issuer_info: DataFrame, *, as_of=None) -> DataFrame:
     """issuer x as-of month -> issuances, avg/sum balance, avg rate, avg score, counts by agency."""
     n = _filter_month(new_issuance, as_of, "as_of_date")
-    j = n.join(issuer_info.select("issuer_number", "issuer_name"), n.issuer_id == F.col("issuer_number"))
+    # loans meet the dimension after they are summed per issuer, so a hot issuer is one row
+    per = n.groupBy("issuer_id", "as_of_date").agg(*_issuance_sums())
+    j = per.join(issuer_info.select("issuer_number", "issuer_name"), per.issuer_id == F.col("issuer_number"))
     return j.groupBy(_issuer_title(F.col("issuer_id"), F.col("issuer_name")).alias("issuer_title"),
-                     "as_of_date").agg(*_issuance_aggs())
+                     "as_of_date").agg(*_issuance_totals())
 
 
 def new_issuance_agency_totals(by_issuer: DataFrame) -> DataFrame:
@@ -441,8 +453,9 @@ def new_issuance_agency_totals(by_issuer: DataFrame) -> DataFrame:
 def new_issuance_by_state(new_issuance: DataFrame, issuer_info: DataFrame, *, as_of=None) -> DataFrame:
     """state -> the issuance measures for one as-of month (all months when ``as_of`` is None)."""
     n = _filter_month(new_issuance, as_of, "as_of_date")
-    j = n.join(issuer_info.select("issuer_number"), n.issuer_id == F.col("issuer_number"), "left_semi")
-    return j.groupBy("state_code").agg(*_issuance_aggs())
+    per = n.groupBy("issuer_id", "state_code").agg(*_issuance_sums())
+    j = per.join(issuer_info.select("issuer_number"), per.issuer_id == F.col("issuer_number"), "left_semi")
+    return j.groupBy("state_code").agg(*_issuance_totals())
 
 
 def mf_state_concentration(loans: DataFrame) -> DataFrame:
@@ -483,6 +496,19 @@ def tier_mix(static: DataFrame, issuer_info: DataFrame, *, group: str = "Mega")
 TIERS = ["<680 / <=90", "<680 / >90", "680-739 / <=90", "680-739 / >90", "740+ / <=90", "740+ / >90"]
 
 
+def tier_mix_new_issuance(new_issuance: DataFrame, issuer_info: DataFrame, *, group: str = "Mega", as_of=None) -> DataFrame:
+    """``tier_mix`` of the loans issued at the latest as-of date (or ``as_of``)."""
+    from loanlens.operators.filters import latest_snapshot
+
+    n = latest_snapshot(new_issuance, "as_of_date") if as_of is None else _filter_month(new_issuance, as_of, "as_of_date")
+    return tier_mix(n, issuer_info, group=group)
+
+
+def tier_mix_beta(mix: DataFrame, betas: DataFrame) -> DataFrame:
+    """``tier_mix`` rows with the beta of their tier attached (null where the fit has no such tier)."""
+    return mix.join(betas.select("tier", "beta"), "tier", "left").select("issuer_title", "tier", "loans", "beta")
+
+
 def tier_mix_crosstab(mix: DataFrame, *, tiers=TIERS) -> DataFrame:
     """issuer rows x tier columns: row percent of loans, missing tiers 0."""
     p = mix.groupBy("issuer_title").pivot("tier", list(tiers)).agg(F.sum("loans")).na.fill(0)
@@ -494,9 +520,9 @@ def tier_check(panel_rows: DataFrame, *, outcome: str = "dlq90") -> DataFrame:
     """tier -> loans, delinquents, rate, share of all loans."""
     t = panel_rows.groupBy("tier").agg(F.sum("loan_count").cast("bigint").alias("loan_count"),
                                        F.sum(outcome).cast("bigint").alias(outcome))
-    total = panel_rows.agg(F.sum("loan_count")).scalar()
-    return (t.withColumn("dlq_rate", ratio(F.col(outcome), F.col("loan_count")) * 100)
-            .withColumn("mix", ratio(F.col("loan_count"), total)))
+    return (with_total(t, "_total", "loan_count")
+            .withColumn("dlq_rate", ratio(F.col(outcome), F.col("loan_count")) * 100)
+            .withColumn("mix", ratio(F.col("loan_count"), F.col("_total"))).drop("_total"))
 
 
 def risk_book(static: DataFrame, monthly: DataFrame, *, as_of=None, by_issuer: bool = False,
@@ -526,7 +552,8 @@ def state_month_dq(perf: DataFrame, *, exclude=(2005, 2006, 2007), legacy=(2005,
     """
     yr, st = F.col("orig_year"), F.col("dq_status")
     p = perf.filter((F.col("upb") > 0) & st.isNotNull() & (F.col("loan_age") >= min_age))
-    keep = ~yr.between(min(exclude), max(exclude)) if exclude else F.lit(True)
+    # as in filters.exclude_vintages: the listed years go, an unknown year stays
+    keep = ~yr.isin(list(exclude)) | yr.isNull() if exclude else F.lit(True)
     g = (p.groupBy("reporting_date", "property_state")
          .agg(cnt_if(keep).alias("loan_count"), cnt_if(keep & (st >= 1)).alias("dlq30"),
               cnt_if(keep & (st >= 3)).alias("dlq90"), cnt_if(yr.isin(list(legacy))).alias("legacy_loans"))

@@ -8,7 +8,7 @@ the grid give the single-state, all-scenarios and compare-states views.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -23,12 +23,17 @@ def scenario_templates(spark) -> DataFrame:
 
 def area_exposure(pool_loans: DataFrame) -> DataFrame:
     """Exposure per state (scope 'state') plus the whole book (scope 'nationwide'), with the book total."""
-    by_state = reports.portfolio_exposure(pool_loans, by_state=True).withColumn("scope", F.lit("state"))
-    nation = (reports.portfolio_exposure(pool_loans).withColumn("state", F.lit("Nationwide"))
-              .withColumn("scope", F.lit("nationwide")))
-    cols = ["state", "scope", "total_loans", "total_upb", "current_dq_loans", "current_dq_upb"]
-    book = pool_loans.agg(F.coalesce(F.sum("unpaid_principal_balance"), F.lit(0))).scalar()
-    return by_state.select(*cols).unionByName(nation.select(*cols)).withColumn("book_upb", book.cast("double"))
+    by_state = reports.portfolio_exposure(pool_loans, by_state=True)
+    measures = {f.name: f.dataType for f in by_state.schema.fields if f.name != "state"}
+    # each state counts for itself and for the nation; an empty book still has its nationwide row of zeros
+    place = F.explode(F.array(F.struct(F.col("state").alias("state"), F.lit("state").alias("scope")),
+                              F.struct(F.lit("Nationwide").alias("state"), F.lit("nationwide").alias("scope"))))
+    twice = by_state.select(place.alias("p"), *measures).select("p.state", "p.scope", *measures)
+    zero = pool_loans.sparkSession.range(1).select(F.lit("Nationwide").alias("state"), F.lit("nationwide").alias("scope"),
+                                                   *[F.lit(0).cast(t).alias(c) for c, t in measures.items()])
+    g = twice.unionByName(zero).groupBy("state", "scope").agg(*[F.sum(c).cast(t).alias(c) for c, t in measures.items()])
+    book = F.sum(F.when(F.col("scope") == "nationwide", F.col("total_upb"))).over(Window.partitionBy())
+    return g.withColumn("book_upb", book.cast("double"))
 
 
 def waterfall_columns(df: DataFrame) -> DataFrame:
@@ -117,9 +122,5 @@ def top_exposed(results: DataFrame, top_issuers: DataFrame, top_msas: DataFrame)
                              F.col("issuer_name").alias("name"), "loan_count", F.col("issuer_upb").alias("upb"))
     msa = top_msas.select(F.col("property_state").alias("state"), F.lit("msa").alias("kind"), "rank",
                           F.col("msa").alias("name"), "loan_count", F.col("msa_upb").alias("upb"))
-    states = results.select("state").distinct()
+    states = results.select("state").distinct()  # any frame with the states wanted
     return iss.unionByName(msa).join(states, "state", "left_semi")
-
-
-def severity_column(c: Column) -> Column:
-    return rules.severity_rank(c)

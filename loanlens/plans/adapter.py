@@ -24,6 +24,8 @@ STORED = ("loan_static", "loan_monthly", "pool_loans", "econ", "issuer_info", "r
 # Month partitioning of the stored loan-month tables (partition pruning on month filters).
 PARTITION_COLUMNS = {"loan_monthly": ("report_date", "loan_id"), "pool_loans": ("as_of_date", "cusip")}
 PARTITION_TYPES = {"report_date": "date", "as_of_date": "string"}
+# Raise when a view's builder changes: views stored by another version are not read.
+VIEWS_VERSION = 2
 # Bytes of input per task when a stored view is range-partitioned (override: loanlens.views.taskBytes).
 TASK_BYTES = 256 * 1024 * 1024
 
@@ -70,7 +72,7 @@ class Tables:
         # A few calls per table, none per file: the content summary (bytes, file and
         # folder counts) is computed on the file system side, and the folder's
         # modification time changes when files are added, removed or replaced.
-        h = hashlib.sha1(self.sf_dir.encode())
+        h = hashlib.sha1(f"{VIEWS_VERSION}:{self.sf_dir}".encode())
         for name in ("orders", "customer", "nation", "supplier", "lineitem", "events"):
             p, fs = self._fs(f"{self.sf_dir}/{name}.parquet")
             if fs.exists(p):
@@ -80,7 +82,7 @@ class Tables:
                 self._input_bytes += cs.getLength()
         return h.hexdigest()[:16]
 
-    def _write_tasks(self) -> int:
+    def write_tasks(self) -> int:
         """Tasks for writing a stored view: one per ``TASK_BYTES`` of input, at least the shuffle partitions.
 
         The input size is an upper bound for every derived view, so a task never
@@ -108,15 +110,25 @@ class Tables:
         part = PARTITION_COLUMNS.get(name)
         if not fs.exists(p):
             df = build()
+            # written aside and renamed, so a driver that comes second reads a whole view or makes its own
+            import uuid
+
+            done, path = path, f"{path}-{uuid.uuid4().hex[:12]}"
             if part:
                 # Range partitioning by (month, key): every task writes a contiguous,
                 # sampled slice (no month collapses into one task) and files come
                 # out sorted for min/max pruning on the key.
-                n = self._write_tasks()
+                n = self.write_tasks()
                 (df.repartitionByRange(n, *part).sortWithinPartitions(*part)
                  .write.mode("overwrite").partitionBy(part[0]).parquet(path))
             else:
                 df.write.mode("overwrite").parquet(path)
+            target = self._fs(done)[0]
+            if not fs.exists(target) and fs.rename(self._fs(path)[0], target):
+                path = done
+            else:  # another driver was first: its view is complete, as renames are whole
+                fs.delete(self._fs(path)[0], True)
+                path = done
         out = self.spark.read.parquet(path)
         if part:
             # partition values come back typed by inference; pin the view's type

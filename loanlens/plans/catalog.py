@@ -406,6 +406,15 @@ def _tier_mix(t: Tables):
     return reports.tier_mix(t.loan_static, t.issuer_info)
 
 
+_TIER_MIX_NEW_SQL = _TIER_MIX_SQL.replace("FROM loan_static t LEFT JOIN", "FROM ni t LEFT JOIN").replace(
+    "WHERE t3.issuer_group", "WHERE t.as_of_date = (SELECT MAX(as_of_date) FROM ni) AND t3.issuer_group")
+
+
+@register("tier_mix_new_issuance", Q(_TIER_MIX_NEW_SQL, {"ni": "SELECT * FROM new_issuance"}))
+def _tier_mix_new_issuance(t: Tables):
+    return reports.tier_mix_new_issuance(t.new_issuance, t.issuer_info)
+
+
 def _crosstab_sql() -> str:
     cols = ", ".join(f"CAST(SUM(CASE WHEN tier = '{x}' THEN loans ELSE 0 END) AS DOUBLE) AS c{i}"
                      for i, x in enumerate(reports.TIERS))
@@ -689,11 +698,13 @@ def _mean_line(t: Tables):
 
 
 @register("union_all", Q("""
-SELECT state, report_date, unemployment_rate FROM econ WHERE state = 'NATION_3'
-UNION ALL SELECT state, report_date, unemployment_rate FROM econ WHERE state = 'NATION_7'"""))
+SELECT state, report_date, unemployment_rate FROM econ WHERE year(report_date) < 1998
+UNION ALL SELECT state, report_date, unemployment_rate FROM econ WHERE year(report_date) >= 1998
+UNION ALL SELECT state, report_date, unemployment_rate FROM econ WHERE report_date IS NULL"""))
 def _union_all(t: Tables):
-    e = t.econ.select("state", "report_date", "unemployment_rate")
-    return topk.union_all([e.filter(F.col("state") == "NATION_3"), e.filter(F.col("state") == "NATION_7")])
+    # the parts together hold every row once
+    e, y = t.econ.select("state", "report_date", "unemployment_rate"), F.year("report_date")
+    return topk.union_all([e.filter(y < 1998), e.filter(y >= 1998), e.filter(y.isNull())])
 
 
 @register("distinct_rows", Q("SELECT DISTINCT property_state, as_of_date FROM pool_loans"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loanlens.functions import rules
-from loanlens.operators import credit, joins, reports, scenario
+from loanlens.operators import credit, reports, scenario
 from loanlens.plans.adapter import Tables
 from loanlens.plans.catalog import _REASONS_SQL, STATE, STATES, UPB, Q, register
-from loanlens.plans.sqlfrag import avg_d, cnt_if, money, pct
+from loanlens.plans.sqlfrag import cnt_if, money, pct
 from loanlens.session import cut
 
 SEVERITY = "moderate"
@@ -45,16 +45,12 @@ def _cure_rates_state(t: Tables):
     return credit.cure_rates(t.pool_loans, state=STATE)
 
 
-def _first_dr(t: Tables):
-    d = t.declarations.filter(F.col("declaration_type") == "DR")
-    first = joins.dedupe_first(d, ["state"], [F.asc("declaration_date"), F.asc("disaster_number")])
-    return first.select("state", F.col("disaster_number").alias("event_id"),
-                        F.col("declaration_date").alias("event_date"))
+def _dr_events(t: Tables):
+    return t.declarations.filter(F.col("declaration_type") == "DR").select(
+        "state", F.col("disaster_number").alias("event_id"), F.col("declaration_date").alias("event_date"))
 
 
-_FIRST_DR_SQL = """SELECT state, disaster_number AS event_id, declaration_date AS event_date FROM (
-  SELECT *, row_number() OVER (PARTITION BY state ORDER BY declaration_date, disaster_number) AS rn
-  FROM declarations WHERE declaration_type = 'DR') x WHERE rn = 1"""
+_DR_SQL = "SELECT state, disaster_number AS event_id, declaration_date AS event_date FROM declarations WHERE declaration_type = 'DR'"
 
 
 @register("disaster_impact", Q(f"""
@@ -66,10 +62,12 @@ FROM (SELECT property_state, as_of_date, COUNT(*) AS total_loans, {cnt_if('month
   {pct(cnt_if('months_delinquent > 0'), 'COUNT(*)', 4)} AS dq_rate
   FROM pool_loans GROUP BY 1, 2) b
 JOIN ev e ON e.state = b.property_state
-WHERE (SELECT COUNT(DISTINCT as_of_date) FROM pool_loans p WHERE p.property_state = b.property_state) >= 2""",
-                              {"ev": _FIRST_DR_SQL}))
+  AND CASE WHEN b.as_of_date <= strftime(e.event_date, '%Y%m') THEN b.as_of_date >= strftime(e.event_date - 90, '%Y%m')
+    ELSE b.as_of_date <= strftime(e.event_date + 180, '%Y%m') END
+JOIN (SELECT property_state AS st FROM pool_loans GROUP BY 1 HAVING COUNT(DISTINCT as_of_date) >= 2) n ON n.st = b.property_state""",
+                              {"ev": _DR_SQL}))
 def _disaster_impact(t: Tables):
-    return credit.disaster_impact(t.pool_loans, _first_dr(t))
+    return credit.disaster_impact(t.pool_loans, _dr_events(t), bounded=True)
 
 
 _BREAKDOWN_SQL = f"""SELECT g.removal_reason AS removal_code,
@@ -117,7 +115,7 @@ SELECT g.scenario_type, g.severity, {_rnd('k.avg_rate / 100 * g.mult', 4)} AS dq
 FROM grid g, k WHERE k.months_of_data >= 12""", _CALIB))
 def _calibrated_templates(t: Tables):
     reasons = rules.removal_reason_table(t.spark)
-    return credit.calibrated_templates(t.pool_loans, reports.removal_breakdown(t.pool_loans, reasons))
+    return credit.calibrated_templates(t.pool_loans, reasons)
 
 
 @register("calibration_report", Q(f"""
@@ -246,13 +244,29 @@ _STATE_MAP_SQL = "SELECT * FROM (VALUES " + ", ".join(
     f"('{k}', '{v}')" for k, v in sorted(rules.STATE_MAP.items())) + ") AS m(state_name, state_code)"
 
 
-@register("resolve_state", Q("""
-SELECT s.state, COALESCE(m.state_code, c.state_code) AS state_code FROM (SELECT DISTINCT state FROM alerts) s
-LEFT JOIN sm m ON m.state_name = lower(trim(s.state))
-LEFT JOIN (SELECT DISTINCT state_code FROM sm) c ON c.state_code = upper(lower(trim(s.state)))""",
-                             {"sm": _STATE_MAP_SQL}))
+_STATE_NAMES = sorted(rules.STATE_MAP)
+_STATE_CODES = [rules.STATE_MAP[n] for n in _STATE_NAMES]
+
+
+def _sql_list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+@register("resolve_state", Q(f"""
+SELECT s.written, COALESCE(m.state_code, c.state_code) AS state_code FROM written s
+LEFT JOIN sm m ON m.state_name = lower(trim(s.written))
+LEFT JOIN (SELECT DISTINCT state_code FROM sm) c ON c.state_code = upper(trim(s.written))""",
+                             {"sm": _STATE_MAP_SQL, "written": f"""SELECT DISTINCT CASE event_id % 6
+  WHEN 0 THEN upper(name) WHEN 1 THEN '  ' || lower(code) || ' ' WHEN 2 THEN name WHEN 3 THEN code WHEN 4 THEN '  ' ELSE state END AS written
+  FROM (SELECT *, {_sql_list(_STATE_NAMES)}[CAST(event_id % {len(_STATE_NAMES)} AS INTEGER) + 1] AS name,
+    {_sql_list(_STATE_CODES)}[CAST(event_id % {len(_STATE_NAMES)} AS INTEGER) + 1] AS code FROM alerts) a"""}))
 def _resolve_state(t: Tables):
-    return scenario.resolve_state(t.alerts.select("state").distinct(), "state", rules.state_map_table(t.spark))
+    # names and codes in both cases, blanks and unknown words, by event
+    e, at = F.col("event_id"), (F.col("event_id") % len(_STATE_NAMES)).cast("int") + 1
+    name, code = (F.element_at(F.array(*[F.lit(v) for v in x]), at) for x in (_STATE_NAMES, _STATE_CODES))
+    written = (F.when(e % 6 == 0, F.upper(name)).when(e % 6 == 1, F.concat(F.lit("  "), F.lower(code), F.lit(" ")))
+               .when(e % 6 == 2, name).when(e % 6 == 3, code).when(e % 6 == 4, F.lit("  ")).otherwise(F.col("state")))
+    return scenario.resolve_state(t.alerts.select(written.alias("written")).distinct(), "written", rules.state_map_table(t.spark))
 
 
 @register("top_exposed", Q(f"""
@@ -271,9 +285,7 @@ WHERE state IN (SELECT state FROM grid WHERE state = '{STATE}')""", {
   FROM (SELECT property_state, msa, COUNT(*) AS loan_count, {money(UPB)} AS msa_upb
         FROM pool_loans WHERE msa IS NOT NULL AND msa != '' GROUP BY property_state, msa) g) r WHERE rank <= 5"""}))
 def _top_exposed(t: Tables):
-    res = scenario.scenario_all_for_state(_grid(t), state=STATE, severity=SEVERITY)
-    return scenario.top_exposed(res, reports.top_issuers_in_state(t.pool_loans, t.issuers),
+    states = t.pool_loans.filter(F.col("property_state") == STATE).select(F.col("property_state").alias("state")).distinct()
+    return scenario.top_exposed(states, reports.top_issuers_in_state(t.pool_loans, t.issuers),
                                 reports.top_msas_in_state(t.pool_loans))
 
-
-_ = avg_d

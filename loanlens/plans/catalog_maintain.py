@@ -121,8 +121,11 @@ UNION ALL SELECT {_PL_COLS} FROM pool_loans s WHERE as_of_date >= '199806'
   AND NOT EXISTS (SELECT 1 FROM pool_loans t WHERE t.as_of_date < '{CUT_MONTH}' AND t.cusip = s.cusip AND t.as_of_date = s.as_of_date)"""))
 def _insert_if_absent(t: Tables):
     p = t.pool_loans.select("cusip", "as_of_date", "months_delinquent", UPB)
-    return maintain.insert_if_absent(p.filter(F.col("as_of_date") < CUT_MONTH), p.filter(F.col("as_of_date") >= "199806"),
-                                     ["cusip", "as_of_date"])
+    # the source brings every row twice, the second time with another balance: the smaller one counts
+    source = p.filter(F.col("as_of_date") >= "199806")
+    source = source.unionByName(source.withColumn(UPB, (F.col(UPB) + 1).cast("decimal(14,2)")))
+    return maintain.insert_if_absent(p.filter(F.col("as_of_date") < CUT_MONTH), source, ["cusip", "as_of_date"],
+                                     order_by=[F.col(UPB), F.col("months_delinquent")])
 
 
 @register("append_raw", Q(f"""
@@ -149,7 +152,9 @@ _MERGE_CTES = {
   CAST(report_date AS TIMESTAMP) AS created_at, CAST(report_date AS TIMESTAMP) AS last_updated FROM (
   SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY report_date DESC) AS rn FROM loan_monthly
   WHERE report_date < DATE '{MERGE_MONTH}') x WHERE rn = 1""",
-    "sr": f"SELECT loan_id, issuer_id, {UPB}, months_delinquent, report_date FROM loan_monthly WHERE report_date = DATE '{MERGE_MONTH}'",
+    "sr": f"""SELECT loan_id, issuer_id, {UPB}, months_delinquent, report_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY report_date DESC, {UPB}) AS rn FROM loan_monthly
+  WHERE report_date >= DATE '{MERGE_MONTH}') x WHERE rn = 1""",
 }
 
 
@@ -170,20 +175,21 @@ def _merge_inputs(t: Tables):
                       [F.desc("report_date")])
     tg = tg.withColumn("created_at", F.col("report_date").cast("timestamp")).withColumn(
         "last_updated", F.col("report_date").cast("timestamp"))
-    sr = m.filter(F.col("report_date") == F.lit(MERGE_MONTH).cast("date"))
+    sr = m.filter(F.col("report_date") >= F.lit(MERGE_MONTH).cast("date"))
     return tg, sr
 
 
+
 @register("merge_scd1", _merge_sql(True))
 def _merge_scd1(t: Tables):
     tg, sr = _merge_inputs(t)
-    return maintain.merge_scd1(tg, sr, ["loan_id"], order_by=[F.col("loan_id")], now=NOW)
+    return maintain.merge_scd1(tg, sr, ["loan_id"], order_by=[F.desc("report_date"), F.asc(UPB)], now=NOW)
 
 
 @register("split_new_existing", _merge_sql(False))
 def _split_new_existing(t: Tables):
     tg, sr = _merge_inputs(t)
-    return maintain.split_new_existing(tg, sr, ["loan_id"], order_by=[F.col("loan_id")], now=NOW)
+    return maintain.split_new_existing(tg, sr, ["loan_id"], order_by=[F.desc("report_date"), F.asc(UPB)], now=NOW)
 
 
 @register("replace_period", Q(f"""
@@ -228,7 +234,10 @@ SELECT disclosure_sequence_number, report_date, CAST(issuer_id AS INTEGER) AS is
   CAST(unpaid_principal_balance AS DECIMAL(14,2)) AS unpaid_principal_balance,
   CAST(liquidation_balance AS DECIMAL(14,2)) AS liquidation_balance, removal_reason FROM lr""", {"lr": LR_SQL}))
 def _liquidation_projection(t: Tables):
-    return maintain.liquidation_projection(lr(t))
+    s = lr(t)
+    # a second delivery of every record with a larger balance: the first one counts
+    again = s.withColumn("liquidation_balance", (F.col("liquidation_balance").cast("decimal(14,2)") + 5).cast("string"))
+    return maintain.liquidation_projection(s.unionByName(s).unionByName(again))
 
 
 _FS_COLS = ", ".join(FNMA_STATIC_FIELDS)
@@ -236,7 +245,7 @@ _FS_COLS = ", ".join(FNMA_STATIC_FIELDS)
 
 @register("fnma_static_insert", Q(f"""
 SELECT {', '.join(f if f in ('loan_identifier', 'reference_pool_id', 'origination_date', 'original_upb', 'borrower_credit_score_at_origination', 'property_state') else f'CAST(NULL AS VARCHAR) AS {f}' for f in FNMA_STATIC_FIELDS)}
-FROM (SELECT *, row_number() OVER (PARTITION BY loan_identifier ORDER BY reporting_date, CAST(current_actual_upb AS VARCHAR)) AS rn
+FROM (SELECT *, row_number() OVER (PARTITION BY loan_identifier ORDER BY reporting_date, CAST(current_actual_upb AS DECIMAL(14,2))) AS rn
   FROM fs) x WHERE rn = 1""", _perf_cte()))
 def _fnma_static_insert(t: Tables):
     s = fnma(t)

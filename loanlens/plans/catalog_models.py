@@ -8,9 +8,11 @@ from pyspark.sql.window import Window
 from loanlens.functions import rules
 from loanlens.operators import filters, joins, panel, regress, reports
 from loanlens.plans.adapter import Tables
-from loanlens.plans.catalog import (_RISK_BOOK_SQL, EXCLUDE, SHOCK_PRE, SHOCK_WINDOW, TRAIN_END, TREND_MONTHS, UPB, Q,
-                                    register)
+from loanlens.plans.catalog import (_BOOK_TIER, _PERF_SQL, _RISK_BOOK_SQL, _TIER_MIX_SQL, EXCLUDE, SHOCK_PRE, SHOCK_WINDOW,
+                                    TRAIN_END, TREND_MONTHS, UPB, Q, register)
 from loanlens.plans.sqlfrag import avg_d, cnt_if, money, pct, rnd
+from loanlens.session import cut, scratch_path
+from loanlens.sources import sinks
 
 LEGACY = (1995, 1996)
 LAG_UR, LAG_HPI = 5, 7
@@ -25,28 +27,8 @@ _LEG = ", ".join(map(str, LEGACY))
 
 
 def state_panel(t: Tables):
-    """State x month panel with legacy share (legacy counted before the vintage filter)."""
-    sm = regress.state_month(t.risk)
-    yr = F.col("orig_year")
-    keep = ~yr.isin(list(EXCLUDE)) | yr.isNull()
-    g = (sm.groupBy("property_state", F.col("reporting_date").alias("report_date"))
-         .agg(*[F.sum(F.when(keep, F.col(c))).cast("bigint").alias(c) for c in ("loan_count", "dlq30", "dlq90")],
-              F.sum(F.when(yr.isin(list(LEGACY)), F.col("loan_count")).otherwise(0)).cast("bigint").alias("legacy_loans"))
-         .filter(F.col("loan_count").isNotNull()))
-    e = t.econ.select(F.col("state").alias("property_state"), "report_date", "unemployment_rate", "hpi_index")
-    st = g.join(e, ["property_state", "report_date"])
-    st = st.withColumn("dlq_rate", panel.rate(F.col("dlq90"), F.col("loan_count")))
-    kw = dict(by="property_state", order_by="report_date")
-    st = panel.diff_n(st, col="dlq_rate", name="dlq_chg", **kw)
-    # the 30+ rate and its yearly change (used by the HPI analysis; never assigned in the reference)
-    st = st.withColumn("dlq30_rate", panel.rate(F.col("dlq30"), F.col("loan_count")))
-    st = panel.diff_n(st, col="dlq30_rate", name="dlq30_chg", **kw)
-    st = panel.diff_n(st, col="unemployment_rate", name="ur_chg", **kw)
-    st = panel.pct_change_n(st, col="hpi_index", name="hpi_chg", **kw)
-    st = panel.legacy_share(st)
-    st = panel.shift_lag(st, col="ur_chg", k=LAG_UR, name="ur_lag", **kw)
-    st = panel.shift_lag(st, col="hpi_chg", k=LAG_HPI, name="hpi_lag", **kw)
-    return panel.interaction(st, "hpi_lag", "legacy_share", "hpi_x_legacy")
+    return regress.build_state_panel(regress.state_month(t.risk), t.econ, lag_ur=LAG_UR, lag_hpi=LAG_HPI, exclude=EXCLUDE,
+                                     legacy=LEGACY)
 
 
 def tier_panel(t: Tables):
@@ -327,7 +309,7 @@ def _tier_cmp(t: Tables):
     tr, te = tier_train(t)
     p = regress.wls_predict(te, regress.wls_tiered(tr))
     base = regress.wls_intercept_only(tr).withColumnRenamed("base", "pred_base")
-    p = p.join(F.broadcast(base), "tier", "left")
+    p = p.join(base, "tier", "left")
     return regress.weighted_actual_vs_predicted(p, extra=["pred_base"])
 
 
@@ -347,37 +329,176 @@ SELECT p.period, sqrt(AVG(pow(c.predicted - c.actual, 2))) AS model_rmse, sqrt(A
 FROM tcmp c JOIN periods p ON c.report_date >= p.start AND (p."end" IS NULL OR c.report_date <= p."end")
 GROUP BY p.period""", {"periods": _PERIODS_SQL}))
 def _rmse_by_period(t: Tables):
-    periods = t.spark.createDataFrame([(n, s, e) for n, s, e in PERIODS], "period string, start string, end string") \
-        .select("period", F.col("start").cast("date").alias("start"), F.col("end").cast("date").alias("end"))
-    return regress.rmse_by_period(_tier_cmp(t), periods, extra=["pred_base"])
+    return regress.rmse_by_period(_tier_cmp(t), periods_table(t), extra=["pred_base"])
 
 
 def _state_train(t: Tables):
     return regress.train_test_split(state_panel(t), train_end=TRAIN_END, cols=["dlq_chg", "ur_lag", "hpi_lag"])
 
 
-@register("wls_fit", None)
-def _wls_fit(t: Tables):
-    tr, _ = _state_train(t)
-    return regress.wls_fit(tr, y="dlq_chg", x=["ur_lag", "hpi_lag"], weight="loan_count")
+def wls_sql(src: str, y: str, xs: list[str], w: str, cluster: str | None = None, by: str | None = None) -> dict[str, str]:
+    """CTEs of a weighted fit over the view ``src``: ``wfit`` has (by, term, beta, se, n, r2), ``wbeta`` the coefficients in a row.
+
+    Sums, Gauss-Jordan elimination, residuals and the sandwich, step by step.
+    """
+    k, at = len(xs) + 1, range(len(xs) + 1)
+    g = f"{by}, " if by else ""
+    x = ["1.0", *[f"CAST({c} AS DOUBLE)" for c in xs]]
+    cells = [f"{m}{i}_{j}" for m in "ab" for i in at for j in at]
+    keep = ", ".join([*([by] if by else []), "n", "wy", *[f"xy{i}" for i in at], *[f"d{i}" for i in at]])
+    out = {"wdata": f"SELECT {g}CAST({y} AS DOUBLE) AS y, CAST({w} AS DOUBLE) AS w, {', '.join(f'{x[i]} AS x{i}' for i in at)}"
+                    f"{f', {cluster} AS g' if cluster else ''} FROM {src}"}
+    out["ws"] = (f"SELECT {g}COUNT(*) AS n, SUM(w * y) AS wy, {', '.join(f'SUM(w * x{i} * y) AS xy{i}' for i in at)}, "
+                 + ", ".join(f"SUM(w * x{i} * x{j}) AS xx{i}_{j}" for i in at for j in at if i <= j)
+                 + " FROM wdata" + (f" GROUP BY {by}" if by else ""))
+    out["we0"] = (f"SELECT {g}n, wy, {', '.join(f'xy{i}' for i in at)}, {', '.join(f'xx{i}_{i} AS d{i}' for i in at)}, "
+                  + ", ".join(f"xx{min(i, j)}_{max(i, j)} AS a{i}_{j}" for i in at for j in at) + ", "
+                  + ", ".join(f"{1.0 if i == j else 0.0} AS b{i}_{j}" for i in at for j in at) + " FROM ws")
+    for p in at:
+        row = {f"{m}{p}_{j}": f"{m}{p}_{j} / a{p}_{p}" for m in "ab" for j in at}
+        out[f"wr{p}"] = f"SELECT {keep}, {', '.join(f'{row.get(c, c)} AS {c}' for c in cells)} FROM we{p}"
+        elim = [c if c[1:].startswith(f"{p}_") else f"{c} - a{c[1:].split('_')[0]}_{p} * {c[0]}{p}_{c.split('_')[1]}" for c in cells]
+        out[f"we{p + 1}"] = f"SELECT {keep}, {', '.join(f'{e} AS {c}' for e, c in zip(elim, cells))} FROM wr{p}"
+    beta = [" + ".join(f"b{i}_{j} * xy{j}" for j in at) for i in at]
+    out["wbeta"] = f"SELECT *, wy / d0 AS ybar, {', '.join(f'{beta[i]} AS beta{i}' for i in at)} FROM we{k}"
+    on = f"d.{by} = f.{by}" if by else "TRUE"
+    out["wres"] = (f"SELECT d.*, f.ybar, d.y - (f.beta0 + {' + '.join(f'f.beta{i} * d.x{i}' for i in at[1:])}) AS e "
+                   f"FROM wdata d JOIN wbeta f ON {on}")
+    group = f" GROUP BY {by}" if by else ""
+    out["wspread"] = f"SELECT {g}SUM(w * e * e) AS ssr, SUM(w * pow(y - ybar, 2)) AS tss FROM wres{group}"
+    tables = "wbeta f JOIN wspread s ON " + (f"f.{by} = s.{by}" if by else "TRUE")
+    if cluster:
+        out["wper"] = f"SELECT {g}g, {', '.join(f'SUM(w * e * x{i}) AS u{i}' for i in at)} FROM wres GROUP BY {g}g"
+        out["wmeat"] = (f"SELECT {g}COUNT(*) AS G, {', '.join(f'SUM(u{i} * u{j}) AS m{i}_{j}' for i in at for j in at)} FROM wper{group}")
+        tables += " JOIN wmeat m ON " + (f"f.{by} = m.{by}" if by else "TRUE")
+        scale = f"(CAST(m.G AS DOUBLE) / (m.G - 1)) * (CAST(f.n - 1 AS DOUBLE) / (f.n - {k}))"
+        var = [f"{scale} * ({' + '.join(f'f.b{i}_{p} * m.m{p}_{q} * f.b{q}_{i}' for p in at for q in at)})" for i in at]
+    else:
+        var = [f"s.ssr / (f.n - {k}) * f.b{i}_{i}" for i in at]
+    out["wfit"] = " UNION ALL ".join(
+        f"SELECT {f'f.{by}, ' if by else ''}'{t}' AS term, f.beta{i} AS beta, sqrt(greatest({var[i]}, 0.0)) AS se, "
+        f"CAST(f.n AS BIGINT) AS n, 1 - s.ssr / s.tss AS r2 FROM {tables}" for i, t in enumerate(["const", *xs]))
+    return out
+
+
+_XS = ["ur_lag", "hpi_lag"]
+_TRAIN = f"report_date <= DATE '{TRAIN_END}'"
+
+
+def _train_sql(y: str, xs: list[str], where: str = _TRAIN) -> str:
+    return f"SELECT * FROM sp WHERE {where} AND " + " AND ".join(f"{c} IS NOT NULL" for c in [y, *xs])
+
+
+def _fit_query(key: str, y: str, xs: list[str], cluster: str | None):
+    """Register the fit of ``y`` on ``xs`` over the training rows of the state panel."""
+    sql = _state("SELECT term, round(beta, 9) AS beta, round(se, 9) AS se, n, round(r2, 9) AS r2 FROM wfit",
+                 {"strain": _train_sql(y, xs), **wls_sql("strain", y, xs, "loan_count", cluster)})
+
+    @register(key, sql)
+    def run(t: Tables):
+        tr, _ = regress.train_test_split(state_panel(t), train_end=TRAIN_END, cols=[y, *xs])
+        fit = regress.wls_fit(tr, y=y, x=xs, weight="loan_count", cluster=cluster)
+        return _rounded(fit, ["beta", "se", "r2"])
+
+    return run
+
+
+def _rounded(df, cols):
+    return df.withColumns({c: F.round(c, 9) for c in cols})
+
+
+_fit_query("wls_fit", "dlq_chg", _XS, None)
+_fit_query("wls_cluster_se", "dlq_chg", _XS, "property_state")
+_fit_query("wls_fit_legacy", "dlq_chg", ["ur_lag", "legacy_chg"], "property_state")
+_fit_query("wls_fit_hpi", "dlq30_chg", ["hpi_lag", "legacy_chg"], "property_state")
+_fit_query("wls_fit_all", "dlq30_chg", ["ur_lag", "hpi_lag", "legacy_chg"], "property_state")
+_fit_query("wls_fit_interaction", "dlq30_chg", ["ur_lag", "hpi_lag", "legacy_chg", "hpi_x_legacy"], "property_state")
+
+_STATE_FIT = {"strain": _train_sql("dlq_chg", _XS), **wls_sql("strain", "dlq_chg", _XS, "loan_count", "property_state")}
+_METRICS = ", ".join(["MAX(n) AS n_train", "round(MAX(r2), 9) AS r2",
+                      *[f"round(MAX(CASE WHEN term = '{c}' THEN {m} END), 9) AS {c}_{m}" for c in _XS for m in ("beta", "se")]])
+_METRIC_COLS = ["r2", *[f"{c}_{m}" for c in _XS for m in ("beta", "se")]]
+
+
+def state_fit(t: Tables):
+    """(fit, test rows with the prediction) of the state model."""
+    tr, te = _state_train(t)
+    fit = cut(regress.wls_fit(tr, y="dlq_chg", x=_XS, weight="loan_count", cluster="property_state"))
+    return fit, regress.predict_linear(te, fit)
+
+
+@register("fit_metrics", _state(f"SELECT {_METRICS} FROM wfit", _STATE_FIT))
+def _fit_metrics(t: Tables):
+    return _rounded(regress.fit_metrics(state_fit(t)[0], _XS), _METRIC_COLS)
+
 
+_STATE_CMP = {**_STATE_FIT, "stest": _train_sql("dlq_chg", _XS, f"report_date > DATE '{TRAIN_END}'"),
+              "scmp": """SELECT report_date, SUM(dlq_chg * loan_count) / SUM(loan_count) AS actual,
+  SUM((f.beta0 + f.beta1 * ur_lag + f.beta2 * hpi_lag) * loan_count) / SUM(loan_count) AS predicted
+  FROM stest JOIN wbeta f ON TRUE GROUP BY report_date""",
+              "speriods": _PERIODS_SQL,
+              "srmse": """SELECT p.period, sqrt(AVG(pow(c.predicted - c.actual, 2))) AS model_rmse, sqrt(AVG(pow(c.actual, 2))) AS naive_rmse,
+  COUNT(*) AS months FROM scmp c JOIN speriods p ON c.report_date >= p.start AND (p."end" IS NULL OR c.report_date <= p."end")
+  GROUP BY p.period"""}
 
-@register("wls_cluster_se", None)
-def _wls_cluster_se(t: Tables):
-    tr, _ = _state_train(t)
-    return regress.wls_fit(tr, y="dlq_chg", x=["ur_lag", "hpi_lag"], weight="loan_count", cluster="property_state")
 
+@register("state_model_actual_vs_predicted", _state(
+    "SELECT report_date, round(actual, 9) AS actual, round(predicted, 9) AS predicted FROM scmp", _STATE_CMP))
+def _state_model_cmp(t: Tables):
+    return _rounded(regress.weighted_actual_vs_predicted(state_fit(t)[1]), ["actual", "predicted"])
 
-@register("fit_metrics", None)
-def _fit_metrics(t: Tables):
-    tr, _ = _state_train(t)
-    fit = regress.wls_fit(tr, y="dlq_chg", x=["ur_lag", "hpi_lag"], weight="loan_count", cluster="property_state")
-    return regress.fit_metrics(fit, ["ur_lag", "hpi_lag"])
+
+def periods_table(t: Tables):
+    return t.spark.createDataFrame([(n, s, e) for n, s, e in PERIODS], "period string, start string, end string") \
+        .select("period", F.col("start").cast("date").alias("start"), F.col("end").cast("date").alias("end"))
+
+
+def state_scores(t: Tables, tested):
+    return regress.rmse_by_period(regress.weighted_actual_vs_predicted(tested), periods_table(t))
 
 
-@register("lag_sensitivity", None)
+@register("state_model_rmse", _state(
+    "SELECT period, round(model_rmse, 9) AS model_rmse, round(naive_rmse, 9) AS naive_rmse, months FROM srmse", _STATE_CMP))
+def _state_model_rmse(t: Tables):
+    return _rounded(state_scores(t, state_fit(t)[1]), ["model_rmse", "naive_rmse"])
+
+
+_LAGS = (3, 5, 7, 8)
+_LAG_ROWS = " UNION ALL ".join(
+    f"SELECT CAST({k} AS INTEGER) AS lag, property_state, dlq_chg, loan_count, hpi_lag, lag{k} AS ur_lag FROM slags "
+    f"WHERE {_TRAIN} AND dlq_chg IS NOT NULL AND hpi_lag IS NOT NULL AND lag{k} IS NOT NULL" for k in _LAGS)
+
+
+@register("lag_sensitivity", _state(
+    "SELECT lag, round(beta, 9) AS beta, round(se, 9) AS se, round(r2, 9) AS r2, n FROM wfit WHERE term = 'ur_lag'",
+    {"slags": f"SELECT *, {', '.join(f'LAG(ur_chg, {k}) OVER {_W} AS lag{k}' for k in _LAGS)} FROM sp", "lagged": _LAG_ROWS,
+     **wls_sql("lagged", "dlq_chg", _XS, "loan_count", "property_state", by="lag")}))
 def _lag_sensitivity(t: Tables):
-    return regress.lag_sensitivity(state_panel(t), train_end=TRAIN_END)
+    return _rounded(regress.lag_sensitivity(state_panel(t), lags=_LAGS, train_end=TRAIN_END), ["beta", "se", "r2"])
+
+
+# the log holds two runs of the same model: one row each
+MODEL_LOG_DATE = "2026-06-01"
+_SCORE_COLS = [c for n, _, _ in PERIODS for c in (f"rmse_{n}", f"naive_{n}")]
+_LOG_SQL = (f"SELECT DATE '{MODEL_LOG_DATE}' AS run_date, (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT "
+            f"CAST(orig_year AS VARCHAR) AS v FROM sm WHERE orig_year NOT IN ({_EX})) x) AS vintages, m.*, "
+            + ", ".join(f"(SELECT round({c}_rmse, 9) FROM srmse WHERE period = '{n}') AS {a}_{n}"
+                        for n, _, _ in PERIODS for c, a in (("model", "rmse"), ("naive", "naive")))
+            + f" FROM (SELECT {_METRICS} FROM wfit) m")
+
+
+@register("sink_model_log", _state(f"SELECT * FROM ml UNION ALL SELECT * FROM ml", {**_STATE_CMP, "ml": _LOG_SQL}))
+def _sink_model_log(t: Tables):
+    fit, tested = state_fit(t)
+    years = filters.exclude_vintages(regress.state_month(t.risk), EXCLUDE).filter(F.col("orig_year").isNotNull())
+    vintages = years.agg(F.array_join(F.sort_array(F.collect_set(F.col("orig_year").cast("string"))), ",")).scalar()
+    row = sinks.model_log_row(regress.fit_metrics(fit, _XS), run_date=MODEL_LOG_DATE, vintages=vintages,
+                              scores=state_scores(t, tested), periods=[n for n, _, _ in PERIODS])
+    row = cut(_rounded(row, [*_METRIC_COLS, *_SCORE_COLS]))
+    path = scratch_path(t.spark, "model-log")
+    sinks.sink_model_log(row, path)
+    sinks.sink_model_log(row, path)
+    return t.spark.read.schema(row.schema).option("header", "true").csv(path)
 
 
 def _book_b(t: Tables):
@@ -456,12 +577,12 @@ def _state_scorecard(t: Tables):
 # ---------------------------------------------------------------------------------
 
 _SMD_SQL = f"""SELECT reporting_date, property_state,
-  CAST(SUM(CASE WHEN orig_year NOT BETWEEN {min(EXCLUDE)} AND {max(EXCLUDE)} THEN 1 ELSE 0 END) AS BIGINT) AS loan_count,
-  CAST(SUM(CASE WHEN orig_year NOT BETWEEN {min(EXCLUDE)} AND {max(EXCLUDE)} AND dq_status >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS dlq30,
-  CAST(SUM(CASE WHEN orig_year NOT BETWEEN {min(EXCLUDE)} AND {max(EXCLUDE)} AND dq_status >= 3 THEN 1 ELSE 0 END) AS BIGINT) AS dlq90,
+  CAST(SUM(CASE WHEN orig_year NOT IN ({_EX}) OR orig_year IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS loan_count,
+  CAST(SUM(CASE WHEN (orig_year NOT IN ({_EX}) OR orig_year IS NULL) AND dq_status >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS dlq30,
+  CAST(SUM(CASE WHEN (orig_year NOT IN ({_EX}) OR orig_year IS NULL) AND dq_status >= 3 THEN 1 ELSE 0 END) AS BIGINT) AS dlq90,
   CAST(SUM(CASE WHEN orig_year IN ({_LEG}) THEN 1 ELSE 0 END) AS BIGINT) AS legacy_loans
 FROM perf WHERE upb > 0 AND dq_status IS NOT NULL AND loan_age >= 24 GROUP BY 1, 2"""
-_SMD = {"perf": __import__("loanlens.plans.catalog", fromlist=["_PERF_SQL"])._PERF_SQL, "smd0": _SMD_SQL,
+_SMD = {"perf": _PERF_SQL, "smd0": _SMD_SQL,
         "smd": """SELECT *, CAST(dlq30 AS DOUBLE) / CAST(loan_count AS DOUBLE) * 100 AS dlq30_rate,
   CAST(dlq90 AS DOUBLE) / CAST(loan_count AS DOUBLE) * 100 AS dlq90_rate FROM smd0 WHERE loan_count > 0"""}
 
@@ -504,6 +625,59 @@ def _weighted_unemployment_dropna(t: Tables):
     return reports.weighted_unemployment(_smd(t), t.econ, drop_missing=True)
 
 
+def _nation(t: Tables):
+    """The national series: one row a month, so its lags need one small window."""
+    smd = cut(_smd(t))
+    n = reports.national_dq(smd).join(reports.weighted_unemployment(smd, t.econ).select("reporting_date", "unemployment_rate"),
+                                      "reporting_date")
+    n = n.select(F.col("reporting_date").alias("report_date"), "dlq90_rate", "unemployment_rate")
+    n = panel.diff_n(n, by=(), order_by="report_date", col="dlq90_rate", name="dlq90_chg")
+    return panel.diff_n(n, by=(), order_by="report_date", col="unemployment_rate", name="ur_chg")
+
+
+def _nation_sql(where: str) -> str:
+    over = "OVER (ORDER BY report_date)"
+    lags = ", ".join(f"LAG(ur_chg, {k}) {over} AS x{k}" for k in range(13))
+    return Q(" UNION ALL ".join(f"SELECT {k} AS lag, corr(dlq90_chg, x{k}) AS corr FROM lc" for k in range(13)), {
+        **_SMD,
+        "nat0": """SELECT s.reporting_date AS report_date, CAST(SUM(s.dlq90) AS DOUBLE) / CAST(SUM(s.loan_count) AS DOUBLE) * 100 AS dlq90_rate,
+  COALESCE(SUM(e.unemployment_rate * s.loan_count), 0.0) / CAST(SUM(s.loan_count) AS DOUBLE) AS unemployment_rate
+  FROM smd s LEFT JOIN econ e ON e.state = s.property_state AND e.report_date = s.reporting_date GROUP BY 1""",
+        "nat": f"""SELECT report_date, dlq90_rate - LAG(dlq90_rate, 12) {over} AS dlq90_chg,
+  unemployment_rate - LAG(unemployment_rate, 12) {over} AS ur_chg FROM nat0""",
+        "lc": f"SELECT dlq90_chg, {lags} FROM nat WHERE {where}"})
+
+
+@register("lag_correlation_national", _nation_sql("TRUE"))
+def _lag_correlation_national(t: Tables):
+    return panel.lag_correlation(_nation(t), y="dlq90_chg", x="ur_chg", max_lag=12)
+
+
+@register("lag_correlation_national_train", _nation_sql(f"report_date <= DATE '{TRAIN_END}'"))
+def _lag_correlation_national_train(t: Tables):
+    return panel.lag_correlation(filters.period_slice(_nation(t), None, TRAIN_END), y="dlq90_chg", x="ur_chg", max_lag=12)
+
+
+_CAL = "(PARTITION BY property_state ORDER BY year(report_date) * 12 + month(report_date) RANGE BETWEEN {n} PRECEDING AND {n} PRECEDING)"
+
+
+@register("diff_12_calendar", _state(f"""SELECT property_state, report_date, ur_chg, first(ur_chg) OVER {_CAL.format(n=5)} AS ur_lag FROM (
+  SELECT property_state, report_date, unemployment_rate - first(unemployment_rate) OVER {_CAL.format(n=12)} AS ur_chg
+  FROM sp0 WHERE month(report_date) <> 7) g"""))
+def _diff_12_calendar(t: Tables):
+    """Lags by the calendar on series whose Julys are missing."""
+    p = state_panel(t).select("property_state", "report_date", "unemployment_rate").filter(F.month("report_date") != 7)
+    kw = dict(by="property_state", order_by="report_date", calendar=True)
+    p = panel.shift_lag(panel.diff_n(p, col="unemployment_rate", name="ur_chg", **kw), col="ur_chg", k=5, name="ur_lag", **kw)
+    return p.select("property_state", "report_date", "ur_chg", "ur_lag")
+
+
+@register("tier_mix_beta", _tier("""SELECT m.issuer_title, m.tier, m.loans, f.beta FROM mix m LEFT JOIN tfit f ON f.tier = m.tier""",
+                                 {"mix": _TIER_MIX_SQL}))
+def _tier_mix_beta(t: Tables):
+    return reports.tier_mix_beta(reports.tier_mix(t.loan_static, t.issuer_info), tier_fit(t))
+
+
 @register("join_scenario", _tier(f"""SELECT b.state_code, b.tier, b.loans, b.{UPB}, s.ur_shock FROM book b
 JOIN shock s ON s.state = b.state_code""", {"book": _RISK_BOOK_SQL, "shock": _SHOCK_SQL}))
 def _join_scenario(t: Tables):
@@ -513,7 +687,7 @@ def _join_scenario(t: Tables):
 
 
 _RISK_BOOK_ISSUER_SQL = f"""SELECT b.*, i.issuer_name, i.issuer_group FROM (
-SELECT upper(trim(t.state_code)) AS state_code, {__import__("loanlens.plans.catalog", fromlist=["_BOOK_TIER"])._BOOK_TIER} AS tier,
+SELECT upper(trim(t.state_code)) AS state_code, {_BOOK_TIER} AS tier,
   t2.issuer_id, COUNT(*) AS loans, {money('t2.' + UPB)} AS {UPB}
 FROM loan_monthly t2 JOIN loan_static t ON t.loan_id = t2.loan_id
 WHERE t2.report_date = (SELECT MAX(report_date) FROM loan_monthly) GROUP BY 1, 2, 3) b
@@ -535,7 +709,7 @@ _ISSUER_STRESS = {
 
 @register("issuer_scorecard", _tier("""
 SELECT issuer_id, issuer_name, _u / 1e9 AS upb_bn, _bu / _u AS mix_beta, _s / _u * 100 AS proj_dlq_chg,
-  _unk / _u * 100 AS unknown_pct, _u / (SELECT SUM(_u) FROM ig) * 100 AS upb_share,
+  _s / 1e9 AS stressed_upb_bn, _unk / _u * 100 AS unknown_pct, _u / (SELECT SUM(_u) FROM ig) * 100 AS upb_share,
   _s / (SELECT SUM(_s) FROM ig) * 100 AS stress_share,
   (_s / (SELECT SUM(_s) FROM ig) * 100) / (_u / (SELECT SUM(_u) FROM ig) * 100) AS conc_ratio,
   (_bu / _u) / (SELECT SUM(_bu) / SUM(_u) FROM ig) AS mix_vs_peer,

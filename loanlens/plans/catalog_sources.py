@@ -11,13 +11,14 @@ directly from the tables.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loanlens.functions import rules
 from loanlens.operators import reports
+from loanlens.plans import fixtures
 from loanlens.plans.adapter import Tables
-from loanlens.plans.catalog import UPB, Q, register
+from loanlens.plans.catalog import _PERF_SQL, UPB, Q, register
 from loanlens.plans.catalog_maintain import FNMA_SQL, LL_SQL, LR_SQL, M_SQL, fnma, ll, lr, mstg
+from loanlens.plans.sqlfrag import pct
 from loanlens.session import scratch_path
 from loanlens.sources import feeds, records, render, sinks
 from loanlens.sources.layouts import FNMA_FIELDS, LL_FIELDS, LR_FIELDS, LR_KEPT, M_FIELDS, M_ISSUER_POSITIONS, N_FIELDS
@@ -36,16 +37,22 @@ def _landed_lr(t: Tables) -> str:
     return _land(lines, t.landed("lr"))
 
 
-def _land(lines, path: str) -> str:
-    spark = lines.sparkSession
+def _once(spark, path: str, write) -> str:
+    """Run ``write`` unless ``path`` is complete (its ``_SUCCESS`` marker is there)."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        w = lines.write.mode("overwrite")
-        (w.partitionBy("file") if "file" in lines.columns else w).text(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        write()
     return path
 
 
+def _land(lines, path: str) -> str:
+    """Text files, one folder per ``file`` value; rows of a file lie together, so a folder gets few files."""
+    if "file" not in lines.columns:
+        return _once(lines.sparkSession, path, lambda: lines.write.mode("overwrite").text(path))
+    return _once(lines.sparkSession, path, lambda: lines.repartitionByRange("file", "value").write.mode("overwrite")
+                 .partitionBy("file").text(path))
+
+
 def _n_staging(t: Tables):
     p = t.pool_loans
     lid = F.col("cusip")
@@ -147,7 +154,7 @@ _FNMA_USED = ["loan_identifier", "monthly_reporting_period", "servicer_name", "c
 
 
 @register("src_fnma_perf", Q(f"SELECT {', '.join(_FNMA_USED)} FROM fs", {
-    "perf": __import__("loanlens.plans.catalog", fromlist=["_PERF_SQL"])._PERF_SQL, "fs": FNMA_SQL}))
+    "perf": _PERF_SQL, "fs": FNMA_SQL}))
 def _src_fnma_perf(t: Tables):
     s = fnma(t)
     # five trailing columns past the 50 kept, as in the full file
@@ -158,14 +165,14 @@ def _src_fnma_perf(t: Tables):
 
 def _landed_ll_zip(t: Tables) -> str:
     """The landed LL record files, each part packed into a zip archive with a small readme member."""
-    path = t.landed("ll_zip")
-    spark = t.spark
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        sinks.sink_zip_archives(_landed_ll(t), path, member_note="loan-level disclosure records, pipe delimited")
-        fs.create(p, True).close()
-    return path
+    path, spark = t.landed("ll_zip"), t.spark
+
+    def pack():
+        fixtures.pack_zip_archives(spark, _landed_ll(t), path, member_note="loan-level disclosure records, pipe delimited")
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
+
+    return _once(spark, path, pack)
 
 
 @register("src_zip_member", Q("""
@@ -185,25 +192,32 @@ UNION SELECT DISTINCT 'liquidations', report_date FROM loan_monthly WHERE curren
 
 @register("src_report_month", Q(_MONTHS_SQL))
 def _src_report_month(t: Tables):
-    lines = records.read_lines(t.spark, [_landed_ll(t), _landed_lr(t)])
-    c = records.classify_required(lines)
-    return c.select("file_type", "report_date").distinct()
+    # file names come from a listing, not from the lines
+    files = records.list_files(t.spark, [_landed_ll(t), _landed_lr(t)]).select(F.col("path").alias("source"))
+    return records.classify_required(files).select("file_type", "report_date").distinct()
+
 
+_INBOX_SQL = """SELECT 'loans' AS file_type, report_date, strftime(report_date, '%Y%m') AS month FROM loan_monthly GROUP BY report_date
+UNION ALL SELECT 'liquidations', report_date, strftime(report_date, '%Y%m') FROM loan_monthly
+WHERE current_month_liquidation = 'Y' GROUP BY report_date"""
 
-@register("src_inbox", Q(_MONTHS_SQL))
+
+@register("src_inbox", Q(f"""SELECT file_type, report_date, CASE WHEN file_type = 'liquidations' THEN 'flat'
+  WHEN CAST(right(month, 2) AS INTEGER) % 3 = 0 THEN 'zip' ELSE 'nested' END AS place, CAST(1 AS BIGINT) AS listed FROM ({_INBOX_SQL}) f"""))
 def _src_inbox(t: Tables):
-    _landed_ll(t), _landed_lr(t)
-    base = t.landed("")
-    ll_files = records.inbox_files(t.spark, f"{base}ll")
-    lr_files = records.inbox_files(t.spark, f"{base}lr")
-    return ll_files.unionByName(lr_files).select("file_type", "report_date").distinct()
+    """Every file of an inbox with flat, nested and zipped files is listed once."""
+    files = records.inbox_files(t.spark, fixtures.inbox(t))
+    place = F.when(F.lower("file_name").endswith(".zip"), "zip").when(F.col("depth") == 1, "flat").otherwise("nested")
+    g = files.groupBy("file_type", "report_date", place.alias("place")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("path").alias("d"))
+    return g.select("file_type", "report_date", "place", F.expr("n div d").alias("listed"))
 
 
 @register("src_new_issuance", Q("""
 SELECT disclosure_sequence_number, unpaid_principal_balance, state_code, DATE '2001-12-01' AS as_of_date FROM ll
 WHERE report_date >= DATE '2001-01-01'""", {"ll": LL_SQL}))
 def _src_new_issuance(t: Tables):
-    r = feeds.read_new_issuance(t.spark, f"{_landed_ll(t)}/file=llmon1_2001*", as_of="2001-12-01")
+    r = feeds.read_new_issuance(t.spark, _landed_ll(t), as_of="2001-12-01", since="2001-01-01")
     return r.select("disclosure_sequence_number", "unpaid_principal_balance", "state_code", "as_of_date")
 
 
@@ -225,10 +239,7 @@ def _landed_econ(t: Tables) -> tuple[str, str]:
     out = []
     for name, df in (("ur", ur), ("hpi", hpi)):
         path = t.landed(f"econ_{name}")
-        p = t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-        fs = p.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            df.write.mode("overwrite").partitionBy("series").option("header", "true").csv(path)
+        _once(t.spark, path, lambda df=df, path=path: df.write.mode("overwrite").partitionBy("series").option("header", "true").csv(path))
         out.append(path)
     return out[0], out[1]
 
@@ -254,10 +265,7 @@ def _landed_declarations(t: Tables) -> str:
                    F.when(F.col("declaration_type") == "DR", iso(F.date_add("declaration_date", 10))).alias("incidentEndDate"),
                    F.col("declaration_type").alias("declarationType"))
     path = t.landed("declarations")
-    p = t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = p.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        rec.write.mode("overwrite").json(path)
+    _once(t.spark, path, lambda: rec.write.mode("overwrite").json(path))
     return path
 
 
@@ -298,10 +306,7 @@ def _landed_alerts(t: Tables) -> str:
                      F.date_format(F.col("ts") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss").alias("expires"))
     rec = a.select(F.concat(F.lit("urn:alert:"), F.col("event_id").cast("string")).alias("id"), props.alias("properties"))
     path = t.landed("alerts")
-    p = t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = p.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        rec.write.mode("overwrite").json(path)
+    _once(t.spark, path, lambda: rec.write.mode("overwrite").json(path))
     return path
 
 
@@ -357,10 +362,7 @@ def _src_dq_ratios(t: Tables):
                      F.date_format("report_date", "yyyy-MM-dd").alias("Report Date"),
                      *[_ratio_text(c, "n").alias(a) for c, a in [("c2", "DQ2"), ("c3", "DQ3"), ("cp", "DQP"), ("cf", "FIC")]])
     path = t.landed("dq_ratios")
-    p = t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = p.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        sheet.write.mode("overwrite").option("header", "true").csv(path)
+    _once(t.spark, path, lambda: sheet.write.mode("overwrite").option("header", "true").csv(path))
     return feeds.read_dq_ratios(t.spark, path)
 
 
@@ -371,6 +373,25 @@ def _src_dq_ratios(t: Tables):
 _PL_COLS = f"cusip, as_of_date, months_delinquent, {UPB}"
 
 
+@register("src_mf_loans", Q(f"""
+SELECT CAST(cusip AS VARCHAR) AS cusip, 'P' || CAST(cusip % 1000 AS VARCHAR) AS pool_number, 'X' AS pool_indicator, pool_type,
+  loan_interest_rate AS security_interest_rate, CAST(issuer_number AS INTEGER) AS issuer_number, 'PN' AS loan_type, loan_interest_rate,
+  {UPB}, CAST(months_delinquent AS INTEGER) AS months_delinquent, 'Property ' || CAST(cusip AS VARCHAR) AS property_name,
+  CAST(NULL AS VARCHAR) AS property_street, CAST(NULL AS VARCHAR) AS property_city, property_state,
+  CAST(10000 + cusip % 89999 AS VARCHAR) AS property_zip, loan_maturity_date AS report_date FROM pool_loans"""))
+def _src_mf_loans(t: Tables):
+    p, path = t.pool_loans, t.landed("mf_loans")
+    lid = F.col("cusip")
+    vals = {"CUSIP": lid, "Pool_Number": F.concat(F.lit("P"), (lid % 1000).cast("string")), "Pool_Indicator": F.lit("X"),
+            "Pool_Type": F.col("pool_type"), "Security_Interest_Rate": F.col("loan_interest_rate"), "Issuer_Number": F.col("issuer_number"),
+            "Loan_Type": F.lit("PN"), "Loan_Interest_Rate": F.col("loan_interest_rate"), "Unpaid_Principal_Balance": F.col(UPB),
+            "Months_Delinquent": F.col("months_delinquent"), "Property_Name": F.concat(F.lit("Property "), lid.cast("string")),
+            "Property_State": F.col("property_state"), "Property_Zip": 10000 + lid % 89999, "Report_Date": F.col("loan_maturity_date")}
+    sheet = p.select(*[vals.get(c, F.lit("")).cast("string").alias(c) for c in feeds.MF_LOAN_COLUMNS])
+    _once(t.spark, path, lambda: sheet.write.mode("overwrite").option("header", "true").csv(path))
+    return feeds.read_mf_loans(t.spark, path)
+
+
 @register("sink_append", Q(f"""SELECT {_PL_COLS} FROM pool_loans WHERE as_of_date < '199901'
 UNION ALL SELECT {_PL_COLS} FROM pool_loans WHERE as_of_date >= '199806'"""))
 def _sink_append(t: Tables):
@@ -406,30 +427,12 @@ def _sink_replace_partitions(t: Tables):
 
 @register("sink_csv_result", Q(f"""
 SELECT property_state, COUNT(*) AS loan_count, CAST(SUM({UPB}) AS DECIMAL(38,2)) AS total_upb,
-  {__import__("loanlens.plans.sqlfrag", fromlist=["pct"]).pct(f"SUM({UPB})", "(SELECT SUM(unpaid_principal_balance) FROM pool_loans)")} AS pct_of_total_upb,
+  {pct(f"SUM({UPB})", "(SELECT SUM(unpaid_principal_balance) FROM pool_loans)")} AS pct_of_total_upb,
   CAST(SUM(CASE WHEN months_delinquent > 0 THEN 1 ELSE 0 END) AS BIGINT) AS delinquent_loans,
-  {__import__("loanlens.plans.sqlfrag", fromlist=["pct"]).pct("SUM(CASE WHEN months_delinquent > 0 THEN 1 ELSE 0 END)", "COUNT(*)")} AS delinquency_rate
+  {pct("SUM(CASE WHEN months_delinquent > 0 THEN 1 ELSE 0 END)", "COUNT(*)")} AS delinquency_rate
 FROM pool_loans GROUP BY property_state"""))
 def _sink_csv_result(t: Tables):
     res = reports.geo_concentration(t.pool_loans, top=None)
     path = scratch_path(t.spark, "sink-csv")
     sinks.sink_csv_result(res, path)
     return t.spark.read.schema(res.schema).option("header", "true").csv(path)
-
-
-@register("sink_model_log", None)
-def _sink_model_log(t: Tables):
-    from loanlens.operators import regress
-    from loanlens.plans.catalog_models import TRAIN_END, state_panel
-
-    tr, _ = regress.train_test_split(state_panel(t), train_end=TRAIN_END, cols=["dlq_chg", "ur_lag", "hpi_lag"])
-    fit = regress.wls_fit(tr, y="dlq_chg", x=["ur_lag", "hpi_lag"], weight="loan_count", cluster="property_state")
-    row = sinks.model_log_row(regress.fit_metrics(fit, ["ur_lag", "hpi_lag"]), run_date="2026-06-01",
-                              vintages="1995,1996,1998,1999,2000,2001")
-    path = scratch_path(t.spark, "model-log")
-    sinks.sink_model_log(row, path)
-    sinks.sink_model_log(row, path)
-    return t.spark.read.option("header", "true").csv(path)
-
-
-_unused = (T, LR_KEPT)

@@ -9,26 +9,30 @@ resulting table; the oracle is the equivalent batch SQL.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from loanlens.plans import fixtures
 from loanlens.plans.adapter import Tables
-from loanlens.plans.catalog import UPB, Q, register
-from loanlens.plans.catalog_maintain import LL_SQL
+from loanlens.plans.catalog import Q, register
+from loanlens.plans.catalog_maintain import LL_SQL, LR_SQL
+from loanlens.plans.catalog_sources import _once
 from loanlens.session import scratch_path
 from loanlens.streaming import streams
 
 NOW = "2026-06-01 00:00:00"
+BATCHES = 4  # micro-batches that the landed events make
 
 
 def _ingest(t: Tables, runs: int = 1):
-    from loanlens.plans.catalog_sources import _landed_ll
-
-    inbox = _landed_ll(t)
+    """Paths of the tables that ``runs`` streams made from the inbox (flat, nested, zipped; loans and liquidations)."""
+    inbox = fixtures.inbox(t)
     base = scratch_path(t.spark, "stream-ingest")
+    t.issuer_info.withColumn("issuer_number", F.col("issuer_number").cast("int")).write.parquet(f"{base}/issuers")
     for i in range(runs):
-        q = streams.stream_ingest(t.spark, inbox, monthly_path=f"{base}/monthly", static_path=f"{base}/static",
-                                  log_path=f"{base}/log", checkpoint=f"{base}/_checkpoint{i}", max_files=200, now=NOW)
-        q.awaitTermination()
-    return t.spark.read.parquet(f"{base}/monthly")
+        streams.stream_ingest(t.spark, inbox, monthly_path=f"{base}/monthly", static_path=f"{base}/static",
+                              liquidations_path=f"{base}/liquidations", log_path=f"{base}/log", issuer_path=f"{base}/issuers",
+                              checkpoint=f"{base}/_checkpoint{i}", max_files=200, now=NOW).awaitTermination()
+    return base
 
 
 _MONTHLY_SQL = Q("""
@@ -38,33 +42,78 @@ SELECT disclosure_sequence_number, CAST(issuer_id AS INTEGER) AS issuer_id,
   CASE WHEN CAST(months_delinquent AS INTEGER) = 0 THEN 'Current' ELSE 'Delinquent' END AS delinquency_status, report_date
 FROM ll""", {"ll": LL_SQL})
 
-
-@register("stream_ingest", _MONTHLY_SQL)
+_LOADED_SQL = f"""
+SELECT 'monthly' AS tbl, disclosure_sequence_number AS id, report_date, CAST(issuer_id AS BIGINT) AS n,
+  CAST(unpaid_principal_balance AS DECIMAL(14,2)) AS amount,
+  CASE WHEN CAST(months_delinquent AS INTEGER) = 0 THEN 'Current' ELSE 'Delinquent' END AS label FROM ll
+UNION ALL SELECT 'static', disclosure_sequence_number, CAST(TIMESTAMP '{NOW}' AS DATE), CAST(credit_score AS BIGINT),
+  CAST(original_principal_balance AS DECIMAL(14,2)), state_code FROM (
+  SELECT *, row_number() OVER (PARTITION BY disclosure_sequence_number ORDER BY as_of_date DESC) AS rn FROM ll) x WHERE rn = 1
+UNION ALL SELECT 'liquidations', disclosure_sequence_number, report_date, CAST(issuer_id AS BIGINT),
+  CAST(liquidation_balance AS DECIMAL(14,2)), removal_reason FROM lr
+UNION ALL SELECT 'log', 'loans', report_date, COUNT(*), CAST(0 AS DECIMAL(14,2)), 'files' FROM ll GROUP BY report_date
+UNION ALL SELECT 'log', 'liquidations', report_date, COUNT(*), CAST(0 AS DECIMAL(14,2)), 'files' FROM lr GROUP BY report_date
+UNION ALL SELECT 'issuers', CAST(i.issuer_number AS VARCHAR), CAST(TIMESTAMP '{NOW}' AS DATE), CAST(c.n AS BIGINT),
+  CAST(0 AS DECIMAL(14,2)), CASE WHEN c.n IS NULL THEN i.issuer_group ELSE 'Very Small' END FROM issuer_info i LEFT JOIN (
+  SELECT issuer_id, COUNT(*) AS n FROM (SELECT *, dense_rank() OVER (PARTITION BY issuer_id ORDER BY report_date DESC) AS r
+  FROM loan_monthly) y WHERE r = 1 GROUP BY issuer_id) c ON c.issuer_id = i.issuer_number"""
+
+
+@register("stream_ingest", Q(_LOADED_SQL, {"ll": LL_SQL, "lr": LR_SQL}))
 def _stream_ingest(t: Tables):
-    return _ingest(t)
+    """Everything the loader made: loan-months, static loans, liquidations, log and issuer bands."""
+    base = _ingest(t)
+    read = t.spark.read.parquet
+    amount = lambda c: F.col(c).cast("decimal(14,2)").alias("amount")
+    none = F.lit(0).cast("decimal(14,2)").alias("amount")
+    monthly, liq, issuers = read(f"{base}/monthly"), read(f"{base}/liquidations"), read(f"{base}/issuers")
+    month = F.max("report_date").over(Window.partitionBy("issuer_id"))
+    latest = (monthly.groupBy("issuer_id", "report_date").agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("m", month).filter("report_date = m").select("issuer_id", "n"))
+    log = streams.load_log(t.spark, f"{base}/log")
+    parts = [
+        monthly.select(F.lit("monthly").alias("tbl"), F.col("disclosure_sequence_number").alias("id"), "report_date",
+                       F.col("issuer_id").cast("bigint").alias("n"), amount("unpaid_principal_balance"),
+                       F.col("delinquency_status").alias("label")),
+        read(f"{base}/static").select(F.lit("static").alias("tbl"), F.col("disclosure_sequence_number").alias("id"),
+                                      F.to_date("created_at").alias("report_date"), F.col("credit_score").cast("bigint").alias("n"),
+                                      amount("original_principal_balance"), F.col("state_code").alias("label")),
+        liq.select(F.lit("liquidations").alias("tbl"), F.col("disclosure_sequence_number").alias("id"), "report_date",
+                   F.col("issuer_id").cast("bigint").alias("n"), amount("liquidation_balance"), F.col("removal_reason").alias("label")),
+        log.groupBy("file_type", "report_date").agg(F.sum("rows_loaded").alias("n")).select(
+            F.lit("log").alias("tbl"), F.col("file_type").alias("id"), "report_date", "n", none, F.lit("files").alias("label")),
+        issuers.join(latest, issuers.issuer_number == latest.issuer_id, "left").select(
+            F.lit("issuers").alias("tbl"), F.col("issuer_number").cast("string").alias("id"), F.to_date(F.lit(NOW)).alias("report_date"),
+            "n", none, F.col("issuer_group").alias("label"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @register("stream_replace_period", _MONTHLY_SQL)
 def _stream_replace_period(t: Tables):
-    return _ingest(t, runs=2)
+    """The inbox delivered to two streams in turn: the second replaces the months of the first."""
+    return t.spark.read.parquet(f"{_ingest(t, runs=2)}/monthly")
 
 
 def _landed_events(t: Tables, name: str = "events_stream", copies: int = 1) -> str:
+    """The events in files ordered by time, as many as the data asks for."""
     path = t.landed(name)
-    p = t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = p.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
+
+    def write():
         e = t.raw("events").select("event_id", "ts", "user_id", "event_type", "value")
-        for i in range(1, copies):
+        for _ in range(1, copies):
             e = e.unionByName(t.raw("events").select("event_id", "ts", "user_id", "event_type", "value"))
-        e.repartitionByRange(8, "ts").write.mode("overwrite").parquet(path)
-    return path
+        e.repartitionByRange(t.write_tasks(), "ts").write.mode("overwrite").parquet(path)
+
+    return _once(t.spark, path, write)
 
 
 def _alerts_stream(t: Tables, copies: int = 1):
     path = _landed_events(t, f"events_stream_x{copies}", copies)
     schema = t.spark.read.parquet(path).schema
-    e = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(path)
+    e = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", -(-t.write_tasks() // BATCHES)).parquet(path)
     et, v = F.col("event_type"), F.col("value")
     return e.select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("NATION_"), (F.col("user_id") % 25).cast("string")).alias("state"),
@@ -105,5 +154,3 @@ def _stream_dedupe(t: Tables):
     streams.run_to_table(d, path, f"{path}_checkpoint", mode="append")
     return t.spark.read.parquet(path).drop("batch_id").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
-
-_ = UPB

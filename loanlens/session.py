@@ -66,6 +66,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Remove a written intermediate table that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut(df):
     """Cut the lineage of a small result by a reliable checkpoint into the shared checkpoint folder.
 

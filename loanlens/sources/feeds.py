@@ -17,7 +17,7 @@ from loanlens.functions import rules
 from loanlens.functions.clean import blank_null
 from loanlens.operators.panel import ffill
 from loanlens.sources.layouts import FNMA_FIELDS, LL_FIELDS
-from loanlens.sources.records import read_records
+from loanlens.sources.records import read_records, report_month
 
 # ---------------------------------------------------------------------------------
 # Second agency performance file
@@ -153,7 +153,28 @@ def read_dq_ratios(spark: SparkSession, path: str) -> DataFrame:
                      dec("DQ2").alias("dq2"), dec("DQ3").alias("dq3"), dec("DQP").alias("dqp"), dec("FIC").alias("fic"))
 
 
-def read_new_issuance(spark: SparkSession, paths, *, as_of) -> DataFrame:
-    """Daily new-issuance LL file, with the operator-supplied as-of date replacing the file's."""
+def read_new_issuance(spark: SparkSession, paths, *, as_of, since=None) -> DataFrame:
+    """New-issuance LL files, with the operator-supplied as-of date replacing the file's.
+
+    ``since`` keeps the files whose name (or folder) says that month or a later one; the
+    other files' names are all that is looked at, their lines are filtered out in the scan.
+    """
     r = read_records(spark, paths, "LL", LL_FIELDS)
+    if since is not None:
+        r = r.filter(report_month(F.col("source")) >= F.lit(since).cast("date"))
     return r.drop("as_of_date").withColumn("as_of_date", F.lit(as_of).cast("date"))
+
+
+MF_LOAN_COLUMNS = ["CUSIP", "Pool_Number", "Pool_Indicator", "Pool_Type", "Security_Interest_Rate", "Issuer_Number", "Loan_Type",
+                   "Loan_Interest_Rate", "Unpaid_Principal_Balance", "Months_Delinquent", "Property_Name", "Property_Street",
+                   "Property_City", "Property_State", "Property_Zip", "Report_Date"]  # fixed values: columns of the sheet
+
+
+def read_mf_loans(spark: SparkSession, path: str) -> DataFrame:
+    """Multifamily loan sheet exported as CSV (16 columns, lower-case names out), numbers and the date typed; bad values -> null."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in MF_LOAN_COLUMNS])
+    df = spark.read.schema(schema).option("header", "true").csv(path)
+    kinds = {"Security_Interest_Rate": "decimal(6,3)", "Loan_Interest_Rate": "decimal(6,3)", "Issuer_Number": "int",
+             "Unpaid_Principal_Balance": "decimal(14,2)", "Months_Delinquent": "int", "Report_Date": "date"}
+    return df.select(*[(blank_null(F.col(c)).try_cast(kinds[c]) if c in kinds else blank_null(F.col(c))).alias(c.lower())
+                       for c in MF_LOAN_COLUMNS])

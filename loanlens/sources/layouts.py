@@ -65,7 +65,6 @@ M_FIELDS = [
 ]
 # Issuer part and loan part of an M record (0-based positions).
 M_ISSUER_POSITIONS = list(range(9, 17))
-M_LOAN_POSITIONS = list(range(1, 10)) + list(range(17, 76))
 
 # Non-level payment record, prefix 'N', 10 fields.
 N_FIELDS = [
@@ -95,8 +94,3 @@ FNMA_STATIC_FIELDS = [
     "number_of_units", "occupancy_status", "number_of_borrowers", "first_time_home_buyer_indicator", "dti",
 ]
 
-# File name patterns: loans and liquidations, report month in the name.
-LOAN_FILE_PATTERN = r"(?i)^llmon\d?_(\d{6})"
-LIQUIDATION_FILE_PATTERN = r"(?i)^llmonliq\d?_(\d{6})"
-
-LAYOUTS = {"LL": LL_FIELDS, "LR": LR_FIELDS, "M": M_FIELDS, "N": N_FIELDS}

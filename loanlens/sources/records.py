@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.functions.clean import blank_null
-from loanlens.sources.layouts import LL_FIELDS
 
 
 def read_lines(spark: SparkSession, paths, *, encoding: str = "latin1") -> DataFrame:
@@ -27,11 +26,13 @@ def read_lines(spark: SparkSession, paths, *, encoding: str = "latin1") -> DataF
 def parse_records(lines: DataFrame, prefix: str, fields, keep=None, *, check: bool = True) -> DataFrame:
     """Keep lines of one record type, split on ``|``, trim, blank -> null, select ``keep`` (default all).
 
-    With ``check`` a record whose field count differs from the layout raises.
+    Two-letter types are known by the start of the line, one-letter types (M, N) by the
+    whole first field.  With ``check`` a record whose field count differs from the layout raises.
     """
     fields = list(fields)
     keep = list(keep) if keep else fields
-    rec = lines.filter(F.col("value").startswith(prefix)).withColumn("_p", F.split("value", r"\|", -1))
+    own = F.col("value").startswith(prefix) if len(prefix) > 1 else F.substring_index("value", "|", 1) == prefix
+    rec = lines.filter(own).withColumn("_p", F.split("value", r"\|", -1))
     if check:
         n = len(fields)
         rec = rec.withColumn("_p", F.when(F.size("_p") == n, F.col("_p")).otherwise(
@@ -83,18 +84,23 @@ def classify_required(df: DataFrame, path_col: str = "source") -> DataFrame:
         .withColumn("report_date", report_month(F.col(path_col))))
 
 
-def inbox_paths(base: str) -> list[str]:
-    """Glob paths of an inbox: files in the folder and one folder down (an extracted archive)."""
-    b = base.rstrip("/")
-    return [f"{b}/*", f"{b}/*/*"]
+def list_files(spark: SparkSession, paths) -> DataFrame:
+    """(path, length) of every file below ``paths``: a listing, no content is read."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .load([paths] if isinstance(paths, str) else list(paths)).select("path", "length"))
 
 
 def inbox_files(spark: SparkSession, base: str) -> DataFrame:
-    """Recognised ``.txt``/``.zip`` disclosure files of an inbox, depth <= 2, in name order (a listing, no content)."""
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", "*").load(inbox_paths(base))
-          .select(F.col("path"), F.col("length")))
+    """Recognised ``.txt``/``.zip`` disclosure files in a folder or one folder down, each once, in path order.
+
+    ``depth`` is 1 for files in the folder itself.  Other files are passed over.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base).toUri().getPath().rstrip("/")
+    df = list_files(spark, base)
+    inside = F.substring_index(F.col("path"), f"{root}/", -1)
     name = file_name(F.col("path"))
-    return (df.filter(F.lower(name).rlike(r"\.(txt|zip)$"))
+    return (df.withColumn("depth", F.size(F.split(inside, "/")))
+            .filter((F.col("depth") <= 2) & F.lower(name).rlike(r"\.(txt|zip)$"))
             .withColumn("file_type", file_type(F.col("path")))
             .filter(F.col("file_type").isNotNull())
             .withColumn("file_name", name)
@@ -102,6 +108,9 @@ def inbox_files(spark: SparkSession, base: str) -> DataFrame:
             .orderBy("path"))
 
 
+ZIP_LIMIT = (1 << 31) - 1024  # bytes of an archive that one task can hold
+
+
 def read_zip_members(spark: SparkSession, paths, *, encoding: str = "latin-1", batch_lines: int = 65536) -> DataFrame:
     """Lines of the largest member of each zip archive (one task per archive, Arrow batches out).
 
@@ -109,6 +118,8 @@ def read_zip_members(spark: SparkSession, paths, *, encoding: str = "latin-1", b
     this is a ``mapInPandas`` over the ``binaryFile`` source.  The member is
     decompressed as a stream and emitted ``batch_lines`` lines at a time, so
     task memory is the compressed archive plus one batch, not the whole text.
+    An archive cannot be split: it is one task, and one of 2 GB or more fails with
+    its name.  An archive without a member fails too.
     """
     import io
     import zipfile
@@ -135,9 +146,10 @@ def read_zip_members(spark: SparkSession, paths, *, encoding: str = "latin-1", b
                 if out:
                     yield pd.DataFrame({"value": out, "source": path})
 
-    raw = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    large = list_files(spark, paths).filter(F.col("length") > ZIP_LIMIT).select("path").first()
+    if large:
+        raise ValueError(f"{large['path']} is too large for one task; extract it first")
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     return raw.select("path", "content").mapInPandas(explode, "value string, source string")
 
-
-def ll_field_index(name: str) -> int:
-    return LL_FIELDS.index(name)

@@ -117,15 +117,3 @@ def to_lines(staging: DataFrame, fields) -> DataFrame:
     line = F.concat_ws("|", *[F.coalesce(F.col(f), F.lit("")) for f in fields])
     keep = ["_file"] if "_file" in staging.columns else []
     return staging.select(line.alias("value"), *keep)
-
-
-def land_text(lines: DataFrame, path: str) -> str:
-    """Write lines as text files, one folder per ``_file`` value, once (a ``_SUCCESS`` marker means done)."""
-    spark = lines.sparkSession
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        w = lines.write.mode("overwrite").option("encoding", "latin1")
-        (w.partitionBy("_file") if "_file" in lines.columns else w).text(path)
-    return path

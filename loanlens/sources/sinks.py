@@ -7,9 +7,7 @@ partition overwrite, the Parquet form of "delete this month, insert the file".
 
 from __future__ import annotations
 
-from urllib.parse import urlparse
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -35,13 +33,13 @@ def sink_csv_result(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def model_log_row(fit_metrics: DataFrame, *, run_date, vintages: str, scores: DataFrame | None = None,
+def model_log_row(fit_metrics: DataFrame, *, run_date, vintages: str | Column, scores: DataFrame | None = None,
                   periods=()) -> DataFrame:
     """One model-log row: run date, vintages, n, R², betas, SEs and per-period scores as columns.
 
     Period scores come in as scalar subqueries over the (few-row) score table.
     """
-    row = fit_metrics.select(F.lit(run_date).cast("date").alias("run_date"), F.lit(vintages).alias("vintages"), "*")
+    row = fit_metrics.select(F.lit(run_date).cast("date").alias("run_date"), (vintages if isinstance(vintages, Column) else F.lit(vintages)).alias("vintages"), "*")
     for p in periods if scores is not None else ():
         one = scores.filter(F.col("period") == p)
         row = (row.withColumn(f"rmse_{p}", one.select("model_rmse").scalar())
@@ -52,54 +50,3 @@ def model_log_row(fit_metrics: DataFrame, *, run_date, vintages: str, scores: Da
 def sink_model_log(row: DataFrame, path: str) -> None:
     """Append one row per model run."""
     row.write.mode("append").option("header", "true").csv(path)
-
-
-def sink_zip_archives(text_root: str, zip_root: str, *, member_note: str | None = None) -> int:
-    """Pack every text part file under ``text_root`` into a zip archive under ``zip_root``.
-
-    One task per part file (a part is one task's output, so archive size is
-    bounded by the partition size, never by a whole month).  Folder structure
-    below the root is kept and the archive is named after the part.  Tasks write
-    through the Arrow filesystem of the target URI; a retried task rewrites the
-    same archive name, so a lost executor leaves no duplicate.  ``member_note``
-    adds a small second member (a readme) next to the data member.
-    Returns the number of archives written.
-    """
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
-    src = text_root.rstrip("/")
-    dst = zip_root.rstrip("/")
-    src_path = urlparse(src).path.rstrip("/")
-
-    def pack(batches):
-        import io
-        import zipfile
-
-        import pandas as pd
-        from pyarrow import fs as pafs
-
-        for pdf in batches:
-            written = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                rel = urlparse(path).path[len(src_path):].lstrip("/")
-                stem = rel[:-len(".txt")] if rel.endswith(".txt") else rel
-                target = f"{dst}/{stem}.zip"
-                buf = io.BytesIO()
-                with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as z:
-                    z.writestr(stem.rsplit("/", 1)[-1] + ".txt", content)
-                    if member_note:
-                        z.writestr("readme.txt", member_note)
-                uri = target if ":" in target else f"file://{target}"
-                # Hadoop's s3a/s3n names are plain s3 to Arrow
-                uri = uri.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
-                fsys, p = pafs.FileSystem.from_uri(uri)
-                fsys.create_dir(p.rsplit("/", 1)[0], recursive=True)
-                with fsys.open_output_stream(p) as out:
-                    out.write(buf.getvalue())
-                written.append(target)
-            yield pd.DataFrame({"archive": written})
-
-    parts = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "part-*").load(src).select("path", "content"))
-    return parts.mapInPandas(pack, "archive string").count()

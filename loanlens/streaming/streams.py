@@ -1,28 +1,33 @@
 """Structured Streaming forms of the loaders and of the stateful alert / count rules.
 
-The reference polls an inbox and reloads files; here a file-source stream picks
-each new file up exactly once (the checkpoint is the load log of record), and a
-``foreachBatch`` applies the same pure maintenance functions as the batch path:
-``replace_period`` for loan-months (dynamic partition overwrite of the touched
-months, so a redelivered month replaces its rows and a replay is idempotent) and
-``merge_scd1`` for static loans (overwrite of the touched key buckets).  A new
-table version is computed into the checkpoint folder first, then swapped in by
-overwriting only the affected partitions.
+The reference polls an inbox and reloads files; here a file-source stream picks each
+new file up exactly once (its checkpoint says what was seen).  The stream carries file
+names only; ``load_files`` reads the micro-batch's text files and zip archives and applies
+the same pure maintenance functions as the batch path: ``replace_period`` for loan-months
+and liquidations (dynamic partition overwrite of the touched months, so a redelivered month
+replaces its rows and a replay is idempotent), ``merge_scd1`` for static loans (overwrite of
+the touched key buckets), and the issuer size bands of the loaded months.  A file whose name
+is not recognised, or without records, fails the batch.
 """
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loanlens.functions import rules
 from loanlens.operators import maintain
-from loanlens.session import cut
-from loanlens.sources.layouts import LL_FIELDS
-from loanlens.sources.records import file_type, parse_records, report_month
+from loanlens.operators.joins import dedupe_first
+from loanlens.session import cut, dropped, scratch_path
+from loanlens.sources.layouts import LL_FIELDS, LR_FIELDS
+from loanlens.sources.records import file_type, parse_records, read_lines, read_zip_members, report_month
 
-STATIC_BUCKETS = 16
+ROWS_PER_BUCKET = 2_000_000  # static loans per bucket when the table is made
+LOG_COLUMNS = ["file_name", "file_type", "report_date", "rows_loaded", "loaded_at"]
+KINDS = {"loans": ("LL", LL_FIELDS), "liquidations": ("LR", LR_FIELDS)}
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -30,56 +35,106 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def apply_loan_batch(batch: DataFrame, batch_id: int, *, monthly_path: str, static_path: str, log_path: str,
-                     now: str | None = None, stream_id: str = "batch") -> None:
-    """One micro-batch of LL lines: project, replace the months' rows, merge static loans, log the files."""
-    spark = batch.sparkSession
-    recs = parse_records(batch, "LL", LL_FIELDS).withColumn("report_date", report_month(F.col("source")))
-    recs = cut(recs)
-    if recs.isEmpty():
+def _buckets(spark: SparkSession, static_path: str, rows: int) -> int:
+    """Buckets of the static table: from the rows of the load that makes it, kept beside it from then on."""
+    layout = f"{static_path.rstrip('/')}-layout"
+    if not _exists(spark, f"{layout}/_SUCCESS"):
+        n = max(1, -(-rows // ROWS_PER_BUCKET))
+        spark.range(1).select(F.lit(n).alias("buckets")).write.mode("overwrite").json(layout)
+    return spark.read.schema("buckets int").json(layout).first()["buckets"]
+
+
+def _replace(rows: DataFrame, path: str, period: str = "report_date") -> None:
+    """Replace the rows of the same loans and months; the months are overwritten as partitions."""
+    spark = rows.sparkSession
+    if _exists(spark, path):
+        months = rows.select(period).distinct()
+        old = spark.read.parquet(path).join(months, period, "left_semi").select(*rows.columns)
+        rows = maintain.replace_period(old, rows, ["disclosure_sequence_number"])
+    # the old rows are read before the commit swaps the partitions
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path)
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    zips = [p for p in paths if p.lower().endswith(".zip")]
+    texts = [p for p in paths if not p.lower().endswith(".zip")]
+    parts = ([read_lines(spark, texts)] if texts else []) + ([read_zip_members(spark, zips)] if zips else [])
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def load_files(spark: SparkSession, paths: list[str], *, monthly_path: str, static_path: str, liquidations_path: str, log_path: str,
+               issuer_path: str | None = None, now: str | None = None, stream_id: str = "batch", batch_id: int = 0) -> None:
+    """Load disclosure files (text or zip, loans or liquidations) into the tables and log each of them.
+
+    ``paths`` are the files of one batch (the stream bounds their number).  ``now`` stamps rows
+    and log, the current time by default.  The staged records are written once; counts and tables
+    are made from them.  The log is written last.
+    """
+    if not paths:
         return
-    # Loan-months: replace the rows of the file's loans in the file's month.
-    mon = maintain.monthly_projection(recs.drop("as_of_date").withColumn(
-        "as_of_date", F.date_format("report_date", "yyyyMM")), keys=["disclosure_sequence_number", "as_of_date"])
-    if _exists(spark, monthly_path):
-        months = mon.select("report_date").distinct()
-        old = spark.read.parquet(monthly_path).join(F.broadcast(months), "report_date", "left_semi")
-        new = cut(maintain.replace_period(old.select(*mon.columns), mon, ["disclosure_sequence_number"]))
-    else:
-        new = mon
-    (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("report_date")
-     .parquet(monthly_path))
-    # Static loans: merge into the touched key buckets only.
-    st = maintain.static_projection(recs.withColumn("as_of_date", F.date_format("report_date", "yyyyMM")))
-    st = st.withColumn("bucket", F.pmod(F.hash("disclosure_sequence_number"), F.lit(STATIC_BUCKETS)))
-    stamp = now or "1970-01-01 00:00:00"
+    stamp = now or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    files = spark.createDataFrame([(p,) for p in paths], "source string").select(
+        "source", file_type(F.col("source")).alias("file_type"), report_month(F.col("source")).alias("report_date"))
+    known = files.collect()
+    unknown = sorted(r["source"] for r in known if r["file_type"] is None or r["report_date"] is None)
+    if unknown:
+        raise ValueError(f"not a recognised disclosure file: {unknown[0]}")
+    log = None
+    for kind, (prefix, fields) in KINDS.items():
+        own = [r["source"] for r in known if r["file_type"] == kind]
+        if not own:
+            continue
+        staging = scratch_path(spark, f"staging-{kind}")
+        parse_records(_lines(spark, own), prefix, fields).withColumn("report_date", report_month(F.col("source"))) \
+            .write.parquet(staging)
+        recs = spark.read.parquet(staging)
+        counts = recs.groupBy("source").agg(F.count(F.lit(1)).alias("rows_loaded"))
+        loaded = files.filter(F.col("file_type") == kind).join(counts, "source", "left").select(
+            F.regexp_extract("source", r"([^/]+/[^/]+)$", 1).alias("file_name"), "file_type", "report_date",
+            F.coalesce("rows_loaded", F.lit(0)).cast("bigint").alias("rows_loaded"), F.lit(stamp).cast("timestamp").alias("loaded_at"))
+        loaded = cut(maintain.load_log_update(loaded.filter(F.lit(False)), loaded))  # fails on a file without records
+        log = loaded if log is None else log.unionByName(loaded)
+        if kind == "loans":
+            _load_loans(recs, monthly_path, static_path, issuer_path, stamp)
+        else:
+            liq = recs.withColumn("report_period", F.date_format("report_date", "yyyyMM")).drop("report_date")
+            _replace(maintain.liquidation_projection(liq), liquidations_path)
+        dropped(spark, staging)
+    (log.withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stream_id", "batch_id").parquet(log_path))
+
+
+def _load_loans(recs: DataFrame, monthly_path: str, static_path: str, issuer_path: str | None, stamp: str) -> None:
+    spark, key = recs.sparkSession, "disclosure_sequence_number"
+    recs = recs.withColumn("as_of_date", F.date_format("report_date", "yyyyMM"))
+    _replace(maintain.monthly_projection(recs.drop("report_date"), keys=[key, "as_of_date"]), monthly_path)
+    st = maintain.static_projection(recs.drop("report_date"))
+    n = _buckets(spark, static_path, recs.select(key).distinct().count())
+    st = st.withColumn("bucket", F.pmod(F.hash(key), F.lit(n)))
     if _exists(spark, static_path):
-        buckets = st.select("bucket").distinct()
-        old = spark.read.parquet(static_path).join(F.broadcast(buckets), "bucket", "left_semi")
-        merged = maintain.merge_scd1(old, st, ["disclosure_sequence_number"],
-                                     order_by=[F.col("disclosure_sequence_number")], now=stamp)
+        old = spark.read.parquet(static_path).join(st.select("bucket").distinct(), "bucket", "left_semi")
     else:
-        merged = maintain.merge_scd1(
-            st.filter(F.lit(False)).withColumn("created_at", F.lit(None).cast("timestamp"))
-            .withColumn("last_updated", F.lit(None).cast("timestamp")),
-            st, ["disclosure_sequence_number"], order_by=[F.col("disclosure_sequence_number")], now=stamp)
-    merged = cut(merged)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket")
-     .parquet(static_path))
-    # Load log: one row per file, written last.  Overwriting the batch's own partition
-    # keeps it exactly-once when a failed batch is replayed under the same id.
-    log = (recs.groupBy(F.regexp_extract("source", r"([^/]+/[^/]+)$", 1).alias("file_name"))
-           .agg(F.first(file_type(F.col("source"))).alias("file_type"), F.max("report_date").alias("report_date"),
-                F.count(F.lit(1)).alias("rows_loaded"))
-           .withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id)))
-    (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stream_id", "batch_id")
-     .parquet(log_path))
-
-
-def stream_ingest(spark: SparkSession, inbox: str, *, monthly_path: str, static_path: str, log_path: str,
-                  checkpoint: str, max_files: int = 20, available_now: bool = True,
+        old = (st.filter(F.lit(False)).withColumn("created_at", F.lit(None).cast("timestamp"))
+               .withColumn("last_updated", F.lit(None).cast("timestamp")))
+    merged = maintain.merge_scd1(old, st, [key], order_by=[F.col("issuer_id")], now=stamp)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(static_path)
+    if issuer_path and _exists(spark, issuer_path):
+        months = recs.select("report_date").distinct()
+        monthly = spark.read.parquet(monthly_path).join(months, "report_date", "left_semi")
+        issuers = cut(maintain.issuer_group_update(spark.read.parquet(issuer_path), monthly, latest=True))  # a dimension
+        issuers.write.mode("overwrite").parquet(issuer_path)
+
+
+def load_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """The load log: one row per file, that of its last load."""
+    rows = spark.read.parquet(log_path).select(*LOG_COLUMNS)
+    return dedupe_first(rows, ["file_name"], [F.desc("loaded_at"), maintain.ties(rows)])
+
+
+def stream_ingest(spark: SparkSession, inbox: str, *, monthly_path: str, static_path: str, liquidations_path: str, log_path: str,
+                  checkpoint: str, issuer_path: str | None = None, max_files: int = 20, available_now: bool = True,
                   now: str | None = None) -> StreamingQuery:
-    """New disclosure files picked up once, parsed and merged (file-source stream + foreachBatch).
+    """New ``.txt`` and ``.zip`` disclosure files picked up once and loaded, ``max_files`` at a time at most.
 
     The load log is keyed by (stream, batch): the stream id is derived from the
     checkpoint location, so a restart of the same stream replays into the same
@@ -88,12 +143,17 @@ def stream_ingest(spark: SparkSession, inbox: str, *, monthly_path: str, static_
     import hashlib
 
     sid = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
-    lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
-             .option("recursiveFileLookup", "true").load(inbox)
-             .select(F.col("value"), F.col("_metadata.file_path").alias("source")))
-    w = lines.writeStream.foreachBatch(
-        lambda df, bid: apply_loan_batch(df, bid, monthly_path=monthly_path, static_path=static_path,
-                                         log_path=log_path, now=now, stream_id=sid)).option("checkpointLocation", checkpoint)
+    files = (spark.readStream.format("binaryFile")
+             .schema("path string, modificationTime timestamp, length bigint, content binary")
+             .option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.{txt,TXT,zip,ZIP}").load(inbox).select("path"))
+
+    def load(batch: DataFrame, bid: int) -> None:
+        paths = sorted(r["path"] for r in batch.collect())  # max_files names
+        load_files(batch.sparkSession, paths, monthly_path=monthly_path, static_path=static_path, liquidations_path=liquidations_path,
+                   log_path=log_path, issuer_path=issuer_path, now=now, stream_id=sid, batch_id=bid)
+
+    w = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
@@ -133,8 +193,7 @@ def stream_dedupe(df: DataFrame, keys, *, watermark: str = "1 day", ts: str = "t
     return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
-def run_to_table(df: DataFrame, path: str, checkpoint: str, *, mode: str = "append",
-                 max_batches_key: str | None = None) -> None:
+def run_to_table(df: DataFrame, path: str, checkpoint: str, *, mode: str = "append") -> None:
     """Run a stream to completion (available-now) into a Parquet table, tagging each row with its batch id.
 
     Each micro-batch overwrites its own ``batch_id`` partition, so a batch that is
@@ -152,6 +211,4 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, *, mode: str = "appe
 
 def latest_per_key(table: DataFrame, keys) -> DataFrame:
     """Final value per key of an update-mode result table (the row of the latest batch)."""
-    from loanlens.operators.joins import dedupe_first
-
     return dedupe_first(table, list(keys), [F.desc("batch_id")]).drop("batch_id")

@@ -84,13 +84,13 @@ def test_zip_member_largest(spark):
 
 
 def test_zip_archive_sink_round_trip(spark):
-    from loanlens.sources import sinks
+    from loanlens.plans import fixtures
 
     text = scratch_path(spark, "text")
     rows = [(f"LL|{i}", f"llmon1_2026{m:02d}") for m in (1, 2) for i in range(50)]
     spark.createDataFrame(rows, "value string, file string").repartition(3).write.partitionBy("file").text(text)
     zips = scratch_path(spark, "zipped")
-    n = sinks.sink_zip_archives(text, zips, member_note="note")
+    n = fixtures.pack_zip_archives(spark, text, zips, member_note="note")
     assert n >= 2
     back = records.read_zip_members(spark, zips, batch_lines=7)
     got = sorted((r.value, records_month(r.source)) for r in back.collect())
@@ -288,30 +288,158 @@ def test_hot_state_geo_concentration_matches_brute_force(spark):
     assert "partial_sum" in plan and "partial_count" in plan
 
 
-def test_loan_batch_replay_is_idempotent(spark):
+def _loan_line(seq, month, upb, dq=0, issuer=7):
+    vals = {"record_type": "LL", "disclosure_sequence_number": str(seq), "issuer_id": str(issuer), "agency": "F",
+            "unpaid_principal_balance": str(upb), "months_delinquent": str(dq), "loan_age": "12",
+            "as_of_date": month, "state_code": "CA", "credit_score": "700", "loan_interest_rate": "4.5",
+            "original_principal_balance": str(upb + 1000), "loan_origination_date": "20250101"}
+    return "|".join(vals.get(f, "") for f in LL_FIELDS)
+
+
+def _liquidation_line(seq, month, balance):
+    vals = {"record_type": "LR", "disclosure_sequence_number": str(seq), "issuer_id": "7", "report_period": month,
+            "liquidation_balance": str(balance), "removal_reason": "1"}
+    return "|".join(vals.get(f, "") for f in LR_FIELDS)
+
+
+def _fill_inbox(box):
+    """Flat text, a text one folder down, a zip, liquidations with a repeated record; the files' names."""
+    os.makedirs(os.path.join(box, "llmon1_202602"))
+    with open(os.path.join(box, "llmon1_202601.txt"), "w") as fh:
+        fh.write("\n".join(["HD|x", *[_loan_line(i, "202601", 1000 * i, i % 3) for i in range(1, 21)]]) + "\n")
+    with open(os.path.join(box, "llmon1_202602", "llmon1_202602.txt"), "w") as fh:
+        fh.write("\n".join(_loan_line(i, "202602", 900 * i) for i in range(1, 11)) + "\n")
+    with zipfile.ZipFile(os.path.join(box, "llmon1_202603.zip"), "w") as z:
+        z.writestr("llmon1_202603.txt", "\n".join(_loan_line(i, "202603", 800 * i) for i in range(5, 31)))
+    with open(os.path.join(box, "llmonliq1_202602.txt"), "w") as fh:
+        fh.write("\n".join([_liquidation_line(3, "202602", 50), _liquidation_line(3, "202602", 50), _liquidation_line(4, "202602", 60)]) + "\n")
+
+
+def _table_paths(base):
+    return dict(monthly_path=f"{base}/monthly", static_path=f"{base}/static", liquidations_path=f"{base}/liquidations",
+                log_path=f"{base}/log", issuer_path=f"{base}/issuers")
+
+
+def _inbox_paths(box):
+    return sorted(f"file:{d}/{f}" for d, _, names in os.walk(box) for f in names)
+
+
+def test_inbox_lists_each_file_once(spark):
+    box = scratch_path(spark, "inbox")
+    _fill_inbox(box)
+    with open(os.path.join(box, "notes.txt"), "w") as fh:
+        fh.write("x\n")
+    got = [(r.file_name, r.file_type, r.report_date.month, r.depth) for r in records.inbox_files(spark, box).collect()]
+    assert sorted(got) == [("llmon1_202601.txt", "loans", 1, 1), ("llmon1_202602.txt", "loans", 2, 2),
+                           ("llmon1_202603.zip", "loans", 3, 1), ("llmonliq1_202602.txt", "liquidations", 2, 1)]
+    flat = scratch_path(spark, "flat")
+    os.makedirs(flat)
+    with open(os.path.join(flat, "llmon1_202601.txt"), "w") as fh:
+        fh.write(_loan_line(1, "202601", 5) + "\n")
+    assert [r.file_name for r in records.inbox_files(spark, flat).collect()] == ["llmon1_202601.txt"]
+
+
+def test_stream_loads_every_inbox_file(spark):
+    from loanlens.streaming import streams
+
+    box, base = scratch_path(spark, "inbox"), scratch_path(spark, "tables")
+    _fill_inbox(box)
+    spark.createDataFrame([(7, "Seven", "Small"), (8, "Eight", "Large")], "issuer_number int, issuer_name string, issuer_group string") \
+        .write.parquet(f"{base}/issuers")
+    before = dt.datetime.now() - dt.timedelta(days=2)
+    streams.stream_ingest(spark, box, checkpoint=f"{base}/ckpt", max_files=2, **_table_paths(base)).awaitTermination()
+    monthly = spark.read.parquet(f"{base}/monthly")
+    assert {(r.report_date.month, r["count"]) for r in monthly.groupBy("report_date").count().collect()} == {(1, 20), (2, 10), (3, 26)}
+    static = spark.read.parquet(f"{base}/static")
+    assert static.count() == 30 and static.agg(F.min("created_at")).first()[0] > before  # stamped with the current time
+    assert sorted((r.disclosure_sequence_number, float(r.liquidation_balance)) for r in spark.read.parquet(f"{base}/liquidations").collect()) \
+        == [("3", 50.0), ("4", 60.0)]
+    log = {r.file_name.split("/")[-1]: (r.file_type, r.rows_loaded) for r in streams.load_log(spark, f"{base}/log").collect()}
+    assert log == {"llmon1_202601.txt": ("loans", 20), "llmon1_202602.txt": ("loans", 10), "llmon1_202603.zip": ("loans", 26),
+                   "llmonliq1_202602.txt": ("liquidations", 3)}
+    assert {r.issuer_number: r.issuer_group for r in spark.read.parquet(f"{base}/issuers").collect()} == {7: "Very Small", 8: "Large"}
+
+
+def test_loading_again_changes_nothing(spark):
     """A micro-batch replayed under the same id (foreachBatch is at-least-once) leaves the same tables and log."""
     from loanlens.streaming import streams
 
-    def line(seq, upb, dq):
-        vals = {"record_type": "LL", "disclosure_sequence_number": str(seq), "issuer_id": "1234", "agency": "F",
-                "unpaid_principal_balance": str(upb), "months_delinquent": str(dq), "loan_age": "12",
-                "as_of_date": "202601", "state_code": "CA", "credit_score": "700", "loan_interest_rate": "4.5",
-                "original_principal_balance": str(upb + 1000), "loan_origination_date": "20250101"}
-        return "|".join(vals.get(f, "") for f in LL_FIELDS)
-
-    src = "file:/inbox/file=llmon1_202601/part-0.txt"
-    batch = spark.createDataFrame([(line(i, 1000 * i, i % 3), src) for i in range(1, 21)], "value string, source string")
-    base = scratch_path(spark, "replay")
-    kw = dict(monthly_path=f"{base}/monthly", static_path=f"{base}/static", log_path=f"{base}/log",
-              now="2026-02-01 00:00:00", stream_id="s1")
-    streams.apply_loan_batch(batch, 0, **kw)
-    first = sorted(tuple(r) for r in spark.read.parquet(f"{base}/monthly").collect())
-    streams.apply_loan_batch(batch, 0, **kw)
-    again = sorted(tuple(r) for r in spark.read.parquet(f"{base}/monthly").collect())
-    assert first == again and len(first) == 20
-    assert spark.read.parquet(f"{base}/static").count() == 20
-    log = spark.read.parquet(f"{base}/log").collect()
-    assert len(log) == 1 and log[0].rows_loaded == 20
+    box, base = scratch_path(spark, "inbox"), scratch_path(spark, "replay")
+    _fill_inbox(box)
+    kw = dict(now="2026-02-01 00:00:00", stream_id="s1", **_table_paths(base))
+    seen = []
+    for _ in range(2):
+        streams.load_files(spark, _inbox_paths(box), **kw)
+        seen.append([sorted(map(str, spark.read.parquet(f"{base}/{t}").collect())) for t in ("monthly", "static", "liquidations", "log")])
+    assert seen[0] == seen[1] and len(seen[0][0]) == 56
+
+
+def test_unknown_and_empty_files_fail_the_batch(spark):
+    from loanlens.streaming import streams
+
+    box, base = scratch_path(spark, "bad"), scratch_path(spark, "badtables")
+    os.makedirs(box)
+    for name, text in (("other.txt", _loan_line(1, "202601", 5)), ("llmon1_202601.txt", "HD|nothing here")):
+        with open(os.path.join(box, name), "w") as fh:
+            fh.write(text + "\n")
+    with pytest.raises(ValueError, match="not a recognised disclosure file.*other.txt"):
+        streams.load_files(spark, [f"file:{box}/other.txt"], **_table_paths(base))
+    with pytest.raises(Exception, match="no records found in .*llmon1_202601.txt"):
+        streams.load_files(spark, [f"file:{box}/llmon1_202601.txt"], **_table_paths(base))
+    assert not os.path.exists(f"{base}/monthly")
+
+
+def test_one_letter_record_types_are_the_whole_first_field(spark):
+    lines = spark.createDataFrame([(x, "f") for x in ("N|a|b", "NX|a|b", "M|c|d", "MX|c|d")], "value string, source string")
+    assert [r.y for r in records.parse_records(lines, "N", ["x", "y", "z"]).collect()] == ["a"]
+    assert [r.y for r in records.parse_records(lines, "M", ["x", "y", "z"]).collect()] == ["c"]
+
+
+def test_exclude_takes_the_listed_vintages_only(spark):
+    from loanlens.operators import reports
+
+    rows = [(dt.date(2020, 1, 1), "CA", y, 100.0, 0, 30) for y in (2004, 2005, 2006, 2010, None)]
+    perf = spark.createDataFrame(rows, "reporting_date date, property_state string, orig_year int, upb double, dq_status int, loan_age int")
+    assert reports.state_month_dq(perf, exclude=(2005, 2010), legacy=(2005,)).first().loan_count == 3
+    assert reports.state_month_dq(perf, exclude=(2005, 2010), legacy=(2005,)).first().legacy_loans == 1
+
+
+def test_fits_that_cannot_be_made_are_null(spark):
+    rows = [("A", f"s{i % 4}", float(i), 2.0 * i + (i % 2), 1.0) for i in range(12)] + [("B", "s0", 1.0, 1.0, 5.0)]
+    df = spark.createDataFrame(rows, "tier string, property_state string, ur_lag double, dlq_chg double, loan_count double")
+    fit = {r.tier: r for r in regress.wls_tiered(df).collect()}
+    assert fit["B"].beta is None and fit["B"].intercept is None and fit["A"].beta == pytest.approx(2.0, abs=0.1)
+    one = df.filter("tier = 'A'").withColumn("property_state", F.lit("s0"))
+    assert regress.wls_tiered(one).first().se is None  # one cluster
+    book = spark.createDataFrame([("CA", "A", 1, 100.0), ("CA", "B", 1, 300.0)],
+                                 "state_code string, tier string, loans long, unpaid_principal_balance double")
+    filled = {r.tier: r.beta for r in regress.book_beta(book, regress.wls_tiered(df).withColumnRenamed("beta", "beta_tier")).collect()}
+    assert filled["B"] == pytest.approx(fit["A"].beta)
+    by = {r.tier: r for r in regress.wls_fit(df, y="dlq_chg", x="ur_lag", weight="loan_count", cluster="property_state", by=["tier"])
+          .filter("term = 'ur_lag'").collect()}
+    assert by["B"].beta is None and by["A"].beta == pytest.approx(fit["A"].beta)
+    flat = df.withColumn("ur_lag", F.lit(3.0))
+    assert all(r.beta is None for r in regress.wls_fit(flat, y="dlq_chg", x="ur_lag", weight="loan_count").collect())
+
+
+def test_calendar_lags_see_gaps(spark):
+    months = [dt.date(2020 + m // 12, m % 12 + 1, 1) for m in range(30) if m != 13]
+    df = spark.createDataFrame([("S", d, float(i)) for i, d in enumerate(months)], "s string, d date, x double")
+    got = {r.d: r.x_lag12 for r in panel.shift_lag(df, by="s", order_by="d", col="x", k=12, calendar=True).collect()}
+    value = {d: float(i) for i, d in enumerate(months)}
+    assert all(got[d] == value.get(dt.date(d.year - 1, d.month, 1)) for d in months)
+    assert got[dt.date(2022, 2, 1)] is None  # 2021-02 is missing
+
+
+def test_projections_choose_one_row_in_any_order(spark):
+    lines = [(_liquidation_line(5, "202601", b)) for b in (70, 9, 100)]
+    df = spark.createDataFrame([(x, "f") for x in lines], "value string, source string")
+    for d in (df, df.orderBy(F.desc("value"))):
+        recs = records.parse_records(d, "LR", LR_FIELDS)
+        rows = maintain.liquidation_projection(recs).collect()
+        assert [float(r.liquidation_balance) for r in rows] == [9.0]  # by amount, not by text
+        kept = maintain.insert_if_absent(recs.limit(0), recs, ["disclosure_sequence_number"], order_by=[F.desc(F.col("liquidation_balance").cast("int"))])
+        assert [r.liquidation_balance for r in kept.collect()] == ["100"]
 
 
 def test_disaster_impact_bounded_window(spark):
