@@ -246,8 +246,22 @@ def available_months(pool_loans: DataFrame, *, state: str | None = None) -> Data
 # ---------------------------------------------------------------------------------
 
 
-def _static_monthly(static: DataFrame, monthly: DataFrame, how: str = "inner") -> DataFrame:
-    """static (t) joined to monthly (t2) on the loan id; both shuffle on the loan id once."""
+def joined_loan_months(static: DataFrame, monthly: DataFrame) -> DataFrame:
+    """Every loan with each of its months: ``t`` (static attributes), ``t2`` (the month's; null for a loan without any), report_date.
+
+    Stored once, it spares every report the shuffle of both tables on the loan id: the
+    reports take it as ``monthly`` with None as ``static``.
+    """
+    j = static.alias("a").join(monthly.alias("b"), F.col("a.loan_id") == F.col("b.loan_id"), "left")
+    both = F.struct(*[F.col(f"b.{c}").alias(c) for c in monthly.columns])
+    return j.select(F.col("a.loan_id").alias("loan_id"), F.struct(*[F.col(f"a.{c}").alias(c) for c in static.columns]).alias("t"),
+                    F.when(F.col("b.loan_id").isNotNull(), both).alias("t2"), F.col("b.report_date").alias("report_date"))
+
+
+def _static_monthly(static: DataFrame | None, monthly: DataFrame, how: str = "inner") -> DataFrame:
+    """static (t) joined to monthly (t2) on the loan id; ``joined_loan_months`` rows (static None) as they are."""
+    if static is None:
+        return monthly if how == "left" else monthly.filter(F.col("t2").isNotNull())
     return static.alias("t").join(monthly.alias("t2"), F.col("t.loan_id") == F.col("t2.loan_id"), how)
 
 
@@ -256,7 +270,7 @@ def loan_age_months(report: Column, origination: Column) -> Column:
     return (F.year(report) - F.year(origination)) * 12 + F.month(report) - F.month(origination)
 
 
-def issuer_level(static: DataFrame, monthly: DataFrame, *, age: Column | None = None) -> DataFrame:
+def issuer_level(static: DataFrame | None, monthly: DataFrame, *, age: Column | None = None) -> DataFrame:
     """issuer x month -> avg age, avg/sum UPB, avg rate, avg score, current/delinquent counts, DQ % (unrounded)."""
     j = _static_monthly(static, monthly)
     age = age if age is not None else loan_age_months(F.col("t2.report_date"), F.col("t.loan_origination_date"))
@@ -271,7 +285,7 @@ def issuer_level(static: DataFrame, monthly: DataFrame, *, age: Column | None =
                  (ratio(cnt_if(m != 0), F.count(F.lit(1))) * 100).alias("delinquency_pct")))
 
 
-def state_level(static: DataFrame, monthly: DataFrame, *, age: Column | None = None) -> DataFrame:
+def state_level(static: DataFrame | None, monthly: DataFrame, *, age: Column | None = None) -> DataFrame:
     """state x month (static LEFT JOIN monthly) -> same measures; DQ % over matched loan-months only."""
     j = _static_monthly(static, monthly, "left")
     age = age if age is not None else loan_age_months(F.col("t2.report_date"), F.col("t.loan_origination_date"))
@@ -289,10 +303,12 @@ def state_level(static: DataFrame, monthly: DataFrame, *, age: Column | None = N
 _AGENCY_PREFIX = {"F": "fha", "V": "va", "R": "rd", "N": "pih"}
 
 
-def agency_share(static: DataFrame, monthly: DataFrame, *, agency: str = "F",
+def agency_share(static: DataFrame | None, monthly: DataFrame, *, agency: str = "F",
                  report_date=None) -> DataFrame:
     """state -> loans, agency loans, agency UPB, % loans, % UPB, agency delinquencies (static LEFT JOIN monthly)."""
     p = _AGENCY_PREFIX[agency]
+    if static is None and report_date is not None:
+        raise ValueError("one month of the left join needs both tables: loans without that month count too")
     mon = _filter_month(monthly, report_date)
     j = _static_monthly(static, mon, "left")
     a = F.col("t.agency") == agency
@@ -364,7 +380,7 @@ def existing_vs_new(static: DataFrame, new_issuance: DataFrame) -> DataFrame:
             .orderBy("state_code", "loan_type"))
 
 
-def mega_vs_other(static: DataFrame, monthly: DataFrame, issuer_info: DataFrame, *, report_date=None) -> DataFrame:
+def mega_vs_other(static: DataFrame | None, monthly: DataFrame, issuer_info: DataFrame, *, report_date=None) -> DataFrame:
     """Mega / Non Mega -> delinquencies, loans by agency, total, first-time and assisted shares.
 
     Loan-months are first summed per static issuer id (the join key of the
@@ -393,7 +409,7 @@ def _issuer_title(issuer_id: Column, name: Column) -> Column:
     return F.concat_ws("", issuer_id.cast("string"), F.lit(" - "), name)
 
 
-def mega_issuer_profile(static: DataFrame, monthly: DataFrame, issuer_info: DataFrame, subservicers: DataFrame,
+def mega_issuer_profile(static: DataFrame | None, monthly: DataFrame, issuer_info: DataFrame, subservicers: DataFrame,
                         *, report_date=None) -> DataFrame:
     """Mega issuer x location x subservicer -> delinquencies, first-time and assisted shares."""
     j = _static_monthly(static, _filter_month(monthly, report_date))
@@ -525,7 +541,7 @@ def tier_check(panel_rows: DataFrame, *, outcome: str = "dlq90") -> DataFrame:
             .withColumn("mix", ratio(F.col("loan_count"), F.col("_total"))).drop("_total"))
 
 
-def risk_book(static: DataFrame, monthly: DataFrame, *, as_of=None, by_issuer: bool = False,
+def risk_book(static: DataFrame | None, monthly: DataFrame, *, as_of=None, by_issuer: bool = False,
               issuer_info: DataFrame | None = None) -> DataFrame:
     """state x tier (x issuer x group) -> loans, UPB at the latest month (or ``as_of``)."""
     from loanlens.operators.filters import latest_snapshot

@@ -20,9 +20,9 @@ from pyspark.sql.window import Window
 MONEY = "decimal(14,2)"
 
 
-STORED = ("loan_static", "loan_monthly", "pool_loans", "econ", "issuer_info", "risk")
+STORED = ("loan_static", "loan_monthly", "loan_months", "pool_loans", "econ", "issuer_info", "risk")
 # Month partitioning of the stored loan-month tables (partition pruning on month filters).
-PARTITION_COLUMNS = {"loan_monthly": ("report_date", "loan_id"), "pool_loans": ("as_of_date", "cusip")}
+PARTITION_COLUMNS = {"loan_monthly": ("report_date", "loan_id"), "loan_months": ("report_date", "loan_id"), "pool_loans": ("as_of_date", "cusip")}
 PARTITION_TYPES = {"report_date": "date", "as_of_date": "string"}
 # Raise when a view's builder changes: views stored by another version are not read.
 VIEWS_VERSION = 2
@@ -224,6 +224,13 @@ class Tables:
             F.when(rf == "R", "Y").otherwise("N").alias("current_month_liquidation"),
             F.when(rf == "R", 1 + ln % 6).alias("removal_reason"))
 
+    @property
+    def loan_months(self) -> DataFrame:
+        """Static loans joined to their months, stored joined (see ``reports.joined_loan_months``)."""
+        from loanlens.operators.reports import joined_loan_months
+
+        return self._stored("loan_months", lambda: joined_loan_months(self.loan_static, self.loan_monthly))
+
     @property
     def econ(self) -> DataFrame:
         return self._stored("econ", lambda: self._build_econ())

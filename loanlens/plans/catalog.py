@@ -229,7 +229,7 @@ SELECT t2.issuer_id, {rnd(avg_d(_AGE), 0)} AS average_loan_seasoning, {rnd(avg_d
   t2.report_date AS reporting_date
 FROM loan_monthly t2 JOIN loan_static t ON t.loan_id = t2.loan_id GROUP BY t2.issuer_id, t2.report_date"""))
 def _issuer_level(t: Tables):
-    return reports.issuer_level(t.loan_static, t.loan_monthly)
+    return reports.issuer_level(None, t.loan_months)
 
 
 @register("state_level", Q(f"""
@@ -241,7 +241,7 @@ SELECT t.state_code, {rnd(avg_d(_AGE), 0)} AS average_loan_seasoning, {rnd(avg_d
   t2.report_date AS reporting_date
 FROM loan_static t LEFT JOIN loan_monthly t2 ON t2.loan_id = t.loan_id GROUP BY t.state_code, t2.report_date"""))
 def _state_level(t: Tables):
-    return reports.state_level(t.loan_static, t.loan_monthly)
+    return reports.state_level(None, t.loan_months)
 
 
 def _agency_share_sql(agency: str, p: str) -> str:
@@ -256,12 +256,12 @@ FROM loan_static t LEFT JOIN loan_monthly t2 ON t2.loan_id = t.loan_id GROUP BY
 
 @register("agency_share", Q(_agency_share_sql("F", "fha")))
 def _agency_share(t: Tables):
-    return reports.agency_share(t.loan_static, t.loan_monthly, agency="F")
+    return reports.agency_share(None, t.loan_months, agency="F")
 
 
 @register("agency_share_va", Q(_agency_share_sql("V", "va")))
 def _agency_share_va(t: Tables):
-    return reports.agency_share(t.loan_static, t.loan_monthly, agency="V")
+    return reports.agency_share(None, t.loan_months, agency="V")
 
 
 @register("agency_dq_rate", Q("""
@@ -272,7 +272,7 @@ FROM d ORDER BY fha_delinquency_rate DESC NULLS LAST, state LIMIT 10""",
                                {"s": _agency_share_sql("F", "fha"),
                                 "d": f"SELECT *, {ratio('total_fha_delinquencies', 'fha_loans')} * 100 AS fha_delinquency_rate FROM s"}))
 def _agency_dq_rate(t: Tables):
-    return reports.agency_dq_rate(reports.agency_share(t.loan_static, t.loan_monthly, agency="F"))
+    return reports.agency_dq_rate(reports.agency_share(None, t.loan_months, agency="F"))
 
 
 _BUYER = """CASE WHEN first_time_home_buyer IS NULL OR first_time_home_buyer IN ('NaN', 'N') THEN 'Repeat Buyer'
@@ -330,7 +330,7 @@ SELECT CASE WHEN t.issuer_group = 'Mega' THEN 'Mega' ELSE 'Non Mega' END AS issu
 FROM loan_static t3 JOIN loan_monthly t2 ON t2.loan_id = t3.loan_id
 LEFT JOIN issuer_info t ON t.issuer_number = t3.issuer_id GROUP BY 1"""))
 def _mega_vs_other(t: Tables):
-    return reports.mega_vs_other(t.loan_static, t.loan_monthly, t.issuer_info)
+    return reports.mega_vs_other(None, t.loan_months, t.issuer_info)
 
 
 @register("mega_issuer_profile", Q(f"""
@@ -344,7 +344,7 @@ JOIN issuer_info t3 ON t3.issuer_number = t2.issuer_id
 LEFT JOIN subservicers t4 ON t4.subservicer_id = t3.subservicer
 WHERE t3.issuer_group = 'Mega' GROUP BY 1, 3, 6"""))
 def _mega_issuer_profile(t: Tables):
-    return reports.mega_issuer_profile(t.loan_static, t.loan_monthly, t.issuer_info, t.subservicers)
+    return reports.mega_issuer_profile(None, t.loan_months, t.issuer_info, t.subservicers)
 
 
 _ISSUANCE = f"""COUNT(*) AS total_new_issuances, {rnd(avg_d('t.original_principal_balance'), 2)} AS average_opb,
@@ -440,7 +440,7 @@ WHERE t2.report_date = (SELECT MAX(report_date) FROM loan_monthly) GROUP BY 1, 2
 
 @register("risk_book", Q(_RISK_BOOK_SQL))
 def _risk_book(t: Tables):
-    return reports.risk_book(t.loan_static, t.loan_monthly)
+    return reports.risk_book(None, t.loan_months)
 
 
 @register("risk_book_issuer", Q(f"""
@@ -451,7 +451,7 @@ FROM loan_monthly t2 JOIN loan_static t ON t.loan_id = t2.loan_id
 WHERE t2.report_date = (SELECT MAX(report_date) FROM loan_monthly) GROUP BY 1, 2, 3) b
 LEFT JOIN issuer_info i ON i.issuer_number = b.issuer_id"""))
 def _risk_book_issuer(t: Tables):
-    return reports.risk_book(t.loan_static, t.loan_monthly, by_issuer=True, issuer_info=t.issuer_info)
+    return reports.risk_book(None, t.loan_months, by_issuer=True, issuer_info=t.issuer_info)
 
 
 # ---------------------------------------------------------------------------------
@@ -498,12 +498,13 @@ FROM loan_monthly m JOIN loan_static t ON t.loan_id = m.loan_id"""
 
 def perf(t: Tables) -> DataFrame:
     """Second-agency performance shape over the adapter: one row per loan-month."""
-    m, s = t.loan_monthly, t.loan_static
-    j = m.join(s.drop("issuer_id"), "loan_id")
-    return j.select("loan_id", F.col("report_date").alias("reporting_date"), F.col("state_code").alias("property_state"),
-                    F.year("loan_origination_date").alias("orig_year"), F.col("loan_interest_rate").alias("interest_rate"),
-                    "credit_score", F.col(UPB).alias("upb"), F.col("months_delinquent").alias("dq_status"),
-                    reports.loan_age_months(F.col("report_date"), F.col("loan_origination_date")).alias("loan_age"))
+    j = t.loan_months.filter(F.col("t2").isNotNull())
+    return j.select("loan_id", F.col("report_date").alias("reporting_date"), F.col("t.state_code").alias("property_state"),
+                    F.year("t.loan_origination_date").alias("orig_year"), F.col("t.loan_interest_rate").alias("interest_rate"),
+                    F.col("t.credit_score").alias("credit_score"), F.col(f"t2.{UPB}").alias("upb"),
+                    F.col("t2.months_delinquent").alias("dq_status"),
+                    reports.loan_age_months(F.col("report_date"), F.col("t.loan_origination_date")).alias("loan_age"))
+
 
 
 @register("seasoned_active_filter", Q("SELECT * FROM perf WHERE upb > 0 AND dq_status IS NOT NULL AND loan_age >= 24",
@@ -662,7 +663,7 @@ SELECT * FROM (SELECT state, fha_delinquency_rate FROM d) ORDER BY fha_delinquen
                         {"s": _agency_share_sql("F", "fha"),
                          "d": f"SELECT *, {ratio('total_fha_delinquencies', 'fha_loans')} * 100 AS fha_delinquency_rate FROM s"}))
 def _nlargest(t: Tables):
-    s = reports.agency_share(t.loan_static, t.loan_monthly, agency="F")
+    s = reports.agency_share(None, t.loan_months, agency="F")
     d = s.select("state", (F.try_divide(F.col("total_fha_delinquencies").cast("double"),
                                         F.col("fha_loans").cast("double")) * 100).alias("fha_delinquency_rate"))
     return topk.nlargest(d, "fha_delinquency_rate", 10, ["state"])
@@ -680,7 +681,7 @@ def _sort_panel(t: Tables):
 SELECT state_code, {UPB} AS upb FROM (SELECT state_code, SUM({UPB}) AS {UPB} FROM b GROUP BY state_code)
 ORDER BY upb DESC, state_code LIMIT 10""", {"b": _RISK_BOOK_SQL}))
 def _sort_result(t: Tables):
-    b = reports.risk_book(t.loan_static, t.loan_monthly).groupBy("state_code").agg(F.sum(UPB).alias("upb"))
+    b = reports.risk_book(None, t.loan_months).groupBy("state_code").agg(F.sum(UPB).alias("upb"))
     return topk.sort_result(b, "upb", 10, "state_code")
 
 
@@ -690,7 +691,7 @@ SELECT (SELECT AVG(fha_delinquency_rate) FROM d) AS all_mean,
                          {"s": _agency_share_sql("F", "fha"),
                           "d": f"SELECT *, {ratio('total_fha_delinquencies', 'fha_loans')} * 100 AS fha_delinquency_rate FROM s"}))
 def _mean_line(t: Tables):
-    s = reports.agency_share(t.loan_static, t.loan_monthly, agency="F")
+    s = reports.agency_share(None, t.loan_months, agency="F")
     d = s.select("state", (F.try_divide(F.col("total_fha_delinquencies").cast("double"),
                                         F.col("fha_loans").cast("double")) * 100).alias("fha_delinquency_rate"))
     # per-state rows read by both means: checkpoint once instead of re-deriving the share twice

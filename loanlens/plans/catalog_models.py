@@ -502,7 +502,7 @@ def _sink_model_log(t: Tables):
 
 
 def _book_b(t: Tables):
-    book = reports.risk_book(t.loan_static, t.loan_monthly)
+    book = reports.risk_book(None, t.loan_months)
     betas = tier_fit(t).select("tier", F.col("beta").alias("beta_tier"))
     return regress.book_beta(book, betas)
 
@@ -681,7 +681,7 @@ def _tier_mix_beta(t: Tables):
 @register("join_scenario", _tier(f"""SELECT b.state_code, b.tier, b.loans, b.{UPB}, s.ur_shock FROM book b
 JOIN shock s ON s.state = b.state_code""", {"book": _RISK_BOOK_SQL, "shock": _SHOCK_SQL}))
 def _join_scenario(t: Tables):
-    book = reports.risk_book(t.loan_static, t.loan_monthly)
+    book = reports.risk_book(None, t.loan_months)
     shock = regress.shock_historical(t.econ, pre=SHOCK_PRE, window=SHOCK_WINDOW)
     return joins.join_scenario(book, shock)
 
@@ -716,7 +716,7 @@ SELECT issuer_id, issuer_name, _u / 1e9 AS upb_bn, _bu / _u AS mix_beta, _s / _u
   ((_s / (SELECT SUM(_s) FROM ig) * 100) / (_u / (SELECT SUM(_u) FROM ig) * 100)) / ((_bu / _u) / (SELECT SUM(_bu) / SUM(_u) FROM ig)) AS geo_factor
 FROM ig""", _ISSUER_STRESS))
 def _issuer_scorecard(t: Tables):
-    book = reports.risk_book(t.loan_static, t.loan_monthly, by_issuer=True, issuer_info=t.issuer_info)
+    book = reports.risk_book(None, t.loan_months, by_issuer=True, issuer_info=t.issuer_info)
     betas = tier_fit(t).select("tier", F.col("beta").alias("beta_tier"))
     bb = regress.book_beta(book.drop("issuer_group"), betas)
     stressed = regress.stress_book(bb, regress.shock_historical(t.econ, pre=SHOCK_PRE, window=SHOCK_WINDOW))
