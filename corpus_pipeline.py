@@ -12,22 +12,25 @@ from pyspark.sql import functions as F
 
 from loanlens.llm import exact_dedup, jaccard_join, language_id, packing, pii
 from loanlens.llm.queries import PII_KEY, vocabulary
-from loanlens.llm.store import documents, written
+from loanlens.llm.store import documents, for_documents, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; it is learned from a bounded sample of the labelled ones."""
+    for_documents(spark)
     out = language_id.predict(docs, language_id.fit(docs.select("doc_id", "text", "lang")))
     return out.where("accepted").select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group of texts that are equal but for white space."""
+    for_documents(spark)
     return exact_dedup.kept(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest doc_id, of each component of similar documents (five-word shingles, 0.8)."""
+    for_documents(spark)
     found = jaccard_join.similar(docs, k=5, percent=80)
     gone = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "near-gone")
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
@@ -35,6 +38,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms for personal data; n_chars counts the new text."""
+    for_documents(spark)
     out = pii.pseudonymise(docs, PII_KEY, spans_col=None)
     n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
     return out.withColumn("n_chars", n_chars).select(*docs.columns)
@@ -42,6 +46,7 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boundary records of the packed sequences."""
+    for_documents(spark)
     return packing.pieces(docs, vocabulary("word_bpe_49k.json"), end_id=1)
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.llm.store import written
-from loanlens.llm.text import bytes_of, filled, slices
+from loanlens.llm.text import bytes_of, filled, slices, tidied
 
 SLOTS, KICKS, LOAD = 4, 200, 0.9
 FOLD_KEYS = 200_000  # live keys in a task's index before it is sent on and begun anew
@@ -127,6 +127,7 @@ class CuckooIndex:
 def digests(docs: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, chars (code points of the text), digest (SHA-256 of the text without white space), and columns ``also``."""
 
+    @tidied("dedup")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = pa.RecordBatch.from_arrays([batch.column("doc_id"), filled(batch.column("text")), *(batch.column(c) for c in also)],
@@ -188,6 +189,7 @@ def groups(rows: DataFrame) -> DataFrame:
 
     arrow = pa.schema([("digest", pa.binary()), ("chars", pa.int64()), ("doc_id", to_arrow_type(kind)), ("n", pa.int64())])
 
+    @tidied("dedup")
     def before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Groups()
         for batch in batches:

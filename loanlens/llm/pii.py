@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from loanlens.llm.text import tidied
+
 ROUNDS = 8
 _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1).toordinal(), 73049  # dates from 1900 to 2099
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -247,6 +249,7 @@ def pseudonymise(df: DataFrame, key: bytes, text_col: str = "text", spans_col: s
         fields.append(T.StructField(spans_col, T.ArrayType(span), False))
     arrow_span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
+    @tidied("pii")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, spans = [], []

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from loanlens.llm.text import bytes_of, filled, slices
+from loanlens.llm.text import bytes_of, cached, filled, slices, tidied
 
 _SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6  # piece types of the model format
@@ -241,6 +241,7 @@ class PieceBpe:
         return b"".join(parts)
 
 
+@cached
 @lru_cache(maxsize=2)
 def model(model_file: str) -> PieceBpe:
     return PieceBpe(model_file)
@@ -257,6 +258,7 @@ def encode(df: DataFrame, model_file: str, text_col: str = "text", ids_col: str
     """Add ``ids_col`` (array of int), the ids of ``text_col``."""
     schema = _added(df, [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)])
 
+    @tidied("sentencepiece")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model(model_file)
         for batch in batches:
@@ -272,6 +274,7 @@ def decode(df: DataFrame, model_file: str, ids_col: str = "ids", text_col: str =
     """Add ``text_col`` (string), the text of the ids in ``ids_col``; null ids decode to the empty string."""
     schema = _added(df, [T.StructField(text_col, T.StringType(), False)])
 
+    @tidied("sentencepiece")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model(model_file)
         for batch in batches:
@@ -291,6 +294,7 @@ def round_trip_digests(docs: DataFrame, model_file: str) -> DataFrame:
     Columns doc_id, n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit), decoded_sha256 (UTF-8).
     """
 
+    @tidied("sentencepiece")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model(model_file)
         for batch in batches:

@@ -12,14 +12,44 @@ from pyspark.sql import functions as F
 from loanlens.session import scratch_path
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under spark.checkpoint.dir and return the table read back."""
-    path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` as Parquet under spark.checkpoint.dir and return the table read back.
+
+    The shuffle files of the write go when it ends (else only when the driver's JVM happens
+    to collect its plan): nothing reads them again, as the table is there.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"llm-{name}")
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(table: DataFrame) -> None:
+    """Remove a table that ``written`` returned and that nothing reads any more."""
+    path = table.inputFiles()[0].rsplit("/", 1)[0] if table.inputFiles() else None
+    if path:
+        p = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+BATCH_ROWS = 2500  # documents in an Arrow batch: both the executor's JVM and a Python worker hold some at once
+
+
+def for_documents(spark: SparkSession) -> None:
+    """Session settings of the queries here: rows are whole texts, so fewer than usual make a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    for_documents(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.llm.ranges import range_bucket
-from loanlens.llm.text import bytes_of, filled, mix, run_hashes, word_hashes, word_spans
+from loanlens.llm.text import bytes_of, filled, mix, rest, run_hashes, word_hashes, word_spans
 
 WINDOW, PERIOD, COVER = 20, 13, (0, 1, 3, 9)
 CHUNK_BYTES = 8 << 20  # text of a chunk, about
@@ -42,6 +42,7 @@ class _Chunk:
     """Words and hashes of a chunk, in order of (doc_id, text)."""
 
     def __init__(self, docs: pa.Table, window: int, period: int, cover: tuple[int, ...]):
+        rest()  # what the chunk before held
         docs = docs.select(["doc_id", "text"]).combine_chunks()
         order = pc.sort_indices(docs, sort_keys=[("doc_id", "ascending"), ("text", "ascending")], null_placement="at_start")
         self.docs = docs.take(order).combine_chunks()

@@ -7,7 +7,8 @@ Word and shingle hashes are 64-bit and alike in every task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,44 @@ _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _powers: dict[int, np.ndarray] = {}
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # gives freed memory back, where the C library can
+_owner: list[str] = []
+_caches: list[Callable[[], None]] = []
+
+
+def cached(f):
+    """Register an ``lru_cache`` function: it is cleared when the worker goes over to another operator."""
+    _caches.append(f.cache_clear)
+    return f
+
+
+def rest() -> None:
+    """Give memory that is free back to the machine, which the executor's other processes share."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def tidied(owner: str):
+    """Wrap the function of a task.  Python workers serve one stage after another: what another operator
+    kept goes when a task of ``owner`` starts, and free memory goes back when it ends."""
+
+    def wrap(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if _owner != [owner]:
+                for clear in [*_caches, _powers.clear]:
+                    clear()
+                _owner[:] = [owner]
+            try:
+                yield from run(batches)
+            finally:
+                rest()
+
+        return task
+
+    return wrap
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with at most ``limit`` bytes of text (one row at least)."""
     off = offsets_of(batch.column(column))
