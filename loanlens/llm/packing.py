@@ -22,18 +22,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.llm.store import part_bases, written
-from loanlens.llm.text import filled, slices
-from loanlens.llm.token_ids import encoder, with_end
+from loanlens.llm.text import filled, slices, tidied
+from loanlens.llm.token_ids import SLICE, encoder, with_end
 
 
 def encoded(docs: DataFrame, tokenizer_file: str, end_id: int) -> DataFrame:
     """Written table of doc_id, part, before (ids of the part before this document), n_tokens, ids (32-bit binary)."""
 
+    @tidied("tokens")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             whole = pa.RecordBatch.from_arrays([batch.column("doc_id"), filled(batch.column("text"))], ["doc_id", "text"])
-            for piece in slices(whole, "text"):
+            for piece in slices(whole, "text", SLICE):
                 ids, off = with_end(*encoder(tokenizer_file).encode(piece.column("text")), end_id)
                 raw = pa.Array.from_buffers(pa.binary(), len(off) - 1, [
                     None, pa.py_buffer((4 * off).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
@@ -54,6 +55,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, end_id: int, length: int = 2048
     placed = table.join(part_bases(table, "part", "n_tokens"), "part").select(
         "doc_id", (F.col("base") + F.col("before")).alias("place"), "n_tokens", "ids")
 
+    @tidied("tokens")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             place = batch.column("place").to_numpy()

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanlens.llm.store import part_bases, written
-from loanlens.llm.text import filled, slices
-from loanlens.llm.token_ids import encoder, with_end
+from loanlens.llm.text import filled, slices, tidied
+from loanlens.llm.token_ids import SLICE, encoder, with_end
 
 BLOCK_BITS = 512  # of a rank directory
 _ORDER = ["doc_id", "text"]
@@ -92,12 +92,13 @@ def segments(docs: DataFrame, tokenizer_file: str, end_id: int) -> DataFrame:
     """
     schema = _schema(docs.schema["doc_id"].dataType)
 
+    @tidied("tokens")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, before, count = encoder(tokenizer_file), TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             whole = pa.RecordBatch.from_arrays([batch.column("doc_id"), filled(batch.column("text"))], _ORDER)
-            for piece in slices(whole, "text"):
-                ids, off = with_end(*encoder(tokenizer_file).encode(piece.column("text")), end_id)
+            for piece in slices(whole, "text", SLICE):
+                ids, off = with_end(*enc.encode(piece.column("text")), end_id)
                 row = dict(part=part, segment=count, before=before, n_tokens=len(ids),
                            doc_ids=piece.column("doc_id").to_pylist(), sizes=np.diff(off).tolist())
                 row["chunks"], row["bitmaps"], row["ranks"] = dac_encode(ids)
@@ -120,6 +121,7 @@ def write(docs: DataFrame, tokenizer_file: str, end_id: int) -> DataFrame:
 def read(table: DataFrame) -> DataFrame:
     """Per document of a written table: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
 
+    @tidied("tokens")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
@@ -152,6 +154,7 @@ def access(table: DataFrame, requests: DataFrame) -> DataFrame:
               .groupBy("part", "segment").agg(F.collect_list(F.struct("doc_id", "at", (F.col("first") + F.col("at")).alias("spot"))).alias("wanted")))
     kind = requests.schema["doc_id"].dataType.simpleString()
 
+    @tidied("tokens")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():

@@ -10,21 +10,24 @@ Null texts count as empty and have no ids.
 
 from __future__ import annotations
 
+import os
 import re
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from loanlens.llm.text import bytes_of, filled, lower_ascii
+from loanlens.llm.text import bytes_of, cached, filled, lower_ascii
 
 _WHITE = r"\x00-\x20\x7f-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{2064}\x{3000}\x{feff}"
 _UNSAFE = f"(^|[{_WHITE}]) | ([{_WHITE}]|$)"
 _LETTERS = re.compile("[ ]?[a-zß-öø-ÿA-Z]+")  # one unit for the library's split; NFC leaves it as it is
 _PLAIN = re.compile("[ ]?[!-~À-ɏ]+")  # pieces that can be encoded many in one call
-CACHE_PIECES = 250_000  # pieces remembered by a Python worker between slices; beyond it, those seen once go
+CACHE_PIECES = 500_000  # pieces remembered by a Python worker between slices; beyond it, the rarer ones go
 _JOINED = 1000  # pieces in one call
+SLICE = 8 << 20  # bytes of text encoded at once: what a Python worker holds beside its batch is some times as much
 # classes of bytes, as bits: ASCII letter, full stop or comma, space, newline, visible ASCII
 _A, _STOP, _BLANK, _LINE, _SEEN = 1, 2, 4, 8, 16
 _CLASS = np.zeros(256, np.uint8)
@@ -38,6 +41,8 @@ _CLASS[10] |= _LINE
 
 class WordEncoder:
     def __init__(self, file: str):
+        # tasks are the parallel units; the library's own threads would each keep memory of their own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
@@ -73,7 +78,7 @@ class WordEncoder:
     def _letter_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """As ``_ids`` for words of letters (with their space where the vocabulary keeps it)."""
         front = "Ġ" if self.keeps_space else ""
-        words = [front + p.lstrip(" ").translate(self.printable) for p in pieces]
+        words = [front + w if w.isascii() else front + w.translate(self.printable) for w in (p.lstrip(" ") for p in pieces)]
         calls = [" ".join(words[i:i + _JOINED]) for i in range(0, len(words), _JOINED)]
         ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.letters.encode_batch_fast(calls, add_special_tokens=False)])
         marks = np.flatnonzero(self.mark[ids])
@@ -82,26 +87,26 @@ class WordEncoder:
 
     def _reset(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids = np.zeros(1 << 20, np.uint32)
-        self.at = np.zeros(CACHE_PIECES + 2, np.int64)
-        self.uses = np.zeros(CACHE_PIECES + 2, np.int64)
+        self.ids = np.zeros(1 << 20, np.uint32)  # of the known pieces, then of those of this slice
+        self.end = 0  # of the known pieces' ids
+        self.start, self.count, self.uses = (np.zeros(CACHE_PIECES + 2, np.int64) for _ in range(3))
 
     def _forget(self) -> None:
-        """Keep the pieces used most: over once, or as many times as leaves half of the room free."""
+        """Keep the pieces used most, as many as leave half of the room free."""
         uses = self.uses[:len(self.known)]
-        least = 1
+        least = 2
         while (uses > least).sum() > CACHE_PIECES // 2:
             least *= 2
         kept = [(p, i) for p, i in self.known.items() if uses[i] > least]
-        old_ids, old_at = self.ids, self.at
+        ids, start, count = self.ids, self.start, self.count
         self._reset()
         spots = np.array([i for _, i in kept], np.int64)
-        size = old_at[spots + 1] - old_at[spots]
+        size = count[spots]
         end = np.cumsum(size)
-        self.ids = np.zeros(max(1 << 20, 2 * int(size.sum())), np.uint32)
-        self.ids[:size.sum()] = old_ids[np.repeat(old_at[spots] - end + size, size) + np.arange(size.sum())]
-        self.at[1:len(kept) + 1] = end
-        self.uses[:len(kept)] = uses[spots] // 2
+        self.end = int(size.sum())
+        self.ids = np.zeros(max(1 << 20, 2 * self.end), np.uint32)
+        self.ids[:self.end] = ids[np.repeat(start[spots] - end + size, size) + np.arange(self.end)]
+        self.start[:len(kept)], self.count[:len(kept)], self.uses[:len(kept)] = end - size, size, uses[spots] // 2
         self.known = {p: j for j, (p, _) in enumerate(kept)}
 
     def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -117,30 +122,40 @@ class WordEncoder:
         assert len(ends) == len(pieces)
         return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
 
-    def _learn(self, pieces: list[bytes]) -> None:
+    def _learn(self, pieces: list[bytes], keep: int) -> None:
+        """Encode ``pieces``; the first ``keep`` become known, the others are there for this slice."""
         texts = [p.decode() for p in pieces]
-
-        def how(t: str):
-            if self.letters is not None and _LETTERS.fullmatch(t) and (t[0] == " " or not self.keeps_space):
-                return self._letter_ids
-            return self._joined_ids if self.separator_id is not None and _PLAIN.fullmatch(t) else self._ids
-
-        kinds = [how(t) for t in texts]
-        for encode in (self._letter_ids, self._joined_ids, self._ids):
-            some = [i for i, x in enumerate(kinds) if x == encode]
-            if not some:
-                continue
-            ids, sizes = encode([texts[i] for i in some])
-            n = len(self.known)
-            while n + len(some) >= len(self.at):
-                self.at = np.concatenate((self.at, np.zeros_like(self.at)))
-                self.uses = np.concatenate((self.uses, np.zeros_like(self.uses)))
-            begin = int(self.at[n])
-            while len(self.ids) < begin + len(ids):
-                self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-            self.ids[begin:begin + len(ids)] = ids
-            self.at[n + 1:n + 1 + len(some)] = begin + np.cumsum(sizes)
-            self.known.update(zip((pieces[i] for i in some), range(n, n + len(some))))
+        space, letters = self.keeps_space, self.letters is not None
+
+        def how(t: str) -> int:
+            if letters and (not space or t[0] == " "):
+                word = t[1:] if t[0] == " " else t
+                if word.isalpha() if word.isascii() else _LETTERS.fullmatch(t):
+                    return 0
+            return 1 if self.separator_id is not None and _PLAIN.fullmatch(t) else 2
+
+        kinds = np.fromiter(map(how, texts), np.int64, len(texts))
+        n, end = len(self.known), self.end
+        while n + len(texts) > len(self.start):
+            self.start, self.count, self.uses = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.count, self.uses))
+        known_end = end
+        for part in (slice(0, keep), slice(keep, None)):  # the ids of known pieces lie before the others
+            for kind, encode in enumerate((self._letter_ids, self._joined_ids, self._ids)):
+                some = np.flatnonzero(kinds[part] == kind) + (part.start or 0)
+                if not len(some):
+                    continue
+                ids, sizes = encode([texts[i] for i in some])
+                while len(self.ids) < end + len(ids):
+                    self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+                self.ids[end:end + len(ids)] = ids
+                self.start[n + some] = end + np.cumsum(sizes) - sizes
+                self.count[n + some] = sizes
+                end += len(ids)
+            if part.start == 0:
+                known_end = end
+        self.end = known_end
+        self.uses[n:n + len(texts)] = 0
+        self.known.update(zip(pieces[:keep], range(n, n + keep)))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids (unsigned 32-bit) of all texts, and the offset of each text's ids."""
@@ -168,19 +183,25 @@ class WordEncoder:
             None, pa.py_buffer(np.append(at, len(raw)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw))])
         coded = flat.dictionary_encode()
         pieces = coded.dictionary.to_pylist()
-        missing = [p for p in pieces if p not in self.known]
-        if missing:
-            self._learn(missing)
-        code = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
         index = coded.indices.to_numpy(zero_copy_only=False)
-        self.uses[code] += np.bincount(index, minlength=len(pieces))
+        times = np.bincount(index, minlength=len(pieces))
+        code = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(code < 0)
+        again = times[new] > 1  # pieces that occur once are not worth remembering
+        new = np.concatenate((new[again], new[~again]))
+        if len(new):
+            code[new] = len(self.known) + np.arange(len(new))
+            self._learn([pieces[i] for i in new], int(again.sum()))
+        self.uses[code] += times
         which = code[index]
-        count = self.at[which + 1] - self.at[which]
+        count = self.count[which]
         before = np.concatenate(([0], np.cumsum(count)))
-        ids = self.ids[np.repeat(self.at[which] - before[:-1], count) + np.arange(before[-1])]
+        ids = self.ids[np.repeat(self.start[which] - before[:-1], count) + np.arange(before[-1])]
+        pa.default_memory_pool().release_unused()
         return ids, before[np.searchsorted(at, off)]
 
 
+@cached
 @lru_cache(maxsize=2)
 def encoder(file: str) -> WordEncoder:
     return WordEncoder(file)
