@@ -2,7 +2,8 @@
 
 Candidates are found by pattern and validated (card numbers by Luhn, IBANs by modulo 97,
 social security numbers and telephone numbers by their ranges, addresses by octet, dates
-by the calendar).  The value, freed of separators, is permuted within its format by a
+by the calendar).  Where a run of characters is no valid value, its shorter readings are
+tried, and the search goes on behind what was accepted.  The value, freed of separators, is permuted within its format by a
 keyed Feistel network: alternate halves of a mixed-radix number are added up with a keyed
 hash of the other half, and values outside the format are walked on until one is inside.
 A permutation gives equal values equal pseudonyms in every document and different values
@@ -34,17 +35,28 @@ _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHI
 _PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
-    "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}",
     "ssn": r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "phone": r"(?<![\w.])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])"
              r"|(?<![\w.])\+[1-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,5}(?!\w)",
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)",
-    "date": r"(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d)",
-    "secret": r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?([A-Za-z0-9+/_.-]{6,})"
+    "date": r"(?:(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4})"
+            r"|(?:(?<![\w/.-])|(?<=\d\d/\d\d/\d{4}/)|(?<=\d{4}/\d\d/\d\d/))(?:\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}))"
+            r"(?:(?=[Tt]\d{2})|(?![\w-]|\.\d))",
+    "secret": r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\\?[\"']?\s*[=:]\s*\\?[\"']?([A-Za-z0-9+/_.-]{6,})"
               r"|(?<!\w)((?:AKIA|ASIA)[A-Z0-9]{16})(?!\w)|(?<!\w)(gh[pousr]_[A-Za-z0-9]{20,})(?!\w)|(?<!\w)(sk-[A-Za-z0-9]{20,})(?!\w)",
 }
 _COMPILED = {k: re.compile(p) for k, p in _PATTERNS.items()}
 _DIGIT = re.compile(r"\d")
+# Where a reading of a run may end: no part of a word follows, nor a hyphen that joins a card number to one.
+_STOPS = {"card": re.compile(r"(?<=\d)(?!\w|-(?!\d))"), "iban": re.compile(r"(?<=\w)(?!\w)"), "phone": re.compile(r"(?<=[\d)])(?!\w)")}
+# Length of an IBAN by its country.
+_IBAN_LENGTH = {c: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}.items() for c in codes.split()}
 
 
 def feistel(key: bytes, tweak: str, value: int, left: int, right: int) -> int:
@@ -111,7 +123,7 @@ def _nanp(d: str) -> bool:
 
 def _card(key: bytes, text: str) -> str | None:
     d = re.sub(r"\D", "", text)
-    if not luhn(d) or len(set(d)) == 1:
+    if len(d) < 13 or not luhn(d) or len(set(d)) == 1:
         return None
     body = d[0] + _string(key, "card", d[1:-1])
     return _put(text, body + next(c for c in _DIGITS if luhn(body + c)), str.isdigit)
@@ -197,6 +209,33 @@ _MAKERS = {"email": _email, "iban": _iban, "card": _card, "ssn": _ssn_new, "phon
            "date": _date, "secret": _secret}
 
 
+def _ends(kind: str, text: str, start: int, end: int) -> Iterator[int]:
+    """Where a value that starts the run may end: the longest reading first, an IBAN of a known country first at its length."""
+    if kind not in _STOPS:
+        yield end
+        return
+    ends = [e for e in range(end, start, -1) if _STOPS[kind].match(text, e)]
+    length = _IBAN_LENGTH.get(text[start:start + 2]) if kind == "iban" else None
+    if length:
+        yield from (e for e in ends if e - start - text.count(" ", start, e) == length)
+        ends = ends[:1]  # the whole run
+    yield from ends
+
+
+def _finds(kind: str, text: str, key: bytes) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, kind, pseudonym) of the valid values of a kind, none of which overlap."""
+    at = 0
+    while m := _COMPILED[kind].search(text, at):
+        start, end = m.span(m.lastindex or 0)
+        at = m.start() + 1
+        for e in _ends(kind, text, start, end):
+            new = _MAKERS[kind](key, text[start:e])
+            if new is not None:
+                yield start, e, kind, new
+                at = e
+                break
+
+
 def replace(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and (kind, start, end) of each find in it."""
     lower = None
@@ -214,11 +253,7 @@ def replace(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int]]]:
             kinds.append(kind)
     found = []
     for kind in kinds:
-        for m in _COMPILED[kind].finditer(text):
-            start, end = m.span() if not m.lastindex else m.span(m.lastindex)
-            new = _MAKERS[kind](key, text[start:end])
-            if new is not None:
-                found.append((start, end, kind, new))
+        found += _finds(kind, text, key)
     if not found:
         return text, []
     taken: list[tuple[int, int, str, str]] = []

@@ -160,6 +160,30 @@ def test_pseudonyms_leave_other_texts_alone():
         assert pii.replace(text, b"key") == (text, [])
 
 
+@pytest.mark.parametrize("text, values", [
+    ("4111 1111 1111 1111 12/26", ["4111 1111 1111 1111"]), ("4111111111111111 123", ["4111111111111111"]),
+    ("4111-1111-1111-1111-12345", ["4111-1111-1111-1111"]), ("no 12 4111111111111111 end", ["4111111111111111"]),
+    ("4111111111111111 5500005555555559", ["4111111111111111", "5500005555555559"]),
+    ("BE68 5390 0754 7034 BIC", ["BE68 5390 0754 7034"]), ("BE68539007547034 OK", ["BE68539007547034"]),
+    ("ES91 2100 0418 4502 0005 1332 AND", ["ES91 2100 0418 4502 0005 1332"]),
+    ("BE68 5390 0754 7034 BE68 5390 0754 7034", ["BE68 5390 0754 7034"] * 2), ("AB13 BE68539007547034", ["BE68539007547034"]),
+    ("+44 20 7946 0958 12345679", ["+44 20 7946 0958"]),
+    ("2024-03-05T12:30:00Z", ["2024-03-05"]), ("2024-03-05/2024-04-05", ["2024-03-05", "2024-04-05"]),
+    ("a 12/31/1999/ b", ["12/31/1999"]), ("31/12/1999/01/02/2000", ["31/12/1999", "01/02/2000"]),
+    ('{"password": "hunter22", "api_key":"abc123def"}', ["hunter22", "abc123def"]), ("{'token' : 'abcdef12'}", ["abcdef12"]),
+    (r'"{\"secret\": \"abcdef12\"}"', ["abcdef12"])])
+def test_shorter_readings_of_a_run_are_found(text, values):
+    new, spans = pii.replace(text, b"key")
+    assert [text[a:b] for _, a, b in spans] == values and not any(v in new for v in values)
+
+
+@pytest.mark.parametrize("text", [
+    "4111 1111 1111 1112 12/26", "4111111111111111x", "41111111111111111234", "4111111111111111-x", "BE69 5390 0754 7034 BIC",
+    "BE68539007547034X", "2024-03-05Tx", "2024-02-30T12:30", "01/02/03/2004", '"tokens": 5'])
+def test_shorter_readings_are_valid_values(text):
+    assert pii.replace(text, b"key") == (text, [])
+
+
 def test_pseudonyms_differ_for_different_values():
     numbers = [f"+1 (386) 555-{i:04d}" for i in range(3000)]
     assert len({pii.replace(n, b"key")[0] for n in numbers}) == len(numbers)
