@@ -3,8 +3,11 @@
 A text is cut into sentences, each is normalised and looked up among known licence
 sentences, and the sequence of their identifiers is matched against ordered rules, the
 longest rule first; a matched run is used up, so a rule inside a longer one is not
-reported beside it.  A sentence that runs over several lines is tried as a whole, else
-line by line.  Everything is an expression on the row: no shuffle, no join.
+reported beside it.  Comment leaders go before the cuts, so an empty comment line ends a
+sentence, and the parts of template sentences that vary are set to a fixed wording.  A
+sentence that runs over several lines is tried as a whole, else each run of whole lines in
+it (a title or copyright line without a full stop stays with the grant behind it).
+Everything is an expression on the row: no shuffle, no join.
 
 Defined results: null and empty texts, and texts without known sentences, have no
 identifiers and no licences; a licence matched twice is named once; other columns pass
@@ -83,6 +86,20 @@ RULES = [
 
 #: Every known sentence has one of these; other sentences need no look-up.
 CUES = "licen|permi|copyright|warrant|redistribut|liab"
+# Comment characters, and a list mark in brackets, at line starts.
+LEADER = r"(^|\n)[ \t*/#;%!-]*+(?:\(?[0-9A-Za-z]\)[ \t]+)?"
+# Parts of known sentences that vary (holder, joining words, address), and their wording above.
+TEMPLATES = [
+    (r"(?i)\bneither\s+the\s+name(?:s|\(s\))?\s+of\s+[\s\S]{1,300}?\s+nor\s+the\s+names?\s+of\s+(?:[a-z]+\s+){0,2}contributors\b",
+     "Neither the name of the copyright holder nor the names of its contributors"),
+    (r"(?i)\bthe\s+names?\s+of\s+[^.:;]{1,300}?\s+may\s+not\s+be\s+used\s+to\s+endorse\b",
+     "Neither the name of the copyright holder nor the names of its contributors may be used to endorse"),
+    (r"(?i)\bin\s+no\s+event\s+shall\s+[\s\S]{1,300}?\s+be\s+liable\s+for\s+any\s+claim\b",
+     "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM"),
+    (r"(?i)\bmodify,?\s+and\s+distribute\s+this\s+software\s+for\s+any\s+purpose\s+with\s+or\s+without\s+fee\s+is\s+hereby\s+granted\b",
+     "modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    (r"(?i)\bobtain\s+a\s+copy\s+of\s+the\s+license\s+at\s+https?://", "obtain a copy of the License at http://"),
+]
 # Sentences end after these marks at white space, and at blank lines.
 END, BLANK = r"([.!?:;])[ \t\n\r\f]+", r"\n[ \t\r]*\n"
 
@@ -105,6 +122,12 @@ def _known(sentences: dict[str, str]) -> dict[str, str]:
     return out
 
 
+def _runs(known: dict[str, str]) -> str:
+    """Pattern of a known sentence, the longest first, that takes up whole lines of a lower-case text."""
+    keys = "|".join("[^a-z0-9]++".join(k.split()) for k in sorted(known, key=lambda k: (-len(k), k)))
+    return rf"(?:^|\n)[^a-z0-9\n]*+(?:{keys})(?=[^a-z0-9\n]*+(?:\n|\z))"
+
+
 def _normal(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))
 
@@ -119,14 +142,19 @@ def scan(df: DataFrame, text_col: str = "text", sentences: dict[str, str] | None
     ordered = sorted(rules or RULES, key=lambda r: -len(r[1]))
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
 
+    runs = _runs(known)
+
     def cut(c: Column) -> Column:
         """Sentences in order that have a cue word."""
+        c = F.regexp_replace(c, LEADER, "$1")
+        for pattern, wording in TEMPLATES:
+            c = F.regexp_replace(c, pattern, wording)
         parts = F.split(F.regexp_replace(c, END, "$1\n\n"), BLANK)
         return F.filter(parts, lambda s: s.rlike(f"(?i){CUES}"))
 
     def ids(s: Column) -> Column:
         whole = F.try_element_at(table, _normal(s))
-        lines = F.filter(F.transform(F.split(s, "\n"), lambda x: F.try_element_at(table, _normal(x))), lambda x: x.isNotNull())
+        lines = F.transform(F.regexp_extract_all(F.lower(s), F.lit(runs), F.lit(0)), lambda x: F.try_element_at(table, _normal(x)))
         return F.when(whole.isNotNull(), F.array(whole)).otherwise(lines)
 
     found = F.when(F.col(text_col).rlike(f"(?i){CUES}"), F.flatten(F.transform(cut(F.col(text_col)), ids)))
@@ -146,7 +174,10 @@ def scan(df: DataFrame, text_col: str = "text", sentences: dict[str, str] | None
 
 
 def scan_sql() -> str:
-    """DuckDB SQL for ``op7``: the same cuts and look-ups, rules unrolled from the longest."""
+    """DuckDB SQL for ``op7``: the same cuts and look-ups, rules unrolled from the longest.
+
+    It knows no comment leaders, templates and runs of lines, so it holds for texts without such headers.
+    """
     known = ", ".join(f"({_literal(k)}, {_literal(v)})" for k, v in _known(SENTENCES).items())
     ordered = sorted(RULES, key=lambda r: -len(r[1]))
     steps, prev = [], "seq"

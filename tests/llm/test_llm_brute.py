@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import duckdb
@@ -370,6 +371,45 @@ def test_ordered_rules(spark):
     assert got == [["MIT"], ["BSD-2-Clause"], ["BSD-3-Clause"], [], ["BSD-2-Clause", "MIT"], ["MIT"], [], []]
 
 
+def test_headers_in_comments(spark):
+    s = licences.SENTENCES
+
+    def block(leader, *paragraphs, first="", last=""):
+        """The paragraphs wrapped as a header in comments, with empty comment lines between them."""
+        wrapped = [[f"{leader} {x}" for p in para.split("\n") for x in textwrap.wrap(p, 60)] for para in paragraphs]
+        lines = [first] * bool(first) + f"\n{leader}\n".join("\n".join(w) for w in wrapped).split("\n") + [last] * bool(last)
+        return "\n".join([*lines, "int main(void) { return 0; }"])
+
+    line = "Copyright (c) 2020 Jo Doe <jo@example.org>"
+    as_is = 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE.'
+    isc = s["isc-grant"].replace("and/or", "and")
+    mit = [s["mit-grant"], s["mit-notice"], s["mit-warranty"] + " " + s["mit-liability"]]
+    bsd = [s["bsd-grant"], "1. " + s["bsd-source"] + "\n2. " + s["bsd-binary"]]
+    names = s["bsd-names"].replace("the copyright holder", "{}")
+    apache = [s["apache-grant"] + " " + s["apache-use"] + " You may obtain a copy of the License at",
+              "    http://www.apache.org/licenses/LICENSE-2.0", s["apache-warranty"] + "\n" + s["apache-see"]]
+    gpl = ["This program is free software: " + s["gpl3-later"]]
+    isc_ids, mit_ids, bsd_ids = ["isc-grant"], ["mit-grant", "mit-notice", "mit-warranty", "mit-liability"], ["bsd-grant", "bsd-source", "bsd-binary"]
+    cases = [
+        (block(" *", line, isc, as_is, first="/*", last=" */"), ["ISC"], isc_ids),
+        (block(" *", line, *mit, first="/*", last=" */"), ["MIT"], mit_ids),
+        (block(" *", line + "\n" + mit[0], *mit[1:], first="/**", last=" **/").replace("\n", "\r\n"), ["MIT"], mit_ids),
+        (block("#", line, *mit), ["MIT"], mit_ids), (block("--", line, isc), ["ISC"], isc_ids), (block(";;", line, isc), ["ISC"], isc_ids),
+        ("ISC License\n" + line + "\n" + textwrap.fill(isc, 60), ["ISC"], isc_ids),
+        (block("#", line, *bsd, "3. " + names.format("the University")), ["BSD-3-Clause"], [*bsd_ids, "bsd-names"]),
+        (block("//", line + ". All rights reserved.", *bsd, names.format("Some Inc.")), ["BSD-3-Clause"], [*bsd_ids, "bsd-names"]),
+        (block(" *", line, bsd[0], "(1) " + s["bsd-source"], "(2) " + s["bsd-binary"], "(3) The name of the author may not be used to endorse or "
+               "promote products derived from this software without specific prior written permission.", first="/*", last=" */"),
+         ["BSD-3-Clause"], [*bsd_ids, "bsd-names"]),
+        (block("#", line, *bsd), ["BSD-2-Clause"], bsd_ids),
+        (block("//", line, *apache), ["Apache-2.0"], ["apache-grant", "apache-use", "apache-copy", "apache-warranty", "apache-see"]),
+        (block(" *", line, *gpl, first="/*", last=" */"), ["GPL-3.0-or-later"], ["gpl3-later"]),
+        (block("#", line, "All rights reserved, no licence is given"), [], [])]
+    docs = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id int, text string")
+    got = [(r.licences, r.sentence_ids) for r in licences.scan(docs).orderBy("doc_id").collect()]
+    assert got == [c[1:] for c in cases]
+
+
 # -- 8 and 9: tokens
 
 
