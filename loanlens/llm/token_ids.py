@@ -4,7 +4,9 @@ Byte-level and word-end BPE never join what a space separates, nor a letter and
 stop or comma after it.  So a text is cut there, each distinct piece of a slice is
 encoded once by the library, and the texts are gathered from the pieces' ids.  ``keeps_space`` says that the space belongs
 to the piece after it (byte-level BPE); texts in which a space meets other white space
-or an end are then encoded whole, as a run of white space is one unit there.
+or an end are then encoded whole, as a run of white space is one unit there.  A text that
+holds an added token of the vocabulary goes to the library whole and as it stands, which
+gives that token its own id, as the library does by default.
 Null texts count as empty and have no ids.
 """
 
@@ -40,7 +42,8 @@ _CLASS[10] |= _LINE
 
 
 class WordEncoder:
-    def __init__(self, file: str):
+    def __init__(self, file: str, added: bool = False):
+        """``added``: the vocabulary's added tokens are known in texts; otherwise their characters are plain text."""
         # tasks are the parallel units; the library's own threads would each keep memory of their own
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -48,6 +51,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
         self.keeps_space = "ByteLevel" in str(self.tokenizer.pre_tokenizer) and "Split" not in str(self.tokenizer.pre_tokenizer)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         self._set_letters()
         self.separator = "\n" if self.keeps_space else " \x00 "
         alone = self.tokenizer.encode(self.separator.strip(" "), add_special_tokens=False).ids
@@ -157,9 +161,37 @@ class WordEncoder:
         self.uses[n:n + len(texts)] = 0
         self.known.update(zip(pieces[:keep], range(n, n + keep)))
 
+    def _holders(self, texts: pa.Array) -> np.ndarray:
+        """Indexes of the texts that hold an added token."""
+        if not self.added:
+            return np.zeros(0, np.int64)
+        blob = bytes_of(texts)[0].tobytes()
+        here = [t for t in self.added if t.encode() in blob]
+        hold = np.zeros(len(texts), bool)
+        for t in here:
+            hold |= pc.match_substring(texts, t).to_numpy(zero_copy_only=False).astype(bool)
+        return np.flatnonzero(hold)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids (unsigned 32-bit) of all texts, and the offset of each text's ids."""
         texts = filled(texts)
+        some = self._holders(texts)
+        if not len(some):
+            return self._by_piece(texts)
+        hold = np.zeros(len(texts), bool)
+        hold[some] = True
+        ids, off = self._by_piece(pc.if_else(pa.array(hold), pa.scalar("", texts.type), texts))
+        self.tokenizer.encode_special_tokens = False
+        try:
+            own, sizes = self._ids(texts.take(pa.array(some)).to_pylist())
+        finally:
+            self.tokenizer.encode_special_tokens = True
+        count = np.diff(off)
+        count[some] = sizes
+        return np.insert(ids, np.repeat(off[some], sizes), own), np.concatenate(([0], np.cumsum(count)))
+
+    def _by_piece(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode`` for texts without nulls that hold no added token."""
         raw, off = bytes_of(texts)
         if not self.keeps_space:  # this vocabulary is for lower case
             raw = lower_ascii(raw)
@@ -204,7 +236,7 @@ class WordEncoder:
 @cached
 @lru_cache(maxsize=2)
 def encoder(file: str) -> WordEncoder:
-    return WordEncoder(file)
+    return WordEncoder(file, added=True)
 
 
 def with_end(ids: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

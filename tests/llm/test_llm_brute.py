@@ -428,6 +428,39 @@ def test_word_encoder_equals_the_library(rows, name, monkeypatch):
         assert [list(ids[a:b]) for a, b in zip(off[:-1], off[1:])] == want[part]
 
 
+SPECIAL = ["one <|endoftext|> two", "<|endoftext|>", "A<|startoftext|>B <|endoftext|><|endoftext|>  C\n\nd", "<|ENDOFTEXT|> é", "<| endoftext |>", "", None,
+           "plain words", "end <|endoftext|"]
+
+
+@pytest.mark.parametrize("name, ids", [("byte_bpe_50k.json", [505, 220, 50256, 734]), ("word_bpe_49k.json", [637, 49407, 1237])])
+def test_added_tokens_in_texts_have_their_ids(name, ids):
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(vocabulary(name))
+    own = token_ids.encoder(vocabulary(name))
+    assert lib.encode(SPECIAL[0], add_special_tokens=False).ids == ids
+    texts = SPECIAL + ["words " * 50] + SPECIAL[::-1]
+    for kind in (pa.string(), pa.large_string()):
+        for part in (texts, texts[:1], texts[:2], texts[3:], texts[5:9]):
+            got, off = own.encode(pa.array(["x", *part], kind)[1:])
+            assert [got[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == [lib.encode(t or "", add_special_tokens=False).ids for t in part]
+
+
+def test_added_tokens_in_the_token_file_and_in_packing(spark):
+    from tokenizers import Tokenizer
+
+    docs = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string")
+    lib = {n: Tokenizer.from_file(vocabulary(n)) for n in ("byte_bpe_50k.json", "word_bpe_49k.json")}
+    start = 0
+    for r in token_file.read(token_file.write(docs, vocabulary("byte_bpe_50k.json"), 0)).orderBy("doc_id").collect():
+        ids = [*lib["byte_bpe_50k.json"].encode(SPECIAL[r.doc_id] or "", add_special_tokens=False).ids, 0]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    for r in packing.pieces(docs, vocabulary("word_bpe_49k.json"), 1).collect():  # one sequence holds them all
+        ids = [*lib["word_bpe_49k.json"].encode(SPECIAL[r.doc_id] or "", add_special_tokens=False).ids, 1]
+        assert (r.doc_tokens, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def all_ids(rows, name, end):
     from tokenizers import Tokenizer
 
