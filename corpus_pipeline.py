@@ -18,7 +18,9 @@ from loanlens.llm.store import documents, for_documents, written
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; it is learned from a bounded sample of the labelled ones."""
     for_documents(spark)
-    out = language_id.predict(docs, language_id.fit(docs.select("doc_id", "text", "lang")))
+    labelled = docs.select("doc_id", "text", "lang")
+    model = language_id.fit(labelled)
+    out = language_id.predict(docs, model, margins=language_id.calibrate(labelled, model))
     return out.where("accepted").select(*docs.columns)
 
 

@@ -37,8 +37,9 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    model = language_id.fit(docs.where(~language_id.held_out()).select("doc_id", "text", "lang"))
-    out = language_id.predict(docs.select("doc_id", "text"), model)
+    labelled = docs.where(~language_id.held_out()).select("doc_id", "text", "lang")
+    model = language_id.fit(labelled)
+    out = language_id.predict(docs.select("doc_id", "text"), model, margins=language_id.calibrate(labelled, model))
     return out.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "accepted")
 
 

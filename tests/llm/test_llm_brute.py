@@ -221,6 +221,24 @@ def test_narrow_margins_are_rejected(spark):
     assert [r.accepted for r in language_id.predict(docs, model).orderBy("doc_id").collect()] == [False, True]
 
 
+def test_calibrated_margins_keep_clean_texts_and_reject_others(spark):
+    rng = random.Random(8)
+    docs = store.documents(spark, "/root/testdata/sf0.01").select("doc_id", "text", "lang")
+    known, held = docs.where(~language_id.held_out()), docs.where(language_id.held_out())
+    model = language_id.fit(known)
+    margins = language_id.calibrate(known, model)
+    assert [n for n, _ in margins] == list(language_id.LENGTHS) and all(m >= language_id.MIN_MARGIN for _, m in margins)
+    whole = [r.text for r in held.where("text is not null").collect()]
+    clean = [t[:n] for t in whole for n in (20, 100, 200, 10**6)]
+    other = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(40, 400))) for _ in range(200)]
+    other += ["Привет, как дела? Это обычный русский текст о погоде и о городе. " * k for k in (1, 2, 9)]
+    other += ["这是一个普通的中文文本。" * k for k in (1, 4, 30)] + ["x", "xqzkw jvq", "短文"]
+    table = spark.createDataFrame([(t, True) for t in clean] + [(t, False) for t in other], "text string, clean boolean")
+    got = language_id.predict(table, model, margins=margins).collect()
+    assert sum(r.accepted for r in got if r.clean) >= 0.97 * len(clean)
+    assert [r.text for r in got if not r.clean and r.accepted] == []
+
+
 # -- 5: Jaccard join
 
 
