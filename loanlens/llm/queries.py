@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm import (exact_dedup, jaccard_join, language_id, licences, packing, pii, sentencepiece_bpe, simhash,
-                          substring_dedup, token_file)
+from loanlens.llm import (conversation_trie, exact_dedup, fill_middle, jaccard_join, language_id, licences, minhash, packing, pii,
+                          sentencepiece_bpe, simhash, substring_dedup, token_file)
 from loanlens.llm.store import documents
 
 PII_KEY = b"a key for tests; production passes its own"
@@ -70,6 +70,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(documents(spark, sf_dir))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), k=5, percent=85)
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(documents(spark, sf_dir))
+
+
 OP10_SQL = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS raw, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS k FROM documents),
 g AS (SELECT doc_id, k, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY k) AS group_size
@@ -87,4 +99,7 @@ QUERIES = {
     "op8_token_file": (op8_token_file, None),
     "op9_packing": (op9_packing, None),
     "op10_exact_dedup": (op10_exact_dedup, OP10_SQL),
+    "op11_minhash": (op11_minhash, None),
+    "op12_conversation_trie": (op12_conversation_trie, conversation_trie.TRIE_SQL),
+    "op13_fill_middle": (op13_fill_middle, fill_middle.FIM_SQL),
 }
