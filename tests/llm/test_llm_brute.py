@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SMALL
-from loanlens.llm import (components, exact_dedup, jaccard_join, language_id, licences, packing, pii, queries, sentencepiece_bpe,
+from loanlens.llm import (blocks, components, exact_dedup, jaccard_join, language_id, licences, packing, pii, queries, sentencepiece_bpe,
                           simhash, store, substring_dedup, token_file, token_ids)
 from loanlens.llm.queries import vocabulary
 from loanlens.llm.ranges import range_bucket
@@ -267,6 +267,7 @@ def jaccard_brute(rows, k, percent):
 @pytest.mark.parametrize("k, percent, block", [(3, 90, 2048), (5, 80, 2048), (5, 80, 4)])
 def test_jaccard_components(docs, rows, k, percent, block, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", block)
+    monkeypatch.setattr(blocks, "ROWS", min(block, 3))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar(docs, k, percent).collect()}
     assert got == jaccard_brute(rows, k, percent)
 
@@ -280,6 +281,77 @@ def test_chains_and_bridges_of_similar_documents(spark):
     assert got == jaccard_brute(rows, 3, 90)
 
 
+def near_copies(n, edits, seed=5):
+    """Copies of a text of 100 words, each with some words replaced at random: a dense group of one part key."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randint(0, 9999)}" for _ in range(100)]
+    out = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(edits):
+            words[rng.randrange(100)] = f"z{rng.randint(0, 10 ** 6)}"
+        out.append((i, " ".join(words)))
+    return out
+
+
+def test_rows_of_a_group_of_near_copies_stay_in_proportion(spark, monkeypatch):
+    """No table between holds more rows than the memberships of the group, however many pairs it has."""
+    rows = near_copies(600, 2)
+    sizes = []
+
+    def counted(df, name):
+        out = store.written(df, name)
+        sizes.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in
+           jaccard_join.similar(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()}
+    assert got == jaccard_brute(rows, 5, 80)
+    members = dict(sizes)["members"]
+    assert members <= 25 * len(rows)  # parts of a set
+    assert max(n for _, n in sizes) <= members
+
+
+@pytest.mark.parametrize("n, rows_of_block", [(300, 16), (300, 4096)])
+def test_crossed_blocks_lose_no_link(spark, monkeypatch, n, rows_of_block):
+    monkeypatch.setattr(blocks, "ROWS", rows_of_block)
+    rows = near_copies(n, 3, seed=9)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar(table, 5, 80).collect()} == jaccard_brute(rows, 5, 80)
+
+
+def test_exact_overlaps_and_forests():
+    rng = np.random.RandomState(3)
+    items = [np.unique(rng.randint(0, 60, rng.randint(1, 50))).astype(np.uint64) for _ in range(70)]
+    i, j = np.triu_indices(70, 1)
+    want = np.array([len(set(items[a]) & set(items[b])) for a, b in zip(i, j)])
+    assert (blocks.overlaps(items, i, j) == want).all()
+    assert (blocks.overlaps(items, i[:3], j[:3]) == want[:3]).all()
+    ok, comp = want > 22, rng.randint(0, 50, 70)
+    found = blocks.forest(i[ok], j[ok], comp)
+    assert len(found) < len(set(comp))
+
+    def labels(edges):
+        up = list(range(50))
+        for _ in range(50):
+            for a, b in edges:
+                up[comp[a]] = up[comp[b]] = min(up[comp[a]], up[comp[b]])
+        return up
+
+    assert labels(found) == labels(zip(i[ok], j[ok]))
+
+
+def test_repeated_and_null_ids_lose_no_text(spark):
+    """Rows of one doc_id with different texts are documents of their own; null ids link as others."""
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    c, near = " ".join(f"c{i}" for i in range(40)), " ".join([f"c{i}" for i in range(39)] + ["x"])
+    table = spark.createDataFrame([(1, a), (2, a), (2, b), (None, c), (9, near), (None, near)], "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.component_id) for r in jaccard_join.similar(table, 5, 80).collect())
+    assert got == [("1", 1), ("2", 1), ("2", 2), ("9", 9), ("None", 9), ("None", 9)]
+    assert sorted(((r.doc_id, r.text) for r in jaccard_join.kept(table).collect()), key=str) == [(1, a), (2, b), (9, near)]
+
+
 @pytest.mark.parametrize("percent", [50, 80, 90, 100])
 def test_part_keys_are_shared_by_all_partners(percent):
     rng = np.random.RandomState(percent)
