@@ -33,9 +33,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest doc_id, of each component of similar documents (five-word shingles, 0.8)."""
     for_documents(spark)
-    found = jaccard_join.similar(docs, k=5, percent=80)
-    gone = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "near-gone")
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    return jaccard_join.kept(docs, k=5, percent=80)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
