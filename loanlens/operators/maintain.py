@@ -3,7 +3,8 @@
 Plain Parquet has no MERGE, so each load step returns the new table; the caller
 writes it to a new path or overwrites the touched partitions (dynamic partition
 overwrite by ``report_date``).  Every step is idempotent when replayed with the
-same source, except ``additive_merge``, which is guarded by the load log.
+same source, except ``additive_merge``, which is guarded by the load log;
+``additive_replace`` keeps what each file gave and so can take a file again.
 All joins are on the loan key (or the period and loan key): one shuffle per side,
 hash-partitioned, and AQE splits a skewed partition.
 """
@@ -52,13 +53,16 @@ def quarantine_counts(tagged: DataFrame) -> DataFrame:
 
 
 def merge_scd1(target: DataFrame, source: DataFrame, keys, *, order_by, now, created: str = "created_at",
-               updated: str = "last_updated", preserve=("created_at",)) -> DataFrame:
+               updated: str = "last_updated", preserve=("created_at",), version: str | None = None) -> DataFrame:
     """Upsert one row per key.
 
     Of several source rows of a key the first by ``order_by`` counts.  Matched keys take every attribute from the source (a null in the source
     overwrites), ``last_updated = now``; ``created_at`` is kept from the target
     when listed in ``preserve`` (else overwritten with ``now``).  Source-only keys
     are inserted with both timestamps ``now``.  Target-only keys stay as they are.
+    With ``version`` (a column of both, such as the as-of month) a source row of an older version
+    than the target's changes nothing, so files may come in any order; a null version is the
+    oldest.  Without it the last load wins.
     A full outer join on the key; the side is chosen by a source-presence flag,
     not by ``coalesce``, so nulls from the source win.
     """
@@ -74,6 +78,9 @@ def merge_scd1(target: DataFrame, source: DataFrame, keys, *, order_by, now, cre
         cond = c if cond is None else cond & c
     j = s.join(t, cond, "full_outer")
     ins = F.col("s._in_src").isNotNull()
+    if version:
+        older = F.col("t._in_tgt").isNotNull() & F.coalesce(F.col(f"s.{version}") < F.col(f"t.{version}"), F.col(f"s.{version}").isNull() & F.col(f"t.{version}").isNotNull())
+        ins = ins & ~older
     out = [F.coalesce(F.col(f"s.{k}"), F.col(f"t.{k}")).alias(k) for k in keys]
     out += [F.when(ins, F.col(f"s.{a}")).otherwise(F.col(f"t.{a}")).alias(a) for a in attrs]
     if created in preserve:
@@ -126,8 +133,8 @@ def monthly_projection(staging: DataFrame, *, report_date=None, keys=("disclosur
                     rules.dq_label(md).alias("delinquency_status"))
 
 
-def static_projection(staging: DataFrame) -> DataFrame:
-    """LL staging strings -> static loan attributes (typed)."""
+def static_projection(staging: DataFrame, *, keep=()) -> DataFrame:
+    """LL staging strings -> static loan attributes (typed), with the columns ``keep`` as they are."""
     s = dedupe_first(staging, ["disclosure_sequence_number"],
                      [F.col("as_of_date").desc_nulls_last(), _balance().asc_nulls_last(), ties(staging)])
     return s.select("disclosure_sequence_number", F.col("issuer_id").try_cast("int").alias("issuer_id"),
@@ -137,7 +144,7 @@ def static_projection(staging: DataFrame) -> DataFrame:
                     F.col("loan_to_value").try_cast("decimal(7,2)").alias("ltv"),
                     F.col("credit_score").try_cast("int").alias("credit_score"),
                     "loan_origination_date", "down_payment_assistance", "first_time_home_buyer",
-                    F.col("seller_issuer_id").try_cast("int").alias("seller_issuer_id"), "agency")
+                    F.col("seller_issuer_id").try_cast("int").alias("seller_issuer_id"), "agency", *keep)
 
 
 def liquidation_projection(staging: DataFrame, *, report_date=None, period_col: str = "report_period") -> DataFrame:
@@ -175,13 +182,13 @@ def fnma_monthly_insert(target: DataFrame, perf: DataFrame, *, key: str = "loan_
     return target.unionByName(new)
 
 
-def state_month_from_perf(perf: DataFrame, *, min_age: int = 24) -> DataFrame:
-    """Staging performance rows -> state x month x vintage counts (active, known status, seasoned)."""
+def state_month_from_perf(perf: DataFrame, *, min_age: int = 24, by=()) -> DataFrame:
+    """Staging performance rows -> state x month x vintage counts (active, known status, seasoned), ``by`` further columns."""
     st = null_tokens(F.col("current_loan_delinquency_status"), ("XX",)).try_cast("smallint")
     p = perf.filter((F.col("current_actual_upb").try_cast("decimal(18,2)") > 0)
                     & F.col("current_loan_delinquency_status").isNotNull()
                     & (F.col("loan_age").try_cast("decimal(18,2)") >= min_age))
-    return (p.groupBy(mmyyyy_date(F.col("monthly_reporting_period")).alias("reporting_date"), "property_state",
+    return (p.groupBy(*by, mmyyyy_date(F.col("monthly_reporting_period")).alias("reporting_date"), "property_state",
                       year_from_mmyyyy(F.col("origination_date")).alias("orig_year"))
             .agg(F.count(F.lit(1)).alias("loan_count"),
                  F.sum(F.when(st >= 1, 1).otherwise(0)).cast("bigint").alias("dlq30"),
@@ -199,11 +206,39 @@ def additive_merge(target: DataFrame, perf: DataFrame, *, keys=("reporting_date"
     return u.groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(c) for c in ("loan_count", "dlq30", "dlq90")])
 
 
-def risk_preaggregate(monthly: DataFrame, static: DataFrame) -> DataFrame:
-    """state x month x vintage x FICO band x LTV band -> loans, 30+ and 90+ delinquent."""
+def contributions(rows: DataFrame, counts, *, file: str) -> DataFrame:
+    """What each file gives: ``counts`` (rows -> grouped counts) made per file, with the file's name.
+
+    ``counts`` takes the rows and further grouping columns, as ``state_month_from_perf`` does.
+    """
+    return counts(rows, by=(file,))
+
+
+def additive_replace(target: DataFrame, given: DataFrame, new: DataFrame, *, keys, values, file: str = "file_name") -> tuple[DataFrame, DataFrame]:
+    """Signed additive merge: (new target, new contributions) after ``new`` replaces what its files gave before.
+
+    ``given`` holds the counts that each file added so far, ``new`` those of the files of this load (one row
+    per file and key).  The target takes the new counts plus and the old ones of the same files minus; a key whose counts all come to 0
+    goes.  Only keys of the load's files change, and loading a file twice changes nothing.  A file that is
+    empty now is named by a row of ``new`` with null values.
+    """
+    keys, values = list(keys), list(values)
+    files = new.select(file).distinct()
+    real = new.filter(F.col(values[0]).isNotNull())
+    old = given.join(files, file, "left_semi")
+    delta = real.select(*keys, *values).unionByName(old.select(*keys, *[(-F.col(v)).alias(v) for v in values]))
+    merged = target.select(*keys, *values).unionByName(delta).groupBy(*keys).agg(*[F.sum(v).cast("bigint").alias(v) for v in values])
+    gone = F.lit(True)
+    for v in values:
+        gone = gone & (F.col(v) == 0)
+    return merged.filter(~gone), given.join(files, file, "left_anti").unionByName(real.select(*given.columns))
+
+
+def risk_preaggregate(monthly: DataFrame, static: DataFrame, *, by=()) -> DataFrame:
+    """state x month x vintage x FICO band x LTV band -> loans, 30+ and 90+ delinquent, ``by`` further columns."""
     j = monthly.join(static.drop("issuer_id"), "loan_id")
     mdq = F.col("months_delinquent")
-    return (j.groupBy(F.col("report_date").alias("reporting_date"), F.col("state_code").alias("property_state"),
+    return (j.groupBy(*by, F.col("report_date").alias("reporting_date"), F.col("state_code").alias("property_state"),
                       F.year("loan_origination_date").alias("orig_year"),
                       rules.fico_bucket(F.col("credit_score")).alias("fico_bucket"),
                       rules.ltv_bucket(F.col("ltv")).alias("ltv_bucket"))
@@ -212,9 +247,13 @@ def risk_preaggregate(monthly: DataFrame, static: DataFrame) -> DataFrame:
                  F.sum(F.when(mdq >= 3, 1).otherwise(0)).cast("bigint").alias("dlq90")))
 
 
-def load_log_skip(candidates: DataFrame, log: DataFrame, *, force: bool = False) -> DataFrame:
-    """Files not yet in the load log (all of them with ``force``)."""
-    return candidates if force else candidates.join(log.select("file_name"), "file_name", "left_anti")
+def load_log_skip(candidates: DataFrame, log: DataFrame, *, force: bool = False, keys=("file_name",)) -> DataFrame:
+    """Files not yet in the load log (all of them with ``force``).
+
+    By name alone a corrected file is passed over; with a digest among ``keys`` it is loaded.
+    """
+    keys = list(keys)
+    return candidates if force else candidates.join(log.select(*keys), keys, "left_anti")
 
 
 def load_log_update(log: DataFrame, loaded: DataFrame) -> DataFrame:

@@ -14,8 +14,10 @@ from loanlens.operators import maintain
 from loanlens.operators.joins import dedupe_first
 from loanlens.plans.adapter import Tables
 from loanlens.plans.catalog import UPB, Q, register
-from loanlens.sources import render
-from loanlens.sources.layouts import FNMA_STATIC_FIELDS
+from loanlens.session import cut
+from loanlens.sources import records, render
+from loanlens.sources.layouts import FNMA_STATIC_FIELDS, LL_FIELDS
+from loanlens.sources.records import content_digest
 
 NOW = "2026-06-01 00:00:00"
 MERGE_MONTH = "2000-01-01"
@@ -147,6 +149,23 @@ def _quarantine(t: Tables):
     return maintain.quarantine_counts(tagged)
 
 
+@register("quarantine_records", Q("""SELECT CASE WHEN msa IS NULL THEN 'field count' WHEN credit_score IS NULL THEN 'no key' ELSE 'valid' END AS reason,
+  COUNT(*) AS rows FROM ll GROUP BY 1""", {"ll": LL_SQL}))
+def _quarantine_records(t: Tables):
+    """Record lines of which some are cut short and some have a blank key: each is kept with its reason, the others load."""
+    from loanlens.plans.catalog_sources import _landed_ll
+
+    at = {f: LL_FIELDS.index(f) for f in ("msa", "credit_score", "disclosure_sequence_number")}
+    parts = F.split("value", r"\|", -1)
+    blank = lambda f: F.trim(parts.getItem(at[f])) == ""
+    key = at["disclosure_sequence_number"]
+    keyless = F.concat_ws("|", F.slice(parts, 1, key), F.lit(" "), F.slice(parts, key + 2, len(LL_FIELDS)))
+    lines = records.read_lines(t.spark, _landed_ll(t))
+    lines = lines.withColumn("value", F.when(blank("msa"), F.substring_index("value", "|", 9)).when(blank("credit_score"), keyless).otherwise(F.col("value")))
+    tagged = records.split_records(lines, "LL", LL_FIELDS, key="disclosure_sequence_number")
+    return maintain.quarantine_counts(tagged.withColumnRenamed("bad_reason", "_reason"))
+
+
 _MERGE_CTES = {
     "tg": f"""SELECT loan_id, issuer_id, {UPB}, months_delinquent, report_date,
   CAST(report_date AS TIMESTAMP) AS created_at, CAST(report_date AS TIMESTAMP) AS last_updated FROM (
@@ -158,7 +177,7 @@ _MERGE_CTES = {
 }
 
 
-def _merge_sql(preserve: bool) -> str:
+def _merge_sql(preserve: bool, ctes: dict | None = None) -> str:
     ins = "s.loan_id IS NOT NULL"
     cols = ", ".join(f"CASE WHEN {ins} THEN s.{c} ELSE t.{c} END AS {c}"
                      for c in ["issuer_id", UPB, "months_delinquent", "report_date"])
@@ -166,7 +185,7 @@ def _merge_sql(preserve: bool) -> str:
                else f"CASE WHEN {ins} THEN TIMESTAMP '{NOW}' ELSE t.created_at END")
     return Q(f"""SELECT COALESCE(s.loan_id, t.loan_id) AS loan_id, {cols}, {created} AS created_at,
   CASE WHEN {ins} THEN TIMESTAMP '{NOW}' ELSE t.last_updated END AS last_updated
-FROM sr s FULL OUTER JOIN tg t ON s.loan_id = t.loan_id""", _MERGE_CTES)
+FROM sr s FULL OUTER JOIN tg t ON s.loan_id = t.loan_id""", ctes or _MERGE_CTES)
 
 
 def _merge_inputs(t: Tables):
@@ -186,6 +205,20 @@ def _merge_scd1(t: Tables):
     return maintain.merge_scd1(tg, sr, ["loan_id"], order_by=[F.desc("report_date"), F.asc(UPB)], now=NOW)
 
 
+_LATE = {"tg": _MERGE_CTES["tg"], "sr": f"""SELECT s.* FROM (SELECT loan_id, issuer_id, {UPB}, months_delinquent, report_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY report_date, {UPB}) AS rn FROM loan_monthly) x WHERE rn = 1) s
+  LEFT JOIN (SELECT loan_id AS id, MAX(report_date) AS newest FROM loan_monthly WHERE report_date < DATE '{MERGE_MONTH}' GROUP BY loan_id) n ON n.id = s.loan_id
+  WHERE n.newest IS NULL OR s.report_date >= n.newest"""}
+
+
+@register("merge_scd1_any_order", _merge_sql(True, _LATE))
+def _merge_scd1_any_order(t: Tables):
+    """The oldest month of each loan comes last: it changes nothing where the table has a newer one."""
+    tg, _ = _merge_inputs(t)
+    m = t.loan_monthly.select("loan_id", "issuer_id", UPB, "months_delinquent", "report_date")
+    return maintain.merge_scd1(tg, m, ["loan_id"], order_by=[F.asc("report_date"), F.asc(UPB)], now=NOW, version="report_date")
+
+
 @register("split_new_existing", _merge_sql(False))
 def _split_new_existing(t: Tables):
     tg, sr = _merge_inputs(t)
@@ -288,6 +321,34 @@ def _additive_merge(t: Tables):
     return maintain.additive_merge(target, s.filter(per >= cut))
 
 
+def _by_files(counts, rows, wrong, keys):
+    """The additive table after all files came, those of the years before 1999 with wrong rows first and corrected then."""
+    values = ["loan_count", "dlq30", "dlq90"]
+    old = F.col("file_name") < "1999"
+    first = counts(rows.filter(~old).unionByName(wrong(rows.filter(old))))
+    none = first.filter(F.lit(False))
+    target, given = maintain.additive_replace(none.select(*keys, *values), none, first, keys=keys, values=values)
+    given = cut(given)
+    return maintain.additive_replace(cut(target), given, counts(rows.filter(old)), keys=keys, values=values)[0]
+
+
+@register("additive_merge_corrected", Q("SELECT * FROM smp", {**_perf_cte(), "smp": _SM_PERF}))
+def _additive_merge_corrected(t: Tables):
+    """Monthly files of which the older ones are corrected: their first counts go, the new ones come."""
+    s = fnma(t).withColumn("file_name", F.date_format(mmyyyy_date(F.col("monthly_reporting_period")), "yyyyMM"))
+    wrong = lambda d: d.withColumn("current_loan_delinquency_status", F.lit("04")).withColumn("property_state", F.concat("property_state", F.lit("?")))
+    return _by_files(lambda d: maintain.contributions(d, maintain.state_month_from_perf, file="file_name"), s, wrong,
+                     ["reporting_date", "property_state", "orig_year"])
+
+
+@register("risk_preaggregate_corrected", Q("SELECT * FROM risk"))
+def _risk_preaggregate_corrected(t: Tables):
+    m = t.loan_monthly.withColumn("file_name", F.date_format("report_date", "yyyyMM"))
+    wrong = lambda d: d.withColumn("months_delinquent", F.col("months_delinquent") + 2)
+    counts = lambda d: maintain.contributions(d, lambda x, by: maintain.risk_preaggregate(x, t.loan_static, by=by), file="file_name")
+    return _by_files(counts, m, wrong, ["reporting_date", "property_state", "orig_year", "fico_bucket", "ltv_bucket"])
+
+
 @register("risk_preaggregate", Q("SELECT * FROM risk"))
 def _risk_preaggregate(t: Tables):
     return maintain.risk_preaggregate(t.loan_monthly, t.loan_static)
@@ -319,6 +380,21 @@ def _load_log_skip(t: Tables):
     return maintain.load_log_skip(f, log)
 
 
+@register("load_log_corrected", Q("""SELECT DISTINCT 'llmon1_' || strftime(report_date, '%Y%m') || '.txt' AS file_name FROM loan_monthly
+WHERE year(report_date) = 1997 OR report_date >= DATE '1999-01-01'"""))
+def _load_log_corrected(t: Tables):
+    """Files to load where the log has those before 1999, with other content for 1997: the new and the corrected ones."""
+    m = t.loan_monthly.select("loan_id", "report_date", UPB, "months_delinquent", F.concat(F.lit("llmon1_"), F.date_format("report_date", "yyyyMM"), F.lit(".txt")).alias("file_name"))
+
+    def digests(df):
+        line = F.xxhash64(F.concat_ws("|", "loan_id", "report_date", UPB, "months_delinquent"))
+        return df.groupBy("file_name").agg(content_digest(line).alias("digest"))
+
+    was = m.filter(F.col("report_date") < F.lit("1999-01-01").cast("date"))
+    was = was.withColumn(UPB, F.when(F.year("report_date") == 1997, F.col(UPB) + 1).otherwise(F.col(UPB)))
+    return maintain.load_log_skip(digests(m), digests(was), keys=["file_name", "digest"]).select("file_name")
+
+
 @register("issuer_group_update", Q(f"""
 SELECT i.issuer_number, i.issuer_name, i.citystate, i.subservicer,
   COALESCE(CASE WHEN c.n IS NULL THEN NULL WHEN c.n < 500 THEN 'Very Small' WHEN c.n < 560 THEN 'Small' WHEN c.n < 600 THEN 'Medium'

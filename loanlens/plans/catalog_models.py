@@ -275,7 +275,7 @@ SELECT *, delinquency_pct - prior_delinquency_pct AS delinquency_change_pp,
 FROM trended WHERE reporting_date = DATE '{M2}' ORDER BY state_code""", _TREND))
 def _state_trend(t: Tables):
     from loanlens.operators.credit import state_trend
-    return state_trend(t.loan_static, t.loan_monthly, t.issuer_info, months=TREND_MONTHS)
+    return state_trend(None, t.loan_months, t.issuer_info, months=TREND_MONTHS)
 
 
 # ---------------------------------------------------------------------------------

@@ -17,22 +17,22 @@ from loanlens.plans.catalog import Q, register
 from loanlens.plans.catalog_maintain import LL_SQL, LR_SQL
 from loanlens.plans.catalog_sources import _once
 from loanlens.session import scratch_path
+from loanlens.streaming import book as books
 from loanlens.streaming import streams
 
 NOW = "2026-06-01 00:00:00"
 BATCHES = 4  # micro-batches that the landed events make
 
 
-def _ingest(t: Tables, runs: int = 1):
-    """Paths of the tables that ``runs`` streams made from the inbox (flat, nested, zipped; loans and liquidations)."""
+def _ingest(t: Tables, force=(False,)) -> str:
+    """The book that streams made from the inbox (flat, nested, zipped; loans and liquidations; stray files), one for each of ``force``."""
     inbox = fixtures.inbox(t)
     base = scratch_path(t.spark, "stream-ingest")
-    t.issuer_info.withColumn("issuer_number", F.col("issuer_number").cast("int")).write.parquet(f"{base}/issuers")
-    for i in range(runs):
-        streams.stream_ingest(t.spark, inbox, monthly_path=f"{base}/monthly", static_path=f"{base}/static",
-                              liquidations_path=f"{base}/liquidations", log_path=f"{base}/log", issuer_path=f"{base}/issuers",
-                              checkpoint=f"{base}/_checkpoint{i}", max_files=200, now=NOW).awaitTermination()
-    return base
+    books.put(t.spark, f"{base}/book", "issuers", t.issuer_info.withColumn("issuer_number", F.col("issuer_number").cast("int")))
+    for i, again in enumerate(force):
+        streams.stream_ingest(t.spark, inbox, book=f"{base}/book", checkpoint=f"{base}/_checkpoint{i}", max_files=200, force=again,
+                              now=NOW).awaitTermination()
+    return f"{base}/book"
 
 
 _MONTHLY_SQL = Q("""
@@ -61,21 +61,23 @@ UNION ALL SELECT 'issuers', CAST(i.issuer_number AS VARCHAR), CAST(TIMESTAMP '{N
 
 @register("stream_ingest", Q(_LOADED_SQL, {"ll": LL_SQL, "lr": LR_SQL}))
 def _stream_ingest(t: Tables):
-    """Everything the loader made: loan-months, static loans, liquidations, log and issuer bands."""
-    base = _ingest(t)
-    read = t.spark.read.parquet
+    """Everything the loader made: loan-months, static loans, liquidations, log and issuer bands.
+
+    The inbox comes twice; the second stream finds every file in the log and changes nothing.
+    """
+    book = _ingest(t, (False, False))
     amount = lambda c: F.col(c).cast("decimal(14,2)").alias("amount")
     none = F.lit(0).cast("decimal(14,2)").alias("amount")
-    monthly, liq, issuers = read(f"{base}/monthly"), read(f"{base}/liquidations"), read(f"{base}/issuers")
+    monthly, liq, issuers, static = (books.read(t.spark, book, x) for x in ("monthly", "liquidations", "issuers", "static"))
     month = F.max("report_date").over(Window.partitionBy("issuer_id"))
     latest = (monthly.groupBy("issuer_id", "report_date").agg(F.count(F.lit(1)).alias("n"))
               .withColumn("m", month).filter("report_date = m").select("issuer_id", "n"))
-    log = streams.load_log(t.spark, f"{base}/log")
+    log = streams.load_log(t.spark, book)
     parts = [
         monthly.select(F.lit("monthly").alias("tbl"), F.col("disclosure_sequence_number").alias("id"), "report_date",
                        F.col("issuer_id").cast("bigint").alias("n"), amount("unpaid_principal_balance"),
                        F.col("delinquency_status").alias("label")),
-        read(f"{base}/static").select(F.lit("static").alias("tbl"), F.col("disclosure_sequence_number").alias("id"),
+        static.select(F.lit("static").alias("tbl"), F.col("disclosure_sequence_number").alias("id"),
                                       F.to_date("created_at").alias("report_date"), F.col("credit_score").cast("bigint").alias("n"),
                                       amount("original_principal_balance"), F.col("state_code").alias("label")),
         liq.select(F.lit("liquidations").alias("tbl"), F.col("disclosure_sequence_number").alias("id"), "report_date",
@@ -93,8 +95,8 @@ def _stream_ingest(t: Tables):
 
 @register("stream_replace_period", _MONTHLY_SQL)
 def _stream_replace_period(t: Tables):
-    """The inbox delivered to two streams in turn: the second replaces the months of the first."""
-    return t.spark.read.parquet(f"{_ingest(t, runs=2)}/monthly")
+    """The inbox delivered to two streams in turn: the second, told to load all again, replaces the months of the first."""
+    return books.read(t.spark, _ingest(t, (False, True)), "monthly")
 
 
 def _landed_events(t: Tables, name: str = "events_stream", copies: int = 1) -> str:
@@ -110,8 +112,20 @@ def _landed_events(t: Tables, name: str = "events_stream", copies: int = 1) -> s
     return _once(t.spark, path, write)
 
 
-def _alerts_stream(t: Tables, copies: int = 1):
-    path = _landed_events(t, f"events_stream_x{copies}", copies)
+def _in_order(t: Tables, path: str) -> str:
+    """Give the landed files times in the order of their names, which is that of their events: a stream takes them so."""
+    sc = t.spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    parts = sorted(f.getPath().getName() for f in fs.listStatus(root) if f.getPath().getName().startswith("part-"))
+    for i, name in enumerate(parts):
+        fs.setTimes(sc._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), 1_700_000_000_000 + 1000 * i, -1)
+    return path
+
+
+def _alerts_stream(t: Tables, copies: int = 1, ordered: bool = False):
+    path = _landed_events(t, f"events_stream_x{copies}" + "_ordered" * ordered, copies)
+    path = _in_order(t, path) if ordered else path
     schema = t.spark.read.parquet(path).schema
     e = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", -(-t.write_tasks() // BATCHES)).parquet(path)
     et, v = F.col("event_type"), F.col("value")
@@ -146,6 +160,24 @@ def _stream_alert_worst(t: Tables):
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+TTL_DAYS, DELAY_DAYS = 3, 1
+
+
+@register("stream_alert_expiry", Q(f"""
+SELECT state, scenario_type, event_id, ts, severity FROM (SELECT *, row_number() OVER (PARTITION BY state, scenario_type
+  ORDER BY CASE severity WHEN 'severe' THEN 3 WHEN 'moderate' THEN 2 WHEN 'mild' THEN 1 END DESC, ts, event_id) AS rn
+  FROM alerts WHERE -((-(epoch_us(ts) + {TTL_DAYS} * 86400000000)) // 1000) > (SELECT epoch_us(MAX(ts)) // 1000 FROM alerts) - {DELAY_DAYS} * 86400000) x
+WHERE rn = 1"""))
+def _stream_alert_expiry(t: Tables):
+    """The worst alert of each state and scenario that has not expired when the stream ends."""
+    streams.use_rocksdb(t.spark)
+    worst = streams.stream_alert_expiry(_alerts_stream(t, copies=2, ordered=True), ttl_seconds=TTL_DAYS * 86400, watermark=f"{DELAY_DAYS} day")
+    path = scratch_path(t.spark, "stream-expiry")
+    streams.run_to_table(worst, path, f"{path}_checkpoint", mode="update")
+    out = streams.latest_per_key(t.spark.read.parquet(path), ["state", "scenario_type"]).filter("event_id is not null")
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @register("stream_dedupe", Q("SELECT event_id, ts, user_id, event_type, value FROM events"))
 def _stream_dedupe(t: Tables):
     a = _alerts_stream(t, copies=2).select("event_id", "ts", "user_id", "event_type", "value")

@@ -61,14 +61,14 @@ def pack_zip_archives(spark: SparkSession, text_root: str, zip_root: str, *, mem
 
 
 def inbox(t) -> str:
-    """An inbox of the landed files: loans of every third month zipped, the others in folders, liquidations flat.
+    """An inbox of the landed files: loans of every third month zipped, the others in folders, liquidations flat, and two stray files.
 
     Folders and archives are named like the landed ones; flat files are copies whose name
     says type and month, one per part.
     """
     from loanlens.plans.catalog_sources import _landed_ll, _landed_lr, _once
 
-    spark, path = t.spark, t.landed("inbox")
+    spark, path = t.spark, t.landed("inbox_strays")
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
 
     def fill():
@@ -86,4 +86,9 @@ def inbox(t) -> str:
                     target = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}_{i}.txt")
                     jvm.org.apache.hadoop.fs.FileUtil.copy(fs, part.getPath(), fs, target, False, True, conf)
 
+        for name in ("readme.txt", "old/2001/llmon1_199801.txt"):  # no disclosure file; too far down
+            out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
+            out.write(bytearray(b"not for loading\n"))
+            out.close()
+
     return _once(spark, path, fill)

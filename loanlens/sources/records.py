@@ -44,6 +44,36 @@ def parse_records(lines: DataFrame, prefix: str, fields, keep=None, *, check: bo
     return rec.select(*cols, *extra)
 
 
+def split_records(lines: DataFrame, prefix: str, fields, *, key: str | None = None) -> DataFrame:
+    """Permissive form of ``parse_records``: every line of the record type, with what is wrong with it.
+
+    ``bad_reason`` is null for a good line, else ``field count`` or ``no key`` (a blank ``key`` field);
+    ``bad_line`` is the line itself then, and its fields are null.  ``line_hash`` is a 64-bit hash of the line.
+    """
+    fields = list(fields)
+    own = F.col("value").startswith(prefix) if len(prefix) > 1 else F.substring_index("value", "|", 1) == prefix
+    rec = lines.filter(own).withColumn("_p", F.split("value", r"\|", -1))
+    reason = F.when(F.size("_p") != len(fields), F.lit("field count"))
+    if key:
+        reason = reason.when(blank_null(F.col("_p").getItem(fields.index(key))).isNull(), F.lit("no key"))
+    rec = rec.withColumn("bad_reason", reason)
+    good = F.col("bad_reason").isNull()
+    cols = [F.when(good, blank_null(F.col("_p").getItem(i))).alias(f) for i, f in enumerate(fields)]
+    return rec.select(*cols, "source", F.xxhash64("value").alias("line_hash"), "bad_reason", F.when(~good, F.col("value")).alias("bad_line"))
+
+
+def content_digest(line_hash: Column) -> Column:
+    """An aggregate that names the lines of a file, whatever their order: count, sum and xor of their hashes."""
+    return F.concat_ws("-", F.count(line_hash).cast("string"), F.sum(line_hash.cast("decimal(38,0)")).cast("string"), F.bit_xor(line_hash).cast("string"))
+
+
+def load_name(path: Column) -> Column:
+    """The name that the load log has for a file: its own if that says type and month, else with its folder's before it."""
+    name = file_name(path)
+    named = name.rlike(r"(?i)^llmon(?:liq)?\d?_\d{6}")
+    return F.when(named, name).otherwise(F.regexp_extract(path, r"([^/]+/[^/]+)$", 1))
+
+
 def read_records(spark: SparkSession, paths, prefix: str, fields, keep=None, **kw) -> DataFrame:
     """One DataFrame of the ``prefix`` records of every file in ``paths``."""
     return parse_records(read_lines(spark, paths, **kw), prefix, fields, keep)

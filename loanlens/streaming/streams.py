@@ -1,20 +1,20 @@
 """Structured Streaming forms of the loaders and of the stateful alert / count rules.
 
-The reference polls an inbox and reloads files; here a file-source stream picks each
-new file up exactly once (its checkpoint says what was seen).  The stream carries file
-names only; ``load_files`` reads the micro-batch's text files and zip archives and applies
-the same pure maintenance functions as the batch path: ``replace_period`` for loan-months
-and liquidations (dynamic partition overwrite of the touched months, so a redelivered month
-replaces its rows and a replay is idempotent), ``merge_scd1`` for static loans (overwrite of
-the touched key buckets), and the issuer size bands of the loaded months.  A file whose name
-is not recognised, or without records, fails the batch.
+The reference polls an inbox, asks its load log before each file and loads a file in one
+transaction.  Here a file-source stream picks up the names of new files, and ``load_files``
+loads a batch of them into a book (``streaming.book``): months of loans and liquidations replaced, static loans
+merged into buckets that split, issuer bands, load log and rejected lines, all of it by one manifest.
+
+A file that is in the log with the same content is passed over, wherever it lies now; one of
+the same name with other content replaces the rows of its loans and months; ``force`` loads all.
 """
 
 from __future__ import annotations
 
 import datetime
+from collections import defaultdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,38 +23,17 @@ from loanlens.operators import maintain
 from loanlens.operators.joins import dedupe_first
 from loanlens.session import cut, dropped, scratch_path
 from loanlens.sources.layouts import LL_FIELDS, LR_FIELDS
-from loanlens.sources.records import file_type, parse_records, read_lines, read_zip_members, report_month
-
-ROWS_PER_BUCKET = 2_000_000  # static loans per bucket when the table is made
-LOG_COLUMNS = ["file_name", "file_type", "report_date", "rows_loaded", "loaded_at"]
+from loanlens.sources.records import (content_digest, file_type, list_files, load_name, read_lines, read_zip_members, report_month,
+                                      split_records)
+from loanlens.streaming import book as books
+
+ROWS_PER_BUCKET = 2_000_000  # mean of static loans per bucket beyond which the next bucket splits
+LOG_FOLDERS = 64  # loads after which the log is written as one folder again
+LOG_COLUMNS = ["file_name", "file_type", "report_date", "rows_loaded", "rows_rejected", "loaded_at", "length", "digest", "load_id"]
+KEY = "disclosure_sequence_number"
 KINDS = {"loans": ("LL", LL_FIELDS), "liquidations": ("LR", LR_FIELDS)}
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def _buckets(spark: SparkSession, static_path: str, rows: int) -> int:
-    """Buckets of the static table: from the rows of the load that makes it, kept beside it from then on."""
-    layout = f"{static_path.rstrip('/')}-layout"
-    if not _exists(spark, f"{layout}/_SUCCESS"):
-        n = max(1, -(-rows // ROWS_PER_BUCKET))
-        spark.range(1).select(F.lit(n).alias("buckets")).write.mode("overwrite").json(layout)
-    return spark.read.schema("buckets int").json(layout).first()["buckets"]
-
-
-def _replace(rows: DataFrame, path: str, period: str = "report_date") -> None:
-    """Replace the rows of the same loans and months; the months are overwritten as partitions."""
-    spark = rows.sparkSession
-    if _exists(spark, path):
-        months = rows.select(period).distinct()
-        old = spark.read.parquet(path).join(months, period, "left_semi").select(*rows.columns)
-        rows = maintain.replace_period(old, rows, ["disclosure_sequence_number"])
-    # the old rows are read before the commit swaps the partitions
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path)
-
-
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     zips = [p for p in paths if p.lower().endswith(".zip")]
     texts = [p for p in paths if not p.lower().endswith(".zip")]
@@ -62,83 +41,202 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def load_files(spark: SparkSession, paths: list[str], *, monthly_path: str, static_path: str, liquidations_path: str, log_path: str,
-               issuer_path: str | None = None, now: str | None = None, stream_id: str = "batch", batch_id: int = 0) -> None:
-    """Load disclosure files (text or zip, loans or liquidations) into the tables and log each of them.
+def _digests(spark: SparkSession, files: list[dict]) -> dict[str, str]:
+    """Content digest of files that the log may know already: their records are read, nothing is staged."""
+    out = {}
+    for kind, (prefix, fields) in KINDS.items():
+        own = [f["source"] for f in files if f["file_type"] == kind]
+        if own:
+            recs = split_records(_lines(spark, own), prefix, fields)
+            out |= {r["source"]: r["digest"] for r in recs.groupBy("source").agg(content_digest(F.col("line_hash")).alias("digest")).collect()}
+    return out
+
 
-    ``paths`` are the files of one batch (the stream bounds their number).  ``now`` stamps rows
-    and log, the current time by default.  The staged records are written once; counts and tables
-    are made from them.  The log is written last.
+def _wanted(spark: SparkSession, files: list[dict], log: DataFrame | None, force: bool) -> list[list[dict]]:
+    """The files to load, in rounds: a round has each name once.
+
+    The log is asked by name and length first; only a file that it has with the same length is read to be compared.
+    """
+    by_name: dict[str, list[dict]] = defaultdict(list)
+    for f in sorted(files, key=lambda f: f["source"]):
+        by_name[f["file_name"]].append(f)
+    suspects = [f for own in by_name.values() if len(own) > 1 for f in own]
+    known: set[tuple[str, str]] = set()
+    if log is not None and not force:
+        names = spark.createDataFrame([(f["file_name"], f["length"]) for f in files], "file_name string, length long").distinct()
+        hits = log.join(names, ["file_name", "length"], "left_semi").select("file_name", "length", "digest").collect()  # files of this batch
+        known = {(r["file_name"], r["digest"]) for r in hits}
+        lengths = {(r["file_name"], r["length"]) for r in hits}
+        suspects += [f for f in files if (f["file_name"], f["length"]) in lengths and f not in suspects]
+    digest = _digests(spark, suspects) if suspects else {}
+    rounds: list[list[dict]] = []
+    for name, own in by_name.items():
+        seen = set() if force else set(known)
+        at = 0
+        for f in own:
+            d = (name, digest.get(f["source"]))
+            if d[1] is not None and d in seen:
+                continue
+            seen.add(d)
+            if at == len(rounds):
+                rounds.append([])
+            rounds[at].append(f)
+            at += 1
+    return rounds
+
+
+def load_files(spark: SparkSession, paths: list[str], *, book: str, force: bool = False, max_reject_share: float = 0.01, last_load_wins: bool = False,
+               now: str | None = None, stream_id: str = "batch", batch_id: int | None = None) -> dict:
+    """Load disclosure files (text or zip, loans or liquidations) into the book; the manifest after it.
+
+    ``paths`` are the files of one batch (the stream bounds their number).  A name that is not recognised fails, and
+    so does a file without records.  Lines that are no records go to ``rejects`` with a reason; a
+    batch of which they are more than ``max_reject_share`` fails.  A static loan takes the attributes of its latest
+    month whatever the order of the files, or with ``last_load_wins`` those of the last file loaded.
+    ``now`` stamps rows and log, the current time by default.  A (``stream_id``, ``batch_id``) that the book has
+    committed is not loaded again.
     """
-    if not paths:
-        return
+    at = books.manifest(spark, book)
+    if not paths or (batch_id is not None and at["streams"].get(stream_id, -1) >= batch_id):
+        return at
     stamp = now or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    files = spark.createDataFrame([(p,) for p in paths], "source string").select(
-        "source", file_type(F.col("source")).alias("file_type"), report_month(F.col("source")).alias("report_date"))
-    known = files.collect()
-    unknown = sorted(r["source"] for r in known if r["file_type"] is None or r["report_date"] is None)
+    sizes = list_files(spark, paths)
+    files = [r.asDict() for r in sizes.select(F.col("path").alias("source"), load_name(F.col("path")).alias("file_name"), file_type(F.col("path")).alias("file_type"),
+                                              report_month(F.col("path")).alias("report_date"), "length").collect()]
+    unknown = sorted(f["source"] for f in files if f["file_type"] is None or f["report_date"] is None)
     if unknown:
         raise ValueError(f"not a recognised disclosure file: {unknown[0]}")
-    log = None
-    for kind, (prefix, fields) in KINDS.items():
-        own = [r["source"] for r in known if r["file_type"] == kind]
-        if not own:
-            continue
-        staging = scratch_path(spark, f"staging-{kind}")
-        parse_records(_lines(spark, own), prefix, fields).withColumn("report_date", report_month(F.col("source"))) \
-            .write.parquet(staging)
-        recs = spark.read.parquet(staging)
-        counts = recs.groupBy("source").agg(F.count(F.lit(1)).alias("rows_loaded"))
-        loaded = files.filter(F.col("file_type") == kind).join(counts, "source", "left").select(
-            F.regexp_extract("source", r"([^/]+/[^/]+)$", 1).alias("file_name"), "file_type", "report_date",
-            F.coalesce("rows_loaded", F.lit(0)).cast("bigint").alias("rows_loaded"), F.lit(stamp).cast("timestamp").alias("loaded_at"))
-        loaded = cut(maintain.load_log_update(loaded.filter(F.lit(False)), loaded))  # fails on a file without records
-        log = loaded if log is None else log.unionByName(loaded)
-        if kind == "loans":
-            _load_loans(recs, monthly_path, static_path, issuer_path, stamp)
-        else:
-            liq = recs.withColumn("report_period", F.date_format("report_date", "yyyyMM")).drop("report_date")
-            _replace(maintain.liquidation_projection(liq), liquidations_path)
-        dropped(spark, staging)
-    (log.withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stream_id", "batch_id").parquet(log_path))
-
-
-def _load_loans(recs: DataFrame, monthly_path: str, static_path: str, issuer_path: str | None, stamp: str) -> None:
-    spark, key = recs.sparkSession, "disclosure_sequence_number"
-    recs = recs.withColumn("as_of_date", F.date_format("report_date", "yyyyMM"))
-    _replace(maintain.monthly_projection(recs.drop("report_date"), keys=[key, "as_of_date"]), monthly_path)
-    st = maintain.static_projection(recs.drop("report_date"))
-    n = _buckets(spark, static_path, recs.select(key).distinct().count())
-    st = st.withColumn("bucket", F.pmod(F.hash(key), F.lit(n)))
-    if _exists(spark, static_path):
-        old = spark.read.parquet(static_path).join(st.select("bucket").distinct(), "bucket", "left_semi")
+    rounds = _wanted(spark, files, load_log(spark, book, at=at), force)
+    for i, some in enumerate(rounds):
+        done = {stream_id: batch_id} if batch_id is not None and i == len(rounds) - 1 else {}
+        at = _load(spark, some, book, at, stamp, max_reject_share, last_load_wins, done)
+    if not rounds and batch_id is not None:
+        at = books.commit(spark, book, at, {}, {stream_id: batch_id})
+    return at
+
+
+def _load(spark: SparkSession, files: list[dict], book: str, at: dict, stamp: str, max_reject_share: float, last_load_wins: bool, done: dict) -> dict:
+    """One commit: the staged records are written once, the tables are made from them, the manifest comes last."""
+    load, tables, staged, logs, rejects = books.new_load(at), {}, [], [], []
+    try:
+        for kind, (prefix, fields) in KINDS.items():
+            own = [f for f in files if f["file_type"] == kind]
+            if not own:
+                continue
+            staging = scratch_path(spark, f"staging-{kind}")
+            staged.append(staging)
+            seen = Observation()
+            split_records(_lines(spark, [f["source"] for f in own]), prefix, fields, key=KEY) \
+                .withColumn("report_date", report_month(F.col("source"))) \
+                .observe(seen, F.count(F.lit(1)).alias("rows"), F.count("bad_reason").alias("bad")).write.parquet(staging)
+            if seen.get["bad"] > max_reject_share * seen.get["rows"]:
+                raise ValueError(f"{seen.get['bad']} of {seen.get['rows']} {kind} records are not well formed; the file layout may have changed")
+            rows = spark.read.parquet(staging)
+            names = spark.createDataFrame([(f["source"], f["file_name"], f["file_type"], f["report_date"], f["length"]) for f in own],
+                                          "source string, file_name string, file_type string, report_date date, length long")
+            counts = rows.groupBy("source").agg((F.count(F.lit(1)) - F.count("bad_reason")).alias("rows_loaded"), F.count("bad_reason").alias("rows_rejected"),
+                                                content_digest(F.col("line_hash")).alias("digest"))
+            loaded = names.join(counts, "source", "left").withColumn("rows_loaded", F.coalesce("rows_loaded", F.lit(0))) \
+                .withColumn("rows_rejected", F.coalesce("rows_rejected", F.lit(0))).withColumn("loaded_at", F.lit(stamp).cast("timestamp")) \
+                .withColumn("load_id", F.lit(load)).select(*LOG_COLUMNS)
+            logs.append(cut(maintain.load_log_update(loaded.filter(F.lit(False)), loaded)))  # fails on a file without records
+            if seen.get["bad"]:
+                rejects.append(rows.filter(F.col("bad_reason").isNotNull()).join(names.select("source", "file_name"), "source")
+                               .select("file_name", F.lit(kind).alias("file_type"), "bad_reason", "bad_line",
+                                       F.lit(stamp).cast("timestamp").alias("loaded_at")))
+            recs = rows.filter(F.col("bad_reason").isNull()).drop("line_hash", "bad_reason", "bad_line")
+            if kind == "loans":
+                recs = recs.withColumn("as_of_date", F.date_format("report_date", "yyyyMM")).drop("report_date")
+                tables["monthly"] = _months(spark, book, at, load, "monthly", maintain.monthly_projection(recs, keys=[KEY, "as_of_date"]))
+                tables["static"] = _static(spark, book, at, load, maintain.static_projection(recs, keep=["as_of_date"]), stamp, last_load_wins)
+                issuers = _issuers(spark, book, at, load, tables["monthly"], sorted({str(f["report_date"]) for f in own}))
+                tables |= {"issuers": issuers} if issuers else {}
+            else:
+                liq = recs.withColumn("report_period", F.date_format("report_date", "yyyyMM")).drop("report_date")
+                tables["liquidations"] = _months(spark, book, at, load, "liquidations", maintain.liquidation_projection(liq))
+        for name, parts in (("log", logs), ("rejects", rejects)):
+            if parts:
+                tables[name] = _added(spark, book, at, load, name, parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))
+        return books.commit(spark, book, at, tables, done)
+    finally:
+        for path in staged:
+            dropped(spark, path)
+
+
+def _months(spark: SparkSession, book: str, at: dict, load: str, name: str, rows: DataFrame) -> dict:
+    """Replace the rows of the same loans and months: the months of ``rows`` are written anew, with their other loans."""
+    months = sorted(str(r["report_date"]) for r in rows.select("report_date").distinct().collect())  # those of the batch's files
+    old = books.read(spark, book, name, only=set(months), at=at)
+    new = rows if old is None else maintain.replace_period(old.select(*rows.columns), rows, [KEY])
+    folders = {v: f for v, f in (at["tables"].get(name) or {"folders": {}})["folders"].items() if v not in months}
+    return books.entry(rows, "report_date", folders | books.write(new, book, name, load, "report_date"))
+
+
+def _static(spark: SparkSession, book: str, at: dict, load: str, rows: DataFrame, stamp: str, last_load_wins: bool) -> dict:
+    """Merge static loans: only the buckets of the batch's loans, and those that split, are written anew.
+
+    The number of buckets follows the rows of the table (linear hashing), so it need not be known when the table begins.
+    """
+    have = at["tables"].get("static")
+    n, total, folders = (have["buckets"], have["n_rows"], have["folders"]) if have else (1, 0, {})
+    touched = {r["b"] for r in rows.select(books.bucket_of(KEY, n).alias("b")).distinct().collect()}  # bucket numbers
+    if have:
+        old = books.read(spark, book, "static", only={str(b) for b in touched}, at=at)
+        fresh = rows.select(KEY).distinct().join(old.select(KEY), KEY, "left_anti").count()
     else:
-        old = (st.filter(F.lit(False)).withColumn("created_at", F.lit(None).cast("timestamp"))
-               .withColumn("last_updated", F.lit(None).cast("timestamp")))
-    merged = maintain.merge_scd1(old, st, [key], order_by=[F.col("issuer_id")], now=stamp)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(static_path)
-    if issuer_path and _exists(spark, issuer_path):
-        months = recs.select("report_date").distinct()
-        monthly = spark.read.parquet(monthly_path).join(months, "report_date", "left_semi")
-        issuers = cut(maintain.issuer_group_update(spark.read.parquet(issuer_path), monthly, latest=True))  # a dimension
-        issuers.write.mode("overwrite").parquet(issuer_path)
-
-
-def load_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """The load log: one row per file, that of its last load."""
-    rows = spark.read.parquet(log_path).select(*LOG_COLUMNS)
-    return dedupe_first(rows, ["file_name"], [F.desc("loaded_at"), maintain.ties(rows)])
-
-
-def stream_ingest(spark: SparkSession, inbox: str, *, monthly_path: str, static_path: str, liquidations_path: str, log_path: str,
-                  checkpoint: str, issuer_path: str | None = None, max_files: int = 20, available_now: bool = True,
-                  now: str | None = None) -> StreamingQuery:
-    """New ``.txt`` and ``.zip`` disclosure files picked up once and loaded, ``max_files`` at a time at most.
-
-    The load log is keyed by (stream, batch): the stream id is derived from the
-    checkpoint location, so a restart of the same stream replays into the same
-    log partitions while a new stream adds its own.
+        fresh = rows.select(KEY).distinct().count()
+    total += fresh
+    wanted = max(n, -(-total // ROWS_PER_BUCKET))
+    touched |= books.split_sources(n, wanted)
+    if have:
+        old = books.read(spark, book, "static", only={str(b) for b in touched}, at=at).drop("bucket")
+    else:
+        none = F.lit(None).cast("timestamp")
+        old = rows.filter(F.lit(False)).withColumn("created_at", none).withColumn("last_updated", none)
+    merged = maintain.merge_scd1(old, rows, [KEY], order_by=[F.col("issuer_id")], now=stamp, version=None if last_load_wins else "as_of_date")
+    merged = merged.withColumn("bucket", books.bucket_of(KEY, wanted)).repartition("bucket")
+    kept = {v: f for v, f in folders.items() if int(v) not in touched}
+    return books.entry(merged, "bucket", kept | books.write(merged, book, "static", load, "bucket"), buckets=wanted, n_rows=total)
+
+
+def _issuers(spark: SparkSession, book: str, at: dict, load: str, monthly: dict, months: list[str]) -> dict | None:
+    """Size bands of the issuers from the months just loaded, if the book has issuers."""
+    issuers = books.read(spark, book, "issuers", at=at)
+    if issuers is None:
+        return None
+    loans = books.read(spark, book, "monthly", only=set(months), at={"tables": {"monthly": monthly}})
+    new = maintain.issuer_group_update(issuers, loans, latest=True)
+    return books.entry(issuers, None, books.write(new.select(*issuers.columns), book, "issuers", load, None))
+
+
+def _added(spark: SparkSession, book: str, at: dict, load: str, name: str, rows: DataFrame) -> dict:
+    """Rows added as a folder of their own; many folders become one again."""
+    folders = dict((at["tables"].get(name) or {"folders": {}})["folders"])
+    if len(folders) >= LOG_FOLDERS:
+        rows, folders = books.read(spark, book, name, at=at).unionByName(rows), {}
+    return books.entry(rows, None, folders | {load: books.write(rows, book, name, load, None)[""]})
+
+
+def load_log(spark: SparkSession, book: str, *, at: dict | None = None) -> DataFrame | None:
+    """The load log: one row per file, that of its last load; None before the first."""
+    rows = books.read(spark, book, "log", at=at)
+    return None if rows is None else dedupe_first(rows, ["file_name"], [F.desc("load_id"), maintain.ties(rows)])
+
+
+def in_inbox(path: str, inbox: str) -> bool:
+    """Whether a file lies in the inbox or one folder down."""
+    from urllib.parse import unquote, urlparse
+
+    root, own = (unquote(urlparse(p).path).rstrip("/") for p in (inbox, path))
+    return own.startswith(f"{root}/") and own[len(root) + 1:].count("/") <= 1
+
+
+def stream_ingest(spark: SparkSession, inbox: str, *, book: str, checkpoint: str, max_files: int = 20, available_now: bool = True,
+                  force: bool = False, max_reject_share: float = 0.01, last_load_wins: bool = False, now: str | None = None) -> StreamingQuery:
+    """New ``.txt`` and ``.zip`` disclosure files of an inbox, or one folder down, picked up once and loaded, ``max_files`` at a time at most.
+
+    Files with other names, and those further down, are passed over.  The stream is known to the book by its
+    checkpoint location: a batch that is replayed after its manifest was written changes nothing.
     """
     import hashlib
 
@@ -147,13 +245,14 @@ def stream_ingest(spark: SparkSession, inbox: str, *, monthly_path: str, static_
              .schema("path string, modificationTime timestamp, length bigint, content binary")
              .option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.{txt,TXT,zip,ZIP}").load(inbox).select("path"))
+    known = files.filter(file_type(F.col("path")).isNotNull() & report_month(F.col("path")).isNotNull())
 
     def load(batch: DataFrame, bid: int) -> None:
-        paths = sorted(r["path"] for r in batch.collect())  # max_files names
-        load_files(batch.sparkSession, paths, monthly_path=monthly_path, static_path=static_path, liquidations_path=liquidations_path,
-                   log_path=log_path, issuer_path=issuer_path, now=now, stream_id=sid, batch_id=bid)
+        paths = sorted(r["path"] for r in batch.collect() if in_inbox(r["path"], inbox))  # max_files names
+        load_files(batch.sparkSession, paths, book=book, force=force, max_reject_share=max_reject_share, last_load_wins=last_load_wins,
+                   now=now, stream_id=sid, batch_id=bid)
 
-    w = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    w = known.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
@@ -188,6 +287,80 @@ def stream_alert_worst(alerts: DataFrame, *, watermark: str = "1 day") -> DataFr
                     F.col("m.severity").alias("severity"))
 
 
+ALERT_STATE = "expires long, rank int, at long, event_id long, severity string"
+
+
+def _worst_alive_processor(ttl_us: int):
+    """The processor of ``stream_alert_expiry``: alerts that can still become the worst, oldest first."""
+    import pandas as pd
+    from pyspark.sql.streaming import StatefulProcessor
+
+    def frontier(alerts: list[tuple], now_ms: int) -> list[tuple]:
+        """Alerts alive, without those that a worse one outlives; of an event that came twice, one."""
+        out, top = [], -1
+        for a in sorted(set(a for a in alerts if a[0] > now_ms), key=lambda a: (-a[2], -a[1], -a[3])):
+            if a[1] >= top:  # nothing worse lives longer
+                out.append(a)
+                top = a[1]
+        return out[::-1]
+
+    class WorstAlive(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.alive = handle.getListState("alive", ALERT_STATE)
+
+        def _now(self, alerts: list[tuple], key, timers):
+            alerts = frontier(alerts, timers.getCurrentWatermarkInMs())
+            if alerts:
+                self.alive.put(alerts)
+            else:
+                self.alive.clear()
+            worst = min(alerts, key=lambda a: (-a[1], a[2], a[3]), default=(0, 0, None, None, None))
+            at = pd.to_datetime(pd.Series([worst[2]], dtype="Int64"), unit="us")
+            return pd.DataFrame({"state": [key[0]], "scenario_type": [key[1]], "event_id": pd.Series([worst[3]], dtype="Int64"), "ts": at,
+                                 "severity": [worst[4]]})
+
+        def handleInputRows(self, key, rows, timerValues):
+            alerts = [tuple(a) for a in self.alive.get()]
+            for pdf in rows:
+                at = pdf["at"].to_numpy()
+                expires = -(-(at + ttl_us) // 1000)
+                new = list(zip(expires.tolist(), pdf["rank"].tolist(), at.tolist(), pdf["event_id"].tolist(), pdf["severity"].tolist()))
+                alerts = frontier(alerts + new, timerValues.getCurrentWatermarkInMs())
+            for ms in {a[0] for a in alerts}:
+                self.handle.registerTimer(ms)
+            yield self._now(alerts, key, timerValues)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            yield self._now([tuple(a) for a in self.alive.get()], key, timerValues)
+
+        def close(self) -> None:
+            pass
+
+    return WorstAlive()
+
+
+def stream_alert_expiry(alerts: DataFrame, *, ttl_seconds: int, watermark: str = "1 day") -> DataFrame:
+    """Worst alert alive per (state, scenario), earliest on ties; an alert expires ``ttl_seconds`` after its time.
+
+    When the watermark passes an alert's end, the next worst takes its place; a key without one
+    gives a row with a null event.  The state of a key holds its live alerts, less those that a worse one
+    outlives.  Alerts without a state, scenario or severity are passed over.  A row goes out for each change (update mode); needs
+    the RocksDB state store: ``use_rocksdb`` sets it.
+    """
+    a = alerts.withWatermark("ts", watermark).withColumn("rank", rules.severity_rank(F.col("severity")))
+    a = a.filter(F.col("state").isNotNull() & F.col("scenario_type").isNotNull() & F.col("rank").isNotNull() & F.col("event_id").isNotNull())
+    a = a.select("state", "scenario_type", F.col("event_id").cast("long").alias("event_id"), "ts", F.unix_micros("ts").alias("at"), F.col("rank").cast("int").alias("rank"), "severity")
+    return a.groupBy("state", "scenario_type").transformWithStateInPandas(
+        _worst_alive_processor(ttl_seconds * 1_000_000), "state string, scenario_type string, event_id long, ts timestamp, severity string",
+        outputMode="Update", timeMode="EventTime")
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """The state store that timers and list state need; it also keeps large state off the heap."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def stream_dedupe(df: DataFrame, keys, *, watermark: str = "1 day", ts: str = "ts") -> DataFrame:
     """First record per key within the watermark (a replayed delivery is dropped)."""
     return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(keys))

@@ -315,11 +315,6 @@ def _fill_inbox(box):
         fh.write("\n".join([_liquidation_line(3, "202602", 50), _liquidation_line(3, "202602", 50), _liquidation_line(4, "202602", 60)]) + "\n")
 
 
-def _table_paths(base):
-    return dict(monthly_path=f"{base}/monthly", static_path=f"{base}/static", liquidations_path=f"{base}/liquidations",
-                log_path=f"{base}/log", issuer_path=f"{base}/issuers")
-
-
 def _inbox_paths(box):
     return sorted(f"file:{d}/{f}" for d, _, names in os.walk(box) for f in names)
 
@@ -339,56 +334,6 @@ def test_inbox_lists_each_file_once(spark):
     assert [r.file_name for r in records.inbox_files(spark, flat).collect()] == ["llmon1_202601.txt"]
 
 
-def test_stream_loads_every_inbox_file(spark):
-    from loanlens.streaming import streams
-
-    box, base = scratch_path(spark, "inbox"), scratch_path(spark, "tables")
-    _fill_inbox(box)
-    spark.createDataFrame([(7, "Seven", "Small"), (8, "Eight", "Large")], "issuer_number int, issuer_name string, issuer_group string") \
-        .write.parquet(f"{base}/issuers")
-    before = dt.datetime.now() - dt.timedelta(days=2)
-    streams.stream_ingest(spark, box, checkpoint=f"{base}/ckpt", max_files=2, **_table_paths(base)).awaitTermination()
-    monthly = spark.read.parquet(f"{base}/monthly")
-    assert {(r.report_date.month, r["count"]) for r in monthly.groupBy("report_date").count().collect()} == {(1, 20), (2, 10), (3, 26)}
-    static = spark.read.parquet(f"{base}/static")
-    assert static.count() == 30 and static.agg(F.min("created_at")).first()[0] > before  # stamped with the current time
-    assert sorted((r.disclosure_sequence_number, float(r.liquidation_balance)) for r in spark.read.parquet(f"{base}/liquidations").collect()) \
-        == [("3", 50.0), ("4", 60.0)]
-    log = {r.file_name.split("/")[-1]: (r.file_type, r.rows_loaded) for r in streams.load_log(spark, f"{base}/log").collect()}
-    assert log == {"llmon1_202601.txt": ("loans", 20), "llmon1_202602.txt": ("loans", 10), "llmon1_202603.zip": ("loans", 26),
-                   "llmonliq1_202602.txt": ("liquidations", 3)}
-    assert {r.issuer_number: r.issuer_group for r in spark.read.parquet(f"{base}/issuers").collect()} == {7: "Very Small", 8: "Large"}
-
-
-def test_loading_again_changes_nothing(spark):
-    """A micro-batch replayed under the same id (foreachBatch is at-least-once) leaves the same tables and log."""
-    from loanlens.streaming import streams
-
-    box, base = scratch_path(spark, "inbox"), scratch_path(spark, "replay")
-    _fill_inbox(box)
-    kw = dict(now="2026-02-01 00:00:00", stream_id="s1", **_table_paths(base))
-    seen = []
-    for _ in range(2):
-        streams.load_files(spark, _inbox_paths(box), **kw)
-        seen.append([sorted(map(str, spark.read.parquet(f"{base}/{t}").collect())) for t in ("monthly", "static", "liquidations", "log")])
-    assert seen[0] == seen[1] and len(seen[0][0]) == 56
-
-
-def test_unknown_and_empty_files_fail_the_batch(spark):
-    from loanlens.streaming import streams
-
-    box, base = scratch_path(spark, "bad"), scratch_path(spark, "badtables")
-    os.makedirs(box)
-    for name, text in (("other.txt", _loan_line(1, "202601", 5)), ("llmon1_202601.txt", "HD|nothing here")):
-        with open(os.path.join(box, name), "w") as fh:
-            fh.write(text + "\n")
-    with pytest.raises(ValueError, match="not a recognised disclosure file.*other.txt"):
-        streams.load_files(spark, [f"file:{box}/other.txt"], **_table_paths(base))
-    with pytest.raises(Exception, match="no records found in .*llmon1_202601.txt"):
-        streams.load_files(spark, [f"file:{box}/llmon1_202601.txt"], **_table_paths(base))
-    assert not os.path.exists(f"{base}/monthly")
-
-
 def test_one_letter_record_types_are_the_whole_first_field(spark):
     lines = spark.createDataFrame([(x, "f") for x in ("N|a|b", "NX|a|b", "M|c|d", "MX|c|d")], "value string, source string")
     assert [r.y for r in records.parse_records(lines, "N", ["x", "y", "z"]).collect()] == ["a"]
