@@ -14,29 +14,36 @@ from loanlens.session import cut
 UPB = "unpaid_principal_balance"
 
 
-def state_trend(static: DataFrame, monthly: DataFrame, issuer_info: DataFrame, *, months: tuple[str, str],
+def state_trend(static: DataFrame | None, monthly: DataFrame, issuer_info: DataFrame, *, months: tuple[str, str],
                 liquidations: DataFrame | None = None, age: Column | None = None) -> DataFrame:
     """Two months per state: age, UPB, rate, score, current, delinquent, DQ %, liquidations, Mega share of
     delinquencies; prior DQ by LAG, change in points, label New / Up / Down / Flat; latest month only.
 
-    All joins are on the loan id except the issuer dimension (small).  The
-    liquidation side is the second month's liquidated loans, filtered before the
-    left join (the reference's condition inside ON).
+    Without ``static``, ``monthly`` holds loans and months joined (structs ``t`` and ``t2``, see
+    ``reports.joined_loan_months``) and is read once, with no join on the loan id.  Only the second
+    month's row is reported, so a loan's liquidation in that month is a flag of the row itself;
+    ``liquidations`` from a table of their own are joined on the loan id (the reference's condition inside ON).
     """
     m1, m2 = (F.lit(m).cast("date") for m in months)
-    mon = monthly.filter(F.col("report_date").isin(m1, m2))
-    liq = liquidations if liquidations is not None else monthly.filter(F.col("current_month_liquidation") == "Y")
-    liq = liq.filter(F.col("report_date") == m2).select(F.col("loan_id").alias("liq_id"))
     ii = issuer_info.select("issuer_number", "issuer_group")
-    j = (static.alias("t").join(mon.alias("t2"), F.col("t.loan_id") == F.col("t2.loan_id"))
-         .join(liq, F.col("t.loan_id") == F.col("liq_id"), "left"))
+    if static is None:
+        j = monthly.filter(F.col("report_date").isin(m1, m2) & F.col("t2").isNotNull())
+    else:
+        mon = monthly.filter(F.col("report_date").isin(m1, m2))
+        j = static.alias("t").join(mon.alias("t2"), F.col("t.loan_id") == F.col("t2.loan_id"))
+    if liquidations is None:
+        gone = (F.col("t2.current_month_liquidation") == "Y") & (F.col("t2.report_date") == m2)
+    else:
+        liq = liquidations.filter(F.col("report_date") == m2).select(F.col("loan_id").alias("liq_id")).distinct()
+        j = j.join(liq, F.col("t.loan_id") == F.col("liq_id"), "left")
+        gone = F.col("liq_id").isNotNull()
     age = age if age is not None else loan_age_months(F.col("t2.report_date"), F.col("t.loan_origination_date"))
     dq = F.col("t2.months_delinquent") != 0
     # sums per issuer first: the issuer dimension then joins a few rows, not every loan of a hot issuer
     means = {"age": age, "upb": F.col(f"t2.{UPB}"), "rate": F.col("t.loan_interest_rate"), "score": F.col("t.credit_score")}
     per = (j.groupBy(F.col("t.state_code").alias("state_code"), F.col("t2.report_date").alias("reporting_date"),
                      F.col("t.issuer_id").alias("issuer_id"))
-           .agg(F.count(F.lit(1)).alias("n"), cnt_if(dq).alias("dq"), cnt_if(~dq).alias("ok"), F.count("liq_id").alias("liq"),
+           .agg(F.count(F.lit(1)).alias("n"), cnt_if(dq).alias("dq"), cnt_if(~dq).alias("ok"), cnt_if(gone).alias("liq"),
                 *[x for k, c in means.items() for x in (F.sum(c).alias(f"s_{k}"), F.count(c).alias(f"c_{k}"))]))
     per = per.join(ii, per.issuer_id == ii.issuer_number)
 
@@ -102,8 +109,9 @@ def disaster_impact(snapshots: DataFrame, events: DataFrame, *, min_months: int
     """Per (state, event) and month: DQ metrics labelled pre (month <= event month) or post.
 
     ``events`` is (state, event_id, event_date).  Every event is evaluated at once:
-    the per-state monthly metrics are computed once (small: states x months) and
-    joined to the events by state.  States with fewer than ``min_months`` months
+    the per-state monthly metrics are computed once (small: states x months).
+    With ``bounded`` an event becomes its months, which meet the metrics on (state, month): rows
+    compared are rows out.  Without, every month of the event's state belongs to the result.  States with fewer than ``min_months`` months
     are dropped (the reference returns an error for them).
 
     The reference computes a window of ``months_before`` / ``months_after`` 30-day
@@ -120,14 +128,14 @@ def disaster_impact(snapshots: DataFrame, events: DataFrame, *, min_months: int
                 .filter(F.col("n_months") >= min_months).drop("n_months"))
     d = F.col("event_date").cast("date")
     ev = events.select(F.col("state").alias("property_state"), "event_id", F.date_format(d, "yyyyMM").alias("event_month"),
-                       F.date_format(F.date_sub(d, 30 * months_before), "yyyyMM").alias("_pre_start"),
-                       F.date_format(F.date_add(d, 30 * months_after), "yyyyMM").alias("_post_end"))
-    j = by_month.join(ev, "property_state")
-    j = j.withColumn("period", F.when(F.col("as_of_date") <= F.col("event_month"), "pre").otherwise("post"))
+                       F.date_sub(d, 30 * months_before).alias("_from"), F.date_add(d, 30 * months_after).alias("_to"))
+    keys = ["property_state"]
     if bounded:
-        j = j.filter(F.when(F.col("period") == "pre", F.col("as_of_date") >= F.col("_pre_start"))
-                     .otherwise(F.col("as_of_date") <= F.col("_post_end")))
-    return j.drop("_pre_start", "_post_end")
+        span = F.sequence(F.trunc("_from", "MM"), F.trunc("_to", "MM"), F.expr("INTERVAL 1 MONTH"))
+        ev = ev.withColumn("_m", F.explode(span)).withColumn("as_of_date", F.date_format("_m", "yyyyMM")).drop("_m")
+        keys.append("as_of_date")
+    j = by_month.join(ev.drop("_from", "_to"), keys)
+    return j.withColumn("period", F.when(F.col("as_of_date") <= F.col("event_month"), "pre").otherwise("post"))
 
 
 def loss_severity(breakdown: DataFrame, *, reason: str = "Foreclosure", default: float = rules.SEVERITY_DEFAULT) -> DataFrame:

@@ -44,11 +44,11 @@ def join_semi(df: DataFrame, other: DataFrame, keys) -> DataFrame:
 
 
 def join_map(df: DataFrame, lookup: DataFrame, *, key: str, lookup_key: str | None = None) -> DataFrame:
-    """Dictionary lookup: left join to a small fixed-size lookup table, broadcast."""
+    """Dictionary lookup: left join to a lookup table; Spark broadcasts it if its size is under the limit."""
     lk = lookup_key or key
     if lk == key:
-        return df.join(F.broadcast(lookup), key, "left")
-    return df.join(F.broadcast(lookup), df[key] == lookup[lk], "left").drop(lk)
+        return df.join(lookup, key, "left")
+    return df.join(lookup, df[key] == lookup[lk], "left").drop(lk)
 
 
 def join_scenario(book: DataFrame, shock: DataFrame, *, key: str = "state_code", shock_key: str = "state") -> DataFrame:

@@ -40,7 +40,8 @@ def _filter_month(df: DataFrame, report_date, col: str = "report_date") -> DataF
 def issuer_concentration(pool_loans: DataFrame, issuers: DataFrame, *, top: int | None = 15) -> DataFrame:
     """issuer -> pools, UPB, % of total UPB; the largest ``top`` by UPB."""
     per = pool_loans.groupBy("issuer_number").agg(F.count(F.lit(1)).alias("n"), F.sum(UPB).alias("upb"))
-    total = per.agg(F.sum("upb")).scalar()
+    # the total asks for the same columns as the report, so that both read the one shuffle of ``per``
+    total = per.agg(F.struct(F.sum("upb").alias("upb"), F.sum("n")).alias("s")).scalar().getField("upb")
     named = (per.join(issuers.select("issuer_number", "issuer_name"), "issuer_number")
              .groupBy("issuer_name")
              .agg(F.sum("n").cast("bigint").alias("pool_count"), F.sum("upb").cast(MONEY_SUM).alias("total_upb")))
