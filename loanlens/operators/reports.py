@@ -39,8 +39,10 @@ def _filter_month(df: DataFrame, report_date, col: str = "report_date") -> DataF
 
 def issuer_concentration(pool_loans: DataFrame, issuers: DataFrame, *, top: int | None = 15) -> DataFrame:
     """issuer -> pools, UPB, % of total UPB; the largest ``top`` by UPB."""
-    per = pool_loans.groupBy("issuer_number").agg(F.count(F.lit(1)).alias("n"), F.sum(UPB).alias("upb"))
-    # the total asks for the same columns as the report, so that both read the one shuffle of ``per``
+    # loans without an issuer count in the total only; with a key that is never null, and the same columns
+    # asked for, the total and the report read one shuffle of ``per``, and the loans once
+    issuer = F.coalesce(F.col("issuer_number").cast("long"), F.lit(-(1 << 63))).alias("issuer_number")
+    per = pool_loans.groupBy(issuer).agg(F.count(F.lit(1)).alias("n"), F.sum(UPB).alias("upb"))
     total = per.agg(F.struct(F.sum("upb").alias("upb"), F.sum("n")).alias("s")).scalar().getField("upb")
     named = (per.join(issuers.select("issuer_number", "issuer_name"), "issuer_number")
              .groupBy("issuer_name")

@@ -138,19 +138,31 @@ def inbox_files(spark: SparkSession, base: str) -> DataFrame:
             .orderBy("path"))
 
 
-ZIP_LIMIT = (1 << 31) - 1024  # bytes of an archive that one task can hold
+ZIP_LIMIT = (1 << 31) - 1024  # bytes of an archive that must be held whole
 
 
 def read_zip_members(spark: SparkSession, paths, *, encoding: str = "latin-1", batch_lines: int = 65536) -> DataFrame:
-    """Lines of the largest member of each zip archive (one task per archive, Arrow batches out).
-
-    Spark's text reader handles gzip natively; zip needs per-archive code, so
-    this is a ``mapInPandas`` over the ``binaryFile`` source.  The member is
-    decompressed as a stream and emitted ``batch_lines`` lines at a time, so
-    task memory is the compressed archive plus one batch, not the whole text.
-    An archive cannot be split: it is one task, and one of 2 GB or more fails with
-    its name.  An archive without a member fails too.
+    """Lines of the largest member of each zip archive, ``batch_lines`` at a time; an archive is one task.
+
+    Spark's text reader handles gzip natively; zip needs per-archive code.  The archives are listed by Spark and
+    opened by seek (``sources.zips``), whatever their size.  In a file system that Arrow cannot open they
+    come through the ``binaryFile`` source, whole, and one of 2 GB or more fails with its name.
+    An archive without a member fails.
     """
+    from urllib.parse import urlparse
+
+    from loanlens.sources import zips
+
+    found = list_files(spark, paths).collect()  # names and sizes of archives
+    if {urlparse(r["path"]).scheme for r in found} <= zips.SCHEMES:
+        return zips.read_archives(spark, [r["path"] for r in found], encoding=encoding, batch_lines=batch_lines)
+    large = [r["path"] for r in found if r["length"] > ZIP_LIMIT]
+    if large:
+        raise ValueError(f"{large[0]} is too large to be read whole; extract it first")
+    return _whole_archives(spark, [r["path"] for r in found], encoding, batch_lines)
+
+
+def _whole_archives(spark: SparkSession, paths: list[str], encoding: str, batch_lines: int) -> DataFrame:
     import io
     import zipfile
 
@@ -163,23 +175,17 @@ def read_zip_members(spark: SparkSession, paths, *, encoding: str = "latin-1", b
                 members = [m for m in z.infolist() if not m.is_dir()]
                 if not members:
                     raise ValueError(f"{path} is an empty zip file")
-                biggest = max(members, key=lambda m: m.file_size)
                 out = []
-                with io.TextIOWrapper(z.open(biggest), encoding=encoding, newline="\n") as fh:
+                with io.TextIOWrapper(z.open(max(members, key=lambda m: m.file_size)), encoding=encoding, newline="\n") as fh:
                     for ln in fh:
-                        ln = ln[:-1] if ln.endswith("\n") else ln
-                        if ln != "":
-                            out.append(ln.rstrip("\r"))
+                        ln = ln.rstrip("\n").rstrip("\r")
+                        if ln:
+                            out.append(ln)
                         if len(out) >= batch_lines:
                             yield pd.DataFrame({"value": out, "source": path})
                             out = []
                 if out:
                     yield pd.DataFrame({"value": out, "source": path})
 
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    large = list_files(spark, paths).filter(F.col("length") > ZIP_LIMIT).select("path").first()
-    if large:
-        raise ValueError(f"{large['path']} is too large for one task; extract it first")
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    raw = spark.read.format("binaryFile").load(paths)
     return raw.select("path", "content").mapInPandas(explode, "value string, source string")
-
