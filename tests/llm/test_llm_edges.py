@@ -63,13 +63,31 @@ def test_stage_takes_awkward_and_empty_tables(spark, stage):
     assert len(rows) <= len(ROWS) or stage == "packing"
     if stage != "packing":
         assert out.columns == docs.columns
-    if stage != "language_id":  # nothing to learn from in an empty table
-        assert function(spark, frame(spark, [], columns), "").collect() == []
+    assert function(spark, frame(spark, [], columns), "").collect() == []
 
 
 def test_empty_tables_teach_no_language(spark):
-    with pytest.raises(ValueError):
-        language_id.fit(frame(spark, []))
+    assert language_id.fit(frame(spark, [])) == [] == language_id.fit(frame(spark, ROWS).withColumn("lang", F.lit(None).cast("string")))
+    got = language_id.predict(frame(spark, ROWS), []).collect()
+    assert {(r.lang_pred, r.score, r.accepted) for r in got} == {("und", 0.0, False)}
+
+
+@pytest.mark.parametrize("columns", [["lang", "source", "n_chars", "score", "accepted", "lang_pred"], ["lang", "source", "n_chars", "__language_0"]])
+def test_language_stage_takes_clashing_columns(spark, columns):
+    docs = frame(spark, ROWS, columns)
+    out = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, "")
+    assert out.columns == docs.columns and out.count() <= len(ROWS)
+
+
+def test_a_repeated_id_does_not_widen_the_sample(spark):
+    """One doc_id 10,000 times with as many texts: one row of it is drawn, and a dictionary is all that is collected."""
+    text = F.concat(F.lit("some words number "), F.col("id").cast("string"))
+    many = spark.range(10_000).select(F.lit(5).cast("long").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"))
+    other = spark.range(3).select((F.col("id") + 10).alias("doc_id"), F.lit("quelques mots de plus").alias("text"), F.lit("fr").alias("lang"))
+    model = dict(language_id.fit(many.unionByName(other)))
+    assert len(model["en"]) <= len("some words number 9999") and model["fr"].count(b"quelques") == 3
+    long = spark.range(200).select("id", F.repeat(F.lit("long words "), 9000).alias("text"), F.lit("en").alias("lang")).withColumnRenamed("id", "doc_id")
+    assert len(language_id.fit(long, dict_bytes=1000)[0][1]) == 1000
 
 
 @pytest.mark.parametrize("name, column", [("sentencepiece_columns", "ids"), ("pii", "pii"), ("language_id", "score"), ("licences", "licences")])
