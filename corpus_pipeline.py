@@ -20,8 +20,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     for_documents(spark)
     labelled = docs.select("doc_id", "text", "lang")
     model = language_id.fit(labelled)
-    out = language_id.predict(docs, model, margins=language_id.calibrate(labelled, model))
-    return out.where("accepted").select(*docs.columns)
+    return language_id.recognised(docs, model, language_id.calibrate(labelled, model))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
