@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loanlens.functions import rules
+from loanlens.functions.exprs import with_total
 from loanlens.operators import filters, panel
 from loanlens.session import cut
 
@@ -200,8 +201,7 @@ def wls_tiered(train: DataFrame, *, y: str = "dlq_chg", x: str = "ur_lag", weigh
     v = (per.join(s.select(by, "sw", "swx", "_d"), by)
          .groupBy(by).agg(F.sum(F.pow(F.try_divide(F.col("b") * F.col("sw") - F.col("a") * F.col("swx"), F.col("_d")), 2))
                           .alias("_v")))
-    return cut(s.join(v, by, "left")
-               .select(by, "intercept", "beta", F.sqrt(F.col("_v") * corr).alias("se"), "n"))
+    return s.join(v, by, "left").select(by, "intercept", "beta", F.sqrt(F.col("_v") * corr).alias("se"), "n")
 
 
 def wls_intercept_only(train: DataFrame, *, y: str = "dlq_chg", weight: str = "loan_count", by: str = "tier") -> DataFrame:
@@ -217,12 +217,13 @@ def wls_predict(test: DataFrame, betas: DataFrame, *, x: str = "ur_lag", by: str
     return j.withColumn(name, F.col("intercept") + F.col("beta") * F.col(x)).drop("intercept", "beta")
 
 
-def predict_linear(df: DataFrame, fit: DataFrame, name: str = "pred") -> DataFrame:
-    """Apply a ``wls_fit`` result (term, beta) with const + Σ beta·x as a column expression."""
-    coef = {r["term"]: r["beta"] for r in fit.select("term", "beta").collect()}
-    e: Column = F.lit(coef.pop("const", 0.0))
-    for t, b in coef.items():
-        e = e + F.lit(b) * F.col(t)
+def predict_linear(df: DataFrame, fit: DataFrame, x, name: str = "pred") -> DataFrame:
+    """Apply a ``wls_fit`` result (term, beta) with const + Σ beta·x: the betas are one scalar subquery."""
+    terms = ["const", *([x] if isinstance(x, str) else x)]
+    betas = fit.agg(F.struct(*[F.max(F.when(F.col("term") == t, F.col("beta"))).alias(f"b{i}") for i, t in enumerate(terms)]).alias("b")).scalar()
+    e: Column = betas.getField("b0")
+    for i, t in enumerate(terms[1:], 1):
+        e = e + betas.getField(f"b{i}") * F.col(t)
     return df.withColumn(name, e)
 
 
@@ -339,11 +340,9 @@ def _share(num, den) -> Column:
 
 def state_scorecard(stressed: DataFrame, *, upb: str = "unpaid_principal_balance") -> DataFrame:
     """state -> UPB share, projected change, stressed $B, stress share, concentration ratio."""
-    g = cut(stressed.groupBy("state_code").agg(F.sum(F.col(upb).cast("double")).alias("_u"),
-                                               F.sum("stressed_upb").alias("_s")))
-    tu = g.agg(F.sum("_u")).scalar()
-    ts = g.agg(F.sum("_s")).scalar()
-    return (g.withColumn("proj_dlq_chg", _share("_s", "_u") * 100)
+    g = stressed.groupBy("state_code").agg(F.sum(F.col(upb).cast("double")).alias("_u"), F.sum("stressed_upb").alias("_s"))
+    tu, ts = F.col("_tu"), F.col("_ts")  # over the grouped rows, one per state
+    return (with_total(with_total(g, "_tu", "_u"), "_ts", "_s").withColumn("proj_dlq_chg", _share("_s", "_u") * 100)
             .withColumn("upb_share", _share("_u", tu) * 100)
             .withColumn("stress_share", _share("_s", ts) * 100)
             .withColumn("conc_ratio", _share("stress_share", "upb_share"))
@@ -355,12 +354,13 @@ def issuer_scorecard(stressed: DataFrame, *, upb: str = "unpaid_principal_balanc
     """issuer -> UPB $B, mix beta, projected change, stressed $B, unknown %, shares, concentration ratio,
     mix vs peer, geography factor (concentration ÷ mix)."""
     u = F.col(upb).cast("double")
-    g = cut(stressed.groupBy("issuer_id", "issuer_name").agg(
+    g = stressed.groupBy("issuer_id", "issuer_name").agg(
         F.sum(u).alias("_u"), F.sum("stressed_upb").alias("_s"),
         F.sum(F.col("beta") * u).alias("_bu"),
-        F.sum(F.when(~F.col("beta_known"), u).otherwise(0.0)).alias("_unk")))
-    tu, ts = g.agg(F.sum("_u")).scalar(), g.agg(F.sum("_s")).scalar()
-    peer = g.agg(F.try_divide(F.sum("_bu"), F.sum("_u"))).scalar()
+        F.sum(F.when(~F.col("beta_known"), u).otherwise(0.0)).alias("_unk"))
+    for name, value in (("_tu", "_u"), ("_ts", "_s"), ("_tb", "_bu")):  # over the grouped rows, one per issuer
+        g = with_total(g, name, value)
+    tu, ts, peer = F.col("_tu"), F.col("_ts"), F.try_divide(F.col("_tb"), F.col("_tu"))
     return (g.withColumn("upb_bn", F.col("_u") / 1e9)
             .withColumn("mix_beta", _share("_bu", "_u"))
             .withColumn("proj_dlq_chg", _share("_s", "_u") * 100)
@@ -371,4 +371,4 @@ def issuer_scorecard(stressed: DataFrame, *, upb: str = "unpaid_principal_balanc
             .withColumn("conc_ratio", _share("stress_share", "upb_share"))
             .withColumn("mix_vs_peer", _share("mix_beta", peer))
             .withColumn("geo_factor", _share("conc_ratio", "mix_vs_peer"))
-            .drop("_u", "_s", "_bu", "_unk"))
+            .drop("_u", "_s", "_bu", "_unk", "_tu", "_ts", "_tb"))

@@ -424,7 +424,7 @@ def state_fit(t: Tables):
     """(fit, test rows with the prediction) of the state model."""
     tr, te = _state_train(t)
     fit = cut(regress.wls_fit(tr, y="dlq_chg", x=_XS, weight="loan_count", cluster="property_state"))
-    return fit, regress.predict_linear(te, fit)
+    return fit, regress.predict_linear(te, fit, _XS)
 
 
 @register("fit_metrics", _state(f"SELECT {_METRICS} FROM wfit", _STATE_FIT))

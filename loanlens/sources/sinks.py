@@ -18,7 +18,11 @@ def sink_append(df: DataFrame, path: str, *, partition_by=None) -> None:
 
 
 def sink_replace_all(df: DataFrame, path: str) -> None:
-    """Delete everything then insert (atomic at the job level through the commit protocol)."""
+    """Delete everything then insert.
+
+    The old rows go before the new ones are committed: for a table that must never be seen
+    half replaced, put it into a book (``streaming.book.put``).
+    """
     df.write.mode("overwrite").parquet(path)
 
 
