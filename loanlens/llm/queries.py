@@ -27,7 +27,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.edited_likeness(documents(spark, sf_dir))
+    return simhash.edited_likeness_and_neighbours(documents(spark, sf_dir))
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,11 +87,8 @@ def followed(docs: DataFrame) -> DataFrame:
     return rows.select("bucket", F.row_number().over(w).alias("place"), "ghost", "doc_id", "text", F.lead("text").over(w).alias("next_text"))
 
 
-def edited_likeness(docs: DataFrame) -> DataFrame:
-    """Fingerprints of each text and of its edited text (its last quarter replaced by the head of the next document's text).
-
-    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
-    """
+def _edited(docs: DataFrame) -> DataFrame:
+    """doc_id, n_chars, edited_sha256 and the fingerprints f of the text, e of the edited text, next of the next document."""
     text, follow = F.coalesce("text", F.lit("")), F.coalesce("next_text", F.lit(""))
     n = F.length(text)
     cut = F.floor(n / 4).cast("int")
@@ -107,9 +104,36 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     of = prints.groupBy(*keys).agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("f"),
                                    F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("e"))
     of = of.withColumn("next", F.lead("f").over(Window.partitionBy("bucket").orderBy("place"))).where(~F.col("ghost"))
-    return of.select("doc_id", "n_chars", "edited_sha256", hexadecimal(F.col("f")).alias("fingerprint"),
-                     hexadecimal(F.col("e")).alias("edited_fingerprint"),
-                     likeness(F.col("f"), F.col("e")).alias("near_edited"), likeness(F.col("f"), F.col("next")).alias("near_next"))
+    return of.select("doc_id", "n_chars", "edited_sha256", "f", "e", "next")
+
+
+def _reported(of: DataFrame) -> list[Column]:
+    return [F.col("doc_id"), F.col("n_chars"), F.col("edited_sha256"), hexadecimal(F.col("f")).alias("fingerprint"),
+            hexadecimal(F.col("e")).alias("edited_fingerprint"),
+            likeness(F.col("f"), F.col("e")).alias("near_edited"), likeness(F.col("f"), F.col("next")).alias("near_next")]
+
+
+def edited_likeness(docs: DataFrame) -> DataFrame:
+    """Fingerprints of each text and of its edited text (its last quarter replaced by the head of the next document's text).
+
+    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    """
+    of = _edited(docs)
+    return of.select(*_reported(of))
+
+
+def edited_likeness_and_neighbours(docs: DataFrame, radius: int = 3, every: int = 100) -> DataFrame:
+    """``edited_likeness`` and n_near: how many distinct fingerprints of the table lie within ``radius`` of the row's own.
+
+    The block tables are asked for every doc_id that ``every`` divides, against all rows; the others have null.
+    """
+    of = written(_edited(docs), "fingerprints")
+    asked = F.coalesce(F.col("doc_id") % every == 0, F.lit(False))
+    found = near(of.where(asked).select(F.col("f").alias("fingerprint")), of.select(F.col("f").alias("fingerprint")), radius)
+    counts = found.groupBy("query").agg(F.count(F.lit(1)).alias("n_near"))
+    own = of.where(asked)
+    own = own.join(counts, own["f"] == counts["query"]).select(*_reported(of), "n_near")
+    return own.unionByName(of.where(~asked).select(*_reported(of), F.lit(None).cast("long").alias("n_near")))
 
 
 def _blocks(radius: int) -> list[tuple[int, int]]:
