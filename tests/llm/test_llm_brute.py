@@ -135,6 +135,22 @@ def test_block_tables_find_all_within_the_radius(spark, radius):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_neighbours_of_every_hundredth_document(spark, docs, rows):
+    """The query's column against all pairs of fingerprints, with a hot group of near copies in the table."""
+    base = "some words of a long text that many documents share with few changes " * 30
+    hot = [(70_000 + 10 * i, base + f"end {i % 40}") for i in range(300)]
+    table = docs.unionByName(spark.createDataFrame([*hot, (None, "no id"), (70_000, "another text")], "doc_id long, text string"))
+    got = simhash.edited_likeness_and_neighbours(table).collect()
+    prints = {int(r.fingerprint, 16) for r in got}
+    assert len(got) == len(rows) + len(hot) + 2
+    for r in got:
+        own = int(r.fingerprint, 16)
+        want = sum(bin(own ^ p).count("1") <= 3 for p in prints) if r.doc_id is not None and r.doc_id % 100 == 0 else None
+        assert r.n_near == want
+    plain = {(r.doc_id, r.fingerprint): r.near_next for r in simhash.edited_likeness(table).collect()}
+    assert {(r.doc_id, r.fingerprint): r.near_next for r in got} == plain
+
+
 # -- 3: pseudonyms
 
 
@@ -643,6 +659,20 @@ def test_codes_round_trip_and_access():
         assert (token_file.dac_decode(chunks, bitmaps) == ids).all()
         at = rng.randint(0, n, 300) if n else np.zeros(0, int)
         assert (token_file.dac_access(chunks, bitmaps, ranks, at) == ids[at]).all()
+        levels = [np.frombuffer(c, np.uint8) for c in chunks], [np.frombuffer(b, np.uint8) for b in bitmaps], [np.frombuffer(r, "<u4") for r in ranks]
+        for _ in range(40):
+            a = rng.randint(0, n + 1)
+            b = rng.randint(a, n + 1)
+            assert (token_file.dac_range(*levels, a, b - a) == ids[a:b]).all()
+
+
+def test_a_damaged_token_file_is_noticed(spark):
+    docs = spark.createDataFrame([(100, "one two three four"), (101, "five six")], "doc_id long, text string")
+    table = token_file.write(docs, vocabulary("byte_bpe_50k.json"), 0)
+    assert token_file.read(table).count() == 2
+    worse = table.withColumn("ranks", F.transform("ranks", lambda r: F.unhex(F.regexp_replace(F.hex(r), "^00", "05"))))
+    with pytest.raises(Exception, match="damaged at document 100"):
+        token_file.read(worse).collect()
 
 
 def test_token_file(spark, docs, rows):
