@@ -541,6 +541,46 @@ def test_licences_equal_sql(spark):
     assert got == want and any(r[3] for r in got)
 
 
+def gnu(kind, version, later=True, semicolon=False):
+    lead = f"This program is free software{';' if semicolon else ':'} you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License "
+    if not later:
+        return lead + f"version {version} as published by the Free Software Foundation."
+    return lead + f"as published by the Free Software Foundation{';' if semicolon else ','} either version {version} of the License, or (at your option) any later version."
+
+
+@pytest.mark.parametrize("text, names", [
+    ("// SPDX-License-Identifier: MIT\nint x;", ["MIT"]), ("/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR BSD-3-Clause */",
+                                                          ["BSD-3-Clause", "GPL-2.0-only", "Linux-syscall-note"]),
+    ("# " + gnu("Lesser ", "2.1", semicolon=True), ["LGPL-2.1-or-later"]), (gnu("Lesser ", "3"), ["LGPL-3.0-or-later"]), (gnu("Affero ", "3"), ["AGPL-3.0-or-later"]),
+    (gnu("", "2", later=False), ["GPL-2.0-only"]), (gnu("", "2", semicolon=True), ["GPL-2.0-or-later"]), (gnu("", "3", semicolon=True), ["GPL-3.0-or-later"]),
+    ("This is free and unencumbered software released into the public domain.\n\nAnyone is free", ["Unlicense"]),
+    ("Boost Software License - Version 1.0 - August 17th, 2003\n\nPermission is hereby", ["BSL-1.0"]),
+    ("Distributed under the Boost Software License, Version 1.0. (See accompanying file)", ["BSL-1.0"]),
+    ("                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS", ["Apache-2.0"]),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007", ["GPL-3.0-only"]),
+    ("Mozilla Public License Version 2.0\n==================================\n\n1. Definitions", ["MPL-2.0"]),
+    ("This work is licensed under CC BY 4.0", ["CC-BY-4.0"]),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0"]),
+    ("To the extent possible under law, Jo Doe has waived all copyright and related or neighboring rights to The Tool.", ["CC0-1.0"]),
+    ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the "
+     "use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+     "redistribute it freely, subject to the following restrictions:", ["Zlib"]),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n"
+     "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n"
+     "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+     "and/or other materials provided with the distribution.\nNeither the name of " + "a very long holder " * 60 + "nor the names of its contributors may be used to "
+     "endorse or promote products derived from this software without specific prior written permission.", ["BSD-3-Clause"]),
+    ("The licence plate of the car was permitted.", []), ("SPDX is a format of licence lists", [])])
+def test_notices_named_by_hand(spark, text, names):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert licences.scan(docs).first().licences == names
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.execute("INSERT INTO documents VALUES (1, ?)", [text])
+    row = licences.scan(docs).first()
+    assert con.execute(licences.scan_sql()).fetchall() == [(1, len(row.sentence_ids), ",".join(row.sentence_ids), ",".join(row.licences))]
+
+
 def test_ordered_rules(spark):
     s = licences.SENTENCES
     mit = [s[x] for x in ("mit-grant", "mit-notice", "mit-warranty", "mit-liability")]
