@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanlens.llm.store import dropped, written
 from loanlens.llm.text import offsets_of, rest, tidied
 
 ROWS = 2048  # rows of a block; what a walk holds grows with their square
@@ -78,6 +79,30 @@ def gathered(alive: DataFrame, of: DataFrame, components: Callable[[DataFrame],
     return one.unionByName(rest_).distinct()
 
 
+def completed(members: DataFrame, sets: DataFrame, comp: DataFrame, components: Callable[[DataFrame], DataFrame],
+              alive: Callable[[DataFrame], DataFrame], block_links: Callable[[DataFrame], DataFrame], light: list[str], full: list[str]) -> DataFrame:
+    """(node, component) after all links between components: ``comp`` holds those of the links known so far.
+
+    ``alive`` leaves the members of placed groups (with the columns ``light`` of ``sets``) that can have a partner in another
+    component, ``block_links`` (with ``full``) finds the links of those.  Groups of one block are done then; the others are crossed.
+    """
+    for place in (own, crossed):
+        of = sets.select("id", "node", "n").join(comp.withColumnRenamed("node", "id"), "id", "left") \
+            .select("id", "node", "n", F.coalesce("component", "id").alias("comp"))
+        at = members.join(of, "node")
+        if place is crossed and at.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")) \
+                .where((F.col("c") > ROWS) | (F.col("s") > ITEMS)).isEmpty():
+            break
+        some = written(alive(place(at).join(sets.select("id", *light), "id")).distinct(), "alive")
+        if not some.isEmpty():
+            left = written(gathered(some, of, components), "gathered")
+            new = written(block_links(place(left.join(of, "node")).join(sets.select("id", *full), "id")), "links")
+            if not new.isEmpty():
+                comp = components(comp.select(F.col("component").alias("u"), F.col("node").alias("v")).unionByName(new))
+        dropped(some)
+    return comp
+
+
 def walk(placed: DataFrame, each: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]], schema: str, owner: str) -> DataFrame:
     """Apply ``each`` to runs of whole blocks (a table and the row where each block begins)."""
 

@@ -396,6 +396,7 @@ def test_rows_of_a_group_of_near_copies_stay_in_proportion(spark, monkeypatch):
         return out
 
     monkeypatch.setattr(jaccard_join, "written", counted)
+    monkeypatch.setattr(blocks, "written", counted)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in
            jaccard_join.similar(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()}
     assert got == jaccard_brute(rows, 5, 80)

@@ -89,6 +89,7 @@ def test_minhash_on_a_large_group_of_near_copies(spark, monkeypatch, rows_of_blo
         return out
 
     monkeypatch.setattr(minhash, "written", counted)
+    monkeypatch.setattr(blocks, "written", counted)
     assert found(spark, rows, 5, 85) == minhash_brute(rows, 5, 85)
     assert max(sizes.values()) <= minhash.BANDS * len(rows)
 
