@@ -821,11 +821,11 @@ def test_pipeline_against_brute_force(spark):
 
 def test_native_operators_plan_no_python(spark):
     docs = store.documents(spark, SMALL)
-    for df in (queries.op2_simhash(spark, SMALL), queries.op7_licences(spark, SMALL), simhash.near(
+    for df in (queries.op2_simhash(spark, SMALL), simhash.edited_likeness(docs), queries.op7_licences(spark, SMALL), simhash.near(
             simhash.with_fingerprint(docs, ["doc_id"], "text"), simhash.with_fingerprint(docs, ["doc_id"], "text"))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
 
 
 def test_registered_queries():
-    assert [f"op{n}_" for n in range(1, 11)] == sorted({re.match(r"op\d+_", q)[0] for q in queries.QUERIES}, key=lambda x: int(x[2:-1]))
+    assert [f"op{n}_" for n in range(1, 14)] == sorted({re.match(r"op\d+_", q)[0] for q in queries.QUERIES}, key=lambda x: int(x[2:-1]))
