@@ -290,49 +290,71 @@ def stream_alert_worst(alerts: DataFrame, *, watermark: str = "1 day") -> DataFr
 ALERT_STATE = "expires long, rank int, at long, event_id long, severity string"
 
 
+WAITING = 1 << 16  # alerts of a key that wait before they are cut to those that can become the worst
+
+
 def _worst_alive_processor(ttl_us: int):
-    """The processor of ``stream_alert_expiry``: alerts that can still become the worst, oldest first."""
+    """The processor of ``stream_alert_expiry``: a key has the alerts that can still become the worst and one timer, the end of its worst."""
+    import numpy as np
     import pandas as pd
     from pyspark.sql.streaming import StatefulProcessor
 
-    def frontier(alerts: list[tuple], now_ms: int) -> list[tuple]:
-        """Alerts alive, without those that a worse one outlives; of an event that came twice, one."""
-        out, top = [], -1
-        for a in sorted(set(a for a in alerts if a[0] > now_ms), key=lambda a: (-a[2], -a[1], -a[3])):
-            if a[1] >= top:  # nothing worse lives longer
-                out.append(a)
-                top = a[1]
-        return out[::-1]
+    columns = {"expires": np.int64, "rank": np.int64, "at": np.int64, "event_id": np.int64, "severity": object}
+
+    def frontier(alerts: dict, now_ms: int) -> dict:
+        """The alerts (columns of ``ALERT_STATE``) that are or can still become the worst, oldest and worst first.
+
+        One that a worse one outlives never does, nor one with the time and rank of a smaller event_id.
+        """
+        order = np.lexsort((alerts["event_id"], -alerts["rank"], -alerts["at"]))
+        order = order[alerts["expires"][order] > now_ms]
+        at, rank = alerts["at"][order], alerts["rank"][order]
+        keep = rank == np.maximum.accumulate(rank) if len(rank) else np.zeros(0, bool)
+        keep[1:] &= (at[1:] != at[:-1]) | (rank[1:] != rank[:-1])
+        return {c: v[order[keep][::-1]] for c, v in alerts.items()}
 
     class WorstAlive(StatefulProcessor):
         def init(self, handle) -> None:
             self.handle = handle
             self.alive = handle.getListState("alive", ALERT_STATE)
 
-        def _now(self, alerts: list[tuple], key, timers):
+        def _held(self) -> dict:
+            held = list(self.alive.get())
+            return {c: np.array([a[i] for a in held], kind) for i, (c, kind) in enumerate(columns.items())}
+
+        def _now(self, alerts: dict, key, timers):
             alerts = frontier(alerts, timers.getCurrentWatermarkInMs())
-            if alerts:
-                self.alive.put(alerts)
+            rows = list(zip(*(v.tolist() for v in alerts.values())))
+            if rows:
+                self.alive.put(rows)
             else:
                 self.alive.clear()
-            worst = min(alerts, key=lambda a: (-a[1], a[2], a[3]), default=(0, 0, None, None, None))
-            at = pd.to_datetime(pd.Series([worst[2]], dtype="Int64"), unit="us")
-            return pd.DataFrame({"state": [key[0]], "scenario_type": [key[1]], "event_id": pd.Series([worst[3]], dtype="Int64"), "ts": at,
-                                 "severity": [worst[4]]})
+            ends, _, at, event, severity = rows[0] if rows else (None, 0, None, None, None)
+            for ms in [ms for ms in self.handle.listTimers() if ms != ends]:
+                self.handle.deleteTimer(ms)
+            if ends is not None:
+                self.handle.registerTimer(ends)
+            at = pd.to_datetime(pd.Series([at], dtype="Int64"), unit="us")
+            return pd.DataFrame({"state": [key[0]], "scenario_type": [key[1]], "event_id": pd.Series([event], dtype="Int64"), "ts": at, "severity": [severity]})
 
         def handleInputRows(self, key, rows, timerValues):
-            alerts = [tuple(a) for a in self.alive.get()]
+            alerts, parts, waiting = self._held(), [], 0
+
+            def cut_to_frontier():
+                whole = {c: np.concatenate([alerts[c], *(p[c] for p in parts)]) for c in columns}
+                return frontier(whole, timerValues.getCurrentWatermarkInMs())
+
             for pdf in rows:
-                at = pdf["at"].to_numpy()
-                expires = -(-(at + ttl_us) // 1000)
-                new = list(zip(expires.tolist(), pdf["rank"].tolist(), at.tolist(), pdf["event_id"].tolist(), pdf["severity"].tolist()))
-                alerts = frontier(alerts + new, timerValues.getCurrentWatermarkInMs())
-            for ms in {a[0] for a in alerts}:
-                self.handle.registerTimer(ms)
-            yield self._now(alerts, key, timerValues)
+                at = pdf["at"].to_numpy(np.int64)
+                parts.append({"expires": -(-(at + ttl_us) // 1000), "rank": pdf["rank"].to_numpy(np.int64), "at": at,
+                              "event_id": pdf["event_id"].to_numpy(np.int64), "severity": pdf["severity"].to_numpy(object)})
+                waiting += len(pdf)
+                if waiting > max(WAITING, len(alerts["at"])):  # the sorts are in proportion to the rows, but for a logarithm
+                    alerts, parts, waiting = cut_to_frontier(), [], 0
+            yield self._now(cut_to_frontier(), key, timerValues)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            yield self._now([tuple(a) for a in self.alive.get()], key, timerValues)
+            yield self._now(self._held(), key, timerValues)
 
         def close(self) -> None:
             pass
@@ -345,7 +367,7 @@ def stream_alert_expiry(alerts: DataFrame, *, ttl_seconds: int, watermark: str =
 
     When the watermark passes an alert's end, the next worst takes its place; a key without one
     gives a row with a null event.  The state of a key holds its live alerts, less those that a worse one
-    outlives.  Alerts without a state, scenario or severity are passed over.  A row goes out for each change (update mode); needs
+    outlives, and one timer, so its work is in proportion to its alerts.  Alerts without a state, scenario or severity are passed over.  A row goes out for each change (update mode); needs
     the RocksDB state store: ``use_rocksdb`` sets it.
     """
     a = alerts.withWatermark("ts", watermark).withColumn("rank", rules.severity_rank(F.col("severity")))

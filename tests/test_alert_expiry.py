@@ -62,3 +62,67 @@ def test_no_alert_is_left_in_the_end(spark):
     streams.run_to_table(streams.stream_alert_expiry(source, ttl_seconds=3600, watermark="0 seconds"), f"{base}/out", f"{base}/ckpt", mode="update")
     got = {r.state: r.event_id for r in streams.latest_per_key(spark.read.parquet(f"{base}/out"), ["state", "scenario_type"]).collect()}
     assert got == {"TX": None, "FL": 3}
+
+
+class _Handle:
+    """State and timers of one key, as a processor sees them, with the number of times it asks for them."""
+
+    def __init__(self):
+        self.rows, self.timers, self.reads, self.registered = [], set(), 0, 0
+
+    def getListState(self, name, schema):
+        return self
+
+    def get(self):
+        self.reads += 1
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.rows = rows
+
+    def clear(self):
+        self.rows = []
+
+    def listTimers(self):
+        return iter(sorted(self.timers))
+
+    def registerTimer(self, ms):
+        self.registered += 1
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.timers.discard(ms)
+
+
+class _Times:
+    now = 0
+
+    def getCurrentWatermarkInMs(self):
+        return self.now
+
+
+def test_a_key_has_one_timer_however_many_alerts_live():
+    import numpy as np
+    import pandas as pd
+
+    n, rng, ttl = 150_000, np.random.default_rng(5), 10_000_000
+    at = rng.integers(0, 20_000_000, n)
+    rank = rng.integers(1, 4, n)
+    ids = rng.permutation(n)
+    processor, handle, times = streams._worst_alive_processor(ttl), _Handle(), _Times()
+    processor.init(handle)
+    pdf = pd.DataFrame({"at": at, "rank": rank, "event_id": ids, "severity": np.array(["", "mild", "moderate", "severe"], object)[rank]})
+    got = next(processor.handleInputRows(("TX", "flood"), iter([pdf[:80_000], pdf[80_000:90_000], pdf[90_000:]]), times))
+    assert handle.registered == 1 and handle.reads == 1 and len(handle.timers) == 1
+    expires = -(-(at + ttl) // 1000)
+    for now in (0, 12_345, 20_001, 29_999):  # next worst after each
+        times.now = now
+        if now:
+            handle.timers -= {ms for ms in handle.timers if ms <= now}
+            got = next(processor.handleExpiredTimer(("TX", "flood"), times, None))
+        live = np.flatnonzero(expires > now)
+        best = live[np.lexsort((ids[live], at[live], -rank[live]))[0]]
+        assert got["event_id"][0] == ids[best] and len(handle.timers) == 1
+    times.now = 30_000
+    got = next(processor.handleExpiredTimer(("TX", "flood"), times, None))
+    assert got["event_id"].isna()[0] and not handle.timers and not handle.rows
