@@ -5,6 +5,7 @@ import re
 import pytest
 
 from conftest import SMALL
+from loanlens.plans import catalog_sources as sources
 from loanlens.plans.adapter import Tables
 from loanlens.session import scratch_path
 
@@ -28,3 +29,29 @@ def test_views_are_shuffled_to_as_many_tasks_as_their_input_asks_for(small_tasks
     for view in ("_build_loan_monthly", "_build_loan_months", "_build_pool_loans"):
         found = _exchanges(getattr(small_tasks, view)())
         assert found and all(f", {n})" in f for f in found), (view, found)
+
+
+@pytest.mark.parametrize("land", ["_landed_ll", "_landed_lr", "_landed_mf"])
+def test_no_rendered_line_is_shuffled_or_sorted(small_tasks, monkeypatch, land):
+    made = []
+
+    def keep(t, lines, path, **how):
+        made.append(lines() if callable(lines) else lines)
+        return path
+
+    monkeypatch.setattr(sources, "_land", keep)
+    getattr(sources, land)(small_tasks)
+    plan = made[0]._jdf.queryExecution().executedPlan()
+    assert "Exchange rangepartitioning" in plan.toString()
+    for line in plan.toString().splitlines():
+        assert not ("Exchange" in line and "value" in line), line
+
+
+def test_landing_leaves_the_session_as_it_was(small_tasks):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = small_tasks.spark.conf.get(name)
+    path = sources._landed_mf(small_tasks)
+    assert small_tasks.spark.conf.get(name) == before
+    lines = small_tasks.spark.read.option("recursiveFileLookup", "true").text(path)
+    pools = small_tasks.pool_loans.count()
+    assert {r["k"]: r["count"] for r in lines.groupBy(lines.value.substr(1, 1).alias("k")).count().collect()} == {"M": pools, "N": pools}
