@@ -61,6 +61,14 @@ def crossed(members: DataFrame) -> DataFrame:
     return m.select(*members.columns, F.explode(places).alias("p")).select(*members.columns, "p.x", "p.y", "p.side")
 
 
+def regrouped(place: Callable[[DataFrame], DataFrame], left: DataFrame) -> DataFrame:
+    """Places of gathered members: groups of several blocks by ``place``, those that fit a block by now as they are."""
+    if place is own:
+        return own(left)
+    single = _sizes(left).where("blocks = 1").select("key")
+    return crossed(left).unionByName(own(left.join(single, "key", "left_semi")))
+
+
 def gathered(alive: DataFrame, of: DataFrame, components: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The members (key, node) that are left of groups, with those of one cluster gathered under one key.
 
@@ -96,7 +104,7 @@ def completed(members: DataFrame, sets: DataFrame, comp: DataFrame, components:
         some = written(alive(place(at).join(sets.select("id", *light), "id")).distinct(), "alive")
         if not some.isEmpty():
             left = written(gathered(some, of, components), "gathered")
-            new = written(block_links(place(left.join(of, "node")).join(sets.select("id", *full), "id")), "links")
+            new = written(block_links(regrouped(place, left.join(of, "node")).join(sets.select("id", *full), "id")), "links")
             if not new.isEmpty():
                 comp = components(comp.select(F.col("component").alias("u"), F.col("node").alias("v")).unionByName(new))
         dropped(some)
