@@ -16,11 +16,9 @@ from loanlens.llm.store import documents, for_documents, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; it is learned from a bounded sample of the labelled ones."""
+    """Documents whose language is recognised; all labelled ones set the margins."""
     for_documents(spark)
-    labelled = docs.select("doc_id", "text", "lang")
-    model = language_id.fit(labelled)
-    return language_id.recognised(docs, model, language_id.calibrate(labelled, model))
+    return language_id.recognised(docs, language_id.fit(docs.select("doc_id", "text", "lang")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators against the libraries, brute force, round trips and SQL, on small tables."""
 
 import hashlib
+import math
 import random
 import re
 import textwrap
@@ -330,6 +331,47 @@ def test_calibrated_margins_keep_clean_texts_and_reject_others(spark):
     assert [r.text for r in got if not r.clean and r.accepted] == []
 
 
+def _mixed_texts():
+    """Dictionaries of two languages and 1200 labelled texts, some of them mostly noise, with odd ones."""
+    rng = random.Random(5)
+    words = {"en": "the cat and dog of a house with some water over there".split(), "fr": "le chat et chien de la maison avec des eaux sur une".split()}
+    model = [(lang, " ".join(rng.choice(w) for _ in range(800)).encode()) for lang, w in words.items()]
+    noise = ["".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(6)) for _ in range(400)]
+    rows = [(i, " ".join(rng.choice(words[lang] if rng.random() < share else noise) for _ in range(rng.choice([5, 12, 60, 300]))), lang)
+            for i in range(1200) for lang, share in [(rng.choice(["en", "fr"]), rng.random())]]
+    return model, rows + [(5000, None, "en"), (5001, "1 2", "fr"), (5002, "the cat", None)]
+
+
+def _margins(rows, model):
+    """Margins by a loop over every labelled text, and the most marks of a language and class."""
+    marks = {}
+    for _, text, lang in rows:
+        plain = re.sub(r"[\W\d_]+", " ", (text or "").lower())
+        if lang and not any(plain[:40].encode() in d for _, d in model):
+            for least in language_id.LENGTHS:
+                name, score, _ = language_id.classify(plain if least == language_id.LENGTHS[-1] else plain[:least], tuple(model))
+                if len(plain) >= least and name == lang:
+                    marks.setdefault((least, lang), []).append(math.floor(score * language_id.STEPS) / language_id.STEPS)
+    low = {k: float(np.percentile(v, 100 * language_id.QUANTILE)) for k, v in marks.items() if len(v) >= language_id.LEAST_TEXTS}
+    return [(n, max(language_id.MIN_MARGIN, language_id.SHARE * min([v for k, v in low.items() if k[0] == n], default=0.0)))
+            for n in language_id.LENGTHS], max(map(len, marks.values()))
+
+
+def test_margins_come_from_every_labelled_text(spark):
+    """More labelled texts than any sample takes."""
+    model, rows = _mixed_texts()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want, most = _margins(rows, model)
+    got = language_id.calibrate(docs, model)
+    assert most > 2 * language_id.SAMPLE_ROWS
+    assert [n for n, _ in got] == [n for n, _ in want] and np.allclose([m for _, m in got], [m for _, m in want], atol=1e-12)
+    out = {r.doc_id: (r.lang_pred, r.score, r.accepted) for r in language_id.calibrated(docs, model, keep=["doc_id"]).collect()}
+    assert len({x[2] for x in out.values()}) == 2
+    for doc_id, text, _ in rows:
+        found = language_id.classify(text, tuple(model))
+        assert out[doc_id] == (*found[:2], language_id.accepts(text, found, tuple(model), got))
+
+
 # -- 5: Jaccard join
 
 
