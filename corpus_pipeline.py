@@ -16,9 +16,14 @@ from loanlens.llm.store import documents, for_documents, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; all labelled ones set the margins."""
+    """Documents whose language is recognised; all labelled ones set the margins.
+
+    They are compared in a pass of their own: a table of whole texts with their scores would lie on disk until the last stage.
+    """
     for_documents(spark)
-    return language_id.recognised(docs, language_id.fit(docs.select("doc_id", "text", "lang")))
+    labelled = docs.select("doc_id", "text", "lang")
+    model = language_id.fit(labelled)
+    return language_id.recognised(docs, model, language_id.calibrate(labelled, model))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -372,6 +372,17 @@ def test_margins_come_from_every_labelled_text(spark):
         assert out[doc_id] == (*found[:2], language_id.accepts(text, found, tuple(model), got))
 
 
+def test_language_stage_takes_the_margins_of_every_text(spark):
+    _, rows = _mixed_texts()
+    docs = spark.createDataFrame([(*r, "s", 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    model = language_id.fit(docs)
+    margins, most = _margins(rows, model)
+    assert most > 2 * language_id.SAMPLE_ROWS
+    want = {i for i, text, _ in rows if language_id.accepts(text, language_id.classify(text, tuple(model)), tuple(model), margins)}
+    assert 0 < len(want) < len(rows)
+    assert {r.doc_id for r in dict(corpus_pipeline.STAGES)["language_id"](spark, docs, "").collect()} == want
+
+
 # -- 5: Jaccard join
 
 
