@@ -82,16 +82,21 @@ def transition_self_join(snapshots: DataFrame, *, key: str = "cusip", order: str
         F.max(liq).over(later).alias("later_liquidated"))
 
 
-def dedupe_first(df: DataFrame, keys, order_by) -> DataFrame:
+def dedupe_first(df: DataFrame, keys, order_by, *, tasks: int | None = None) -> DataFrame:
     """One row per key (null keys dropped), the first by an explicit total order.
 
     ``row_number() = 1`` lets Spark plan a map-side ``WindowGroupLimit`` before the
     shuffle: every task sends at most one row per key, so a hot key (a third of
     the rows) costs one row per task, not one task holding the whole key.
+
+    With ``tasks`` the rows are dealt by key to that many tasks before the terms of the order are made, so a large
+    table with few rows per key is sorted once, in parts that grow no larger with it; a hot key is then in one task.
     """
     keys = list(keys)
     cond = None
     for k in keys:
         cond = F.col(k).isNotNull() if cond is None else cond & F.col(k).isNotNull()
     w = Window.partitionBy(*keys).orderBy(*order_by)
-    return df.filter(cond).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    rows = df.filter(cond)
+    rows = rows.repartition(tasks, *keys) if tasks else rows
+    return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

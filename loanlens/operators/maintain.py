@@ -133,10 +133,10 @@ def monthly_projection(staging: DataFrame, *, report_date=None, keys=("disclosur
                     rules.dq_label(md).alias("delinquency_status"))
 
 
-def static_projection(staging: DataFrame, *, keep=()) -> DataFrame:
-    """LL staging strings -> static loan attributes (typed), with the columns ``keep`` as they are."""
+def static_projection(staging: DataFrame, *, keep=(), tasks: int | None = None) -> DataFrame:
+    """LL staging strings -> static loan attributes (typed), with the columns ``keep`` as they are; ``tasks`` as in ``dedupe_first``."""
     s = dedupe_first(staging, ["disclosure_sequence_number"],
-                     [F.col("as_of_date").desc_nulls_last(), _balance().asc_nulls_last(), ties(staging)])
+                     [F.col("as_of_date").desc_nulls_last(), _balance().asc_nulls_last(), ties(staging)], tasks=tasks)
     return s.select("disclosure_sequence_number", F.col("issuer_id").try_cast("int").alias("issuer_id"),
                     "state_code", "msa",
                     F.col("original_principal_balance").try_cast(MONEY).alias("original_principal_balance"),
@@ -147,12 +147,12 @@ def static_projection(staging: DataFrame, *, keep=()) -> DataFrame:
                     F.col("seller_issuer_id").try_cast("int").alias("seller_issuer_id"), "agency", *keep)
 
 
-def liquidation_projection(staging: DataFrame, *, report_date=None, period_col: str = "report_period") -> DataFrame:
-    """LR staging strings -> liquidation rows (10 of 15 fields kept, typed), one per loan and period."""
+def liquidation_projection(staging: DataFrame, *, report_date=None, period_col: str = "report_period", tasks: int | None = None) -> DataFrame:
+    """LR staging strings -> liquidation rows (10 of 15 fields kept, typed), one per loan and period; ``tasks`` as in ``dedupe_first``."""
     rd = (F.lit(report_date).cast("date") if report_date is not None
           else F.try_to_timestamp(F.concat(F.col(period_col), F.lit("01")), F.lit("yyyyMMdd")).cast("date"))
     keys = ["disclosure_sequence_number"] if report_date is not None else ["disclosure_sequence_number", period_col]
-    staging = dedupe_first(staging, keys, [F.col("liquidation_balance").try_cast(MONEY).asc_nulls_last(), ties(staging)])
+    staging = dedupe_first(staging, keys, [F.col("liquidation_balance").try_cast(MONEY).asc_nulls_last(), ties(staging)], tasks=tasks)
     return staging.select("disclosure_sequence_number", rd.alias("report_date"),
                           F.col("issuer_id").try_cast("int").alias("issuer_id"), "cusip_number", "pool_id",
                           "agency_type", "loan_purpose",

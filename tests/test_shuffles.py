@@ -5,6 +5,7 @@ import re
 import pytest
 
 from conftest import SMALL
+from loanlens.plans import catalog_maintain as maintained
 from loanlens.plans import catalog_sources as sources
 from loanlens.plans.adapter import Tables
 from loanlens.session import scratch_path
@@ -55,3 +56,19 @@ def test_landing_leaves_the_session_as_it_was(small_tasks):
     lines = small_tasks.spark.read.option("recursiveFileLookup", "true").text(path)
     pools = small_tasks.pool_loans.count()
     assert {r["k"]: r["count"] for r in lines.groupBy(lines.value.substr(1, 1).alias("k")).count().collect()} == {"M": pools, "N": pools}
+
+
+@pytest.mark.parametrize("query", ["_static_projection", "_liquidation_projection"])
+def test_records_are_sorted_in_as_many_tasks_as_their_input_asks_for(small_tasks, query):
+    """Every shuffle is that wide, none carries the text that ends an order, and the rows are one per key."""
+    n = small_tasks.write_tasks()
+    df = getattr(maintained, query)(small_tasks)
+    found = _exchanges(df)
+    assert found and all(int(re.search(r", (\d+)\)", f)[1]) >= n for f in found if "hashpartitioning" in f), found
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "Window [" in line)
+    assert any("REPARTITION_BY_NUM" in line for line in plan[at:]) and not any("to_json" in line for line in plan[next(
+        i for i, line in enumerate(plan) if i > at and "Exchange" in line):])
+    want = small_tasks.loan_monthly
+    rows = want.select("loan_id").distinct() if query == "_static_projection" else want.filter("current_month_liquidation = 'Y'")
+    assert df.count() == rows.count()
