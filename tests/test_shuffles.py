@@ -72,3 +72,28 @@ def test_records_are_sorted_in_as_many_tasks_as_their_input_asks_for(small_tasks
     want = small_tasks.loan_monthly
     rows = want.select("loan_id").distinct() if query == "_static_projection" else want.filter("current_month_liquidation = 'Y'")
     assert df.count() == rows.count()
+
+
+def test_risk_joins_in_as_many_tasks_as_its_input_asks_for(small_tasks):
+    """Loans and months meet in that many tasks; only the counts take the session's partitions."""
+    n = small_tasks.write_tasks()
+    found = [f for f in _exchanges(small_tasks._build_risk()) if "loan_id" in f or "l_orderkey" in f]
+    assert found and all(f", {n})" in f for f in found), found
+
+
+def test_risk_reads_the_stored_loan_months(spark, tmp_path):
+    t = Tables(spark, SMALL, store=True)
+    t.loan_months.count()
+    plan = t._build_risk()._jdf.queryExecution().executedPlan().toString()
+    assert "loan_months" in plan and "lineitem" not in plan and "Join" not in plan, plan
+
+
+def test_loan_months_are_dealt_flat(small_tasks):
+    """A key is shuffled once a row, not in each of the structs that hold it."""
+    df = small_tasks._build_loan_months(small_tasks._dealt("loan_months"))
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "Exchange rangepartitioning" in line)
+    assert any("named_struct" in line or "struct(" in line for line in plan[:at])
+    assert not any("named_struct" in line or "struct(" in line for line in plan[at:])
+    assert df.schema == small_tasks._build_loan_months().schema
+    assert df.exceptAll(small_tasks._build_loan_months()).count() == 0 and df.count() == small_tasks._build_loan_months().count()
