@@ -55,3 +55,37 @@ def test_empty_archives_fail_by_name(spark):
     path = archive(f"{scratch_path(spark, 'zips')}/none.zip", {})
     with pytest.raises(Exception, match="none.zip is an empty zip file"):
         records.read_zip_members(spark, [path]).collect()
+
+
+def test_file_names_are_read_once_per_archive(spark):
+    """No pattern is matched against the path of every line: months and types are joined to the lines by archive."""
+    from conftest import SMALL
+    from loanlens.plans import catalog_sources as sources
+    from loanlens.plans.adapter import Tables
+
+    plan = sources._src_zip_member(Tables(spark, SMALL))._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "zip_lines" in line)
+    over = [line for line in plan[:at] if "RLIKE" in line or "regexp_extract" in line]
+    assert any("Join Inner" in line for line in plan[:at]) and not over, over
+
+
+def test_names_and_folders_of_odd_paths(spark):
+    """The same parts of a path as the patterns gave, on odd paths too."""
+    from pyspark.sql import functions as F
+
+    paths = ["a", "/a", "a/", "a/b", "a//b", "//", "", "/", "a/b/", "a/b/c d%20.txt", "file:/x/llmon1_202601.zip", "x/file=llmonliq1_202602/part-0", "é/ü", None]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    p = F.col("p")
+    got = df.select(records.file_name(p).alias("n"), records.folder_name(p).alias("f"),
+                    F.regexp_extract(p, r"([^/]+)$", 1).alias("wn"), F.regexp_extract(p, r"([^/]+)/[^/]+$", 1).alias("wf")).collect()
+    assert all((r.n, r.f) == (r.wn, r.wf) for r in got), got
+
+
+def test_text_files_get_their_months_by_name(spark):
+    """One row per file, under the path that its lines carry, blanks and percent signs included."""
+    base = f"{scratch_path(spark, 'texts')}/a b%20c"
+    spark.createDataFrame([("LL|1", "llmon1_202601"), ("LL|2", "llmonliq1_202602"), ("LL|3", "other")], "value string, file string") \
+        .write.partitionBy("file").text(base)
+    got = records.read_lines(spark, base).join(records.file_months(spark, base), "source").select("value", "report_date", "file_type").collect()
+    assert sorted((r.value, str(r.report_date), r.file_type) for r in got) == [
+        ("LL|1", "2026-01-01", "loans"), ("LL|2", "2026-02-01", "liquidations"), ("LL|3", "None", None)]
