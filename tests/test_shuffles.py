@@ -32,6 +32,24 @@ def test_views_are_shuffled_to_as_many_tasks_as_their_input_asks_for(small_tasks
         assert found and all(f", {n})" in f for f in found), (view, found)
 
 
+@pytest.mark.parametrize("view", ["_build_loan_static", "_build_econ"])
+def test_orders_meet_customers_in_as_many_tasks_as_their_input_asks_for(small_tasks, view):
+    """Where customers are too large to broadcast; where the session's partitions do, they are not dealt beforehand."""
+    spark, name = small_tasks.spark, "spark.sql.autoBroadcastJoinThreshold"
+    n, before = small_tasks.write_tasks(), spark.conf.get(name)
+    try:
+        spark.conf.set(name, "-1")
+        df = getattr(small_tasks, view)()
+        found = [f for f in _exchanges(df) if "custkey" in f]
+        assert len(found) == 2 and all(f", {n})" in f for f in found), found
+        spark.conf.unset("loanlens.views.taskBytes")
+        plain = getattr(small_tasks, view)()
+        assert all("ENSURE_REQUIREMENTS" in f for f in _exchanges(plain) if "custkey" in f)
+        assert df.exceptAll(plain).count() == 0 and df.count() == plain.count()
+    finally:
+        spark.conf.set(name, before)
+
+
 @pytest.mark.parametrize("land", ["_landed_ll", "_landed_lr", "_landed_mf"])
 def test_no_rendered_line_is_shuffled_or_sorted(small_tasks, monkeypatch, land):
     made = []
