@@ -13,10 +13,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loanlens.functions import rules
 from loanlens.functions.clean import mmyyyy_date, null_tokens, year_from_mmyyyy
 from loanlens.operators.joins import dedupe_first
+from loanlens.sources.records import record_fields
 
 MONEY = "decimal(14,2)"
 
@@ -53,10 +55,10 @@ def quarantine_counts(tagged: DataFrame) -> DataFrame:
 
 
 def merge_scd1(target: DataFrame, source: DataFrame, keys, *, order_by, now, created: str = "created_at",
-               updated: str = "last_updated", preserve=("created_at",), version: str | None = None) -> DataFrame:
+               updated: str = "last_updated", preserve=("created_at",), version: str | None = None, unique: bool = False) -> DataFrame:
     """Upsert one row per key.
 
-    Of several source rows of a key the first by ``order_by`` counts.  Matched keys take every attribute from the source (a null in the source
+    Of several source rows of a key the first by ``order_by`` counts; ``unique`` says that there is one, and none with a null key.  Matched keys take every attribute from the source (a null in the source
     overwrites), ``last_updated = now``; ``created_at`` is kept from the target
     when listed in ``preserve`` (else overwritten with ``now``).  Source-only keys
     are inserted with both timestamps ``now``.  Target-only keys stay as they are.
@@ -68,7 +70,7 @@ def merge_scd1(target: DataFrame, source: DataFrame, keys, *, order_by, now, cre
     """
     keys = list(keys)
     now_c = F.lit(now).cast("timestamp") if not isinstance(now, Column) else now
-    src = dedupe_first(source, keys, [*order_by, ties(source)]).withColumn("_in_src", F.lit(True))
+    src = (source if unique else dedupe_first(source, keys, [*order_by, ties(source)])).withColumn("_in_src", F.lit(True))
     tgt = target.withColumn("_in_tgt", F.lit(True))
     attrs = [c for c in source.columns if c not in keys and c not in (created, updated)]
     s, t = src.alias("s"), tgt.alias("t")
@@ -97,15 +99,17 @@ def split_new_existing(target: DataFrame, source: DataFrame, keys, *, order_by,
 
 
 def replace_period(target: DataFrame, source: DataFrame, keys, *, period_col: str = "report_date",
-                   period=None) -> DataFrame:
+                   period=None, tasks: int | None = None) -> DataFrame:
     """Delete the period's rows for keys present in the file, insert the file's rows.
 
     Other keys of the same period survive; replaying the same file gives the
-    same table.  With ``period`` the source rows get that period value.
+    same table.  With ``period`` the source rows get that period value.  With ``tasks`` keys and
+    rows meet in that many tasks.
     """
     keys = list(keys)
     src = source if period is None else source.withColumn(period_col, F.lit(period).cast("date"))
-    gone = src.select(period_col, *keys).distinct()
+    gone = src.select(period_col, *keys)
+    gone = (gone.repartition(tasks, period_col, *keys) if tasks else gone).distinct()
     return target.join(gone, [period_col, *keys], "left_anti").unionByName(src.select(*target.columns))
 
 
@@ -113,14 +117,15 @@ def _balance() -> Column:
     return F.col("unpaid_principal_balance").try_cast(MONEY)
 
 
-def monthly_projection(staging: DataFrame, *, report_date=None, keys=("disclosure_sequence_number",)) -> DataFrame:
+def monthly_projection(staging: DataFrame, *, report_date=None, keys=("disclosure_sequence_number",), unique: bool = False) -> DataFrame:
     """LL staging strings -> loan-month rows: typed columns, 0 for missing balance, age and months late.
 
     One row per key (a file should not repeat a loan); ``keys`` adds the file month
-    when the staging holds several monthly files at once.
+    when the staging holds several monthly files at once.  ``unique`` says that the staging
+    has one record per key already, picked as here (``first_records``).
     """
-    s = dedupe_first(staging, list(keys),
-                     [F.col("as_of_date").asc_nulls_last(), _balance().asc_nulls_last(), ties(staging)])
+    s = staging if unique else dedupe_first(staging, list(keys),
+                                            [F.col("as_of_date").asc_nulls_last(), _balance().asc_nulls_last(), ties(staging)])
     md = F.col("months_delinquent").try_cast("int")
     rd = (F.lit(report_date).cast("date") if report_date is not None
           else F.try_to_timestamp(F.concat(F.col("as_of_date"), F.lit("01")), F.lit("yyyyMMdd")).cast("date"))
@@ -133,10 +138,14 @@ def monthly_projection(staging: DataFrame, *, report_date=None, keys=("disclosur
                     rules.dq_label(md).alias("delinquency_status"))
 
 
-def static_projection(staging: DataFrame, *, keep=(), tasks: int | None = None) -> DataFrame:
-    """LL staging strings -> static loan attributes (typed), with the columns ``keep`` as they are; ``tasks`` as in ``dedupe_first``."""
-    s = dedupe_first(staging, ["disclosure_sequence_number"],
-                     [F.col("as_of_date").desc_nulls_last(), _balance().asc_nulls_last(), ties(staging)], tasks=tasks)
+def static_projection(staging: DataFrame, *, keep=(), tasks: int | None = None, unique: bool = False) -> DataFrame:
+    """LL staging strings -> static loan attributes (typed), with the columns ``keep`` as they are; ``tasks`` as in ``dedupe_first``.
+
+    ``unique`` says that the staging has one record per loan already, picked as here.
+    """
+    s = staging if unique else dedupe_first(
+        staging, ["disclosure_sequence_number"],
+        [F.col("as_of_date").desc_nulls_last(), _balance().asc_nulls_last(), ties(staging)], tasks=tasks)
     return s.select("disclosure_sequence_number", F.col("issuer_id").try_cast("int").alias("issuer_id"),
                     "state_code", "msa",
                     F.col("original_principal_balance").try_cast(MONEY).alias("original_principal_balance"),
@@ -147,12 +156,17 @@ def static_projection(staging: DataFrame, *, keep=(), tasks: int | None = None)
                     F.col("seller_issuer_id").try_cast("int").alias("seller_issuer_id"), "agency", *keep)
 
 
-def liquidation_projection(staging: DataFrame, *, report_date=None, period_col: str = "report_period", tasks: int | None = None) -> DataFrame:
-    """LR staging strings -> liquidation rows (10 of 15 fields kept, typed), one per loan and period; ``tasks`` as in ``dedupe_first``."""
+def liquidation_projection(staging: DataFrame, *, report_date=None, period_col: str = "report_period", tasks: int | None = None,
+                           unique: bool = False) -> DataFrame:
+    """LR staging strings -> liquidation rows (10 of 15 fields kept, typed), one per loan and period; ``tasks`` as in ``dedupe_first``.
+
+    ``unique`` says that the staging has one record per loan and period already, picked as here.
+    """
     rd = (F.lit(report_date).cast("date") if report_date is not None
           else F.try_to_timestamp(F.concat(F.col(period_col), F.lit("01")), F.lit("yyyyMMdd")).cast("date"))
     keys = ["disclosure_sequence_number"] if report_date is not None else ["disclosure_sequence_number", period_col]
-    staging = dedupe_first(staging, keys, [F.col("liquidation_balance").try_cast(MONEY).asc_nulls_last(), ties(staging)], tasks=tasks)
+    if not unique:
+        staging = dedupe_first(staging, keys, [F.col("liquidation_balance").try_cast(MONEY).asc_nulls_last(), ties(staging)], tasks=tasks)
     return staging.select("disclosure_sequence_number", rd.alias("report_date"),
                           F.col("issuer_id").try_cast("int").alias("issuer_id"), "cusip_number", "pool_id",
                           "agency_type", "loan_purpose",
@@ -162,6 +176,28 @@ def liquidation_projection(staging: DataFrame, *, report_date=None, period_col:
                           "removal_reason")
 
 
+def first_records(lines: DataFrame, fields, *, key: str, month: str, balance: str, keep, tasks: int) -> DataFrame:
+    """The record of each loan and month that the projections above pick, out of lines, with the fields ``keep`` as strings.
+
+    ``lines`` has the line as ``value``, the loan as ``key``, the month of its file as ``month`` and ``source``.  The lines
+    themselves are dealt by loan to ``tasks`` tasks, and all fields are read for loans that a month has
+    twice only: their order is by ``balance``, then the whole record as text.  ``last`` marks the latest month of each loan.
+    """
+    dealt = lines.select(key, month, "source", "value").repartition(tasks, key)
+    w = Window.partitionBy(key, month)
+    seen = dealt.withColumn("_again", F.count(F.lit(1)).over(w) > 1)
+    seen = record_fields(seen, fields, when=F.col("_again"))
+    at, fields = list(fields).index(month), list(fields)
+    values = F.concat(F.transform("_g", lambda v, i: F.when(i == at, F.col(month)).otherwise(v)), F.array("source"))
+    record = F.map_filter(F.map_from_arrays(F.array(*[F.lit(f) for f in [*fields, "source"]]), values), lambda _, v: v.isNotNull())
+    seen = seen.withColumn("_balance", F.get("_g", F.lit(fields.index(balance))).try_cast(MONEY)) \
+        .withColumn("_tie", F.when(F.col("_again"), F.to_json(record))).drop("_g")  # the text that ``ties`` makes, in a short method
+    first = seen.withColumn("_rn", F.row_number().over(w.orderBy(F.col("_balance").asc_nulls_last(), "_tie"))).filter("_rn = 1")
+    first = first.select(key, month, "value", F.lead(month).over(Window.partitionBy(key).orderBy(month)).isNull().alias("last"))
+    keep = [f for f in keep if f not in (key, month)]
+    return record_fields(first, fields, keep).select(key, month, *[F.col("_g").getItem(i).alias(f) for i, f in enumerate(keep)], "last")
+
+
 def fnma_static_insert(target: DataFrame, perf: DataFrame, *, key: str = "loan_identifier",
                        columns=None) -> DataFrame:
     """Earliest record per loan by reporting period, for loans not yet in the target (DISTINCT ON ... ORDER BY)."""

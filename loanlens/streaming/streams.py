@@ -21,10 +21,10 @@ from pyspark.sql.streaming import StreamingQuery
 from loanlens.functions import rules
 from loanlens.operators import maintain
 from loanlens.operators.joins import dedupe_first
-from loanlens.session import cut, dropped, scratch_path
-from loanlens.sources.layouts import LL_FIELDS, LR_FIELDS
-from loanlens.sources.records import (content_digest, file_type, list_files, load_name, read_lines, read_zip_members, report_month,
-                                      split_records)
+from loanlens.session import cut, dropped, scratch_path, shuffles_dropped
+from loanlens.sources.layouts import LL_FIELDS, LL_KEPT, LR_FIELDS, LR_KEPT
+from loanlens.sources.records import (checked_records, content_digest, file_type, list_files, load_name, read_lines, read_zip_members,
+                                      report_month)
 from loanlens.streaming import book as books
 
 ROWS_PER_BUCKET = 2_000_000  # mean of static loans per bucket beyond which the next bucket splits
@@ -32,6 +32,11 @@ LOG_FOLDERS = 64  # loads after which the log is written as one folder again
 LOG_COLUMNS = ["file_name", "file_type", "report_date", "rows_loaded", "rows_rejected", "loaded_at", "length", "digest", "load_id"]
 KEY = "disclosure_sequence_number"
 KINDS = {"loans": ("LL", LL_FIELDS), "liquidations": ("LR", LR_FIELDS)}
+# The column that takes the file's month, the first term of the order of a loan's records in a month, and the fields that the tables take.
+PICKS = {"loans": dict(month="as_of_date", balance="unpaid_principal_balance", keep=LL_KEPT),
+         "liquidations": dict(month="report_period", balance="liquidation_balance", keep=LR_KEPT)}
+ROWS_PER_TASK = 250_000  # lines that a task sorts: some 150 MB with both sorts
+MONTHS_PER_TASK = 1_000_000  # loan-months that a task sorts and writes
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -47,7 +52,7 @@ def _digests(spark: SparkSession, files: list[dict]) -> dict[str, str]:
     for kind, (prefix, fields) in KINDS.items():
         own = [f["source"] for f in files if f["file_type"] == kind]
         if own:
-            recs = split_records(_lines(spark, own), prefix, fields)
+            recs = checked_records(_lines(spark, own), prefix, fields)
             out |= {r["source"]: r["digest"] for r in recs.groupBy("source").agg(content_digest(F.col("line_hash")).alias("digest")).collect()}
     return out
 
@@ -96,6 +101,12 @@ def load_files(spark: SparkSession, paths: list[str], *, book: str, force: bool
     ``now`` stamps rows and log, the current time by default.  A (``stream_id``, ``batch_id``) that the book has
     committed is not loaded again.
     """
+    with shuffles_dropped(spark):
+        return _load_batch(spark, paths, book, force, max_reject_share, last_load_wins, now, stream_id, batch_id)
+
+
+def _load_batch(spark: SparkSession, paths: list[str], book: str, force: bool, max_reject_share: float, last_load_wins: bool, now: str | None,
+                stream_id: str, batch_id: int | None) -> dict:
     at = books.manifest(spark, book)
     if not paths or (batch_id is not None and at["streams"].get(stream_id, -1) >= batch_id):
         return at
@@ -116,7 +127,7 @@ def load_files(spark: SparkSession, paths: list[str], *, book: str, force: bool
 
 
 def _load(spark: SparkSession, files: list[dict], book: str, at: dict, stamp: str, max_reject_share: float, last_load_wins: bool, done: dict) -> dict:
-    """One commit: the staged records are written once, the tables are made from them, the manifest comes last."""
+    """One commit: the staged lines are written once, then the one record of each loan and month; the tables are made from these, the manifest comes last."""
     load, tables, staged, logs, rejects = books.new_load(at), {}, [], [], []
     try:
         for kind, (prefix, fields) in KINDS.items():
@@ -126,9 +137,8 @@ def _load(spark: SparkSession, files: list[dict], book: str, at: dict, stamp: st
             staging = scratch_path(spark, f"staging-{kind}")
             staged.append(staging)
             seen = Observation()
-            split_records(_lines(spark, [f["source"] for f in own]), prefix, fields, key=KEY) \
-                .withColumn("report_date", report_month(F.col("source"))) \
-                .observe(seen, F.count(F.lit(1)).alias("rows"), F.count("bad_reason").alias("bad")).write.parquet(staging)
+            checked_records(_lines(spark, [f["source"] for f in own]), prefix, fields, key=KEY) \
+                .observe(seen, F.count(F.lit(1)).alias("rows"), F.count("bad_reason").alias("bad")).write.option("compression", "zstd").parquet(staging)
             if seen.get["bad"] > max_reject_share * seen.get["rows"]:
                 raise ValueError(f"{seen.get['bad']} of {seen.get['rows']} {kind} records are not well formed; the file layout may have changed")
             rows = spark.read.parquet(staging)
@@ -142,18 +152,25 @@ def _load(spark: SparkSession, files: list[dict], book: str, at: dict, stamp: st
             logs.append(cut(maintain.load_log_update(loaded.filter(F.lit(False)), loaded)))  # fails on a file without records
             if seen.get["bad"]:
                 rejects.append(rows.filter(F.col("bad_reason").isNotNull()).join(names.select("source", "file_name"), "source")
-                               .select("file_name", F.lit(kind).alias("file_type"), "bad_reason", "bad_line",
+                               .select("file_name", F.lit(kind).alias("file_type"), "bad_reason", F.col("value").alias("bad_line"),
                                        F.lit(stamp).cast("timestamp").alias("loaded_at")))
-            recs = rows.filter(F.col("bad_reason").isNull()).drop("line_hash", "bad_reason", "bad_line")
+            picks, records = PICKS[kind], scratch_path(spark, f"records-{kind}")
+            staged.append(records)
+            months = names.select("source", F.date_format("report_date", "yyyyMM").alias(picks["month"]))
+            good = rows.filter(F.col("bad_reason").isNull()).join(F.broadcast(months), "source")  # a row per file of the batch
+            maintain.first_records(good, fields, key=KEY, tasks=_tasks(spark, seen.get["rows"], ROWS_PER_TASK), **picks) \
+                .write.option("compression", "zstd").parquet(records)
+            recs = spark.read.parquet(records)
+            if not seen.get["bad"]:
+                dropped(spark, staging)
             if kind == "loans":
-                recs = recs.withColumn("as_of_date", F.date_format("report_date", "yyyyMM")).drop("report_date")
-                tables["monthly"] = _months(spark, book, at, load, "monthly", maintain.monthly_projection(recs, keys=[KEY, "as_of_date"]))
-                tables["static"] = _static(spark, book, at, load, maintain.static_projection(recs, keep=["as_of_date"]), stamp, last_load_wins)
+                tables["monthly"] = _months(spark, book, at, load, "monthly", maintain.monthly_projection(recs, unique=True))
+                latest = maintain.static_projection(recs.filter("last"), keep=["as_of_date"], unique=True)
+                tables["static"] = _static(spark, book, at, load, latest, stamp, last_load_wins)
                 issuers = _issuers(spark, book, at, load, tables["monthly"], sorted({str(f["report_date"]) for f in own}))
                 tables |= {"issuers": issuers} if issuers else {}
             else:
-                liq = recs.withColumn("report_period", F.date_format("report_date", "yyyyMM")).drop("report_date")
-                tables["liquidations"] = _months(spark, book, at, load, "liquidations", maintain.liquidation_projection(liq))
+                tables["liquidations"] = _months(spark, book, at, load, "liquidations", maintain.liquidation_projection(recs, unique=True))
         for name, parts in (("log", logs), ("rejects", rejects)):
             if parts:
                 tables[name] = _added(spark, book, at, load, name, parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))
@@ -163,28 +180,37 @@ def _load(spark: SparkSession, files: list[dict], book: str, at: dict, stamp: st
             dropped(spark, path)
 
 
+def _tasks(spark: SparkSession, rows: int, per: int) -> int:
+    """Tasks for a shuffle of so many rows: one for each ``per`` of them, at least the session's partitions."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per))
+
+
 def _months(spark: SparkSession, book: str, at: dict, load: str, name: str, rows: DataFrame) -> dict:
-    """Replace the rows of the same loans and months: the months of ``rows`` are written anew, with their other loans."""
+    """Replace the rows of the same loans and months: the months of ``rows`` are written anew, with their other loans, each by few tasks."""
     months = sorted(str(r["report_date"]) for r in rows.select("report_date").distinct().collect())  # those of the batch's files
     old = books.read(spark, book, name, only=set(months), at=at)
-    new = rows if old is None else maintain.replace_period(old.select(*rows.columns), rows, [KEY])
+    tasks = _tasks(spark, rows.count() + (old.count() if old is not None else 0), MONTHS_PER_TASK)
+    new = rows if old is None else maintain.replace_period(old.select(*rows.columns), rows, [KEY], tasks=tasks)
+    new = new.repartitionByRange(tasks, "report_date", KEY)
     folders = {v: f for v, f in (at["tables"].get(name) or {"folders": {}})["folders"].items() if v not in months}
     return books.entry(rows, "report_date", folders | books.write(new, book, name, load, "report_date"))
 
 
 def _static(spark: SparkSession, book: str, at: dict, load: str, rows: DataFrame, stamp: str, last_load_wins: bool) -> dict:
-    """Merge static loans: only the buckets of the batch's loans, and those that split, are written anew.
+    """Merge static loans (one row each): only the buckets of the batch's loans, and those that split, are written anew.
 
     The number of buckets follows the rows of the table (linear hashing), so it need not be known when the table begins.
     """
     have = at["tables"].get("static")
     n, total, folders = (have["buckets"], have["n_rows"], have["folders"]) if have else (1, 0, {})
+    n_new = rows.count()
+    tasks = _tasks(spark, n_new + total, ROWS_PER_TASK)
     touched = {r["b"] for r in rows.select(books.bucket_of(KEY, n).alias("b")).distinct().collect()}  # bucket numbers
     if have:
         old = books.read(spark, book, "static", only={str(b) for b in touched}, at=at)
-        fresh = rows.select(KEY).distinct().join(old.select(KEY), KEY, "left_anti").count()
+        fresh = rows.select(KEY).repartition(tasks, KEY).join(old.select(KEY), KEY, "left_anti").count()
     else:
-        fresh = rows.select(KEY).distinct().count()
+        fresh = n_new
     total += fresh
     wanted = max(n, -(-total // ROWS_PER_BUCKET))
     touched |= books.split_sources(n, wanted)
@@ -193,8 +219,10 @@ def _static(spark: SparkSession, book: str, at: dict, load: str, rows: DataFrame
     else:
         none = F.lit(None).cast("timestamp")
         old = rows.filter(F.lit(False)).withColumn("created_at", none).withColumn("last_updated", none)
-    merged = maintain.merge_scd1(old, rows, [KEY], order_by=[F.col("issuer_id")], now=stamp, version=None if last_load_wins else "as_of_date")
-    merged = merged.withColumn("bucket", books.bucket_of(KEY, wanted)).repartition("bucket")
+    merged = maintain.merge_scd1(old, rows.repartition(tasks, KEY), [KEY], order_by=[F.col("issuer_id")], now=stamp,
+                                 version=None if last_load_wins else "as_of_date", unique=True)
+    part = F.pmod(F.xxhash64(F.lit(1), KEY), F.lit(max(1, ROWS_PER_BUCKET // ROWS_PER_TASK)))  # a bucket is written by some tasks
+    merged = merged.withColumn("bucket", books.bucket_of(KEY, wanted)).repartition(tasks, "bucket", part)
     kept = {v: f for v, f in folders.items() if int(v) not in touched}
     return books.entry(merged, "bucket", kept | books.write(merged, book, "static", load, "bucket"), buckets=wanted, n_rows=total)
 
