@@ -31,7 +31,7 @@ def _ingest(t: Tables, force=(False,)) -> str:
     books.put(t.spark, f"{base}/book", "issuers", t.issuer_info.withColumn("issuer_number", F.col("issuer_number").cast("int")))
     for i, again in enumerate(force):
         streams.stream_ingest(t.spark, inbox, book=f"{base}/book", checkpoint=f"{base}/_checkpoint{i}", max_files=200, force=again,
-                              now=NOW).awaitTermination()
+                              now=NOW, keep=2).awaitTermination()
     return f"{base}/book"
 
 

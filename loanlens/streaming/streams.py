@@ -260,11 +260,13 @@ def in_inbox(path: str, inbox: str) -> bool:
 
 
 def stream_ingest(spark: SparkSession, inbox: str, *, book: str, checkpoint: str, max_files: int = 20, available_now: bool = True,
-                  force: bool = False, max_reject_share: float = 0.01, last_load_wins: bool = False, now: str | None = None) -> StreamingQuery:
+                  force: bool = False, max_reject_share: float = 0.01, last_load_wins: bool = False, now: str | None = None,
+                  keep: int | None = None) -> StreamingQuery:
     """New ``.txt`` and ``.zip`` disclosure files of an inbox, or one folder down, picked up once and loaded, ``max_files`` at a time at most.
 
     Files with other names, and those further down, are passed over.  The stream is known to the book by its
-    checkpoint location: a batch that is replayed after its manifest was written changes nothing.
+    checkpoint location: a batch that is replayed after its manifest was written changes nothing.  With ``keep`` what
+    none of the last ``keep`` manifests names is removed after each batch (``book.vacuum``), for a book that no other load writes.
     """
     import hashlib
 
@@ -279,6 +281,8 @@ def stream_ingest(spark: SparkSession, inbox: str, *, book: str, checkpoint: str
         paths = sorted(r["path"] for r in batch.collect() if in_inbox(r["path"], inbox))  # max_files names
         load_files(batch.sparkSession, paths, book=book, force=force, max_reject_share=max_reject_share, last_load_wins=last_load_wins,
                    now=now, stream_id=sid, batch_id=bid)
+        if keep is not None:
+            books.vacuum(batch.sparkSession, book, keep=keep)
 
     w = known.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -1,11 +1,15 @@
-"""What loads leave on disk: shuffles dropped, lines shuffled as they are and once."""
+"""What loads leave on disk: shuffles dropped, lines shuffled as they are and once, old folders removed."""
 
 from pyspark.sql import functions as F
 
+from conftest import SMALL
 from loanlens.operators import maintain
+from loanlens.plans import catalog_streaming
+from loanlens.plans.adapter import Tables
 from loanlens.session import scratch_path
 from loanlens.sources import records
 from loanlens.sources.layouts import LL_FIELDS, LL_KEPT, LR_FIELDS, LR_KEPT
+from loanlens.streaming import book as books
 from loanlens.streaming import streams
 from test_loader import put_file
 from test_units import _liquidation_line, _loan_line
@@ -66,3 +70,13 @@ def test_first_records_are_those_of_the_projections(spark):
         for got, want in pairs:
             assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert set(LL_KEPT) <= set(LL_FIELDS) and set(LR_KEPT) <= set(LR_FIELDS)
+
+
+def test_a_stream_with_keep_removes_what_it_replaced(spark):
+    """Delivered to three streams, each told to load all: the first stream's folders go, the book is as it was."""
+    t = Tables(spark, SMALL)
+    once, again = (books.read(spark, catalog_streaming._ingest(t, force), "monthly") for force in ((False,), (False, True, True)))
+    assert once.exceptAll(again).count() == 0 and once.count() == again.count() > 0
+    book = again.inputFiles()[0].split("/data/")[0]
+    loads = books._names(spark, f"{book}/data/monthly")
+    assert len(loads) < books.manifest(spark, book)["version"] - 1 and len(books._manifests(spark, book)) == 2
