@@ -1,10 +1,13 @@
-"""What loads leave on disk: shuffles dropped, lines shuffled as they are and once, old folders removed."""
+"""What loads and inboxes leave on disk: shuffles dropped, lines shuffled as they are and once, no line twice, old folders removed."""
+
+import os
+import zipfile
 
 from pyspark.sql import functions as F
 
 from conftest import SMALL
 from loanlens.operators import maintain
-from loanlens.plans import catalog_streaming
+from loanlens.plans import catalog_streaming, fixtures
 from loanlens.plans.adapter import Tables
 from loanlens.session import scratch_path
 from loanlens.sources import records
@@ -80,3 +83,29 @@ def test_a_stream_with_keep_removes_what_it_replaced(spark):
     book = again.inputFiles()[0].split("/data/")[0]
     loads = books._names(spark, f"{book}/data/monthly")
     assert len(loads) < books.manifest(spark, book)["version"] - 1 and len(books._manifests(spark, book)) == 2
+
+
+def test_an_inbox_has_each_line_once_and_nothing_else_lies_there(spark, monkeypatch):
+    t, base = Tables(spark, SMALL), scratch_path(spark, "landed")
+    monkeypatch.setattr(t, "landed", lambda name: f"{base}/{name}")
+    before = shuffle_files(spark)
+    path = fixtures.inbox(t)
+    assert not shuffle_files(spark) - before
+    root = base.removeprefix("file://").removeprefix("file:")
+    assert os.listdir(root) == ["inbox_strays"]
+    zipped, nested, flat = [], [], []
+    for d, _, names in os.walk(path.removeprefix("file://").removeprefix("file:")):
+        for n in (n for n in names if not n.startswith((".", "_")) and n != "readme.txt" and "old/2001" not in d):
+            if n.endswith(".zip"):
+                with zipfile.ZipFile(f"{d}/{n}") as z:
+                    assert z.testzip() is None and len(z.namelist()) == 1
+                    zipped += [(d[-6:], v) for v in z.read(z.namelist()[0]).decode().splitlines()]
+            else:
+                with open(f"{d}/{n}") as fh:
+                    (flat if n.startswith("llmonliq1_") else nested).extend((d[-6:], v) for v in fh.read().splitlines())
+    months = t.loan_monthly.groupBy((F.month("report_date") % 3 == 0).alias("z")).agg(F.count("*").alias("n"), F.sum((F.col("current_month_liquidation") == "Y").cast("int")).alias("q"))
+    want = {r["z"]: r for r in months.collect()}
+    assert (len(zipped), len(nested), len(flat)) == (want[True]["n"], want[False]["n"], want[True]["q"] + want[False]["q"])
+    at = LL_FIELDS.index("as_of_date")
+    assert all(v.split("|")[at] == m for m, v in zipped + nested) and len(set(zipped + nested)) == len(zipped + nested)
+    assert {m[4:] for m, _ in zipped} <= {"03", "06", "09", "12"} and not {m[4:] for m, _ in nested} & {"03", "06", "09", "12"}
